@@ -73,6 +73,10 @@ class Chunk:
     end: np.ndarray
     word: np.ndarray  # hash of each word
     at: np.ndarray  # words of text i: at[i] .. at[i + 1]
+    cut: np.ndarray  # bytes of text i: cut[i] .. cut[i + 1]
+
+    def text_bytes(self, i: int) -> tuple[int, int]:
+        return int(self.cut[i]), int(self.cut[i + 1])
 
 
 def _bytes(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +106,7 @@ def _chunk(first: int, data: np.ndarray, cut: np.ndarray, table: np.ndarray) ->
     n = len(cut) - 1
     if not len(data):
         none = np.empty(0, np.int64)
-        return Chunk(first, n, data, none, none, np.empty(0, _U), np.zeros(n + 1, np.int64))
+        return Chunk(first, n, data, none, none, np.empty(0, _U), np.zeros(n + 1, np.int64), cut)
     value = table[data]
     inside = value != 0
     begins = inside.copy()
@@ -118,7 +122,7 @@ def _chunk(first: int, data: np.ndarray, cut: np.ndarray, table: np.ndarray) ->
     np.cumsum(value * up, out=total[1:])
     word = (total[end] - total[start]) * down[start]
     word = mix(word + (end - start).astype(_U) * _U(0xA0761D6478BD642F))
-    return Chunk(first, n, data, start, end, word, np.searchsorted(start, cut).astype(np.int64))
+    return Chunk(first, n, data, start, end, word, np.searchsorted(start, cut).astype(np.int64), cut)
 
 
 def sequence_hash(word: np.ndarray, begin: np.ndarray, length) -> np.ndarray:
@@ -135,3 +139,25 @@ def window_starts(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     count = np.maximum(np.diff(at) - length + 1, 0)
     text = np.repeat(np.arange(len(count)), count)
     return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(at[:-1], count), text
+
+
+def word_counts(texts, separators: bytes) -> np.ndarray:
+    """Number of words of each text."""
+    data, offsets = _bytes(texts)
+    counts = np.zeros(len(offsets) - 1, np.int64)
+    is_word = np.ones(256, bool)
+    is_word[list(separators)] = False
+    first = 0
+    while first < len(counts):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + 4 * CHUNK_BYTES, "right")) - 1)
+        part, at = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+        if len(part):
+            inside = is_word[part]
+            begins = inside.copy()
+            begins[1:] &= ~inside[:-1]
+            edge = at[(at > 0) & (at < len(part))]
+            begins[edge] = inside[edge]
+            where = np.flatnonzero(begins)
+            counts[first:last] = np.diff(np.searchsorted(where, at))
+        first = last
+    return counts
