@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix
+from tidemark.llm.neighbours import search
 from tidemark.llm.sharding import shard
+from tidemark.llm.tokens import token_round_trip
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,14 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_read(spark, sf_dir, "documents"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_read(spark, sf_dir, "embeddings"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(_read(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     names = F.array_join(F.sort_array(F.transform("items", lambda x: x.cast("string"))), ",")
@@ -40,6 +50,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_sharding": op3_sharding,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op7_token_files": op7_token_files,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_mixing": op9_mixing,
 }
