@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chat import conversation_digests, format_conversations
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix
@@ -47,6 +48,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = _read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
+    return conversation_digests(format_conversations(stored.unionByName(probe)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_sharding": op3_sharding,
@@ -54,6 +61,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": op7_token_files,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_mixing": op9_mixing,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_chat_formatting": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), whole AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+                   coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+                   sum(17 + length(role) + length(text) + 2 * (length(role) + length(text)) - length(replace(role, '[', '')) - length(replace(text, '[', ''))
+                       - length(replace(role, '<', '')) - length(replace(text, '<', ''))) AS formatted_chars
+            FROM turns GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+               sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+        FROM whole
+    """,
+}
