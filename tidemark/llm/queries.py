@@ -14,6 +14,7 @@ from tidemark.llm.mixing import mix
 from tidemark.llm.neighbours import search
 from tidemark.llm.sharding import shard
 from tidemark.llm.tokens import token_round_trip
+from tidemark.llm.toxicity import toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,10 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_read(spark, sf_dir, "embeddings"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_round_trip(_read(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_sharding": op3_sharding,
     "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_mixing": op9_mixing,

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tidemark.shipping import ship
 
@@ -37,7 +38,7 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow(df: DataFrame, scan, schema: str) -> DataFrame:
+def arrow(df: DataFrame, scan, schema: str | StructType) -> DataFrame:
     """df.mapInArrow(scan, schema), with this package sent to the workers first."""
     ship(df.sparkSession)
     return df.mapInArrow(scan, schema)
