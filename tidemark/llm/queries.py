@@ -13,6 +13,7 @@ from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix
 from tidemark.llm.neighbours import search
 from tidemark.llm.sharding import shard
+from tidemark.llm.substrings import remove_repeated_spans
 from tidemark.llm.tokens import token_round_trip
 from tidemark.llm.toxicity import toxicity
 
@@ -29,6 +30,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_read(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeated_spans(_read(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_read(spark, sf_dir, "embeddings"))
 
@@ -62,6 +68,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_sharding": op3_sharding,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_toxicity": op6_toxicity,
     "op7_token_files": op7_token_files,
