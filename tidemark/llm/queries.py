@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chat import conversation_digests, format_conversations
 from tidemark.llm.decontaminate import contamination
+from tidemark.llm import licenses
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix
 from tidemark.llm.neighbours import search
@@ -22,6 +23,13 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licences(_read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_sentences", F.size("known").cast("long").alias("n_known"), F.size("matches").cast("long").alias("n_matches"), F.array_join("licences", ",").alias("licences")
+    )
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -66,6 +74,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_sharding": op3_sharding,
     "op4_substring_dedup": op4_substring_dedup,
@@ -78,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_license_scan": licenses.oracle(),
     "op10_chat_formatting": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
