@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textscan as ts
 from tidemark.llm.components import components
+from tidemark.llm.prefix import running_sum
 from tidemark.llm.scratch import arrow, cut, table
 from tidemark.llm.sizes import small
 
 _U = np.uint64
 ROWS = 4  # minima in a band
-PIVOT_ROUNDS = 6  # at most so many before what is left is compared pair by pair
-FEW_PAIRS = 4_000_000  # or once so few pairs are left in all bands
+BLOCK_SHINGLES = 60_000  # hashes in a block of representatives; one longer text is a block of its own
 
 
 @dataclass(frozen=True)
@@ -153,13 +153,79 @@ def _links(pairs: DataFrame, sets: DataFrame, spec: NearDup) -> DataFrame:
     return arrow(pairs.join(left, "u").join(right, "v").select("u", "v", "set_u", "set_v"), scan, "u long, v long")
 
 
+def _rest(met: DataFrame, label: DataFrame, sets: DataFrame, spec: NearDup) -> DataFrame:
+    """Links (u, v) between different components that still share a band, enough of them to join what they join.
+
+    Representatives are packed into blocks of bounded size, near ones together; blocks that meet in a band with different
+    components are compared whole, exactly and in place, so that no pair is written out unless it is a link.
+    """
+    here = met.join(label, "rep")
+    live = here.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("band")
+    here = cut(here.join(live, "band"))
+    members = cut(here.select("rep", "near", "comp").distinct().join(sets.select(F.col("doc_id").alias("rep"), "set"), "rep"))
+    sized = members.select("rep", "near", (F.octet_length("set") / 8).cast("long").alias("n"), F.xxhash64("rep").alias("h"))
+    placed = running_sum(sized, ["near"], F.col("n"), "h", sized.count(), "before")
+    block_of = cut(placed.select("rep", F.xxhash64("near", F.floor(F.col("before") / BLOCK_SHINGLES)).alias("block")).distinct())
+    blocks = table(
+        members.join(block_of, "rep").groupBy("block").agg(F.collect_list(F.struct("rep", "comp", "set")).alias("rows")).withColumn(
+            "rows", F.struct(F.col("rows.rep").alias("rep"), F.col("rows.comp").alias("comp"), F.col("rows.set").alias("set"))
+        ),
+        "blocks",
+    )
+    spots = cut(here.join(block_of, "rep").groupBy("band", "block").agg(F.min("comp").alias("low"), F.max("comp").alias("high")))
+    a, b = spots.alias("a"), spots.alias("b")
+    differ = F.least("a.low", "b.low") < F.greatest("a.high", "b.high")
+    meet = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.block") <= F.col("b.block")) & differ).select(F.col("a.block").alias("x"), F.col("b.block").alias("y")).distinct()
+    both = meet.join(blocks.select(F.col("block").alias("x"), F.col("rows").alias("left")), "x").join(blocks.select(F.col("block").alias("y"), F.col("rows").alias("right")), "y")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for left, right in zip(batch.column(0), batch.column(1)):
+                found = _between(left.as_py(), right.as_py(), spec.percent)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["u", "v"])
+
+    return arrow(both.select("left", "right"), scan, "u long, v long").distinct()
+
+
+def _between(left: dict, right: dict, percent: int) -> list[tuple[int, int]]:
+    """Links that join different components of two blocks: whole sets are intersected, and a link is left out only
+    if the links before it already join its ends."""
+    parts = [np.frombuffer(x, _U) for x in right["set"]]
+    size = np.array([len(x) for x in parts])
+    value, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), size)
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    top = {c: c for c in {*left["comp"], *right["comp"]}}
+
+    def root(c: int) -> int:
+        while top[c] != c:
+            top[c] = top[top[c]]
+            c = top[c]
+        return c
+
+    found = []
+    for rep, comp, own in zip(left["rep"], left["comp"], left["set"]):
+        own = np.frombuffer(own, _U)
+        begin, end = np.searchsorted(value, own, "left"), np.searchsorted(value, own, "right")
+        count = end - begin
+        at = np.repeat(begin - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+        same = np.bincount(owner[at], minlength=len(parts))
+        for j in np.flatnonzero(100 * same >= percent * (len(own) + size - same)).tolist():
+            p, q = root(comp), root(right["comp"][j])
+            if p != q:
+                top[p] = q
+                found.append((rep, right["rep"][j]))
+    return found
+
+
 def near_duplicates(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (is that one).
 
     Documents with equal shingle sets are one class, so copies never become pairs. Class representatives meet in
-    bands; in each band a pivot is compared with the rest, round after round with other pivots, and only where a
-    band still holds more than one component are its remaining cross-component pairs compared, so that no link is
-    lost and none is expanded within a group. Every accepted link was confirmed on the whole shingle sets.
+    bands; in each band its smallest is compared with the rest, and where a band then still holds more than one
+    component, bounded blocks of representatives are compared across components, so that no link between components
+    is lost and none is expanded within a group. Every accepted link was confirmed on the whole shingle sets.
 
     Null or empty texts have n_shingles 0 and link with nothing; null ids give one row each with null component
     and kept true; repeated rows of one id stay rows of one component; other columns are ignored; an empty table
@@ -174,41 +240,19 @@ def near_duplicates(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "d
     bands = spec.minima // ROWS
     band = F.posexplode(F.array(*(F.xxhash64(F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS), F.lit(k)) for k in range(bands))))
     spread = classes.select("rep", band).select(F.col("col").alias("band"), "rep")
-    shared = spread.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    met = table(spread.join(shared.select("band"), "band"), "bands")
-    some = cut(met.select("rep").distinct())
-    chosen = source.join(small(some.withColumnRenamed("rep", "doc_id")), "doc_id", "left_semi")
+    shared = spread.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("band", "low")
+    met = table(spread.join(shared, "band"), "bands")
+    some = cut(met.groupBy("rep").agg(F.min("low").alias("near")))
+    chosen = source.join(small(some.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi")
     sets = table(_sets(chosen, spec), "sets")
-    known = classes.join(small(some), "rep", "left_semi")
-    label = cut(some.select("rep", F.col("rep").alias("comp")))
-    links = None
-    for turn in range(PIVOT_ROUNDS + 1):
-        here = met.join(label, "rep") if turn else met.withColumn("comp", F.col("rep"))
-        open_bands = cut(
-            here.groupBy("band")
-            .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size"),
-                 F.min(F.struct((F.xxhash64("rep", F.lit(turn)) if turn else F.col("rep")).alias("order"), "rep", "comp")).alias("pivot"))
-            .where("low < high")
-            .select("band", "size", F.col("pivot.rep").alias("p"), F.col("pivot.comp").alias("p_comp"))
-        )
-        live = cut(here.join(open_bands, "band").where("comp <> p_comp"))
-        left = live.agg(F.count("*"), F.sum(F.col("size").cast("double"))).first()
-        if not left[0]:
-            break
-        last = turn == PIVOT_ROUNDS or turn > 0 and left[1] <= FEW_PAIRS
-        if last:
-            # what differs from its band's pivot, against all of another component in the band
-            odd, rest = live.select("band", F.col("rep").alias("x"), F.col("comp").alias("x_comp")), here.select("band", F.col("rep").alias("y"), F.col("comp").alias("y_comp"))
-            pairs = odd.join(rest, "band").where("x_comp <> y_comp").select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
-        else:
-            pairs = live.select(F.least("p", "rep").alias("u"), F.greatest("p", "rep").alias("v"))
-        maybe = cut(_alike(pairs.distinct(), known, spec))
-        found = cut(_links(maybe, sets, spec))
-        links = found if links is None else links.unionByName(found)
-        comps = components(links)
-        label = cut(some.join(comps, some.rep == comps.node, "left").select("rep", F.coalesce("component", "rep").alias("comp")))
-        if last:
-            break
+    known = classes.join(small(some.select("rep")), "rep", "left_semi")
+    pivots = met.where("rep <> low").select(F.col("low").alias("u"), F.col("rep").alias("v")).distinct()
+    links = cut(_links(cut(_alike(pivots, known, spec)), sets, spec))
+    comps = components(links)
+    label = cut(some.join(comps, some.rep == comps.node, "left").select("rep", "near", F.coalesce("component", "rep").alias("comp")))
+    links = links.unionByName(cut(_rest(met.select("band", "rep"), label, sets, spec)))
+    comps = components(links)
+    label = cut(comps.select(F.col("node").alias("rep"), F.col("component").alias("comp")))
     named = cut(
         classes.select("key_a", "key_b", "n", "rep")
         .join(label, "rep", "left")
@@ -219,3 +263,14 @@ def near_duplicates(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "d
     return placed.unionByName(bare).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
     )
+
+
+def without_near_duplicates(docs: DataFrame, spec: NearDup = NearDup()) -> DataFrame:
+    """docs with one row of each component, the one of the smallest doc_id, and all rows without id; columns stay as they are."""
+    found = table(near_duplicates(docs, spec), "near-duplicates")
+    gone = table(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    left = docs.join(small(gone), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    named = found.where("doc_id is not null")
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return left
+    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))

@@ -18,14 +18,14 @@ WEIGHTS = 3  # 1, 2, 3, repeating
 
 
 def word_sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size): the number of words of each whole text, 0 for null."""
+    """(doc_id, source, size, mark): the number of words of each whole text, 0 for null, and a hash of it."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ts.word_counts(batch.column(2), ts.SPACES))], ["doc_id", "source", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ts.word_counts(batch.column(2), ts.SPACES)), batch.column(3)], ["doc_id", "source", "size", "mark"])
 
-    cols = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")]
-    return arrow(docs.select(*cols), scan, "doc_id long, source string, size long")
+    cols = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("mark")]
+    return arrow(docs.select(*cols), scan, "doc_id long, source string, size long, mark long")
 
 
 def source_targets(sizes: DataFrame, epochs: int = MOST_EPOCHS, weights: int = WEIGHTS) -> DataFrame:
@@ -55,7 +55,7 @@ def source_targets(sizes: DataFrame, epochs: int = MOST_EPOCHS, weights: int = W
 
 
 def mix(docs: DataFrame, epochs: int = MOST_EPOCHS, weights: int = WEIGHTS) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken) for every row of docs.
+    """(doc_id, source, size, mark, source_size, target, copies, taken) for every row of docs.
 
     Documents of a source are put in the order of a hash of their id. All are taken floor(target / source_size) times;
     of the remaining budget, whole documents are taken in that order while their middle lies within it, so a source
@@ -73,5 +73,14 @@ def mix(docs: DataFrame, epochs: int = MOST_EPOCHS, weights: int = WEIGHTS) -> D
     budget = F.col("target") - F.col("full") * F.col("source_size")
     more = (F.col("before") + F.col("size") / 2 <= budget) & (F.col("full") < epochs) & (F.col("size") > 0)
     return joined.withColumn("copies", (F.col("full") + more.cast("int")).cast("int")).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken")
+        "doc_id", "source", "size", "mark", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken")
     )
+
+
+def mixed(docs: DataFrame, epochs: int = MOST_EPOCHS, weights: int = WEIGHTS) -> DataFrame:
+    """docs with every row as often as mix() takes it; the columns stay as they are."""
+    same = ["_id", "_source", "_mark"]
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_source": F.col("source").cast("string"), "_mark": F.xxhash64(F.col("text").cast("string"))})
+    taken = mix(docs, epochs, weights).where("copies > 0").groupBy(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("mark").alias("_m")).agg(F.sum("copies").cast("int").alias("_n"))
+    on = keyed["_id"].eqNullSafe(taken["_i"]) & keyed["_source"].eqNullSafe(taken["_s"]) & keyed["_mark"].eqNullSafe(taken["_m"])
+    return keyed.dropDuplicates(same).join(taken, on).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_n")))).select(*docs.columns)
