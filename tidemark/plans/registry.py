@@ -5,6 +5,147 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from tidemark.config import SPARSE, Config
+from tidemark.functions import scalars as S
+from tidemark.operators import decisions as D
+from tidemark.operators import patterns as P
+from tidemark.operators import rules as R
+from tidemark.operators import storage
+from tidemark.operators.features import FEATURES, rolling_features
+from tidemark.plans import dashboards as B
+from tidemark.plans import oracle as O
+from tidemark.plans import risk
+from tidemark.sources.transactions import COLUMNS
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+
+
+def add(name: str, query: Query, sql: str | None = None) -> None:
+    QUERIES[name] = query
+    if sql is not None:
+        ORACLE[name] = sql
+
+
+def _tx(make: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, d: make(risk.events(spark, d))
+
+
+def _t(make: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, d: make(risk.decisions(spark, d))
+
+
+def _a(make: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, d: make(D.final_alerts(risk.decisions(spark, d)))
+
+
+def _rule(name: str, field: str, operator: str, threshold: str, sql: str, hours: tuple[int, int] | None = None) -> None:
+    start, end = hours or (None, None)
+    rule = {"rule_id": name, "rule_name": name, "field": field, "operator": operator, "threshold": threshold, "severity": "HIGH", "start_hour": start, "end_hour": end}
+    add(f"d_rule_{name}", _tx(lambda tx: tx.where(R.condition(rule)).select("transaction_id", "account_id")), O.with_tx(f"SELECT transaction_id, account_id FROM tx WHERE {sql}"))
+
+
+# sources and projections
+add("a_events_adapter", _tx(lambda tx: tx.select(*COLUMNS, "decided_ms")), O.with_tx(f"SELECT {', '.join(COLUMNS)}, decided_ms FROM tx"))
+add("c_financial", _tx(lambda tx: tx.where(F.col("event_type").isin(*P.FINANCIAL)).select("transaction_id", "amount")), O.with_tx(f"SELECT transaction_id, amount FROM tx WHERE {O.FINANCIAL}"))
+add(
+    "c_foreign",
+    _tx(lambda tx: tx.groupBy(S.is_foreign(F.col("latitude"), F.col("longitude")).alias("is_foreign")).agg(F.count("*").alias("n"))),
+    O.with_tx("SELECT CASE WHEN latitude BETWEEN 8.0 AND 23.5 AND longitude BETWEEN 102.0 AND 110.0 THEN 0 ELSE 1 END AS is_foreign, count(*) AS n FROM tx GROUP BY 1"),
+)
+add("c_final_alerts", _a(lambda a: a.withColumn("score", F.round("score", 6)).drop("details")), O.over_decisions("SELECT * EXCLUDE (details) REPLACE (round(score, 6) AS score) FROM a"))
+add(
+    "k_scalars",
+    _tx(lambda tx: tx.select(
+        "transaction_id", F.round(S.haversine_km(F.lit(10.8231), F.lit(106.6297), F.col("latitude"), F.col("longitude")), 3).alias("km"), S.local_hour(F.col("ts_ms")).alias("local_hour"),
+        S.start_of_minute(S.from_millis(F.col("ts_ms"))).alias("minute"), F.date_format(S.from_millis(F.col("ts_ms")), "yyyyMMdd").alias("day"), F.bround("amount", 0).alias("even"), S.round_half_up(F.col("amount"), 1).alias("half_up"),
+    )),
+    O.with_tx(f"""SELECT transaction_id, round({O.km("10.8231", "106.6297", "latitude", "longitude")}, 3) AS km, CAST({O.HOUR} AS INT) AS local_hour, date_trunc('minute', make_timestamp(ts_ms * 1000)) AS minute,
+        strftime(make_timestamp(ts_ms * 1000), '%Y%m%d') AS day, round_even(amount, 0) AS even, floor(amount * 10.0 + 0.5) / 10.0 AS half_up FROM tx"""),
+)
+
+# rule operators
+_rule("greater_than", "amount", "GREATER_THAN", "100.0", "amount > 100.0")
+_rule("less_than", "amount", "LESS_THAN", "5", "amount < 5")
+_rule("equals_number", "amount", "EQUALS", "50.0", "abs(amount - 50.0) < 1e-6")
+_rule("equals_text", "channel", "EQUALS", '"ATM"', "channel = 'ATM'")
+_rule("in", "merchant_id", "IN", '["MERCH-0199","MERCH-0198","MERCH-0197"]', O.R2)
+_rule("not_in", "channel", "NOT_IN", '["ATM","POS"]', "channel NOT IN ('ATM', 'POS')")
+_rule("time_window", "amount", "GREATER_THAN", "50.0", O.R3, (0, 5))
+_rule("night_window", "amount", "GREATER_THAN", "50.0", f"amount > 50.0 AND ({O.HOUR} >= 22 OR {O.HOUR} < 4)", (22, 4))
+_rule("bad_threshold", "amount", "GREATER_THAN", '"many"', "amount > 0.0")
+_rule("unknown_operator", "amount", "LIKE", "1", "false")
+
+_VIOLATIONS = "SELECT transaction_id, unnest([CASE WHEN {} THEN 'RULE_001' END, CASE WHEN {} THEN 'RULE_002' END, CASE WHEN {} THEN 'RULE_003' END]) AS rule_id FROM tx".format(O.R1, O.R2, O.R3)
+_VIOLATION_SQL = O.with_tx(f"""SELECT transaction_id, rule_id, CASE rule_id WHEN 'RULE_001' THEN 'HIGH' WHEN 'RULE_002' THEN 'CRITICAL' ELSE 'MEDIUM' END AS severity,
+    CASE rule_id WHEN 'RULE_002' THEN 0.8::DOUBLE ELSE 0.6::DOUBLE END AS score FROM ({_VIOLATIONS}) WHERE rule_id IS NOT NULL""")
+_shown = lambda applied: R.rule_alerts(applied).select("transaction_id", "rule_id", "severity", "score")
+add("d_violations", lambda s, d: _shown(R.apply_rules(risk.events(s, d), R.latest_rules(risk.demo_rules(s)))), _VIOLATION_SQL)
+add("d_violations_join", lambda s, d: _shown(R.join_rules(risk.events(s, d), R.latest_rules(risk.demo_rules(s)))), _VIOLATION_SQL)
+
+# patterns
+DEFAULT = Config()
+_alerts = lambda df: df.select("transaction_id", "account_id", "ts_ms", "alert_type", "severity", F.round("score", 6).alias("score"))
+for _name, _find, _sql in (("micro", P.micro_transactions, O.micro), ("velocity", P.velocity, O.velocity), ("takeover", P.account_takeover, O.takeover), ("travel", P.impossible_travel, O.travel)):
+    for _kind, _config in (("", SPARSE), ("_default", DEFAULT)):
+        add(f"e_{_name}{_kind}", _tx(lambda tx, f=_find, c=_config: _alerts(f(tx, c))), O.with_tx(f"SELECT {O.ALERT_COLS} FROM {_name}", _sql(_config)))
+add(
+    "e_travel_candidates",
+    _tx(lambda tx: P.travel_candidates(tx, SPARSE).withColumn("km", F.round("km", 3))),
+    O.with_tx(f"""SELECT x.account_id, x.transaction_id AS first_id, y.transaction_id AS second_id, round({O.km("x.latitude", "x.longitude", "y.latitude", "y.longitude")}, 3) AS km
+        FROM tx x JOIN tx y ON x.account_id = y.account_id AND y.ts_ms - x.ts_ms < {SPARSE.travel_ms} AND (y.ts_ms > x.ts_ms OR (y.ts_ms = x.ts_ms AND y.transaction_id > x.transaction_id))
+        WHERE x.{O.FINANCIAL} AND y.{O.FINANCIAL} AND {O.km("x.latitude", "x.longitude", "y.latitude", "y.longitude")} >= {SPARSE.travel_km}"""),
+)
+add("e_detect", _tx(lambda tx: _alerts(P.detect(tx, SPARSE))), O.with_tx(" UNION ALL ".join(f"SELECT {O.ALERT_COLS} FROM {n}" for n in ("takeover", "micro", "velocity", "travel")), O._cep(SPARSE)))
+add(
+    "f_attach",
+    _tx(lambda tx: P.attach(tx, P.detect(tx, SPARSE)).select("transaction_id", F.size("cep_alerts").cast("long").alias("n_alerts"), F.array_join("cep_alerts.alert_type", ",").alias("types"))),
+    O.with_tx("SELECT transaction_id, count(alert_type) AS n_alerts, coalesce(string_agg(alert_type, ',' ORDER BY alert_type), '') AS types FROM tx LEFT JOIN ("
+              + " UNION ALL ".join(f"SELECT transaction_id, alert_type FROM {n}" for n in ("takeover", "micro", "velocity", "travel")) + ") USING (transaction_id) GROUP BY 1", O._cep(SPARSE)),
+)
+_coarse = {"avg_amount_24h": 1, "amount_deviation": 2, "distance_km": 1}
+add("h_features", _tx(lambda tx: rolling_features(tx).select("transaction_id", *(F.round(c, _coarse[c]).alias(c) if c in _coarse else F.col(c) for c in FEATURES))), O.features())
+
+# decisions, tables, monitoring
+add("m_decision", _t(lambda t: t.withColumn("combined_score", F.round("combined_score", 6))), O.over_decisions("SELECT * REPLACE (round(combined_score, 6) AS combined_score) FROM t"))
+add(
+    "j_latest_version",
+    _t(lambda t: storage.latest(t.select("transaction_id", "decision", "decided_at").unionByName(t.select("transaction_id", F.lit("OLD").alias("decision"), (F.col("decided_at") - F.expr("interval 1 second")).alias("decided_at"))), "transaction_id", "decided_at")),
+    O.over_decisions("SELECT transaction_id, decision, decided_at FROM t"),
+)
+_agg = lambda select, rest="": O.over_decisions(f"SELECT {select} FROM t {rest}")
+_minutes = f"date_trunc('minute', event_time) AS time"
+add("p01_total", _t(B.total), _agg("count(*) AS total"))
+add("p02_fraud_detected", _t(B.fraud_detected), _agg("count(*) AS fraud", "WHERE is_fraud = 1"))
+add("p03_ground_truth_rate", _t(B.ground_truth_rate), _agg(f"round_even(count(*) FILTER ({O.GT}) * 100.0::DOUBLE / count(*), 2) AS fraud_rate"))
+add("p04_blocked", _t(B.blocked), _agg("count(*) AS blocked", "WHERE decision = 'BLOCK'"))
+# without a model every score is 0, so the two score panels take the combined score as the score
+_scored = lambda t: t.withColumn("ml_score", F.round("combined_score", 6))
+add("p05_average_score", _t(lambda t: B.average_score(_scored(t))), _agg("round_even(avg(round(combined_score, 6)), 4) AS avg_ml", "WHERE combined_score > 0"))
+add("p06_total_alerts", _a(B.total_alerts), O.over_decisions("SELECT count(DISTINCT alert_id) AS alerts FROM a"))
+add("p07_throughput", _t(B.throughput), _agg("round_even(count(*) / 60.0::DOUBLE, 1) AS events_per_sec", f"WHERE {O.since('decided_at', '1 MINUTE')}"))
+add("p08_detection_rate", _t(B.detection_rate), _agg(f"{O.percent(f'{O.GT} AND {O.FOUND}', O.GT)} AS fdr"))
+add("p09_false_positive_rate", _t(B.false_positive_rate), _agg(f"{O.percent(f'NOT {O.GT} AND {O.FOUND}', f'NOT {O.GT}')} AS fpr"))
+add("p10_average_latency", _t(B.average_latency), _agg(f"round_even(avg({O.LATENCY}), 0) AS avg_latency_ms", f"WHERE {O.TIMED} AND {O.since('decided_at', '5 MINUTE')}"))
+add("p11_per_minute", _t(B.per_minute), _agg(f"{_minutes}, count(*) AS transactions, count(*) FILTER ({O.FOUND}) AS detected_fraud, count(*) FILTER ({O.GT}) AS ground_truth_fraud", f"WHERE {O.since('event_time', '1 HOUR')} GROUP BY 1"))
+add("p12_latency_over_time", _t(B.latency_over_time), _agg(
+    f"date_trunc('minute', decided_at) AS time, round_even(avg({O.LATENCY}), 0) AS avg_latency_ms, round_even(quantile_cont(CAST({O.LATENCY} AS DOUBLE), 0.95), 0) AS p95_latency_ms, round_even(quantile_cont(CAST({O.LATENCY} AS DOUBLE), 0.99), 0) AS p99_latency_ms",
+    f"WHERE {O.TIMED} AND {O.since('decided_at', '1 HOUR')} GROUP BY 1"))
+add("p13_alerts_by_source", _a(lambda a: B.alerts_by(a, "alert_source", "cnt")), O.over_decisions("SELECT alert_source, count(*) AS cnt FROM (SELECT alert_id, arg_max(alert_source, alert_time) AS alert_source FROM a GROUP BY 1) GROUP BY 1"))
+add("p14_alerts_by_type", _a(lambda a: B.alerts_by(a, "alert_type", "count", 10)), O.over_decisions("SELECT alert_type, count(*) AS count FROM (SELECT alert_id, arg_max(alert_type, alert_time) AS alert_type FROM a GROUP BY 1) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"))
+add("p15_decision_breakdown", _t(B.decision_breakdown), _agg("decision, count(*) AS cnt", "GROUP BY 1"))
+add("p16_fraud_by_hour", _t(B.fraud_by_hour), _agg("CAST(hour(event_time) AS VARCHAR) AS hour, count(*) AS fraud_count", f"WHERE {O.GT} GROUP BY 1"))
+add("p17_score_distribution", _t(lambda t: B.score_distribution(_scored(t))), _agg("round(combined_score, 6) AS ml_score, ground_truth_is_fraud AS is_fraud", "WHERE combined_score > 0 ORDER BY 1, transaction_id LIMIT 5000"))
+add("p18_top_accounts", _t(lambda t: B.top_accounts(t).withColumn("total_fraud_amount", F.round("total_fraud_amount", 4))), _agg("account_id, round(sum(amount), 4) AS total_fraud_amount, count(*) AS fraud_count", f"WHERE {O.GT} GROUP BY 1 ORDER BY sum(amount) DESC, 1 LIMIT 15"))
+add("p19_source_breakdown", _t(B.source_breakdown), _agg("decision_source, count(*) AS cnt", "WHERE decision_source NOT IN ('', 'NONE') GROUP BY 1"))
+add("p20_rates_over_time", _t(B.rates_over_time), _agg(f"{_minutes}, {O.percent(f'{O.GT} AND {O.FOUND}', O.GT)} AS fdr_pct, {O.percent(f'NOT {O.GT} AND {O.FOUND}', f'NOT {O.GT}')} AS fpr_pct", f"WHERE {O.since('event_time', '1 HOUR')} GROUP BY 1"))
+add("p21_recent_alerts", _a(lambda a: B.recent_alerts(a).drop("details")), O.over_decisions("SELECT alert_time, alert_type, alert_source, severity, account_id, transaction_id, round_even(score, 3) AS score FROM a ORDER BY alert_time DESC, alert_id LIMIT 50"))
+add("p22_tx_throughput", _t(lambda t: B.tx_throughput(t).withColumn("total_amount", F.round("total_amount", 4))), _agg("date_trunc('minute', event_time) AS window_start, count(*) AS tx_count, round(sum(amount), 4) AS total_amount, CAST(sum(is_fraud) AS BIGINT) AS fraud_count", "GROUP BY 1"))
+add("p23_alerts_by_type", _a(lambda a: B.alerts_by_type(a).withColumn("avg_score", F.round("avg_score", 6))), O.over_decisions("SELECT CAST(alert_time AS DATE) AS alert_date, alert_type, alert_source, count(*) AS alert_count, round(avg(score), 6) AS avg_score FROM a GROUP BY 1, 2, 3"))
+add("p24_fraud_by_geo", _t(lambda t: B.fraud_by_geo(t).withColumn("total_amount", F.round("total_amount", 4))), _agg("CAST(event_time AS DATE) AS geo_date, round_even(latitude, 0) + 0.0 AS lat_bucket, round_even(longitude, 0) + 0.0 AS lon_bucket, count(*) AS fraud_count, round(sum(amount), 4) AS total_amount", "WHERE is_fraud = 1 GROUP BY 1, 2, 3"))
+add("p25_latency_stats", _t(lambda t: B.latency_stats(t).withColumn("avg_latency_ms", F.round("avg_latency_ms", 6))), _agg(f"date_trunc('minute', decided_at) AS window_start, round(avg({O.LATENCY}), 6) AS avg_latency_ms, CAST(max({O.LATENCY}) AS DOUBLE) AS max_latency_ms, count(*) AS tx_count", f"WHERE {O.TIMED} GROUP BY 1"))
+add("p26_by_source", _t(B.by_source), _agg("decision_source, count(*) AS cnt", "GROUP BY 1"))
+add("p26_overall_latency", _t(lambda t: B.overall_latency(t).withColumn("avg_latency", F.round("avg_latency", 6))), _agg(f"round(avg({O.LATENCY}), 6) AS avg_latency", "WHERE produced_at > TIMESTAMP '1970-01-02'"))
