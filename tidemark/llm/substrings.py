@@ -29,7 +29,8 @@ GRAM = 6  # words of an anchor
 BUCKET_BYTES = 16 << 20  # text bytes for each hash partition
 HELD = 1_000_000  # entries that a task gathers before it packs them
 
-_PACKED = "bucket int, doc_id long, hashes binary, docs binary"
+_PACKED = "bucket int, known boolean, hashes binary, docs binary"
+_LISTS = "g int, hashes binary, docs binary"
 
 
 def _anchors(chunk: ts.Chunk, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,86 +65,130 @@ def _shared(hashes: np.ndarray, docs: np.ndarray, first_too: bool) -> tuple[np.n
     return first, hit
 
 
-def _by_doc(hashes: np.ndarray, docs: np.ndarray, buckets: int) -> pa.RecordBatch | None:
-    """Hashes of each doc in one row; the bucket is one of the doc."""
-    if not len(docs):
-        return None
-    order = np.argsort(docs, kind="stable")
-    hashes, docs = hashes[order], docs[order]
-    at = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
-    own = docs[at]
-    lists = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((np.append(at, len(docs)) * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(hashes))])
-    bucket = (ts.mix(own.astype(np.int64).view(_U)) % _U(buckets)).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(own), lists, pa.nulls(len(at), pa.binary())], ["bucket", "doc_id", "hashes", "docs"])
+def _rows(part: np.ndarray, hashes: np.ndarray, docs: np.ndarray) -> list[pa.Array]:
+    """One row a part, in order: its number, and its hashes and docs as bytes."""
+    order = np.lexsort((docs, part))
+    part, hashes, docs = part[order], hashes[order], docs[order]
+    at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.empty(0, np.int64)
+    cut = pa.py_buffer((np.append(at, len(part)) * 8).astype(np.int32))
+    lists = [pa.Array.from_buffers(pa.binary(), len(at), [None, cut, pa.py_buffer(np.ascontiguousarray(x))]) for x in (hashes, docs)]
+    return [pa.array(part[at].astype(np.int32)), *lists]
 
 
-def _pack(hashes: list[np.ndarray], docs: list[np.ndarray], buckets: int, first_too: bool) -> Iterator[pa.RecordBatch]:
-    """What one task knows: repeats inside it by doc, and one entry a hash for the hash's bucket."""
-    h, d = _entries(np.concatenate(hashes), np.concatenate(docs))
+def _pack(hashes: list[np.ndarray], docs: list[np.ndarray], buckets: int, first_too: bool) -> list[pa.RecordBatch]:
+    """What one task knows: repeats inside it, by group of their docs, and one entry a hash for the hash's bucket."""
+    h, d = _entries(np.concatenate(hashes), np.concatenate(docs)) if hashes else (np.empty(0, _U), np.empty(0, np.int64))
     first, hit = _shared(h, d, first_too)
-    known = _by_doc(h[hit], d[hit], buckets)
-    if known is not None:
-        yield known
-    h, d = h[first], d[first]
-    bucket = (h % _U(buckets)).astype(np.int32)
-    order = np.lexsort((d, bucket))
-    h, d, bucket = h[order], d[order], bucket[order]
-    at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(h) else np.empty(0, np.int64)
-    cut = pa.py_buffer((np.append(at, len(h)) * 8).astype(np.int32))
-    lists = [pa.Array.from_buffers(pa.binary(), len(at), [None, cut, pa.py_buffer(np.ascontiguousarray(x))]) for x in (h, d)]
-    if len(at):
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.nulls(len(at), pa.int64()), *lists], ["bucket", "doc_id", "hashes", "docs"])
+    out = []
+    for known, part, take in ((True, d % buckets, hit), (False, h % _U(buckets), first)):
+        number, own_h, own_d = _rows(part[take].astype(np.int64), h[take], d[take])
+        out.append(pa.RecordBatch.from_arrays([number, pa.array([known] * len(number), pa.bool_()), own_h, own_d], ["bucket", "known", "hashes", "docs"]))
+    return out
+
+
+def _unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(rows.column("hashes").to_pylist()), _U), np.frombuffer(b"".join(rows.column("docs").to_pylist()), np.int64)
 
 
 def _find(packed: DataFrame, buckets: int, first_too: bool) -> DataFrame:
-    """(doc_id, hashes) from packed rows, over all tasks: rows of a doc may be several. A bucket has its share of the distinct hashes of
-    each task, whatever one document or passage repeats."""
+    """(g, hashes, docs) from packed rows, over all tasks: the entries that repeat, by group of their docs. A bucket has its share
+    of the distinct hashes of each task, whatever one document or passage repeats."""
 
     def scan(rows: pa.Table) -> pa.Table:
-        known = rows.filter(pc.is_null(rows.column("docs"))).select(["doc_id", "hashes"])
-        sent = rows.filter(pc.is_valid(rows.column("docs")))
-        h = np.frombuffer(b"".join(sent.column("hashes").to_pylist()), _U)
-        d = np.frombuffer(b"".join(sent.column("docs").to_pylist()), np.int64)
-        h, d = _entries(h, d)
+        known = rows.filter(rows.column("known"))
+        h, d = _entries(*_unpacked(rows.filter(pc.invert(rows.column("known")))))
         _, hit = _shared(h, d, first_too)
-        found = _by_doc(h[hit], d[hit], buckets)
-        return known if found is None else pa.concat_tables([known, pa.Table.from_batches([found]).select(["doc_id", "hashes"])])
+        found = pa.Table.from_arrays(_rows(d[hit] % buckets, h[hit], d[hit]), ["g", "hashes", "docs"])
+        return pa.concat_tables([known.select(["bucket", "hashes", "docs"]).rename_columns(["g", "hashes", "docs"]), found])
 
     ship(packed.sparkSession)
-    return packed.groupBy("bucket").applyInArrow(scan, "doc_id long, hashes binary")
+    return packed.groupBy("bucket").applyInArrow(scan, _LISTS)
+
+
+class _Lists:
+    """Hashes by doc, from the rows of one group."""
+
+    def __init__(self, rows: pa.Table):
+        h, d = _unpacked(rows)
+        order = np.argsort(d, kind="stable")
+        self.hashes, self.docs = h[order], d[order]
+
+    def of(self, doc: int) -> np.ndarray:
+        return self.hashes[np.searchsorted(self.docs, doc, "left") : np.searchsorted(self.docs, doc, "right")]
 
 
-def _windows(docs: DataFrame, words: int, buckets: int, repeated: bool) -> DataFrame:
-    """Packed entries: anchors of all windows, or (repeated) the windows whose anchor is in the doc's list `hashes`."""
+def _anchor_entries(docs: DataFrame, words: int, buckets: int) -> DataFrame:
+    """Packed entries of the anchors of all windows."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_h, held_d, held = [], [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            lists = batch.column(2) if repeated else None
             for chunk in ts.chunks(batch.column(1), ts.SPACE_WORDS):
                 anchor, text = _anchors(chunk, words)
-                if repeated:
-                    begin, _ = ts.window_starts(chunk.at, words)
-                    keep = np.zeros(len(anchor), bool)
-                    at = np.searchsorted(text, np.arange(chunk.n + 1))
-                    for i in range(chunk.n):
-                        keep[at[i] : at[i + 1]] = np.isin(anchor[at[i] : at[i + 1]], np.frombuffer(b"".join(lists[chunk.first + i].as_py()), _U))
-                    h, text = ts.sequence_hash(chunk.word, begin[keep], words), text[keep]
-                else:
-                    same = np.zeros(len(anchor), bool)
-                    same[1:] = (anchor[1:] == anchor[:-1]) & (text[1:] == text[:-1])
-                    h, text = anchor[~same], text[~same]
-                held_h.append(h)
-                held_d.append(ids[chunk.first + text])
-                held += len(h)
+                new = np.ones(len(anchor), bool)
+                new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+                held_h.append(anchor[new])
+                held_d.append(ids[chunk.first + text[new]])
+                held += len(held_h[-1])
                 if held >= HELD:
-                    yield from _pack(held_h, held_d, buckets, not repeated)
+                    yield from _pack(held_h, held_d, buckets, True)
                     held_h, held_d, held = [], [], 0
         if held:
-            yield from _pack(held_h, held_d, buckets, not repeated)
-
-    return arrow(docs, scan, _PACKED)
+            yield from _pack(held_h, held_d, buckets, True)
+
+    return arrow(docs.select("doc_id", "text"), scan, _PACKED)
+
+
+def _window_entries(docs: DataFrame, anchors: DataFrame, words: int, buckets: int) -> DataFrame:
+    """Packed entries of the windows whose anchor is among those of their doc."""
+
+    def scan(rows: pa.Table, lists: pa.Table) -> pa.Table:
+        known, held_h, held_d = _Lists(lists), [], []
+        ids = rows.column("doc_id").to_numpy()
+        for chunk in ts.chunks(rows.column("text"), ts.SPACE_WORDS) if len(known.docs) else ():
+            anchor, text = _anchors(chunk, words)
+            begin, _ = ts.window_starts(chunk.at, words)
+            at, keep = np.searchsorted(text, np.arange(chunk.n + 1)), np.zeros(len(anchor), bool)
+            for i in range(chunk.n):
+                own = known.of(ids[chunk.first + i])
+                if len(own):
+                    keep[at[i] : at[i + 1]] = np.isin(anchor[at[i] : at[i + 1]], own)
+            held_h.append(ts.sequence_hash(chunk.word, begin[keep], words))
+            held_d.append(ids[chunk.first + text[keep]])
+        return pa.Table.from_batches(_pack(held_h, held_d, buckets, False))
+
+    return docs.groupBy("g").cogroup(anchors.groupBy("g")).applyInArrow(scan, _PACKED)
+
+
+_KEPT = "doc_id long, n_words long, n_removed long, kept string"
+
+
+def _kept(ids: pa.Array, texts: pa.Array, known: _Lists | None, words: int) -> pa.Table:
+    """Rows of _KEPT: texts without the words of windows among the hashes of their doc."""
+    n_words, removed, kept, names = [], [], [], ids.to_pylist()
+    for chunk in ts.chunks(texts, ts.SPACE_WORDS):
+        for i in range(chunk.n):
+            lo, hi = int(chunk.at[i]), int(chunk.at[i + 1])
+            a, b = chunk.text_bytes(i)
+            own = chunk.data[a:b].tobytes().split()
+            gone = known.of(names[chunk.first + i]) if known is not None and hi - lo >= words else ()
+            n_words.append(hi - lo)
+            if len(gone):
+                hit = np.isin(ts.sequence_hash(chunk.word[lo:hi], np.arange(hi - lo - words + 1), words), gone)
+                edge = np.zeros(hi - lo + 1, np.int64)
+                edge[: len(hit)] += hit
+                edge[words : words + len(hit)] -= hit
+                own = list(compress(own, np.cumsum(edge[:-1]) == 0))
+            removed.append(hi - lo - len(own))
+            kept.append(b" ".join(own).decode("utf-8", "replace"))
+    return pa.Table.from_arrays([ids, pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+
+
+def _prime(least: int) -> int:
+    while any(least % k == 0 for k in range(2, math.isqrt(least) + 1)):
+        least += 1
+    return least
 
 
 def remove_repeated_spans(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -157,36 +202,21 @@ def remove_repeated_spans(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(16, math.ceil(total / BUCKET_BYTES))
+    buckets = _prime(max(16, math.ceil(total / BUCKET_BYTES)))
     named = source.where("doc_id is not null")
-    anchors = _find(_windows(named, words, buckets, False), buckets, True).groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    marked = named.join(anchors, "doc_id").select("doc_id", "text", "hashes")
-    repeats = _find(_windows(marked, words, buckets, True), buckets, False).groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    whole = named.join(repeats, "doc_id", "left").select("doc_id", "text", "hashes")
-    nameless = source.where("doc_id is null").withColumn("hashes", F.lit(None).cast("array<binary>"))
+    placed = named.select(F.pmod("doc_id", F.lit(buckets)).cast("int").alias("g"), "doc_id", "text")
+    anchors = _find(_anchor_entries(named, words, buckets), buckets, True)
+    repeats = _find(_window_entries(placed, anchors, words, buckets), buckets, False)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finish(rows: pa.Table, lists: pa.Table) -> pa.Table:
+        return _kept(rows.column("doc_id").combine_chunks(), rows.column("text").combine_chunks(), _Lists(lists), words)
+
+    def bare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in ts.chunks(batch.column(1), ts.SPACE_WORDS):
-                lists = batch.column(2).slice(chunk.first, chunk.n)
-                removed, kept = np.zeros(chunk.n, np.int64), []
-                for i in range(chunk.n):
-                    lo, hi = int(chunk.at[i]), int(chunk.at[i + 1])
-                    a, b = chunk.text_bytes(i)
-                    own = chunk.data[a:b].tobytes().split()
-                    if lists[i].is_valid and hi - lo >= words:
-                        hashes = ts.sequence_hash(chunk.word[lo:hi], np.arange(hi - lo - words + 1), words)
-                        hit = np.isin(hashes, np.frombuffer(b"".join(lists[i].as_py()), _U))
-                        edge = np.zeros(hi - lo + 1, np.int64)
-                        edge[: len(hit)] += hit
-                        edge[words : words + len(hit)] -= hit
-                        keep = np.cumsum(edge[:-1]) == 0
-                        removed[i] = len(own) - keep.sum()
-                        own = list(compress(own, keep))
-                    kept.append(b" ".join(own).decode("utf-8", "replace"))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, chunk.n), pa.array(np.diff(chunk.at)), pa.array(removed), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
-
-    return arrow(whole.unionByName(nameless), scan, "doc_id long, n_words long, n_removed long, kept string")
+            yield from _kept(batch.column(0), batch.column(1), None, words).to_batches()
+
+    judged = placed.groupBy("g").cogroup(repeats.groupBy("g")).applyInArrow(finish, _KEPT)
+    return judged.unionByName(arrow(source.where("doc_id is null"), bare, _KEPT))
 
 
 class SuffixAutomaton:
