@@ -141,13 +141,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, mos
         )
         merged = merged.withColumn("r", joined)
         met = hits.select("doc_id", "text_md5", F.explode("items").alias("i")).groupBy("doc_id", "text_md5").agg(F.sort_array(F.collect_set("i")).alias("items"))
-        same = lambda x, y: x["doc_id"].eqNullSafe(y["doc_id"]) & x["text_md5"].eqNullSafe(y["text_md5"])
+        merged = merged.withColumnsRenamed({"doc_id": "_i", "text_md5": "_t"})
+        met = met.withColumnsRenamed({"doc_id": "_j", "text_md5": "_u"})
+        same = lambda i, t: F.col("doc_id").eqNullSafe(F.col(i)) & F.col("text_md5").eqNullSafe(F.col(t))
         none = F.array().cast("array<int>")
-        found = (
-            n_rows.join(merged, same(n_rows, merged), "left").drop(merged["doc_id"]).drop(merged["text_md5"])
-        )
-        found = found.join(met, same(found, met), "left").select(
-            found["doc_id"], found["text_md5"], "n_words", F.coalesce(F.col("r.begin"), none).alias("begin"), F.coalesce(F.col("r.end"), none).alias("end"),
+        found = n_rows.join(merged, same("_i", "_t"), "left").join(met, same("_j", "_u"), "left").select(
+            "doc_id", "text_md5", "n_words", F.coalesce(F.col("r.begin"), none).alias("begin"), F.coalesce(F.col("r.end"), none).alias("end"),
             F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("_copy"),
         ).drop("_copy")
     n_hit = F.aggregate(F.zip_with("begin", "end", lambda b, e: (e - b).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
