@@ -6,14 +6,17 @@ Sources and sinks are given as DataFrames and paths; with a Kafka connector on t
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+import tidemark.config
 from tidemark.config import Config
 from tidemark.functions.scalars import start_of_minute
 from tidemark.operators import decisions as D
@@ -21,7 +24,6 @@ from tidemark.operators import storage
 from tidemark.operators.rules import latest_rules
 from tidemark.operators.scoring import Scorer, no_model
 from tidemark.plans.risk import assess
-from tidemark.shipping import ship
 from tidemark.sources.transactions import parse_rules, parse_transactions
 
 LATE = "5 seconds"
@@ -40,7 +42,7 @@ class Takeover(StatefulProcessor):
         self.config = config
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.opens = handle.getListState("opens", "at long, n int, done boolean", KEEP_MS)
+        self.handle, self.opens = handle, handle.getListState("opens", "at long, n int, done boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         c, found = self.config, []
@@ -60,10 +62,18 @@ class Takeover(StatefulProcessor):
                 found.append((e.transaction_id, key[0], e.ts_ms, "ACCOUNT_TAKEOVER", "CRITICAL" if n >= 7 else "HIGH", score))
         if opens:
             self.opens.put([(int(a), int(n), bool(d)) for a, n, d in opens])
+            self.handle.registerTimer(int(opens[-1][0]) + c.takeover_ms)
         else:
             self.opens.clear()
         yield pd.DataFrame(found, columns=["transaction_id", "account_id", "ts_ms", "alert_type", "severity", "score"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Forget what no later event can complete."""
+        now, c = expiredTimerInfo.getExpiryTimeInMs(), self.config
+        opens = [o for o in self.opens.get() if now - o[0] < c.takeover_ms] if self.opens.exists() else []
+        self.opens.put(opens) if opens else self.opens.clear()
+        yield pd.DataFrame([], columns=["transaction_id", "account_id", "ts_ms", "alert_type", "severity", "score"])
+
     def close(self) -> None:
         pass
 
@@ -75,7 +85,7 @@ class Travel(StatefulProcessor):
         self.config = config
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.opens = handle.getListState("opens", "at long, lat double, lon double", KEEP_MS)
+        self.handle, self.opens = handle, handle.getListState("opens", "at long, lat double, lon double")
 
     @staticmethod
     def _km(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
@@ -97,10 +107,18 @@ class Travel(StatefulProcessor):
                 opens.append((int(e.ts_ms), float(e.latitude), float(e.longitude)))
         if opens:
             self.opens.put(opens)
+            self.handle.registerTimer(opens[-1][0] + c.travel_ms)
         else:
             self.opens.clear()
         yield pd.DataFrame(found, columns=["transaction_id", "account_id", "ts_ms", "alert_type", "severity", "score"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Forget what no later event can complete."""
+        now, c = expiredTimerInfo.getExpiryTimeInMs(), self.config
+        opens = [o for o in self.opens.get() if now - o[0] < c.travel_ms] if self.opens.exists() else []
+        self.opens.put(opens) if opens else self.opens.clear()
+        yield pd.DataFrame([], columns=["transaction_id", "account_id", "ts_ms", "alert_type", "severity", "score"])
+
     def close(self) -> None:
         pass
 
@@ -113,12 +131,14 @@ def stateful_alerts(tx: DataFrame, kind: type[StatefulProcessor], config: Config
     from tidemark.functions.scalars import valid_coordinates
     from tidemark.operators.patterns import FINANCIAL
 
-    ship(tx.sparkSession)
+    # a stream's workers don't see files added to the context, so the processor travels with its module's code
+    for module in (sys.modules[__name__], tidemark.config):
+        cloudpickle.register_pickle_by_value(module)
     if kind is Takeover:
         rows = tx.where(F.col("event_type").isin("LOGIN_FAILED", "LOGIN_SUCCESS", "TRANSFER"))
     else:
         rows = tx.where(F.col("event_type").isin(*FINANCIAL) & valid_coordinates(F.col("latitude"), F.col("longitude")))
-    return rows.groupBy("account_id").transformWithStateInPandas(statefulProcessor=kind(config), outputStructType=_FOUND, outputMode="Append", timeMode="ProcessingTime")
+    return with_watermark(rows).groupBy("account_id").transformWithStateInPandas(statefulProcessor=kind(config), outputStructType=_FOUND, outputMode="Append", timeMode="EventTime")
 
 
 def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str, checkpoint: str, config: Config, scorer: Scorer = no_model, trigger: dict | None = None) -> StreamingQuery:
