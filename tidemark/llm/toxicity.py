@@ -25,6 +25,7 @@ CANDIDATES = 20_000
 LEXICON = 2_000
 SUPPORT = 8  # different contexts in toxic texts that a lexicon entry needs
 PREFIXES = (4, 5, 6, 7)
+HELD_TERMS = 100_000  # counts that a task holds before it sends them
 
 # fixed values: function words of the four languages
 NEGATIONS = frozenset("not no never neither nor isn't aren't wasn't don't nicht kein keine nie pas jamais aucun ni nunca jamás tampoco".split())
@@ -139,29 +140,36 @@ def features(text: str | None, lexicon: Lexicon, finder) -> list[float]:
     return [float(np.log1p(x)) for x in total]
 
 
-def _terms(text: str) -> Iterator[tuple[str, str, int]]:
-    """(term, kind, context) of a lower-cased text: words and word beginnings with a hash of their neighbours."""
-    words = re.findall(r"[^\W\d_]+", text)
+def _terms(words: list[str]) -> Iterator[tuple[str, str, int]]:
+    """(term, kind, place) of words: the words themselves and their beginnings."""
     for i, w in enumerate(words):
-        near = hash((words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
         if len(w) > 2:
-            yield w, "w", near
+            yield w, "w", i
         for k in PREFIXES:
             if len(w) > k:
-                yield w[:k], "p", near
+                yield w[:k], "p", i
+
+
+def _letters(text: str) -> list[str]:
+    return re.findall(r"[^\W\d_]+", text.lower())
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
     """Entries from rows (text, toxic): terms far likelier in toxic texts, seen in many contexts, not in copies of one text."""
 
+    def packed(found: tuple[Counter, Counter]) -> pa.RecordBatch:
+        keys = list(found[0].keys() | found[1].keys())
+        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), *(pa.array([f[k] for k in keys], pa.int64()) for f in found)], ["term", "kind", "clean", "toxic"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: tuple[Counter, Counter] = Counter(), Counter()
         for batch in batches:
-            found: tuple[Counter, Counter] = Counter(), Counter()
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found[toxic].update({(t, k) for t, k, _ in _terms(text.lower())})
-            keys = list(found[0].keys() | found[1].keys())
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]), *(pa.array([f[k] for k in keys], pa.int64()) for f in found)], ["term", "kind", "clean", "toxic"])
+            for text, toxic in zip(batch.column(0), batch.column(1)):
+                found[toxic.as_py()].update({(t, k) for t, k, _ in _terms(_letters(text.as_py()))})
+                if len(found[0]) + len(found[1]) > HELD_TERMS:
+                    yield packed(found)
+                    found = Counter(), Counter()
+        yield packed(found)
 
     texts = table(sample.groupBy("text").agg(F.max("toxic").alias("toxic")), "toxic-texts")
     size = {r.toxic: r["count"] for r in texts.groupBy("toxic").count().collect()}
@@ -176,9 +184,11 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = {(t, k, f"{c:x}") for text in batch.column(0).to_pylist() for t, k, c in _terms(text.lower()) if (t, k) in held.value}
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*seen)], ["term", "kind", "near"])
+            for text in batch.column(0):
+                words = ["", *_letters(text.as_py()), ""]
+                seen = {(t, k, f"{words[i]} {words[i + 2]}") for t, k, i in _terms(words[1:-1]) if (t, k) in held.value}
+                if seen:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*seen)], ["term", "kind", "near"])
 
     toxic = texts.where("toxic = 1").select("text")
     wide = {
