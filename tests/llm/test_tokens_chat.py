@@ -2,13 +2,14 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm.chat import TEMPLATE, conversation_digests, format_conversations, read_turns
 from tidemark.llm.templates import Const, Template, escape, parse, unescape
 from tidemark.llm.tokens import WordEncoder, default_tokenizer, read_tokens, token_round_trip, write_tokens
 
-TEXTS = ["Hello  wörld's <|endoftext|>x", "", None, "a\x1cb\x85c d e", "nón <|startoftext|><|endoftext|> ok", "it's we'll 12 34five", "Σίσυφος ΑΣ", "x" * 5000, "<|startoftext|>", "ﬁ ́ \U0001f600!"]
+TEXTS = ["Hello  wörld's <|endoftext|>x", "", None, "a\x1cb\x85c d e", "nón <|startoftext|><|endoftext|> ok", "it's we'll 12 34five", "Wörter, ENDEN. so! (x) a$$$ don't İz ŉa Éa\u0301 [INST]", "Σίσυφος ΑΣ", "x" * 5000, "<|startoftext|>", "ﬁ ́ \U0001f600!"]
 
 
 @pytest.fixture(scope="module")
@@ -19,9 +20,17 @@ def tokenizer():
 
 
 def test_words_encode_as_texts(tokenizer):
-    ids, at = WordEncoder(default_tokenizer())([(t or "").encode() for t in TEXTS], 2)
-    for i, t in enumerate(TEXTS):
-        assert ids[at[i] : at[i + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
+    encoder = WordEncoder(default_tokenizer())
+    assert encoder.plain
+    for plain in (True, True, False):  # cold, warm, and by the whole tokenizer alone
+        encoder.plain = plain
+        encoder._forget() if not plain else None
+        seen = 0
+        for first, ids, at in encoder(pa.array(TEXTS), 2):
+            for i in range(len(at) - 1):
+                assert ids[at[i] : at[i + 1]].tolist() == tokenizer.encode(TEXTS[first + i] or "", add_special_tokens=False).ids + [2]
+                seen += 1
+        assert seen == len(TEXTS)
 
 
 def test_round_trip(docs, rows, none, tokenizer):

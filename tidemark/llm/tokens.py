@@ -6,6 +6,8 @@ statistics and page indexes on doc_id and start_in_part prune what a selective r
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -15,13 +17,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
+from tidemark.llm import textscan as ts
 from tidemark.llm.scratch import arrow, shared_dir
 from tidemark.llm.sizes import small
 
-CACHE_WORDS = 400_000  # distinct words that a worker keeps; then it starts anew
-ROW_GROUP_BYTES = 32 << 20
-PAGE_BYTES = 256 << 10
+CACHE_WORDS = 1_000_000  # distinct words that a worker keeps, as numbers, about 40 bytes each; then it starts anew
+CACHE_PIECES = 60_000
+ROW_GROUP_BYTES = 16 << 20
+PAGE_BYTES = 128 << 10
 SCHEMA = "doc_id long, part int, start_in_part long, n_tokens int, tokens array<int>"
 
 
@@ -33,51 +39,129 @@ def default_tokenizer() -> str:
         return file.read()
 
 
+# letters whose lower case and composition are their own, then punctuation but for the apostrophe, which may start a contraction
+PLAIN_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u017e]+)([!-&(-/:-@\[-`{-~]*)")
+BYTE_LEVEL = ByteLevel(add_prefix_space=False, use_regex=False)
+# fixed values: the steps of a tokenizer that takes runs of letters and of punctuation apart
+STEPS = ["NFC", "Replace", "Lowercase"]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _splits_letters(spec: dict) -> bool:
+    """Whether words of PLAIN_WORD are encoded part by part, in lower case, by a tokenizer of this specification."""
+    steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+    split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (
+        steps == STEPS and [x["type"] for x in split] == ["Split", "ByteLevel"] and split[0]["pattern"].get("Regex") == PATTERN and split[0]["invert"]
+        and not split[1]["add_prefix_space"] and not split[1]["use_regex"] and spec.get("truncation") is None
+    )
+
+
 class WordEncoder:
     """Ids of texts, word by word: the tokenizer drops white space, so the ids of a text are those of its
-    ASCII-space-separated words one after the other, and each distinct word is encoded once."""
+    ASCII-space-separated words one after the other, and each distinct word is encoded once, known by a 64-bit hash."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_str(spec)
+        special = sorted((k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
+        self.plain = _splits_letters(json.loads(spec))
+        self.mark = (special[0][1], special[0][0]) if special else None
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.ids = np.empty(1 << 16, np.int32)
-        self.at = [0]
-
-    def _learn(self, words: list[bytes]) -> None:
-        for got, word in zip(self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False), words):
-            ids, end = got.ids, self.at[-1]
-            if end + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.empty(max(len(self.ids), len(ids)), np.int32)))
-            self.ids[end : end + len(ids)] = ids
-            self.index[word] = len(self.at) - 1
-            self.at.append(end + len(ids))
-
-    def __call__(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by end_id, and the n + 1 offsets of the texts."""
-        if len(self.index) > CACHE_WORDS:
-            self._forget()
-        split = [t.split() for t in texts]
-        flat = [w for words in split for w in words]
-        fresh = list({w for w in flat if w not in self.index})
-        for k in range(0, len(fresh), 20_000):
-            self._learn(fresh[k : k + 20_000])
-        which = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        at = np.array(self.at, np.int64)
-        begin, size = at[which], at[which + 1] - at[which]
-        n_words = np.array([len(words) for words in split], np.int64)
-        word_end = np.concatenate(([0], np.cumsum(size)))
-        text_ids = np.diff(word_end[np.concatenate(([0], np.cumsum(n_words)))])
-        offsets = np.concatenate(([0], np.cumsum(text_ids + 1)))
-        out = np.full(offsets[-1], end_id, np.int32)
-        room = np.ones(len(out), bool)
-        room[offsets[1:] - 1] = False
-        out[room] = self.ids[np.arange(word_end[-1]) - np.repeat(word_end[:-1] - begin, size)]
-        return out, offsets
+        self.hashes, self.begin, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.used = np.empty(1 << 16, np.int32), 0
+        self.pieces: dict[str, list[int]] = {}
+
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word; words are joined by a special token, which keeps them apart and marks their ends."""
+        if self.mark is None:
+            return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        text, number = self.mark
+        odd = {i for i, w in enumerate(words) if text in w}
+        joined = text.join("" if i in odd else w for i, w in enumerate(words))
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
+        cuts = np.flatnonzero(ids == number)
+        out = [ids[a:b].tolist() for a, b in zip(np.concatenate(([0], cuts + 1)).tolist(), np.concatenate((cuts, [len(ids)])).tolist())]
+        for i in odd:
+            out[i] = self.tokenizer.encode(words[i], add_special_tokens=False).ids
+        return out
+
+    def _piece(self, piece: str) -> list[int]:
+        """The ids of a lower-case run of letters, or of punctuation, which the model takes as one word."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) > CACHE_PIECES:
+                self.pieces.clear()
+            shown = piece if piece.isascii() else BYTE_LEVEL.pre_tokenize_str(piece)[0][0]
+            ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        return ids
+
+    def _all_ids(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word: from its letters and punctuation where it has no other parts, else from the whole tokenizer."""
+        if not self.plain:
+            return self._encoded(words)
+        out, rest = [], []
+        for i, word in enumerate(words):
+            parts = PLAIN_WORD.fullmatch(word)
+            if parts:
+                core, ending = parts.groups()
+                ids = self._piece(core.lower())
+                out.append(ids + self._piece(ending) if ending else ids)
+            else:
+                out.append(None)
+                rest.append(i)
+        if rest:
+            for i, ids in zip(rest, self._encoded([words[i] for i in rest]), strict=True):
+                out[i] = ids
+        return out
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        all_ids = self._all_ids(words)
+        size = np.fromiter(map(len, all_ids), np.int64, len(all_ids))
+        flat = np.fromiter((x for ids in all_ids for x in ids), np.int32, int(size.sum()))
+        if self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty(max(len(self.ids), len(flat)), np.int32)))
+        self.ids[self.used : self.used + len(flat)] = flat
+        begin = self.used + np.cumsum(size) - size
+        self.used += len(flat)
+        at = np.searchsorted(self.hashes, hashes)  # hashes are sorted and new
+        self.hashes, self.begin, self.size = (np.insert(old, at, new) for old, new in ((self.hashes, hashes), (self.begin, begin), (self.size, size)))
+
+    def __call__(self, texts: pa.Array, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For runs of texts: the first text's place, all ids, each text's followed by end_id, and the run's n + 1 offsets."""
+        for chunk in ts.chunks(texts, ts.SPACE_WORDS):
+            if len(self.hashes) > CACHE_WORDS:
+                self._forget()
+            words, first, which = np.unique(chunk.word, return_index=True, return_inverse=True)
+            near = np.searchsorted(self.hashes, words)
+            known = np.zeros(len(words), bool)
+            inside = near < len(self.hashes)
+            known[inside] = self.hashes[near[inside]] == words[inside]
+            fresh = first[~known]
+            if len(fresh):
+                text = [chunk.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(chunk.start[fresh].tolist(), chunk.end[fresh].tolist())]
+                self._learn(words[~known], text)
+            place = np.searchsorted(self.hashes, words)[which]
+            begin, size = self.begin[place], self.size[place]
+            word_end = np.concatenate(([0], np.cumsum(size)))
+            offsets = np.concatenate(([0], np.cumsum(np.diff(word_end[chunk.at]) + 1)))
+            out = np.full(offsets[-1], end_id, np.int32)
+            room = np.ones(len(out), bool)
+            room[offsets[1:] - 1] = False
+            out[room] = self.ids[np.arange(word_end[-1]) - np.repeat(word_end[:-1] - begin, size)]
+            yield chunk.first, out, offsets
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder_of(spec: str) -> WordEncoder:
+    """The encoder that this worker process keeps from task to task."""
+    if spec not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[spec] = WordEncoder(spec)
+    return _ENCODERS[spec]
 
 
 def encode(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
@@ -85,15 +169,10 @@ def encode(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(spec)  # the tokenizer file, a few MB whatever the input
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, done = WordEncoder(held.value), TaskContext.get().partitionId(), 0
+        encoder, part, done = encoder_of(held.value), TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = batch.column(1).fill_null("").cast(pa.large_binary())
-            size = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.empty(0, np.int64)
-            group = np.cumsum(size) // (4 << 20)  # a few MB of text at once
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(texts)])) if len(texts) else []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                ids, offsets = encoder(texts.slice(a, b - a).to_pylist(), end_id)
-                n = b - a
+            for a, ids, offsets in encoder(batch.column(1), end_id):
+                n = len(offsets) - 1
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, n), pa.array(np.full(n, part, np.int32)), pa.array(done + offsets[:-1]), pa.array(np.diff(offsets).astype(np.int32)),
                      pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))],
