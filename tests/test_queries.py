@@ -29,3 +29,13 @@ def test_entry(spark, data):
 
     assert entry.entry(spark).count() == 3
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_import_needs_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; print(len(e.queries()) - len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-500:]

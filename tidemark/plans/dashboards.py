@@ -7,19 +7,30 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import start_of_minute
 
-n = F.count("*")
+def n() -> Column:
+    return F.count("*")
 
 
-def percent(part: Column, whole: Column) -> Column:
-    """100 * rows of part / rows of whole, half-even to 2 decimals, 0 / 0 being 0."""
-    return F.bround(F.count_if(part) * 100.0 / F.greatest(F.count_if(whole), F.lit(1)), 2)
+def true_fraud() -> Column:
+    return F.col("ground_truth_is_fraud") == 1
+
+
+def found() -> Column:
+    return F.col("is_fraud") == 1
+
+
+def latency() -> Column:
+    return F.timestamp_diff("MILLISECOND", F.col("produced_at"), F.col("decided_at"))
 
 
-TRUE_FRAUD, FOUND = F.col("ground_truth_is_fraud") == 1, F.col("is_fraud") == 1
-LATENCY = F.timestamp_diff("MILLISECOND", F.col("produced_at"), F.col("decided_at"))
 TIMED = "produced_at > timestamp_ntz'1970-01-02' and decided_at > timestamp_ntz'1970-01-02'"
 
 
+def percent(part: Column, whole: Column) -> Column:
+    """100 * rows of part / rows of whole, half-even to 2 decimals, 0 / 0 being 0."""
+    return F.bround(F.count_if(part) * 100.0 / F.greatest(F.count_if(whole), F.lit(1)), 2)
+
+
 def since(df: DataFrame, time: str, span: str) -> DataFrame:
     """Rows of the last `span` before the latest `time` of the table."""
     edge = df.agg(F.max(time).alias("_edge"))
@@ -27,19 +38,19 @@ def since(df: DataFrame, time: str, span: str) -> DataFrame:
 
 
 def total(t):
-    return t.agg(n.alias("total"))
+    return t.agg(n().alias("total"))
 
 
 def fraud_detected(t):
-    return t.where(FOUND).agg(n.alias("fraud"))
+    return t.where(found()).agg(n().alias("fraud"))
 
 
 def ground_truth_rate(t):
-    return t.agg(F.bround(F.count_if(TRUE_FRAUD) * 100.0 / n, 2).alias("fraud_rate"))
+    return t.agg(F.bround(F.count_if(true_fraud()) * 100.0 / n(), 2).alias("fraud_rate"))
 
 
 def blocked(t):
-    return t.where("decision = 'BLOCK'").agg(n.alias("blocked"))
+    return t.where("decision = 'BLOCK'").agg(n().alias("blocked"))
 
 
 def average_score(t):
@@ -51,46 +62,46 @@ def total_alerts(a):
 
 
 def throughput(t):
-    return since(t, "decided_at", "1 minute").agg(F.bround(n / 60.0, 1).alias("events_per_sec"))
+    return since(t, "decided_at", "1 minute").agg(F.bround(n() / 60.0, 1).alias("events_per_sec"))
 
 
 def detection_rate(t):
-    return t.agg(percent(TRUE_FRAUD & FOUND, TRUE_FRAUD).alias("fdr"))
+    return t.agg(percent(true_fraud() & found(), true_fraud()).alias("fdr"))
 
 
 def false_positive_rate(t):
-    return t.agg(percent(~TRUE_FRAUD & FOUND, ~TRUE_FRAUD).alias("fpr"))
+    return t.agg(percent(~true_fraud() & found(), ~true_fraud()).alias("fpr"))
 
 
 def average_latency(t):
-    return since(t, "decided_at", "5 minutes").where(TIMED).agg(F.bround(F.avg(LATENCY), 0).alias("avg_latency_ms"))
+    return since(t, "decided_at", "5 minutes").where(TIMED).agg(F.bround(F.avg(latency()), 0).alias("avg_latency_ms"))
 
 
 def per_minute(t):
     return since(t, "event_time", "1 hour").groupBy(start_of_minute(F.col("event_time")).alias("time")).agg(
-        n.alias("transactions"), F.count_if(FOUND).alias("detected_fraud"), F.count_if(TRUE_FRAUD).alias("ground_truth_fraud")
+        n().alias("transactions"), F.count_if(found()).alias("detected_fraud"), F.count_if(true_fraud()).alias("ground_truth_fraud")
     ).orderBy("time")
 
 
 def latency_over_time(t):
-    q = lambda p: F.bround(F.percentile(LATENCY, p), 0)
+    q = lambda p: F.bround(F.percentile(latency(), p), 0)
     return since(t.where(TIMED), "decided_at", "1 hour").groupBy(start_of_minute(F.col("decided_at")).alias("time")).agg(
-        F.bround(F.avg(LATENCY), 0).alias("avg_latency_ms"), q(0.95).alias("p95_latency_ms"), q(0.99).alias("p99_latency_ms")
+        F.bround(F.avg(latency()), 0).alias("avg_latency_ms"), q(0.95).alias("p95_latency_ms"), q(0.99).alias("p99_latency_ms")
     ).orderBy("time")
 
 
 def alerts_by(a, column: str, count: str, limit: int | None = None):
     last = a.groupBy("alert_id").agg(F.max_by(column, F.struct("alert_time", column)).alias(column))
-    out = last.groupBy(column).agg(n.alias(count)).orderBy(F.desc(count), column)
+    out = last.groupBy(column).agg(n().alias(count)).orderBy(F.desc(count), column)
     return out.limit(limit) if limit else out
 
 
 def decision_breakdown(t):
-    return t.groupBy("decision").agg(n.alias("cnt"))
+    return t.groupBy("decision").agg(n().alias("cnt"))
 
 
 def fraud_by_hour(t):
-    return t.where(TRUE_FRAUD).groupBy(F.hour("event_time").cast("string").alias("hour")).agg(n.alias("fraud_count")).orderBy("hour")
+    return t.where(true_fraud()).groupBy(F.hour("event_time").cast("string").alias("hour")).agg(n().alias("fraud_count")).orderBy("hour")
 
 
 def score_distribution(t):
@@ -98,16 +109,16 @@ def score_distribution(t):
 
 
 def top_accounts(t):
-    return t.where(TRUE_FRAUD).groupBy("account_id").agg(F.sum("amount").alias("total_fraud_amount"), n.alias("fraud_count")).orderBy(F.desc("total_fraud_amount"), "account_id").limit(15)
+    return t.where(true_fraud()).groupBy("account_id").agg(F.sum("amount").alias("total_fraud_amount"), n().alias("fraud_count")).orderBy(F.desc("total_fraud_amount"), "account_id").limit(15)
 
 
 def source_breakdown(t):
-    return t.where("decision_source not in ('', 'NONE')").groupBy("decision_source").agg(n.alias("cnt")).orderBy(F.desc("cnt"), "decision_source")
+    return t.where("decision_source not in ('', 'NONE')").groupBy("decision_source").agg(n().alias("cnt")).orderBy(F.desc("cnt"), "decision_source")
 
 
 def rates_over_time(t):
     return since(t, "event_time", "1 hour").groupBy(start_of_minute(F.col("event_time")).alias("time")).agg(
-        percent(TRUE_FRAUD & FOUND, TRUE_FRAUD).alias("fdr_pct"), percent(~TRUE_FRAUD & FOUND, ~TRUE_FRAUD).alias("fpr_pct")
+        percent(true_fraud() & found(), true_fraud()).alias("fdr_pct"), percent(~true_fraud() & found(), ~true_fraud()).alias("fpr_pct")
     ).orderBy("time")
 
 
@@ -120,24 +131,24 @@ def recent_alerts(a):
 
 
 def tx_throughput(t):
-    return t.groupBy(start_of_minute(F.col("event_time")).alias("window_start")).agg(n.alias("tx_count"), F.sum("amount").alias("total_amount"), F.sum(F.when(FOUND, F.col("is_fraud")).otherwise(0)).cast("long").alias("fraud_count"))
+    return t.groupBy(start_of_minute(F.col("event_time")).alias("window_start")).agg(n().alias("tx_count"), F.sum("amount").alias("total_amount"), F.sum(F.when(found(), F.col("is_fraud")).otherwise(0)).cast("long").alias("fraud_count"))
 
 
 def alerts_by_type(a):
-    return a.groupBy(F.to_date("alert_time").alias("alert_date"), "alert_type", "alert_source").agg(n.alias("alert_count"), F.avg("score").alias("avg_score"))
+    return a.groupBy(F.to_date("alert_time").alias("alert_date"), "alert_type", "alert_source").agg(n().alias("alert_count"), F.avg("score").alias("avg_score"))
 
 
 def fraud_by_geo(t):
-    return t.where(FOUND).groupBy(F.to_date("event_time").alias("geo_date"), (F.bround("latitude", 0) + 0.0).alias("lat_bucket"), (F.bround("longitude", 0) + 0.0).alias("lon_bucket")).agg(n.alias("fraud_count"), F.sum("amount").alias("total_amount"))
+    return t.where(found()).groupBy(F.to_date("event_time").alias("geo_date"), (F.bround("latitude", 0) + 0.0).alias("lat_bucket"), (F.bround("longitude", 0) + 0.0).alias("lon_bucket")).agg(n().alias("fraud_count"), F.sum("amount").alias("total_amount"))
 
 
 def latency_stats(t):
-    return t.where(TIMED).groupBy(start_of_minute(F.col("decided_at")).alias("window_start")).agg(F.avg(LATENCY).alias("avg_latency_ms"), F.max(LATENCY).cast("double").alias("max_latency_ms"), n.alias("tx_count"))
+    return t.where(TIMED).groupBy(start_of_minute(F.col("decided_at")).alias("window_start")).agg(F.avg(latency()).alias("avg_latency_ms"), F.max(latency()).cast("double").alias("max_latency_ms"), n().alias("tx_count"))
 
 
 def by_source(t):
-    return t.groupBy("decision_source").agg(n.alias("cnt"))
+    return t.groupBy("decision_source").agg(n().alias("cnt"))
 
 
 def overall_latency(t):
-    return t.where("produced_at > timestamp_ntz'1970-01-02'").agg(F.avg(LATENCY).alias("avg_latency"))
+    return t.where("produced_at > timestamp_ntz'1970-01-02'").agg(F.avg(latency()).alias("avg_latency"))
