@@ -16,7 +16,7 @@ def rolling_features(tx: DataFrame, masked: Column | None = None) -> DataFrame:
 
     Windows are inclusive at exactly 1 h and 24 h, and rows of the same millisecond count where their transaction id is
     smaller. Rows for which `masked` holds get zeros and are no history to others. One unmasked row is one observation;
-    the deviation is 0 for fewer than two or equal amounts; distance is 0 unless both places have latitude and longitude.
+    sums are rounded to 6 decimals, so that the order of addition does not show; the deviation is 0 for fewer than two or equal amounts; distance is 0 unless both places have latitude and longitude.
     """
     counted = ~F.coalesce(masked, F.lit(False)) if masked is not None else F.lit(True)
     seen = F.when(counted, F.col("amount"))
@@ -32,7 +32,7 @@ def rolling_features(tx: DataFrame, masked: Column | None = None) -> DataFrame:
     located = counted & (F.col("latitude") != 0) & (F.col("longitude") != 0)
     last = F.last(F.when(located, F.struct("latitude", "longitude")), ignorenulls=True).over(before)
     rows = tx.select(
-        "*", counted.alias("_in"), rolled(F.count(seen), HOUR).alias("_n1"), n_24.alias("_n24"), total.alias("_sum"), squares.alias("_sq"),
+        "*", counted.alias("_in"), rolled(F.count(seen), HOUR).alias("_n1"), n_24.alias("_n24"), F.round(total, 6).alias("_sum"), F.round(squares, 6).alias("_sq"),
         F.max(F.when(counted, F.col("ts_ms"))).over(before).alias("_last_ms"), last.alias("_last"),
     )
     mean = F.when(F.col("_n24") > 0, F.col("_sum") / F.col("_n24")).otherwise(0.0)

@@ -152,14 +152,14 @@ def since(time: str, span: str, table: str = "t") -> str:
 
 def features() -> str:
     """Rolling features by a range self-join, apart from the window form that the library uses."""
-    day = """day AS (SELECT b.transaction_id, count(*) AS n24, count(*) FILTER (b.ts_ms - p.ts_ms <= 3600000) AS n1, sum(p.amount) AS s, sum(p.amount * p.amount) AS q
+    day = """day AS (SELECT b.transaction_id, count(*) AS n24, count(*) FILTER (b.ts_ms - p.ts_ms <= 3600000) AS n1, round(sum(p.amount), 6) AS s, round(sum(p.amount * p.amount), 6) AS q
         FROM tx b JOIN tx p ON p.account_id = b.account_id AND b.ts_ms - p.ts_ms BETWEEN 0 AND 86400000 AND (p.ts_ms < b.ts_ms OR p.transaction_id < b.transaction_id) GROUP BY b.transaction_id),
         prev AS (SELECT transaction_id, lag(ts_ms) OVER w AS l_ms, lag(latitude) OVER w AS la, lag(longitude) OVER w AS lo FROM tx WINDOW w AS (PARTITION BY account_id ORDER BY ts_ms, transaction_id)),
         base AS (SELECT tx.*, coalesce(n1, 0) AS n1, coalesce(n24, 0) AS n24, coalesce(s / n24, 0) AS mean, CASE WHEN n24 > 1 THEN sqrt(greatest(0, q / n24 - (s / n24) * (s / n24))) ELSE 0 END AS std, l_ms, la, lo
                  FROM tx LEFT JOIN day USING (transaction_id) JOIN prev USING (transaction_id))"""
     return with_tx(
-        f"""SELECT transaction_id, n1 AS tx_count_1h, n24 AS tx_count_24h, round(floor(mean * 100 + 0.5) / 100, 1) AS avg_amount_24h,
-            round(floor(CASE WHEN std > 0 THEN (amount - mean) / std ELSE 0 END * 10000 + 0.5) / 10000, 2) AS amount_deviation, CAST(coalesce(ts_ms - l_ms, 0) AS BIGINT) AS time_since_last_ms,
-            round(floor(CASE WHEN la IS NOT NULL THEN {km("la", "lo", "latitude", "longitude")} ELSE 0 END * 100 + 0.5) / 100, 1) AS distance_km FROM base""",
+        f"""SELECT transaction_id, n1 AS tx_count_1h, n24 AS tx_count_24h, floor(mean * 100 + 0.5) / 100 AS avg_amount_24h,
+            floor(CASE WHEN std > 0 THEN (amount - mean) / std ELSE 0 END * 10000 + 0.5) / 10000 AS amount_deviation, CAST(coalesce(ts_ms - l_ms, 0) AS BIGINT) AS time_since_last_ms,
+            floor(CASE WHEN la IS NOT NULL THEN {km("la", "lo", "latitude", "longitude")} ELSE 0 END * 100 + 0.5) / 100 AS distance_km FROM base""",
         day,
     )

@@ -106,8 +106,7 @@ add(
     O.with_tx("SELECT transaction_id, count(alert_type) AS n_alerts, coalesce(string_agg(alert_type, ',' ORDER BY alert_type), '') AS types FROM tx LEFT JOIN ("
               + " UNION ALL ".join(f"SELECT transaction_id, alert_type FROM {n}" for n in ("takeover", "micro", "velocity", "travel")) + ") USING (transaction_id) GROUP BY 1", O._cep(SPARSE)),
 )
-_coarse = {"avg_amount_24h": 1, "amount_deviation": 2, "distance_km": 1}
-add("h_features", _tx(lambda tx: rolling_features(tx).select("transaction_id", *(F.round(c, _coarse[c]).alias(c) if c in _coarse else F.col(c) for c in FEATURES))), O.features())
+add("h_features", _tx(lambda tx: rolling_features(tx).select("transaction_id", *FEATURES)), O.features())
 
 # decisions, tables, monitoring
 add("m_decision", _t(lambda t: t.withColumn("combined_score", F.round("combined_score", 6))), O.over_decisions("SELECT * REPLACE (round(combined_score, 6) AS combined_score) FROM t"))
