@@ -117,3 +117,91 @@ def test_licences(spark, docs, rows, none):
     assert [(r.n_sentences, len(r.known), len(r.matches), list(r.licences)) for r in got] == [brute_licences(t) for t in texts]
     assert got[5].licences == ["MIT"] and got[6].licences == ["BSD-2-Clause"] and got[7].licences == []
     assert licenses.scan_licences(docs).count() == len(rows) and licenses.scan_licences(none).count() == 0
+
+
+WRAPPED = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
+RULE = {
+    "MIT": ["mit-title", "mit-grant", "mit-notice", "mit-warranty"], "Apache-2.0": ["apache2-header", "apache2-copy", "apache2-as-is"], "BSD-3-Clause": ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"],
+    "GPL-3.0-or-later": ["gpl-free", "gpl-hope"], "ISC": ["isc-grant"], "MPL-2.0": ["mpl2-subject"],
+}
+
+
+def test_wrapped_licences(spark):
+    texts = []
+    for name, text in WRAPPED.items():
+        for sign, end in (("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", "\n")):
+            texts.append((name, "import x\n" + end.join(sign + line for line in text.split("\n")) + "\ncode = 1\n"))
+        texts.append((name, re.sub(r"\s+", "\n", text)))  # a word a line
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = licenses.scan_licences(frame).orderBy("doc_id").collect()
+    assert [(list(r.licences), [k.id for k in r.known]) for r in got] == [([name], RULE[name]) for name, _ in texts]
+    # of rules, whole sequences match, not their single sentences: the grants of BSD stand for no licence alone
+    assert got[list(WRAPPED).index("BSD-3-Clause") * 5].matches[0].licence == "BSD-3-Clause"
+
+
+def test_wrapped_sentences_end(spark):
+    texts = ["Released under. The MIT License", "Released\n. \nunder the\nMIT\nLicense", "Released\n\nunder the MIT\nLicense", "Released under\nthe MIT License or not", "MIT.\nLicense", "The\nMIT License\nMIT License"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = licenses.scan_licences(frame).orderBy("doc_id").collect()
+    assert [[(k.at, k.lines, k.id) for k in r.known] for r in got] == [
+        [(1, 1, "mit-title-the")], [(2, 2, "mit-title")], [(0, 3, "mit-released")], [], [], [(0, 2, "mit-title-the"), (2, 1, "mit-title")],
+    ]
+    assert [r.n_sentences for r in got] == [2, 4, 3, 2, 2, 3]

@@ -78,6 +78,8 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 GAP = 3  # sentences from one of a rule to the next, at most, on average
 SPLIT = r"[.!?][ \t\r\f]+|[.!?]?\n+"
 NOISE = r"[^\p{L}\p{N}]+"
+STOP = "\x01"  # stands between pieces where . ! ? ended one, as a piece of its own
+STOPS = r"[.!?](?:[ \t\r\f]+|\n+)"
 
 
 def normalise(sentence: str) -> str:
@@ -95,37 +97,71 @@ def _known() -> dict[str, str]:
 
 
 KNOWN = _known()
+LINES = max(len(k.split()) for k in KNOWN)  # lines of a known sentence, at most
+BEGINNINGS = sorted({" ".join(k.split()[:n]) for k in KNOWN for n in range(1, len(k.split()))})
 
 
-def _matched(ids: Column, at: Column, i: Column) -> Column:
+def _matched(known: Column, i: Column) -> Column:
     """The licence of the first rule that matches from the i-th (from 1) known sentence, or null."""
     cases = []
     for licence, rule in RULES:
         k = len(rule)
-        fits = (F.slice(ids, i, k) == F.array(*(F.lit(x) for x in rule))) & (F.get(at, i + (k - 2)) - F.get(at, i - 1) <= GAP * (k - 1))
-        cases.append(F.when(fits, F.lit(licence)))
+        inner = F.aggregate(F.slice(known["lines"], i, k - 1), F.lit(0), lambda a, x: a + x - 1)  # line ends within sentences are no steps between them
+        near = F.get(known["at"], i + (k - 2)) - F.get(known["at"], i - 1) - inner <= GAP * (k - 1)
+        cases.append(F.when((F.slice(known["id"], i, k) == F.array(*(F.lit(x) for x in rule))) & near, F.lit(licence)))
     return F.coalesce(*cases)
 
 
+def _longest(lines: Column, table: Column) -> Column:
+    """(lines, id) of the longest known sentence that the first of `lines` make when joined; id is null if there is none."""
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"), F.lit(True).alias("open"), F.lit(0).alias("lines"), F.lit(None).cast("string").alias("id"))
+
+    def more(a: Column, x: Column) -> Column:
+        text = F.concat(a["text"], F.when(a["n"] > 0, F.lit(" ")).otherwise(F.lit("")), x["s"])
+        found = F.try_element_at(table, text)
+        longer = F.struct(
+            text.alias("text"), (a["n"] + 1).alias("n"), (~x["stops"] & text.isin(BEGINNINGS)).alias("open"), F.when(found.isNotNull(), a["n"] + 1).otherwise(a["lines"]).alias("lines"), F.coalesce(found, a["id"]).alias("id")
+        )
+        return F.when(a["open"], longer).otherwise(a)
+
+    return F.aggregate(lines, start, more, lambda a: F.struct(a["lines"].alias("lines"), a["id"].alias("id")))
+
+
 def scan_licences(docs: DataFrame) -> DataFrame:
     """(doc_id, n_sentences, known, matches, licences) for every row of docs.
 
-    A text is cut into sentences at . ! ? before white space and at line ends; empty ones don't count. known are the
-    (at, id) of sentences equal to a known one once normalised; matches the (at, licence) of rules; licences the distinct
-    licences, sorted. Null and empty texts have no sentences; null ids and repeated rows stay; an empty table gives no rows.
+    A text is cut into pieces at . ! ? before white space and at line ends; empty ones don't count, n_sentences are the
+    others. A known sentence is a piece, or a run of pieces with only line ends and blank lines between them (a wrapped
+    sentence, with or without comment signs before its lines), that equals it once normalised; one within a longer one doesn't
+    count. known are their (at, lines, id): first piece, from 0, number of pieces, identifier; matches the (at, licence) of
+    rules; licences the distinct licences, sorted. Null and empty texts have no sentences; null ids and repeated rows stay;
+    an empty table gives no rows.
     """
-    pieces = F.transform(F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), SPLIT), lambda s: F.trim(F.regexp_replace(s, NOISE, " ")))
     table = F.create_map(*(F.lit(x) for pair in KNOWN.items() for x in pair))
-    sentences = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.filter(pieces, lambda s: s != "").alias("s"))
+    text = F.translate(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), STOP, ",")
+    lines = F.split(F.regexp_replace(text, STOPS, f"\n{STOP}\n"), r"\n+")
+    pieces = F.transform(lines, lambda s: F.when(s == STOP, s).otherwise(F.trim(F.regexp_replace(s, NOISE, " "))))
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.filter(pieces, lambda s: s != "").alias("p"))
+    stops = F.transform("p", lambda s, i: F.struct(s.alias("s"), F.coalesce(F.get("p", i + 1) == STOP, F.lit(True)).alias("stops")))
+    cut = cut.select("doc_id", F.filter(stops, lambda x: x["s"] != STOP).alias("s"))
     longest = max(map(len, KNOWN))
-    known = F.filter(
-        F.transform("s", lambda s, i: F.struct(i.alias("at"), F.when(F.length(s) <= longest, F.try_element_at(table, s)).alias("id"))), lambda x: x["id"].isNotNull()
-    )
-    found = sentences.select("doc_id", F.size("s").cast("long").alias("n_sentences"), known.alias("known"))
-    ids, at = F.col("known.id"), F.col("known.at")
-    each = F.when(F.size("known") > 0, F.transform(F.sequence(F.lit(1), F.size("known")), lambda i: F.struct(F.get(at, i - 1).alias("at"), _matched(ids, at, i).alias("licence"))))
+
+    def known_at(x: Column, i: Column) -> Column:
+        alone = F.struct(F.lit(1).alias("lines"), F.when(F.length(x["s"]) <= longest, F.try_element_at(table, x["s"])).alias("id"))
+        found = F.when(~x["stops"] & x["s"].isin(BEGINNINGS), _longest(F.slice("s", i + 1, LINES), table)).otherwise(alone)
+        return F.struct(i.alias("at"), found.alias("of"))
+
+    found = F.transform(F.filter(F.transform("s", known_at), lambda x: x["of"]["id"].isNotNull()), lambda x: F.struct(x["at"].alias("at"), x["of"]["lines"].alias("lines"), x["of"]["id"].alias("id")))
+    cut = cut.select("doc_id", F.size("s").cast("long").alias("n_sentences"), found.alias("known"))
+
+    def outermost(x: Column, i: Column) -> Column:
+        return ~F.exists(F.slice("known", F.greatest(i - LINES, F.lit(0)) + 1, F.least(i, F.lit(LINES))), lambda y: y["at"] + y["lines"] >= x["at"] + x["lines"])
+
+    cut = cut.withColumn("known", F.filter("known", outermost))
+    known = F.col("known")
+    each = F.when(F.size("known") > 0, F.transform(F.sequence(F.lit(1), F.size("known")), lambda i: F.struct(F.get(known["at"], i - 1).alias("at"), _matched(known, i).alias("licence"))))
     kept = F.filter(F.coalesce(each, F.array().cast("array<struct<at:int,licence:string>>")), lambda x: x["licence"].isNotNull())
-    return found.withColumn("matches", kept).withColumn("licences", F.sort_array(F.array_distinct(F.col("matches.licence"))))
+    return cut.withColumn("matches", kept).withColumn("licences", F.sort_array(F.array_distinct(F.col("matches.licence"))))
 
 
 def oracle() -> str:
