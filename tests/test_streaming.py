@@ -70,3 +70,47 @@ def test_partials_and_latest(spark, tmp_path):
     job.summarise_batch(timed, 1, f"{tmp_path}/s")
     got = storage.merge_partials(spark.read.parquet(f"{tmp_path}/s"), "tx_throughput").first()
     assert (got.tx_count, got.total_amount, got.fraud_count) == (6, 26.0, 2)
+
+
+def test_runs_cut_by_batch_edges(spark, messages, tmp_path):
+    from tidemark.operators.rules import latest_rules
+    from tidemark.plans.risk import assess
+    from tidemark.sources.transactions import parse_rules
+
+    lines = sorted((r.value for r in read_json(spark, f"{messages}/in").collect()), key=lambda v: (json.loads(v)["timestamp"], v))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "rules").mkdir()
+    (tmp_path / "rules" / "a.json").write_text("\n".join(map(json.dumps, RULES)))
+    step = len(lines) // 3 + 1
+    out = f"{tmp_path}/out"
+
+    def run(files):
+        for k in files:
+            (tmp_path / "in" / f"{k}.txt").write_text("\n".join(lines[k * step : (k + 1) * step]))
+        raw = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{tmp_path}/in")
+        job.run_decisions(spark, raw, f"{tmp_path}/rules", out, f"{tmp_path}/check", Config(), trigger={"availableNow": True}).awaitTermination()
+
+    run([0, 2])
+    # every transaction of the second run breaks a new rule; those of the first keep what their own rules said
+    more = {"rule_id": "RULE_003", "rule_name": "Any", "field": "amount", "operator": "GREATER_THAN", "threshold": -1.0, "severity": "HIGH", "version": 1}
+    (tmp_path / "rules" / "b.json").write_text(json.dumps(more))
+    run([1])
+    tx, _ = parse_transactions(read_json(spark, f"{tmp_path}/in"))
+    tx = tx.withColumn("decided_ms", F.lit(0).cast("long"))
+    made = {}
+    for names in ("a.json", "*.json"):
+        found = assess(tx, latest_rules(parse_rules(spark.read.text(f"{tmp_path}/rules/{names}"))), Config()).collect()
+        made[names] = {r.transaction_id: (r.decision, r.decision_source, r.rule_triggered, round(r.combined_score, 6)) for r in found}
+    late = {json.loads(v)["transaction_id"] for v in lines[step : 2 * step]}
+    want = {i: made["*.json" if i in late else "a.json"][i] for i in made["a.json"]}
+    got = job.current_decisions(spark, out).collect()
+    assert {r.transaction_id: (r.decision, r.decision_source, r.rule_triggered, round(r.combined_score, 6)) for r in got} == want and len(got) == len(want)
+    stored = spark.read.parquet(f"{out}/decisions")
+    assert stored.select("batch").distinct().count() == 3 and stored.count() > len(want)
+    alerts = job.current_alerts(spark, out).collect()
+    assert sorted(r.transaction_id for r in alerts) == sorted(i for i, w in want.items() if w[0] != "APPROVE")
+
+
+def test_history_covers_the_windows():
+    assert job.history_ms(Config()) == 25 * 3_600_000
+    assert job.history_ms(Config(takeover_ms=7 * 86_400_000)) == 7 * 86_400_000

@@ -22,7 +22,11 @@ def enrich(tx: DataFrame, rules: DataFrame, config: Config) -> DataFrame:
 def assess(tx: DataFrame, rules: DataFrame, config: Config, scorer: Scorer = no_model) -> DataFrame:
     """A decision for every transaction. Features are computed only where the scorer reads them."""
     tx = tx if "decided_ms" in tx.columns else tx.withColumn("decided_ms", F.unix_millis(F.current_timestamp()))
-    marked = enrich(tx, rules, config)
+    return resolve(enrich(tx, rules, config), config, scorer)
+
+
+def resolve(marked: DataFrame, config: Config, scorer: Scorer = no_model) -> DataFrame:
+    """A decision for every transaction with its rule_alerts and cep_alerts."""
     rows = marked if scorer is no_model else rolling_features(marked, has_critical())
     return decide(scorer(rows), config)
 

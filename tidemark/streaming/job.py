@@ -7,27 +7,39 @@ Sources and sinks are given as DataFrames and paths; with a Kafka connector on t
 from __future__ import annotations
 
 import sys
+import time
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 import tidemark.config
-from tidemark.config import Config
-from tidemark.functions.scalars import start_of_minute
+from tidemark.config import HOUR, Config
+from tidemark.functions.scalars import from_millis, start_of_minute
 from tidemark.operators import decisions as D
 from tidemark.operators import storage
-from tidemark.operators.rules import latest_rules
+from tidemark.operators.patterns import attach, detect
+from tidemark.operators.rules import apply_rules, latest_rules
 from tidemark.operators.scoring import Scorer, no_model
-from tidemark.plans.risk import assess
+from tidemark.plans.risk import resolve
 from tidemark.sources.transactions import parse_rules, parse_transactions
 
 LATE = "5 seconds"
-KEEP_MS = 25 * 3_600_000
+
+
+def longest_window(config: Config) -> int:
+    """How far an event reaches to earlier ones of its account by patterns, in ms."""
+    return max(config.takeover_ms, config.micro_ms, config.velocity_ms, config.travel_ms)
+
+
+def history_ms(config: Config) -> int:
+    """History that a transaction is judged with: the 24 h of the features and one more, or the longest pattern window."""
+    return max(25 * HOUR, longest_window(config))
 
 
 def with_watermark(tx: DataFrame) -> DataFrame:
@@ -144,30 +156,62 @@ def stateful_alerts(tx: DataFrame, kind: type[StatefulProcessor], config: Config
 def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str, checkpoint: str, config: Config, scorer: Scorer = no_model, trigger: dict | None = None) -> StreamingQuery:
     """Decide every transaction of the stream `raw` (column value) and write decisions, final alerts and rejected messages.
 
-    Rules are read anew for each micro-batch, so an update holds from the next batch on and earlier decisions stay. A batch
-    is judged together with the stored history of its accounts over the last 25 hours, so patterns and features reach back;
-    only its own rows are written. Files of a batch replace those of the same batch after a retry.
+    Rules are read anew for each micro-batch, so an update holds from the next batch on; each transaction keeps the rule
+    alerts of its own batch. A batch is judged together with the stored history of its accounts, so patterns and features
+    reach back (history_ms). Stored transactions that its events turn out to concern, as those of a run that it completes,
+    are written again with a new decided_at where their row changed; current_decisions() and current_alerts() read the
+    latest versions. Files of a batch replace those of the same batch after a retry.
     """
+    window, keep = longest_window(config), history_ms(config)
+    numbered = lambda df: T.StructType([*df.schema.fields, T.StructField("batch", T.IntegerType())])
 
     def judge(batch: DataFrame, number: int) -> None:
         tx, rejected = parse_transactions(batch)
-        tx = tx.withColumn("decided_ms", F.unix_millis(F.current_timestamp()))
-        accounts, history = tx.select("account_id").distinct(), f"{out}/history"
-        tx.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{history}/batch={number}")
-        edge = tx.agg(F.min("ts_ms")).first()[0]
-        stored = spark.read.parquet(history).where((F.col("ts_ms") >= (edge or 0) - KEEP_MS) & (F.col("batch") <= number)).join(accounts, "account_id", "left_semi")
+        history, now = f"{out}/history", F.lit(int(time.time() * 1000)).cast("long")
         rules = latest_rules(parse_rules(spark.read.text(rules_path)))
-        own = tx.select("transaction_id").distinct()
-        made = assess(stored.drop("batch").dropDuplicates(["transaction_id"]), rules, config, scorer).join(own, "transaction_id", "left_semi").persist()
-        storage.stored_decisions(made).write.mode("overwrite").parquet(f"{out}/decisions/batch={number}")
-        storage.stored_alerts(D.final_alerts(made)).write.mode("overwrite").parquet(f"{out}/alerts/batch={number}")
-        D.alert_messages(D.final_alerts(made)).write.mode("overwrite").text(f"{out}/messages/batch={number}")
+        ruled = apply_rules(tx, rules)
+        ruled.write.mode("overwrite").parquet(f"{history}/batch={number}")
+        past = spark.read.schema(numbered(ruled)).parquet(history).where(F.col("batch") <= number)
+        mine = past.where(F.col("batch") == number).select("account_id", "transaction_id", "ts_ms").persist()
+        edge = mine.agg(F.min("ts_ms")).first()[0] or 0
+        since = mine.groupBy("account_id").agg((F.min("ts_ms") - window).alias("_since"))
+        stored = past.where(F.col("ts_ms") >= edge - window - keep).join(since, "account_id").where(F.col("ts_ms") >= F.col("_since") - keep)
+        stored = storage.latest(stored, "transaction_id", "batch").drop("batch").withColumn("decided_ms", now)
+        concerned = stored.where(F.col("ts_ms") >= F.col("_since")).select("transaction_id")
+        stored = stored.drop("_since")
+        made = resolve(attach(stored, detect(stored, config)), config, scorer).join(concerned, "transaction_id", "left_semi").persist()
+        own = mine.select("transaction_id").distinct()
+        fresh = made.join(own, "transaction_id", "left_semi")
+        files = storage.stored_decisions(fresh)
+        files.write.mode("overwrite").parquet(f"{out}/decisions/batch={number}")
+        before = spark.read.schema(numbered(files)).parquet(f"{out}/decisions").where((F.col("batch") < number) & (F.col("event_time") >= from_millis(F.lit(edge - window).cast("long"))))
+        others = made.join(own, "transaction_id", "left_anti")
+        before = storage.latest(before.join(others.select("transaction_id"), "transaction_id", "left_semi"), "transaction_id", "decided_at")
+        told = [c for c in files.columns if c != "decided_at"]
+        same = before.select("transaction_id", F.struct(*told).alias("_told"))
+        changed = storage.stored_decisions(others).withColumn("_now", F.struct(*told)).join(same, "transaction_id", "left").where(~F.col("_now").eqNullSafe(F.col("_told"))).select(files.columns).persist()
+        changed.write.mode("append").parquet(f"{out}/decisions/batch={number}")
+        alerts = D.final_alerts(fresh.unionByName(others.join(changed, "transaction_id", "left_semi")))
+        storage.stored_alerts(alerts).write.mode("overwrite").parquet(f"{out}/alerts/batch={number}")
+        D.alert_messages(alerts).write.mode("overwrite").text(f"{out}/messages/batch={number}")
         rejected.write.mode("overwrite").text(f"{out}/rejected/batch={number}")
-        made.unpersist()
+        for held in (mine, made, changed):
+            held.unpersist()
 
     return raw.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
+def current_decisions(spark: SparkSession, out: str) -> DataFrame:
+    """The latest version of each decision that run_decisions() wrote."""
+    return storage.latest(spark.read.parquet(f"{out}/decisions"), "transaction_id", "decided_at")
+
+
+def current_alerts(spark: SparkSession, out: str) -> DataFrame:
+    """The alerts of the latest decisions; those of earlier versions are left out."""
+    now = current_decisions(spark, out).select("transaction_id", F.col("decided_at").alias("alert_time"))
+    return spark.read.parquet(f"{out}/alerts").join(now, ["transaction_id", "alert_time"], "left_semi")
+
+
 def running_throughput(tx: DataFrame) -> DataFrame:
     """Per minute counts and amounts of a stream, updated as rows arrive."""
     minute = F.window("event_ts", "1 minute")
