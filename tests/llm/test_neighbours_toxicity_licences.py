@@ -52,6 +52,17 @@ def test_grammar_meanings():
     assert seen(None) == [] and seen("") == [] and seen("x" * 100_000) == []
 
 
+def test_long_clauses_are_whole():
+    lexicon = toxicity.Lexicon({"idiot": 3.0}, {})
+    finder = lexicon.finder()
+    for pad in range(200, 270):
+        one, gap = float(np.log1p(3.0)), f"idiot {'z' * pad} "
+        assert toxicity.features(gap + "and no idiot", lexicon, finder) == [one, 0, one, 0, 0], pad
+        assert toxicity.features(gap + "a paper said that it was some idiot", lexicon, finder) == [one, 0, 0, one, 0], pad
+        assert toxicity.features(gap + "such an idiot in the house", lexicon, finder) == [float(np.log1p(6.0)), 0, 0, 0, 0], pad
+    assert toxicity.features("idiot in the house " * 20_000, lexicon, finder) == [float(np.log1p(60_000.0)), 0, 0, 0, 0]
+
+
 def labelled(spark, n=600):
     rng = random.Random(2)
     docs, labels = [], []

@@ -34,8 +34,9 @@ TARGETS = frozenset("you your you're u he she they him her them people du dich d
 THREATS = frozenset("kill hurt destroy shoot stab strangle burn murder töten umbringen schlagen tuer frapper matar golpear".split())
 
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
-CLAUSE_END = re.compile(r"[.!?;:\n]")
-REACH = 240  # characters of a clause looked at on either side of a lexicon match
+CLAUSE_ENDS = ".!?;:\n"
+CLAUSE_END = re.compile(f"[{CLAUSE_ENDS}]")
+AFTER = 3  # tokens after an insult in which a target still makes it aimed
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "ITGNRO"
 PLAIN, AIMED, NEGATED, REPORTED, MENACE = range(5)
@@ -97,19 +98,16 @@ class Lexicon:
 
 
 def _clauses(text: str, finder) -> list[str]:
-    """The clauses of a lower-cased text around possible matches, each once, in order."""
-    out, done = [], -1
+    """The whole clauses of a lower-cased text that hold possible matches, each once, in order."""
+    out, done = [], 0
     for end, length in finder.iter(text) if len(finder) else ():
         begin = end - length + 1
         if begin < done or begin and text[begin - 1].isalpha():
             continue
-        lo, hi = max(0, begin - REACH), min(len(text), end + REACH)
-        for m in CLAUSE_END.finditer(text, lo, begin):
-            lo = m.end()
-        stop = CLAUSE_END.search(text, end, hi)
-        hi = stop.start() if stop else hi
-        out.append(text[max(lo, done, 0) : hi])
-        done = hi
+        lo = max(done, *(text.rfind(c, done, begin) + 1 for c in CLAUSE_ENDS))
+        stop = CLAUSE_END.search(text, end)
+        done = stop.start() if stop else len(text)
+        out.append(text[lo:done])
     return out
 
 
@@ -117,25 +115,28 @@ def features(text: str | None, lexicon: Lexicon, finder) -> list[float]:
     """log(1 + weight) of the text's matched clauses by meaning: plain, aimed, negated, reported, menace."""
     total = [0.0] * 5
     for clause in _clauses((text or "").lower(), finder):
-        words, state, pending = WORD.findall(clause), START, []
-        for word in words:
+        state, pending = START, []  # insults that a target may still follow, oldest first
+        for found in WORD.finditer(clause):
+            word = found.group()
             weight = lexicon.weight(word)
             symbol = INSULT if weight else THREAT if word in THREATS else TARGET if word in TARGETS else NEGATION if word in NEGATIONS else REPORT if word in REPORTS else OTHER
             state, (aimed, negated, reported, menaced) = STEP(state, symbol)
+            if symbol == TARGET:
+                total[AIMED] += sum(p[0] for p in pending)
+                pending = []
+                if menaced and not negated:
+                    total[REPORTED if reported else MENACE] += 1.0
+            for p in pending:
+                p[1] -= 1
+            if pending and not pending[0][1]:
+                total[PLAIN] += pending.pop(0)[0]
             if weight:
                 if negated or reported:
                     total[NEGATED if negated else REPORTED] += weight
                 elif aimed:
                     total[AIMED] += weight
                 else:
-                    pending.append([weight, 4])
-            if symbol == TARGET and menaced and not negated:
-                total[REPORTED if reported else MENACE] += 1.0
-            for p in pending:  # a target may also follow its insult
-                p[1] -= 1
-                if symbol == TARGET and p[1] >= 0:
-                    total[AIMED] += p[0]
-                    p[0] = 0.0
+                    pending.append([weight, AFTER])
         total[PLAIN] += sum(p[0] for p in pending)
     return [float(np.log1p(x)) for x in total]
 
