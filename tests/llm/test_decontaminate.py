@@ -56,6 +56,15 @@ def test_removal(spark, docs, rows, items):
         assert len(of(r.text)) == len(of(before)) - hits[r.doc_id]
 
 
+def test_spans_in_groups(spark, docs, rows, items):
+    bench = spark.createDataFrame(items, SCHEMA)
+    whole, parts = ([(r.doc_id, r.text) for r in clean_spans(docs, bench, most_bytes=n).collect()] for n in (1 << 20, 60))
+    assert len(whole) == len(rows) and sorted(whole, key=str) == sorted(parts, key=str)
+    hits = {i: n for i, _, n, _ in brute(rows, items)}
+    texts = {r[0]: r[1] for r in rows}
+    assert any(hits.values()) and all(len(of(t)) == len(of(texts[i])) - hits[i] and (hits[i] or t == texts[i]) for i, t in parts)
+
+
 def test_empty(spark, docs, none, items):
     bench = spark.createDataFrame(items, SCHEMA)
     assert contamination(none, bench).count() == 0

@@ -159,23 +159,22 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, words: int = WORDS) -
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.md5(F.col("text").cast("string").cast("binary")) == F.col("_t")), "left_anti")
 
 
-def clean_spans(docs: DataFrame, benchmark: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, text): every document, without the words inside any occurrence of a benchmark window.
-
-    The benchmark's text must be within BROADCAST_BYTES; larger ones need contamination(), which works in groups.
-    """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
-    if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > BROADCAST_BYTES:
-        raise ValueError("benchmark too large for one broadcast")
-    own = items.collect()
-    index = docs.sparkSession.sparkContext.broadcast(Index([r.item_id for r in own], [r.text for r in own], words))
+def clean_spans(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(doc_id, text): every document, without the words inside any occurrence of a benchmark window. See contamination()."""
+    found = contamination(docs, benchmark, words, most_bytes).where("n_hit > 0").select(F.col("doc_id").alias("_i"), F.col("text_md5").alias("_t"), "begin", "end")
+    runs = table(found.dropDuplicates(["_i", "_t"]), "leak-spans")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    both = texts.join(runs, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.md5(F.col("text").cast("binary")) == F.col("_t")), "left").select("doc_id", "text", "begin", "end")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in ts.chunks(batch.column(1), ts.ALNUM_WORDS_LOWER):
-                hit, items = index.value.hits(chunk)
-                texts = batch.column(1).slice(chunk.first, chunk.n)
-                texts = pa.array([_kept_text(chunk, i, hit) if i in items else x.as_py() for i, x in enumerate(texts)], pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, chunk.n), texts], ["doc_id", "text"])
-
-    return arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), scan, "doc_id long, text string")
+                ids, own, begin, end = (batch.column(k).slice(chunk.first, chunk.n) for k in range(4))
+                hit, kept = np.zeros(chunk.at[-1], bool), own.to_pylist()
+                for i in np.flatnonzero(begin.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                    for b, e in zip(begin[i].as_py(), end[i].as_py()):
+                        hit[chunk.at[i] + b : chunk.at[i] + e] = True
+                    kept[i] = _kept_text(chunk, i, hit)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(kept, pa.string())], ["doc_id", "text"])
+
+    return arrow(both, scan, "doc_id long, text string")
