@@ -53,3 +53,16 @@ def docs(spark, rows):
 @pytest.fixture(scope="session")
 def none(docs):
     return docs.where("false")
+
+
+def thue_morse(n):
+    """Two different words of n letters, n a power of two, over ab: polynomial hashes modulo a power of two don't tell them apart."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.fixture(params=[1024, 2048])
+def alike_words(request):
+    return thue_morse(request.param)

@@ -74,3 +74,29 @@ def test_other_limits(spark):
     rows = [(1, "a b c d"), (2, "a b c e"), (3, "x y")]
     got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), NearDup(words=2, percent=50)).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_words_of_equal_polynomial_hashes(spark, alike_words):
+    rows = [(i + 1, f"p q {w}") for i, w in enumerate(alike_words)] + [(i + 3, " ".join([w, *map(str, range(40))])) for i, w in enumerate(alike_words)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and got[2] == (1, 2)
+
+
+def test_repeated_ids(spark):
+    """Rows of one id with different texts are documents of their own; of equal rows, one stays."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a, "x"), (1, b, "x"), (2, a + " more", "y"), (3, b, "y"), (4, "", "z"), (4, "", "z"), (5, None, "z"), (5, None, "z"), (None, a, "z"), (1, a, "w"), (6, " ".join(f"c{i}" for i in range(9)), "q")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in near_duplicates(frame).collect())
+    assert got == [(0, 56, 0, True), (1, 56, 1, True), (1, 56, 1, True), (1, 56, 1, True), (2, 57, 1, False), (3, 56, 1, False), (4, 0, 4, True), (4, 0, 4, True), (5, 0, 5, True), (5, 0, 5, True), (6, 5, 6, True)]
+    left = sorted(((r.doc_id or 0, r.text or "", r.source) for r in without_near_duplicates(frame).collect()))
+    assert left == [(0, a, "z"), (1, a, "w"), (1, b, "x"), (4, "", "z"), (4, "", "z"), (5, "", "z"), (5, "", "z"), (6, rows[-1][1], "q")]
+    assert sorted(((r.doc_id or 0, r.text or "", r.source) for r in without_near_duplicates(frame.repartition(3)).collect())) == left
+
+
+def test_leftover_blocks_compare_words(spark, alike_words):
+    """Families with no pivot in common, whose links only the block comparison finds."""
+    base = [f"v{i}" for i in range(300)]
+    rows = [(i, " ".join([*base[k * 8 : k * 8 + 100], alike_words[i % 2]])) for i, k in enumerate(range(24))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)

@@ -1,9 +1,11 @@
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tidemark.llm import substrings
 from tidemark.llm.substrings import SuffixAutomaton, remove_reference_spans, remove_repeated_spans
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -61,7 +63,38 @@ def test_reference_spans(spark, docs):
     part = reference[2].split()[5:25]
     rows = [(1, "a b " + " ".join(part) + " c"), (2, " ".join(part[:12])), (3, None), (4, "")]
     frame, ref = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(t,) for t in [*reference, None, ""]], "text string")
-    for shard_words in (60, 10_000):
-        got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in remove_reference_spans(frame, ref, 13, shard_words).collect()}
-        assert got == {1: (23, 20, "a b c"), 2: (12, 0, rows[1][1]), 3: (0, 0, ""), 4: (0, 0, "")}
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in remove_reference_spans(frame, ref, 13).collect()}
+    assert got == {1: (23, 20, "a b c"), 2: (12, 0, rows[1][1]), 3: (0, 0, ""), 4: (0, 0, "")}
+    again = remove_reference_spans(frame.unionByName(frame), ref, 13).where("n_removed > 0").collect()
+    assert [(r.doc_id, r.n_removed) for r in again] == [(1, 20)] * 2
     assert remove_reference_spans(frame, ref.where("false")).where("n_removed > 0").count() == 0
+
+
+def test_words_of_equal_polynomial_hashes(spark, alike_words):
+    same = " ".join(map(str, range(12)))
+    rows = [(i + 1, f"{same} {w}") for i, w in enumerate(alike_words)] + [(3, f"{same} {alike_words[0]}")]
+    got = [tuple(r) for r in remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert order(got) == order(brute(rows)) and [r[2] for r in order(got)] == [0, 0, 13]
+
+
+@pytest.mark.parametrize("limit", ["SHARD_WORDS", "HOT", "hashes"])
+def test_limits_change_nothing(docs, rows, monkeypatch, limit):
+    """Small shards, anchors that all count as hot, and anchor hashes of which most collide, all give the same result."""
+    if limit == "hashes":
+        monkeypatch.setattr(substrings, "GRAM", 1)
+    else:
+        monkeypatch.setattr(substrings, limit, 1)
+    got = [tuple(r) for r in remove_repeated_spans(docs).collect()]
+    assert order(got) == order(brute(rows))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), min_size=1, max_size=14), min_size=1, max_size=5), st.integers(1, 5))
+def test_owners(texts, n):
+    made = SuffixAutomaton()
+    for owner, t in enumerate(texts):
+        made.add(t, owner)
+    made.settle()
+    for t in texts:
+        want = [min(o for o, x in enumerate(texts) if any(x[k : k + n] == t[i : i + n] for k in range(len(x) - n + 1))) for i in range(len(t) - n + 1)]
+        assert made.owners(t, n) == want

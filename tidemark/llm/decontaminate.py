@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -14,48 +15,65 @@ from tidemark.llm import textscan as ts
 from tidemark.llm.scratch import arrow, table
 
 WORDS = 10
-BROADCAST_BYTES = 8 << 20  # benchmark text in one broadcast; beyond it there are several scans
-_FILTER_BITS = 22
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+BROADCAST_BYTES = 8 << 20  # benchmark text behind one broadcast index of at most INDEX_BYTES; beyond it there are several scans
+WINDOW_BYTES = 28  # of the index for a window: hash, place in the words, item
+INDEX_BYTES = BROADCAST_BYTES * (1 + WINDOW_BYTES // 2)  # a window for every two bytes, at worst; about 5 times the text in prose
 
 
-def _plain(chunk: ts.Chunk, begin: int, length: int) -> bytes:
-    """The normalised words begin .. begin + length - 1, joined by a space."""
-    return b" ".join(_LOWER[chunk.data[s:e]].tobytes() for s, e in zip(chunk.start[begin : begin + length], chunk.end[begin : begin + length]))
+@dataclass
+class Windows:
+    """All windows of one length, sorted by hash: places in the words' bytes, and items; a filter of leading hash bits."""
+
+    hashes: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    item: np.ndarray
+    bits: int
+    seen: np.ndarray
 
 
 class Index:
-    """Windows of benchmark items by length: hashes, their items, and their words for the check of a hit."""
+    """Windows of benchmark items as flat arrays beside the items' normalised words."""
 
     def __init__(self, ids: list[int], texts: list[str], words: int):
-        self.windows: dict[int, dict[int, dict[bytes, set[int]]]] = {}
+        found: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        blobs, size = [], 0
         for chunk in ts.chunks(pa.array(texts, pa.string()), ts.ALNUM_WORDS_LOWER):
-            for i in range(chunk.n):
-                n = int(chunk.at[i + 1] - chunk.at[i])
-                if n:
-                    length = min(n, words)
-                    begin = np.arange(chunk.at[i], chunk.at[i + 1] - length + 1)
-                    for b, h in zip(begin.tolist(), ts.sequence_hash(chunk.word, begin, length).tolist()):
-                        spot = self.windows.setdefault(length, {}).setdefault(h, {})
-                        spot.setdefault(_plain(chunk, b, length), set()).add(ids[chunk.first + i])
-        self.filters: dict[int, np.ndarray] = {}
-        for length, found in self.windows.items():
-            bits = np.zeros(1 << _FILTER_BITS, bool)
-            bits[np.fromiter(found, np.uint64, len(found)) >> np.uint64(64 - _FILTER_BITS)] = True
-            self.filters[length] = bits
+            width = chunk.end - chunk.start
+            first = np.cumsum(width + 1) - width - 1 + size  # words follow each other, a space after each
+            blobs.append(b"".join(w + b" " for w in chunk.words(0, len(chunk.code))))
+            size += len(blobs[-1])
+            n = np.diff(chunk.at)
+            for length in np.unique(np.minimum(n[n > 0], words)).tolist():
+                take = n >= length if length == words else n == length
+                at = np.stack((chunk.at[:-1][take], chunk.at[1:][take]), axis=1)
+                count = at[:, 1] - at[:, 0] - length + 1
+                begin = np.repeat(at[:, 0] - np.cumsum(count) + count, count) + np.arange(count.sum())
+                item = np.repeat(np.array(ids, np.int64)[chunk.first + np.flatnonzero(take)], count)
+                found.setdefault(length, []).append((ts.sequence_hash(chunk.code, begin, length), first[begin], first[begin + length - 1] + width[begin + length - 1], item))
+        self.words, self.windows = b"".join(blobs), {}
+        for length, parts in found.items():
+            hashes, begin, end, item = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(hashes, kind="stable")
+            bits = min(24, max(10, int(len(hashes) * 8).bit_length()))
+            seen = np.zeros(1 << bits, bool)
+            seen[(hashes >> np.uint64(64 - bits)).astype(np.int64)] = True
+            self.windows[length] = Windows(hashes[order], begin[order].astype(np.uint32), end[order].astype(np.uint32), item[order], bits, np.packbits(seen, bitorder="little"))
 
     def hits(self, chunk: ts.Chunk) -> tuple[np.ndarray, dict[int, set[int]]]:
-        """Marks of the chunk's words inside any occurrence, and the items met by each text."""
-        edge, items = np.zeros(len(chunk.word) + 1, np.int64), {}
-        for length, found in self.windows.items():
+        """Marks of the chunk's words inside any occurrence, and the items met by each text; a hit has the words of its window."""
+        edge, items = np.zeros(len(chunk.code) + 1, np.int64), {}
+        for length, known in self.windows.items():
             begin, text = ts.window_starts(chunk.at, length)
             if not len(begin):
                 continue
-            hashes = ts.sequence_hash(chunk.word, begin, length)
-            for k in np.flatnonzero(self.filters[length][hashes >> np.uint64(64 - _FILTER_BITS)]).tolist():
-                spot = found.get(int(hashes[k]))
-                met = spot and spot.get(_plain(chunk, int(begin[k]), length))
+            hashes = ts.sequence_hash(chunk.code, begin, length)
+            top = (hashes >> np.uint64(64 - known.bits)).astype(np.int64)
+            maybe = np.flatnonzero(known.seen[top >> 3] >> (top & 7).astype(np.uint8) & 1)
+            low, high = (np.searchsorted(known.hashes, hashes[maybe], side) for side in ("left", "right"))
+            for k, a, b in zip(maybe[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist()):
+                own = b" ".join(chunk.words(int(begin[k]), int(begin[k]) + length))
+                met = [int(known.item[j]) for j in range(a, b) if self.words[known.begin[j] : known.end[j]] == own]
                 if met:
                     edge[begin[k]] += 1
                     edge[begin[k] + length] -= 1
@@ -110,7 +128,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, mos
 
     A hit is a window of `words` consecutive normalised words of an item (all words of a shorter item) found in the
     document; hash hits are confirmed on the words. begin and end are the maximal hit runs as word positions, items the
-    sorted ids met. Items are broadcast in groups of at most most_bytes of text (one longer item is a group of its own);
+    sorted ids met. Items are broadcast in groups of about most_bytes of text (one longer item is a group of its own);
     with several groups the documents are scanned once for each and the runs are merged.
 
     Null or empty texts have no words and no hits; items without id or words are left out; repeated ids of items are one
@@ -122,7 +140,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, mos
     groups = max(1, math.ceil(total / most_bytes))
     scans = []
     for g in range(groups):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).collect()  # bounded by most_bytes
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).collect()  # about most_bytes
         scans.append(_scan(docs, spark.sparkContext.broadcast(Index([r.item_id for r in own], [r.text for r in own], words))))
     found = scans[0]
     if groups > 1:

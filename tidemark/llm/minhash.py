@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import textscan as ts
@@ -18,7 +19,8 @@ from tidemark.llm.sizes import small
 
 _U = np.uint64
 ROWS = 4  # minima in a band
-BLOCK_SHINGLES = 60_000  # hashes in a block of representatives; one longer text is a block of its own
+BLOCK_SHINGLES = 60_000  # in a block of representatives; one longer text is a block of its own
+WIDE_ROWS = 250_000  # rows of an id, an MD5 and two numbers in a broadcast: 20 MB at most
 
 
 @dataclass(frozen=True)
@@ -36,29 +38,30 @@ class NearDup:
     loose: float = 0.52
 
 
-def _distinct(chunk: ts.Chunk, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of each text, end to end, and their n + 1 offsets."""
+def _distinct(chunk: ts.Chunk, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each text, sorted, end to end; the same shingles' second hashes; n + 1 offsets."""
     begin, text = ts.window_starts(chunk.at, words)
-    hashes = ts.sequence_hash(chunk.word, begin, words)
+    hashes, seconds = (ts.sequence_hash(chunk.code, begin, words, k) for k in (0, 1))
     n = np.diff(chunk.at)
     cut_at = np.searchsorted(text, np.arange(chunk.n + 1))
-    few = np.flatnonzero((n > 0) & (n < words))
-    short = dict(zip(few.tolist(), ts.sequence_hash(chunk.word, chunk.at[few], n[few])))
     parts, sizes = [], np.zeros(chunk.n + 1, np.int64)
     for i in range(chunk.n):
-        own = hashes[cut_at[i] : cut_at[i + 1]]
-        if i in short:
-            own = np.array([short[i]], _U)
+        own, second = hashes[cut_at[i] : cut_at[i + 1]], seconds[cut_at[i] : cut_at[i + 1]]
+        if 0 < n[i] < words:
+            own, second = (ts.sequence_hash(chunk.code, chunk.at[i : i + 1], int(n[i]), k) for k in (0, 1))
         elif len(own) > 1:
-            own = np.sort(own)
-            own = own[np.concatenate(([True], own[1:] != own[:-1]))]
-        parts.append(own)
+            order = np.argsort(own, kind="stable")
+            own, second = own[order], second[order]
+            new = np.concatenate(([True], own[1:] != own[:-1]))
+            own, second = own[new], second[new]
+        parts.append((own, second))
         sizes[i + 1] = len(own)
-    return (np.concatenate(parts) if parts else np.empty(0, _U)), np.cumsum(sizes)
+    flat = [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, _U)] * 2
+    return flat[0], flat[1], np.cumsum(sizes)
 
 
-def _signatures(values: np.ndarray, offsets: np.ndarray, minima: int) -> tuple[np.ndarray, np.ndarray]:
-    """For the non-empty sets: minima as uint32 (sets x minima), and two sums that name the set."""
+def _signatures(values: np.ndarray, seconds: np.ndarray, offsets: np.ndarray, minima: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the non-empty sets: minima as uint32 (sets x minima), and two sums of unlike hashes that name the set."""
     rng = np.random.default_rng(20240229)
     a = rng.integers(1, 1 << 63, minima, dtype=np.int64).astype(_U) * _U(2) + _U(1)
     b = rng.integers(0, 1 << 63, minima, dtype=np.int64).astype(_U)
@@ -68,7 +71,7 @@ def _signatures(values: np.ndarray, offsets: np.ndarray, minima: int) -> tuple[n
         np.multiply(values, a[k], out=work)
         np.add(work, b[k], out=work)
         out[:, k] = (np.minimum.reduceat(work, begin) >> _U(32)).astype(np.uint32)
-    names = np.stack([np.add.reduceat(values, begin), np.add.reduceat(ts.mix(values ^ _U(0x2545F4914F6CDD1D)), begin)])
+    names = np.stack([np.add.reduceat(values, begin), np.add.reduceat(seconds, begin)])
     return out, names
 
 
@@ -80,39 +83,29 @@ def _fixed_binary(rows: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, key_a, key_b, sig): set size, 128 bits that name the set, minima. n is 0 (rest null) without words."""
+    """(doc_id, mark, n, key_a, key_b, sig): MD5 of the text, set size, 128 bits that name the set, minima. n is 0 (the last three
+    null) without words."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in ts.chunks(batch.column(1), ts.SPACE_WORDS_LOWER):
-                values, offsets = _distinct(chunk, spec.words)
+            for chunk in ts.chunks(batch.column(2), ts.SPACE_WORDS_LOWER):
+                values, seconds, offsets = _distinct(chunk, spec.words)
                 n = np.diff(offsets)
-                sig, names = _signatures(values, offsets, spec.minima)
+                sig, names = _signatures(values, seconds, offsets, spec.minima)
                 row = np.cumsum(n > 0) - 1
                 take = pa.array(row, mask=n == 0)
-                ids = batch.column(0).slice(chunk.first, chunk.n)
+                part = batch.slice(chunk.first, chunk.n)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(n), *(pa.array(x.view(np.int64)).take(take) for x in names), _fixed_binary(sig).take(take)],
-                    ["doc_id", "n", "key_a", "key_b", "sig"],
+                    [part.column(0), part.column(1), pa.array(n), *(pa.array(x.view(np.int64)).take(take) for x in names), _fixed_binary(sig).take(take)],
+                    ["doc_id", "mark", "n", "key_a", "key_b", "sig"],
                 )
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return arrow(source, scan, "doc_id long, n long, key_a long, key_b long, sig binary")
+    return arrow(_source(docs, id_col, text_col), scan, "doc_id long, mark string, n long, key_a long, key_b long, sig binary")
 
 
-def _sets(docs: DataFrame, spec: NearDup) -> DataFrame:
-    """(doc_id, set) with the sorted 64-bit shingle hashes as bytes."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in ts.chunks(batch.column(1), ts.SPACE_WORDS_LOWER):
-                values, offsets = _distinct(chunk, spec.words)
-                packed = pa.Array.from_buffers(
-                    pa.binary(), chunk.n, [None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(values)]
-                )
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, chunk.n), packed], ["doc_id", "set"])
-
-    return arrow(docs.select("doc_id", "text"), scan, "doc_id long, set binary")
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.md5(text.cast("binary")).alias("mark"), text.alias("text"))
 
 
 def _alike(pairs: DataFrame, classes: DataFrame, spec: NearDup) -> DataFrame:
@@ -124,8 +117,8 @@ def _alike(pairs: DataFrame, classes: DataFrame, spec: NearDup) -> DataFrame:
                 x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for k in (2, 3))
                 yield batch.select([0, 1]).filter(pa.array((x == y).mean(axis=1) >= spec.loose))
 
-    left = classes.select(F.col("rep").alias("u"), F.col("n").alias("n_u"), F.col("sig").alias("sig_u"))
-    right = classes.select(F.col("rep").alias("v"), F.col("n").alias("n_v"), F.col("sig").alias("sig_v"))
+    left = classes.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("sig").alias("sig_u"))
+    right = classes.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("sig").alias("sig_v"))
     near = (
         pairs.join(left, "u")
         .join(right, "v")
@@ -135,44 +128,71 @@ def _alike(pairs: DataFrame, classes: DataFrame, spec: NearDup) -> DataFrame:
     return arrow(near, scan, "u long, v long")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, spec: NearDup) -> DataFrame:
-    """Pairs (u, v) whose whole sets meet the similarity."""
+def _shingles(texts: list[pa.Array], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number, text) of the distinct shingles of arrays of texts that follow each other, sorted; numbers tell sequences apart
+    word by word. Texts of fewer words have none: they are linked with nothing but their own class."""
+    known, ids, counts = {}, [], [np.zeros(1, np.int64)]
+    for array in texts:
+        for chunk in ts.chunks(array, ts.SPACE_WORDS_LOWER):
+            ids.append(ts.exact_ids(chunk.words(0, len(chunk.code)), known))
+            counts.append(np.diff(chunk.at))
+    number, text = ts.exact_windows(np.concatenate(ids) if ids else np.empty(0, np.int64), np.cumsum(np.concatenate(counts)), words)
+    order = np.lexsort((text, number))
+    number, text = number[order], text[order]
+    new = np.ones(len(number), bool)
+    new[1:] = (number[1:] != number[:-1]) | (text[1:] != text[:-1])
+    return number[new], text[new]
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = (np.frombuffer(z.as_buffer(), _U) for z in (x, y))
-                both = np.sort(np.concatenate((x, y)))
-                same = int((both[1:] == both[:-1]).sum())
-                good[i] = 100 * same >= spec.percent * (len(x) + len(y) - same)
-            yield batch.select([0, 1]).filter(pa.array(good))
 
-    left = sets.select(F.col("doc_id").alias("u"), F.col("set").alias("set_u"))
-    right = sets.select(F.col("doc_id").alias("v"), F.col("set").alias("set_v"))
-    return arrow(pairs.join(left, "u").join(right, "v").select("u", "v", "set_u", "set_v"), scan, "u long, v long")
+def _slices(batch: pa.RecordBatch, columns: list[int]) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about a chunk of text bytes."""
+    total, at = np.cumsum(sum(pc.binary_length(batch.column(k)).to_numpy(zero_copy_only=False).astype(np.int64) for k in columns)), 0
+    while at < batch.num_rows:
+        after = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + ts.CHUNK_BYTES, "right")))
+        yield batch.slice(at, after - at)
+        at = after
 
 
-def _rest(met: DataFrame, label: DataFrame, sets: DataFrame, spec: NearDup) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, spec: NearDup) -> DataFrame:
+    """Pairs (u, v) whose whole shingle sets, compared word by word, meet the similarity."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch, [2, 3]) if batch.num_rows else ():
+                n = part.num_rows
+                number, text = _shingles([part.column(2), part.column(3)], spec.words)
+                size, pair = np.bincount(text, minlength=2 * n), text % n
+                order = np.lexsort((number, pair))
+                twice = (number[order][1:] == number[order][:-1]) & (pair[order][1:] == pair[order][:-1])
+                same = np.bincount(pair[order][1:][twice], minlength=n)
+                good = (same > 0) & (100 * same >= spec.percent * (size[:n] + size[n:] - same))
+                yield part.select([0, 1]).filter(pa.array(good))
+
+    left = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
+    right = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
+    return arrow(pairs.join(left, "u").join(right, "v").select("u", "v", "text_u", "text_v"), scan, "u long, v long")
+
+
+def _rest(met: DataFrame, label: DataFrame, texts: DataFrame, spec: NearDup) -> DataFrame:
     """Links (u, v) between different components that still share a band, enough of them to join what they join.
 
     Representatives are packed into blocks of bounded size, near ones together; blocks that meet in a band with different
     components are compared whole, exactly and in place, so that no pair is written out unless it is a link.
     """
-    here = met.join(label, "rep")
+    here = met.join(label, "node")
     live = here.groupBy("band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("band")
     here = cut(here.join(live, "band"))
-    members = cut(here.select("rep", "near", "comp").distinct().join(sets.select(F.col("doc_id").alias("rep"), "set"), "rep"))
-    sized = members.select("rep", "near", (F.octet_length("set") / 8).cast("long").alias("n"), F.xxhash64("rep").alias("h"))
+    members = cut(here.select("node", "near", "comp").distinct().join(texts, "node"))
+    sized = members.select("node", "near", "n", F.xxhash64("node").alias("h"))
     placed = running_sum(sized, ["near"], F.col("n"), "h", sized.count(), "before")
-    block_of = cut(placed.select("rep", F.xxhash64("near", F.floor(F.col("before") / BLOCK_SHINGLES)).alias("block")).distinct())
+    block_of = cut(placed.select("node", F.xxhash64("near", F.floor(F.col("before") / BLOCK_SHINGLES)).alias("block")).distinct())
     blocks = table(
-        members.join(block_of, "rep").groupBy("block").agg(F.collect_list(F.struct("rep", "comp", "set")).alias("rows")).withColumn(
-            "rows", F.struct(F.col("rows.rep").alias("rep"), F.col("rows.comp").alias("comp"), F.col("rows.set").alias("set"))
+        members.join(block_of, "node").groupBy("block").agg(F.collect_list(F.struct("node", "comp", "text")).alias("rows")).withColumn(
+            "rows", F.struct(F.col("rows.node").alias("node"), F.col("rows.comp").alias("comp"), F.col("rows.text").alias("text"))
         ),
         "blocks",
     )
-    spots = cut(here.join(block_of, "rep").groupBy("band", "block").agg(F.min("comp").alias("low"), F.max("comp").alias("high")))
+    spots = cut(here.join(block_of, "node").groupBy("band", "block").agg(F.min("comp").alias("low"), F.max("comp").alias("high")))
     a, b = spots.alias("a"), spots.alias("b")
     differ = F.least("a.low", "b.low") < F.greatest("a.high", "b.high")
     meet = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.block") <= F.col("b.block")) & differ).select(F.col("a.block").alias("x"), F.col("b.block").alias("y")).distinct()
@@ -181,21 +201,22 @@ def _rest(met: DataFrame, label: DataFrame, sets: DataFrame, spec: NearDup) -> D
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for left, right in zip(batch.column(0), batch.column(1)):
-                found = _between(left.as_py(), right.as_py(), spec.percent)
+                found = _between(left.as_py(), right.as_py(), spec)
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["u", "v"])
 
     return arrow(both.select("left", "right"), scan, "u long, v long").distinct()
 
 
-def _between(left: dict, right: dict, percent: int) -> list[tuple[int, int]]:
-    """Links that join different components of two blocks: whole sets are intersected, and a link is left out only
-    if the links before it already join its ends."""
-    parts = [np.frombuffer(x, _U) for x in right["set"]]
-    size = np.array([len(x) for x in parts])
-    value, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), size)
-    order = np.argsort(value, kind="stable")
-    value, owner = value[order], owner[order]
+def _between(left: dict, right: dict, spec: NearDup) -> list[tuple[int, int]]:
+    """Links that join different components of two blocks: whole sets are intersected, word by word, and a link is left out
+    only if the links before it already join its ends."""
+    n = len(left["text"])
+    number, text = _shingles([pa.array(left["text"], pa.string()), pa.array(right["text"], pa.string())], spec.words)
+    value, owner = number[text >= n], text[text >= n] - n  # sorted by number
+    size = np.bincount(owner, minlength=len(right["text"]))
+    order = np.argsort(text, kind="stable")
+    own_at = np.searchsorted(text[order], np.arange(n + 1))
     top = {c: c for c in {*left["comp"], *right["comp"]}}
 
     def root(c: int) -> int:
@@ -205,72 +226,82 @@ def _between(left: dict, right: dict, percent: int) -> list[tuple[int, int]]:
         return c
 
     found = []
-    for rep, comp, own in zip(left["rep"], left["comp"], left["set"]):
-        own = np.frombuffer(own, _U)
+    for i, (node, comp) in enumerate(zip(left["node"], left["comp"])):
+        own = number[order[own_at[i] : own_at[i + 1]]]
         begin, end = np.searchsorted(value, own, "left"), np.searchsorted(value, own, "right")
         count = end - begin
-        at = np.repeat(begin - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-        same = np.bincount(owner[at], minlength=len(parts))
-        for j in np.flatnonzero(100 * same >= percent * (len(own) + size - same)).tolist():
+        at = np.repeat(begin - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum()) if len(own) else np.empty(0, np.int64)
+        same = np.bincount(owner[at], minlength=len(size))
+        for j in np.flatnonzero((same > 0) & (100 * same >= spec.percent * (len(own) + size - same))).tolist():
             p, q = root(comp), root(right["comp"][j])
             if p != q:
                 top[p] = q
-                found.append((rep, right["rep"][j]))
+                found.append((node, right["node"][j]))
     return found
 
 
+def _judged(docs: DataFrame, spec: NearDup, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, mark, n, first) of each row: first is the least (doc_id, mark) of its component; null without an id or words."""
+    signed = table(signatures(docs, spec, id_col, text_col), "signatures")
+    full = signed.where("n > 0 and doc_id is not null")
+    classes = full.groupBy("key_a", "key_b", "n").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.min("sig").alias("sig"))
+    classes = table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")  # numbers are fixed once written
+    bands = spec.minima // ROWS
+    band = F.posexplode(F.array(*(F.xxhash64(F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS), F.lit(k)) for k in range(bands))))
+    spread = classes.select("node", band).select(F.col("col").alias("band"), "node")
+    shared = spread.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band", "low")
+    met = table(spread.join(shared, "band"), "bands")
+    some = cut(met.groupBy("node").agg(F.min("low").alias("near")))
+    known = classes.join(small(some.select("node")), "node", "left_semi")
+    wanted = cut(known.select("node", "n", "first.doc_id", "first.mark"))
+    texts = table(_source(docs, id_col, text_col).join(small(wanted, WIDE_ROWS), ["doc_id", "mark"]).select("node", "n", "text"), "near-texts")
+    if texts.count() > wanted.count():  # rows that repeat id and text
+        texts = table(texts.dropDuplicates(["node"]), "near-texts")
+    pivots = met.where("node <> low").select(F.col("low").alias("u"), F.col("node").alias("v")).distinct()
+    links = cut(_links(cut(_alike(pivots, known, spec)), texts, spec))
+    comps = components(links)
+    label = cut(some.join(comps, "node", "left").select("node", "near", F.coalesce("component", "node").alias("comp")))
+    links = links.unionByName(cut(_rest(met.select("band", "node"), label, texts, spec)))
+    label = cut(components(links).join(classes.select("node", "first"), "node"))
+    least = label.groupBy("component").agg(F.min("first").alias("least"))
+    label = cut(label.join(least, "component").select("node", "least"))
+    named = cut(classes.select("key_a", "key_b", "n", "node", "first").join(label, "node", "left").select("key_a", "key_b", "n", F.coalesce("least", "first").alias("first")))
+    placed = full.select("doc_id", "mark", "n", "key_a", "key_b").join(named, ["key_a", "key_b", "n"]).select("doc_id", "mark", "n", "first")
+    return placed.unionByName(signed.where("n = 0 or doc_id is null").select("doc_id", "mark", "n", F.lit(None).cast(placed.schema["first"].dataType).alias("first")))
+
+
 def near_duplicates(docs: DataFrame, spec: NearDup = NearDup(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept (is that one).
 
-    Documents with equal shingle sets are one class, so copies never become pairs. Class representatives meet in
-    bands; in each band its smallest is compared with the rest, and where a band then still holds more than one
+    Documents with equal shingle sets (named by 128 bits) are one class, so copies never become pairs. Class representatives
+    meet in bands; in each band its smallest is compared with the rest, and where a band then still holds more than one
     component, bounded blocks of representatives are compared across components, so that no link between components
-    is lost and none is expanded within a group. Every accepted link was confirmed on the whole shingle sets.
+    is lost and none is expanded within a group. Every accepted link was confirmed on the words of the whole shingle sets.
 
     Null or empty texts have n_shingles 0 and link with nothing; null ids give one row each with null component
-    and kept true; repeated rows of one id stay rows of one component; other columns are ignored; an empty table
-    gives no rows.
+    and kept true; rows of one id with different texts are documents of their own under that id; repeated rows stay rows of
+    one component; other columns are ignored; an empty table gives no rows.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = table(signatures(source, spec), "signatures")
-    full = signed.where("n > 0 and doc_id is not null")
-    classes = table(
-        full.groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "classes"
-    )
-    bands = spec.minima // ROWS
-    band = F.posexplode(F.array(*(F.xxhash64(F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS), F.lit(k)) for k in range(bands))))
-    spread = classes.select("rep", band).select(F.col("col").alias("band"), "rep")
-    shared = spread.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("band", "low")
-    met = table(spread.join(shared, "band"), "bands")
-    some = cut(met.groupBy("rep").agg(F.min("low").alias("near")))
-    chosen = source.join(small(some.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi")
-    sets = table(_sets(chosen, spec), "sets")
-    known = classes.join(small(some.select("rep")), "rep", "left_semi")
-    pivots = met.where("rep <> low").select(F.col("low").alias("u"), F.col("rep").alias("v")).distinct()
-    links = cut(_links(cut(_alike(pivots, known, spec)), sets, spec))
-    comps = components(links)
-    label = cut(some.join(comps, some.rep == comps.node, "left").select("rep", "near", F.coalesce("component", "rep").alias("comp")))
-    links = links.unionByName(cut(_rest(met.select("band", "rep"), label, sets, spec)))
-    comps = components(links)
-    label = cut(comps.select(F.col("node").alias("rep"), F.col("component").alias("comp")))
-    named = cut(
-        classes.select("key_a", "key_b", "n", "rep")
-        .join(label, "rep", "left")
-        .select("key_a", "key_b", "n", F.coalesce("comp", "rep").alias("component_id"))
-    )
-    placed = full.select("doc_id", "n", "key_a", "key_b").join(named, ["key_a", "key_b", "n"]).select("doc_id", "n", "component_id")
-    bare = signed.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return placed.unionByName(bare).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    component = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    return _judged(docs, spec, id_col, text_col).select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     )
 
 
 def without_near_duplicates(docs: DataFrame, spec: NearDup = NearDup()) -> DataFrame:
-    """docs with one row of each component, the one of the smallest doc_id, and all rows without id; columns stay as they are."""
-    found = table(near_duplicates(docs, spec), "near-duplicates")
-    gone = table(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    left = docs.join(small(gone), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    named = found.where("doc_id is not null")
-    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    """docs with one row of each component: the one of the smallest doc_id, then of the smallest MD5 of its text; columns stay as
+    they are. Rows without id or words link with nothing and all stay; of rows that repeat id and text one stays, the
+    least by its other columns; an empty table gives no rows."""
+    found = table(_judged(docs, spec), "near-duplicates").where("first is not null")
+    own = F.struct("doc_id", "mark")
+    gone = table(found.where(own != F.col("first")).select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_mark")).distinct(), "gone")
+    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_own": F.md5(F.col("text").cast("string").cast("binary"))})
+    left = keyed.join(small(gone, WIDE_ROWS), (F.col("_id") == F.col("_gone")) & (F.col("_own") == F.col("_mark")), "left_anti")
+    twins = table(found.where(own == F.col("first")).groupBy("doc_id", "mark").count().where("count > 1").select(F.col("doc_id").alias("_twin"), F.col("mark").alias("_of")), "twins")
+    if twins.isEmpty():
+        return left.select(*docs.columns)
+    same = (F.col("_id") == F.col("_twin")) & (F.col("_own") == F.col("_of"))
+    rest = F.to_json(F.struct(*(c for c in docs.columns if c != "text")), {"ignoreNullFields": "false"})
+    order = Window.partitionBy("_id", "_own").orderBy("_row")
+    many = left.join(small(twins, WIDE_ROWS), same, "left_semi").withColumn("_row", rest).withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    return left.join(small(twins, WIDE_ROWS), same, "left_anti").select(*docs.columns).unionByName(many.select(*docs.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000  # of one or two numbers each: 16 MB at most
+BROADCAST_ROWS = 1_000_000  # of one or two numbers each: 16 MB at most; callers with wider rows give a lower bound
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

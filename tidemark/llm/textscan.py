@@ -1,21 +1,24 @@
 """Vectorised word hashing for Arrow batches of texts.
 
-A batch's UTF-8 bytes are scanned as one numpy array: a 256-entry table tells word bytes
-from separators (and lower-cases A-Z where asked), words get polynomial 64-bit hashes from
-prefix sums, and word sequences get theirs the same way. No per-word Python objects are made.
+A batch's UTF-8 bytes are scanned as one numpy array: a 256-entry table tells word bytes from separators and lower-cases
+A-Z where asked. A word of up to SHORT bytes is known by those bytes and their number, so no two share a code; a longer one
+by a hash of its eight-byte parts. Hashes of word sequences are trees of mixed pairs, in two independent families. None is
+a polynomial, and operators whose result is about words compare the words where hashes have found the place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C55, 0xD6E8FEB86659FD93
+SHORT = 7  # bytes that fit a code beside their number
 CHUNK_BYTES = 2 << 20  # text bytes scanned at once; one longer text is a chunk of its own
+LONG = 64  # bytes of a word beyond which it is digested apart from the others
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -28,31 +31,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below n at least."""
-    have = _POWERS.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16)
-        with np.errstate(over="ignore"):
-            up, down = np.full(size, base, _U), np.full(size, pow(base, -1, 1 << 64), _U)
-            up[0] = down[0] = 1
-            have = np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
-        if size <= 2 * CHUNK_BYTES:
-            _POWERS[base] = have
-    return have[0][:n], have[1][:n]
-
-
-def byte_table(separators: bytes, lower: bool) -> np.ndarray:
-    """Byte -> 0 for separators, else a random-looking odd-or-even 64-bit value of the (lower-cased) byte."""
-    code = np.arange(256, dtype=_U)
+def byte_table(separators: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte, whether it belongs to a word, and the byte that stands for it."""
+    inside, shown = np.ones(256, bool), np.arange(256, dtype=np.uint8)
+    inside[list(separators)] = False
     if lower:
-        code[65:91] += _U(32)
-    table = mix(code + _U(0x5851F42D4C957F2D)) | _U(1 << 63)
-    table[list(separators)] = 0
-    return table
+        shown[65:91] += 32
+    return inside, shown
 
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -71,13 +56,63 @@ class Chunk:
     data: np.ndarray  # the texts' bytes
     start: np.ndarray  # of each word, in data
     end: np.ndarray
-    word: np.ndarray  # hash of each word
+    code: np.ndarray  # of each word
     at: np.ndarray  # words of text i: at[i] .. at[i + 1]
     cut: np.ndarray  # bytes of text i: cut[i] .. cut[i + 1]
+    shown: np.ndarray  # the bytes with their letters lower-cased where asked, then seven zeros
 
     def text_bytes(self, i: int) -> tuple[int, int]:
         return int(self.cut[i]), int(self.cut[i + 1])
 
+    def words(self, first: int, last: int) -> list[bytes]:
+        """Words first .. last - 1."""
+        if first >= last:
+            return []
+        low = int(self.start[first])
+        held = self.shown[low : self.end[last - 1]].tobytes()
+        return [held[a:b] for a, b in zip((self.start[first:last] - low).tolist(), (self.end[first:last] - low).tolist())]
+
+
+def _eight(padded: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, of bytes that seven zeros follow."""
+    return np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+
+
+def _low(size: np.ndarray) -> np.ndarray:
+    """Masks of the first `size` bytes, seven at most."""
+    return (_U(1) << (size.astype(_U) * _U(8))) - _U(1)
+
+
+def _long_codes(padded: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of words of more than SHORT bytes, eight bytes after eight; of very long ones a digest."""
+    eight, code = _eight(padded), mix(size.astype(_U) + _U(0x5851F42D4C957F2D))
+    live, done = np.flatnonzero(size <= LONG), 0
+    while len(live):
+        left = size[live] - done
+        part = eight[start[live] + done]
+        part = np.where(left < 8, part & _low(np.minimum(left, SHORT)), part)
+        code[live] = mix((code[live] ^ part) * _U(0x9FB21C651E98DF25) + _U(done))
+        done += 8
+        live = live[left > 8]
+    for i in np.flatnonzero(size > LONG).tolist():
+        code[i] = int.from_bytes(blake2b(padded[start[i] : start[i] + size[i]].tobytes(), digest_size=8).digest(), "little")
+    return code
+
+
+def equal_words(a: np.ndarray, start_a: np.ndarray, b: np.ndarray, start_b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether words of the same size, in bytes a and b that seven zeros follow, are equal."""
+    eight_a, eight_b, out = _eight(a), _eight(b), np.ones(len(size), bool)
+    live, done = np.flatnonzero(size <= LONG), 0
+    while len(live):
+        left = size[live] - done
+        differ = eight_a[start_a[live] + done] ^ eight_b[start_b[live] + done]
+        out[live] = np.where(left < 8, differ & _low(np.minimum(left, SHORT)), differ) == 0
+        done += 8
+        live = live[(left > 8) & out[live]]
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] = np.array_equal(a[start_a[i] : start_a[i] + size[i]], b[start_b[i] : start_b[i] + size[i]])
+    return out
+
 
 def _bytes(texts) -> tuple[np.ndarray, np.ndarray]:
     """All bytes and the n + 1 offsets of a string array; null is empty."""
@@ -90,7 +125,7 @@ def _bytes(texts) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def chunks(texts, table: np.ndarray) -> Iterator[Chunk]:
+def chunks(texts, table: tuple[np.ndarray, np.ndarray]) -> Iterator[Chunk]:
     """Scan a string array in chunks of about CHUNK_BYTES."""
     if len(texts) == 0:
         return
@@ -102,36 +137,51 @@ def chunks(texts, table: np.ndarray) -> Iterator[Chunk]:
         first = last
 
 
-def _chunk(first: int, data: np.ndarray, cut: np.ndarray, table: np.ndarray) -> Chunk:
-    n = len(cut) - 1
-    if not len(data):
-        none = np.empty(0, np.int64)
-        return Chunk(first, n, data, none, none, np.empty(0, _U), np.zeros(n + 1, np.int64), cut)
-    value = table[data]
-    inside = value != 0
-    begins = inside.copy()
+def _edges(data: np.ndarray, cut: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of texts that lie end to end."""
+    inside = inside[data]
+    begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
-    ends = inside.copy()
     ends[:-1] &= ~inside[1:]
     edge = np.unique(cut[(cut > 0) & (cut < len(data))])
     begins[edge] = inside[edge]
     ends[edge - 1] = inside[edge - 1]
-    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = powers(_BYTE_BASE, len(data))
-    total = np.zeros(len(data) + 1, _U)
-    np.cumsum(value * up, out=total[1:])
-    word = (total[end] - total[start]) * down[start]
-    word = mix(word + (end - start).astype(_U) * _U(0xA0761D6478BD642F))
-    return Chunk(first, n, data, start, end, word, np.searchsorted(start, cut).astype(np.int64), cut)
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def _chunk(first: int, data: np.ndarray, cut: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> Chunk:
+    n, none = len(cut) - 1, np.empty(0, np.int64)
+    if not len(data):
+        return Chunk(first, n, data, none, none, np.empty(0, _U), np.zeros(n + 1, np.int64), cut, data)
+    start, end = _edges(data, cut, table[0])
+    padded, size = np.zeros(len(data) + 7, np.uint8), end - start
+    np.take(table[1], data, out=padded[: len(data)])
+    short = np.minimum(size, SHORT)
+    code = (_eight(padded)[start] & _low(short)) | (short.astype(_U) << _U(56))
+    long = np.flatnonzero(size > SHORT)
+    code[long] = _long_codes(padded, start[long], size[long])
+    return Chunk(first, n, data, start, end, code, np.searchsorted(start, cut).astype(np.int64), cut, padded)
+
 
+_FAMILIES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
-def sequence_hash(word: np.ndarray, begin: np.ndarray, length) -> np.ndarray:
-    """Hashes of the word sequences that begin at `begin` and have `length` words (a number or an array)."""
-    up, down = powers(_WORD_BASE, len(word) + 1)
-    total = np.zeros(len(word) + 1, _U)
-    np.cumsum(word * up[: len(word)], out=total[1:])
-    size = np.asarray(length, np.int64)
-    return mix((total[begin + size] - total[begin]) * down[begin] + size.astype(_U) * _U(0xE7037ED1A0B428DB))
+
+def sequence_hash(code: np.ndarray, begin: np.ndarray, length: int, family: int = 0) -> np.ndarray:
+    """Hashes of the sequences of `length` words that begin at `begin`."""
+    left, right = (_U(x) for x in _FAMILIES[family])
+
+    def pairs(x: np.ndarray, y: np.ndarray, apart: int) -> np.ndarray:
+        """Of the sequences in x followed, `apart` words on, by those in y."""
+        n = max(0, min(len(x), len(y) - apart))
+        return mix(x[:n] * left + y[apart : apart + n] * right + _U(apart))
+
+    power, size, out, have = mix(code + right), 1, None, 0
+    while True:
+        if length & size:
+            out, have = (power, size) if out is None else (pairs(out, power, have), have + size)
+        if 2 * size > length:
+            return out[begin] if len(begin) else np.empty(0, _U)
+        power, size = pairs(power, power, size), 2 * size
 
 
 def window_starts(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,20 +194,30 @@ def window_starts(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 def word_counts(texts, separators: bytes) -> np.ndarray:
     """Number of words of each text."""
     data, offsets = _bytes(texts)
-    counts = np.zeros(len(offsets) - 1, np.int64)
-    is_word = np.ones(256, bool)
-    is_word[list(separators)] = False
-    first = 0
+    inside, counts, first = byte_table(separators, False)[0], np.zeros(len(offsets) - 1, np.int64), 0
     while first < len(counts):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + 4 * CHUNK_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1)
         part, at = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         if len(part):
-            inside = is_word[part]
-            begins = inside.copy()
-            begins[1:] &= ~inside[:-1]
-            edge = at[(at > 0) & (at < len(part))]
-            begins[edge] = inside[edge]
-            where = np.flatnonzero(begins)
-            counts[first:last] = np.diff(np.searchsorted(where, at))
+            counts[first:last] = np.diff(np.searchsorted(_edges(part, at, inside)[0], at))
         first = last
     return counts
+
+
+def exact_ids(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+    """A number for each word, the same for the same word, from 0 on."""
+    return np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
+
+
+def exact_windows(ids: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number, text) of each window of `length` words of texts at[i] .. at[i + 1]: equal numbers for equal sequences, told
+    apart word by word and not by hashes."""
+    begin, text = window_starts(at, length)
+    rank, have = ids, 1
+    while have < length:
+        step = min(have, length - have)  # windows of `have` words, `step` further on, overlap or touch
+        pair = np.stack((rank[: len(rank) - step], rank[step:]), axis=1) if len(rank) > step else np.empty((0, 2), np.int64)
+        top = int(rank.max()) + 1 if len(rank) else 1
+        rank = np.unique(pair[:, 0] * top + pair[:, 1], return_inverse=True)[1] if len(pair) else np.empty(0, np.int64)
+        have += step
+    return (rank[begin] if len(begin) else np.empty(0, np.int64)), text

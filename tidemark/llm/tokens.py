@@ -24,7 +24,8 @@ from tidemark.llm import textscan as ts
 from tidemark.llm.scratch import arrow, shared_dir
 from tidemark.llm.sizes import small
 
-CACHE_WORDS = 1_000_000  # distinct words that a worker keeps, as numbers, about 40 bytes each; then it starts anew
+CACHE_WORDS = 600_000  # distinct words that a worker keeps, as numbers, 40 bytes each beside their ids; then it starts anew
+CACHE_BYTES = 32 << 20  # bytes of those words
 CACHE_PIECES = 60_000
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
@@ -59,7 +60,8 @@ def _splits_letters(spec: dict) -> bool:
 
 class WordEncoder:
     """Ids of texts, word by word: the tokenizer drops white space, so the ids of a text are those of its
-    ASCII-space-separated words one after the other, and each distinct word is encoded once, known by a 64-bit hash."""
+    ASCII-space-separated words one after the other, and each distinct word is encoded once. A word is looked up by its code
+    and then compared byte by byte; one that shares its code with another is encoded on its own."""
 
     def __init__(self, spec: str):
         self.tokenizer = Tokenizer.from_str(spec)
@@ -69,8 +71,10 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.hashes, self.begin, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.codes = np.empty(0, np.uint64)
+        self.begin, self.size, self.place, self.width = (np.empty(0, np.int64) for _ in range(4))  # of the ids, and of the bytes
         self.ids, self.used = np.empty(1 << 16, np.int32), 0
+        self.bytes, self.filled = np.zeros(1 << 16, np.uint8), 0
         self.pieces: dict[str, list[int]] = {}
 
     def _encoded(self, words: list[str]) -> list[list[int]]:
@@ -116,8 +120,8 @@ class WordEncoder:
                 out[i] = ids
         return out
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        all_ids = self._all_ids(words)
+    def _add_ids(self, all_ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of words are kept from now on, and how many."""
         size = np.fromiter(map(len, all_ids), np.int64, len(all_ids))
         flat = np.fromiter((x for ids in all_ids for x in ids), np.int32, int(size.sum()))
         if self.used + len(flat) > len(self.ids):
@@ -125,25 +129,49 @@ class WordEncoder:
         self.ids[self.used : self.used + len(flat)] = flat
         begin = self.used + np.cumsum(size) - size
         self.used += len(flat)
-        at = np.searchsorted(self.hashes, hashes)  # hashes are sorted and new
-        self.hashes, self.begin, self.size = (np.insert(old, at, new) for old, new in ((self.hashes, hashes), (self.begin, begin), (self.size, size)))
+        return begin, size
+
+    def _learn(self, codes: np.ndarray, words: list[bytes]) -> None:
+        begin, size = self._add_ids(self._all_ids([w.decode("utf-8", "replace") for w in words]))
+        held = np.frombuffer(b"".join(words), np.uint8)
+        if self.filled + len(held) + 7 > len(self.bytes):
+            self.bytes = np.concatenate((self.bytes, np.zeros(max(len(self.bytes), len(held) + 7), np.uint8)))
+        self.bytes[self.filled : self.filled + len(held)] = held
+        width = np.fromiter(map(len, words), np.int64, len(words))
+        place = self.filled + np.cumsum(width) - width
+        self.filled += len(held)
+        at = np.searchsorted(self.codes, codes)  # codes are sorted and new
+        self.codes, self.begin, self.size, self.place, self.width = (
+            np.insert(old, at, new) for old, new in ((self.codes, codes), (self.begin, begin), (self.size, size), (self.place, place), (self.width, width))
+        )
+
+    def _apart(self, chunk: ts.Chunk, at: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        """Sets begin and size where a word's bytes are not those that its code was learned with."""
+        width = chunk.end - chunk.start
+        same = width == self.width[at]
+        long = np.flatnonzero(same & (width > ts.SHORT))  # shorter words have codes of their own
+        same[long] = ts.equal_words(chunk.shown, chunk.start[long], self.bytes, self.place[at[long]], width[long])
+        other = np.flatnonzero(~same)
+        if len(other):
+            words = [chunk.shown[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(chunk.start[other].tolist(), chunk.end[other].tolist())]
+            begin[other], size[other] = self._add_ids(self._all_ids(words))
 
     def __call__(self, texts: pa.Array, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For runs of texts: the first text's place, all ids, each text's followed by end_id, and the run's n + 1 offsets."""
         for chunk in ts.chunks(texts, ts.SPACE_WORDS):
-            if len(self.hashes) > CACHE_WORDS:
+            if len(self.codes) > CACHE_WORDS or self.filled > CACHE_BYTES:
                 self._forget()
-            words, first, which = np.unique(chunk.word, return_index=True, return_inverse=True)
-            near = np.searchsorted(self.hashes, words)
+            words, first, which = np.unique(chunk.code, return_index=True, return_inverse=True)
+            near = np.searchsorted(self.codes, words)
             known = np.zeros(len(words), bool)
-            inside = near < len(self.hashes)
-            known[inside] = self.hashes[near[inside]] == words[inside]
+            inside = near < len(self.codes)
+            known[inside] = self.codes[near[inside]] == words[inside]
             fresh = first[~known]
             if len(fresh):
-                text = [chunk.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(chunk.start[fresh].tolist(), chunk.end[fresh].tolist())]
-                self._learn(words[~known], text)
-            place = np.searchsorted(self.hashes, words)[which]
-            begin, size = self.begin[place], self.size[place]
+                self._learn(words[~known], [chunk.data[a:b].tobytes() for a, b in zip(chunk.start[fresh].tolist(), chunk.end[fresh].tolist())])
+            at = np.searchsorted(self.codes, words)[which]
+            begin, size = self.begin[at], self.size[at]
+            self._apart(chunk, at, begin, size)
             word_end = np.concatenate(([0], np.cumsum(size)))
             offsets = np.concatenate(([0], np.cumsum(np.diff(word_end[chunk.at]) + 1)))
             out = np.full(offsets[-1], end_id, np.int32)
