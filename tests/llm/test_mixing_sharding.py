@@ -3,9 +3,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.llm import prefix
 from tidemark.llm.mixing import mix, mixed
-from tidemark.llm.sharding import shard
+from tidemark.llm.sharding import cut_edges, shard
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -81,6 +83,47 @@ def test_copies_stay_together(spark, copies):
     assert sum(len(s) for s in spread.values()) <= sum(-(-n // 10) for n in copies) + 2
 
 
+def doubled(spark, rows):
+    """Rows with null ids, repeated ids and repeated rows."""
+    more = [(None, f"{i} " * (i % 7 + 1), "en", "a", 0) for i in range(40)] + [(5, f"{i} x", "en", None, 0) for i in range(20)] + [(6, "same text", "en", "b", 0)] * 2500
+    return spark.createDataFrame(rows + more, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_reruns_agree(spark, rows):
+    frame = doubled(spark, rows)
+    for make in (mix, mixed, lambda d: shard(d, 7)):
+        first, second = (Counter(map(tuple, make(d).collect())) for d in (frame, frame.repartition(5, "text").orderBy("text")))
+        assert first == second
+    assert sum(Counter(map(tuple, shard(frame, 7).collect())).values()) == frame.count()
+    want = Counter()
+    for r in mix(frame).collect():
+        want[r.doc_id, r.source, r.size] += r.copies
+    got = Counter((r.doc_id, r.source, len(WORD.findall(r.text or ""))) for r in mixed(frame).collect())
+    assert got == Counter({k: n for k, n in want.items() if n})
+
+
+def test_prefix_sums_in_levels(spark, monkeypatch):
+    """With windows of four rows at most on average, over several levels of blocks."""
+    monkeypatch.setattr(prefix, "BLOCK_BITS", 2)
+    frame = spark.range(3000).selectExpr("id % 2 AS k", "id", "id % 5 AS v", "xxhash64(id) AS h")
+    got = {r.id: r.before for r in prefix.running_sum(frame, ["k"], F.col("v"), ["h", "id"], 3000, "before").collect()}
+    want, at = {}, Counter()
+    for r in sorted(frame.collect(), key=lambda r: r.h):
+        want[r.id] = at[r.k]
+        at[r.k] += r.v
+    assert got == want
+
+
+def test_cut_edges(spark):
+    rows = [(i, f"t{i % 3}") for i in range(30)] + [(100, None), (101, "alone")]
+    made = shard(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    by = Counter((r.text_md5, r.shard) for r in made if r.text_md5)
+    inside = sum(n * (n - 1) // 2 for n in by.values())
+    got = cut_edges(spark.createDataFrame([(r.text_md5, r.shard) for r in made], "text_md5 string, shard int")).first()
+    assert (int(got.links), int(got.cut)) == (3 * 45, 3 * 45 - inside)
+    assert cut_edges(shard(spark.createDataFrame([], "doc_id long, text string"))).first().links == 0
+
+
 def test_few_rows(spark, none):
     got = shard(spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "doc_id long, text string"), 40).collect()
     assert sorted((r.shard, r.slot) for r in got) == [(0, 0), (1, 0), (2, 0)]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import textscan as ts
 from tidemark.llm.components import components
 from tidemark.llm.prefix import running_sum
-from tidemark.llm.scratch import arrow, cut, table
+from tidemark.llm.scratch import arrow, cut, scope, table
 from tidemark.llm.sizes import small
 
 _U = np.uint64
@@ -242,6 +242,11 @@ def _between(left: dict, right: dict, spec: NearDup) -> list[tuple[int, int]]:
 
 def _judged(docs: DataFrame, spec: NearDup, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, mark, n, first) of each row: first is the least (doc_id, mark) of its component; null without an id or words."""
+    with scope(docs.sparkSession):
+        return table(_components_of(docs, spec, id_col, text_col), "near-duplicates", outer=True)
+
+
+def _components_of(docs: DataFrame, spec: NearDup, id_col: str, text_col: str) -> DataFrame:
     signed = table(signatures(docs, spec, id_col, text_col), "signatures")
     full = signed.where("n > 0 and doc_id is not null")
     classes = full.groupBy("key_a", "key_b", "n").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.min("sig").alias("sig"))
@@ -292,7 +297,7 @@ def without_near_duplicates(docs: DataFrame, spec: NearDup = NearDup()) -> DataF
     """docs with one row of each component: the one of the smallest doc_id, then of the smallest MD5 of its text; columns stay as
     they are. Rows without id or words link with nothing and all stay; of rows that repeat id and text one stays, the
     least by its other columns; an empty table gives no rows."""
-    found = table(_judged(docs, spec), "near-duplicates").where("first is not null")
+    found = _judged(docs, spec).where("first is not null")
     own = F.struct("doc_id", "mark")
     gone = table(found.where(own != F.col("first")).select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_mark")).distinct(), "gone")
     keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_own": F.md5(F.col("text").cast("string").cast("binary"))})

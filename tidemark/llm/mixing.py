@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import textscan as ts
-from tidemark.llm.prefix import running_sum
+from tidemark.llm.prefix import numbered_copies, running_sum
 from tidemark.llm.scratch import arrow, cut, table
 from tidemark.llm.sizes import small
 
 MOST_EPOCHS = 3
 WEIGHTS = 3  # 1, 2, 3, repeating
+SOURCE_ROWS = 50_000  # rows named by a source in a broadcast; sources of 200 bytes make them 15 MB
 
 
 def word_sizes(docs: DataFrame) -> DataFrame:
@@ -54,33 +55,74 @@ def source_targets(sizes: DataFrame, epochs: int = MOST_EPOCHS, weights: int = W
     )
 
 
+def _named(source: Column) -> Column:
+    """A source as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
+def _key(doc_id: str, mark: str, copy: str) -> Column:
+    """A row's hash-random key."""
+    return F.xxhash64(F.col(doc_id), F.col(mark), F.col(copy), F.lit("mix"))
+
+
+def _ordered(docs: DataFrame, epochs: int, weights: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, sources): every row with its key and what comes before it in its source, and each source's budget."""
+    sizes = table(word_sizes(docs), "mix-sizes")
+    targets = cut(source_targets(sizes, epochs, weights))
+    full = F.when(F.col("source_size") > 0, F.least(F.lit(epochs), F.floor(F.col("target") / F.col("source_size")))).otherwise(F.lit(0)).cast("int")
+    sources = cut(targets.withColumn("full", full).withColumn("_source", _named(F.col("source"))).withColumn("budget", F.col("target") - F.col("full") * F.col("source_size")))
+    keyed = table(numbered_copies(sizes, ["doc_id", "source", "size", "mark"], "copy").withColumn("h", _key("doc_id", "mark", "copy")).withColumn("_source", _named(F.col("source"))), "mix-keys")
+    return running_sum(keyed, ["_source"], F.col("size"), ["h", "doc_id", "mark", "copy"], keyed.count(), "before"), sources
+
+
 def mix(docs: DataFrame, epochs: int = MOST_EPOCHS, weights: int = WEIGHTS) -> DataFrame:
-    """(doc_id, source, size, mark, source_size, target, copies, taken) for every row of docs.
+    """(doc_id, source, size, mark, copy, h, source_size, target, copies, taken) for every row of docs.
 
-    Documents of a source are put in the order of a hash of their id. All are taken floor(target / source_size) times;
-    of the remaining budget, whole documents are taken in that order while their middle lies within it, so a source
-    misses its target by half a document at most. taken = copies * size. Reruns give the same rows.
+    Documents of a source are put in the order of a hash of their id, text and, among equal rows, number. All are taken
+    floor(target / source_size) times; of the remaining budget, whole documents are taken in that order while their middle
+    lies within it, so a source misses its target by half a document at most. taken = copies * size. Reruns give the same
+    rows, whatever the order of the input.
 
-    Null texts have size 0; null sources are one source, the last; null ids share one place in the order; repeated rows
-    are taken apart; without any words every target is 0; an empty table gives no rows.
+    Null texts have size 0; null sources are one source, the last; null ids are ids like others; repeated rows are taken
+    apart; without any words every target is 0; an empty table gives no rows.
     """
-    sizes = table(word_sizes(docs).withColumn("h", F.xxhash64("doc_id", F.lit("mix"))), "mix-sizes")
-    targets = cut(source_targets(sizes, epochs, weights))
-    marked = targets.withColumn("full", F.when(F.col("source_size") > 0, F.least(F.lit(epochs), F.floor(F.col("target") / F.col("source_size")))).otherwise(F.lit(0)))
-    keyed = sizes.withColumn("_source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
-    ranked = running_sum(keyed, ["_source"], F.col("size"), "h", sizes.count(), "before")
-    joined = ranked.join(small(marked.withColumn("_source", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).drop("source")), "_source")
-    budget = F.col("target") - F.col("full") * F.col("source_size")
-    more = (F.col("before") + F.col("size") / 2 <= budget) & (F.col("full") < epochs) & (F.col("size") > 0)
-    return joined.withColumn("copies", (F.col("full") + more.cast("int")).cast("int")).select(
-        "doc_id", "source", "size", "mark", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken")
+    ranked, sources = _ordered(docs, epochs, weights)
+    joined = ranked.join(small(sources.drop("source"), SOURCE_ROWS), "_source")
+    more = (F.col("before") + F.col("size") / 2 <= F.col("budget")) & (F.col("full") < epochs) & (F.col("size") > 0)
+    return joined.withColumn("copies", F.col("full") + more.cast("int")).select(
+        "doc_id", "source", "size", "mark", "copy", "h", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken")
     )
 
 
 def mixed(docs: DataFrame, epochs: int = MOST_EPOCHS, weights: int = WEIGHTS) -> DataFrame:
-    """docs with every row as often as mix() takes it; the columns stay as they are."""
-    same = ["_id", "_source", "_mark"]
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_source": F.col("source").cast("string"), "_mark": F.xxhash64(F.col("text").cast("string"))})
-    taken = mix(docs, epochs, weights).where("copies > 0").groupBy(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("mark").alias("_m")).agg(F.sum("copies").cast("int").alias("_n"))
-    on = keyed["_id"].eqNullSafe(taken["_i"]) & keyed["_source"].eqNullSafe(taken["_s"]) & keyed["_mark"].eqNullSafe(taken["_m"])
-    return keyed.dropDuplicates(same).join(taken, on).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_n")))).select(*docs.columns)
+    """docs with every row as often as mix() takes it; the columns stay as they are. See mix() for nulls and repeated rows.
+
+    What is taken of a source is all that comes up to one key, so texts meet only that key and are not shuffled; rows that
+    repeat id, source and text are numbered first, by their other columns. An empty table gives no rows.
+    """
+    taken = table(mix(docs, epochs, weights), "mix")
+    place = F.struct("h", "doc_id", "mark", "copy")
+    full = F.min("copies")
+    ends = taken.where("size > 0").groupBy(_named(F.col("source")).alias("_source")).agg(
+        full.alias("_full"), F.max(F.when(F.col("copies") > 0, F.struct(F.col("copies"), place.alias("place")))).alias("_most")
+    )
+    # the one with most copies and the last key; where all have as many, it is the last of all
+    ends = cut(ends.select("_source", "_full", F.col("_most.copies").alias("_copies"), F.col("_most.place").alias("_end")))
+    spare = cut(taken.where("size = 0 and copies > 0").groupBy(_named(F.col("source")).alias("_source")).agg(F.max("copies").alias("_empty")))
+    twins = cut(taken.where("copy = 1").select(F.col("doc_id").alias("_i"), _named(F.col("source")).alias("_s"), F.col("mark").alias("_m")))
+    own = {"_id": F.col("doc_id").cast("long"), "_source": _named(F.col("source").cast("string")), "_mark": F.xxhash64(F.col("text").cast("string"))}
+    keyed = docs.withColumns(own)
+    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_source") == F.col("_s")) & (F.col("_mark") == F.col("_m"))
+    if twins.isEmpty():
+        keyed = keyed.withColumn("_copy", F.lit(0).cast("long"))
+    else:
+        held = small(twins, SOURCE_ROWS)
+        rest = F.to_json(F.struct(*(c for c in docs.columns if c != "text"), F.lit(0)), {"ignoreNullFields": "false"})
+        order = Window.partitionBy("_id", "_source", "_mark").orderBy("_row")
+        many = keyed.join(held, same, "left_semi").withColumn("_row", rest).withColumn("_copy", F.row_number().over(order).cast("long") - 1).drop("_row")
+        keyed = keyed.join(held, same, "left_anti").withColumn("_copy", F.lit(0).cast("long")).unionByName(many)
+    at = F.struct(_key("_id", "_mark", "_copy").alias("h"), F.col("_id").alias("doc_id"), F.col("_mark").alias("mark"), F.col("_copy").alias("copy"))
+    bare = ~F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    n = F.when(bare, F.coalesce("_empty", F.lit(0))).when(at <= F.col("_end"), F.col("_copies")).otherwise(F.coalesce("_full", F.lit(0)))
+    joined = keyed.join(small(ends, SOURCE_ROWS), "_source", "left").join(small(spare, SOURCE_ROWS), "_source", "left").withColumn("_n", n)
+    return joined.where("_n > 0").withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)

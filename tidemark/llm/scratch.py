@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -11,11 +13,17 @@ from pyspark.sql.types import StructType
 from tidemark.shipping import ship
 
 
+ARROW_BYTES = "4m"  # of a batch that goes to a Python worker
+_SCOPES: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; only where that is unset (tests) a folder of this machine."""
+    """The cluster's spark.checkpoint.dir; only where that is unset and all runs on this machine (tests), a folder of it."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="spark-shared-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)
@@ -31,14 +39,31 @@ def cut(df: DataFrame) -> DataFrame:
     return table(df, "cut")
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """df written as a Parquet table in the shared folder and read again."""
+def table(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
+    """df written as a Parquet table in the shared folder and read again. Inside scope() it is deleted at its end, with
+    `outer` at the end of the scope around it."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    scopes = _SCOPES[:-1] if outer else _SCOPES
+    if scopes:
+        scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables made inside when it ends; what is still to be read must be written before, or be an outer table."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def arrow(df: DataFrame, scan, schema: str | StructType) -> DataFrame:
-    """df.mapInArrow(scan, schema), with this package sent to the workers first."""
+    """df.mapInArrow(scan, schema), with this package sent to the workers first and batches of bounded size."""
     ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return df.mapInArrow(scan, schema)
