@@ -4,6 +4,8 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tidemark.llm import licenses, toxicity
 from tidemark.llm.neighbours import search
@@ -52,6 +54,27 @@ def test_grammar_meanings():
     assert seen(None) == [] and seen("") == [] and seen("x" * 100_000) == []
 
 
+def meant(symbols, weights):
+    """The meanings of a clause by looking at each token's neighbours, without any transducer."""
+    out = [0.0] * 5
+    for i, symbol in enumerate(symbols):
+        near = lambda x, reach: x in symbols[max(0, i - reach) : i]
+        negated, reported = near("N", 2), near("R", 11)
+        if symbol == "I":
+            aimed = near("G", 3) or "G" in symbols[i + 1 : i + 4]
+            out[toxicity.NEGATED if negated else toxicity.REPORTED if reported else toxicity.AIMED if aimed else toxicity.PLAIN] += weights[i]
+        elif symbol == "G" and near("T", 2) and not negated:
+            out[toxicity.REPORTED if reported else toxicity.MENACE] += 1.0
+    return out
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from("IGTNROOO"), max_size=30))
+def test_grammar_equals_brute_force(symbols):
+    weights = [2.0**-i if x == "I" else 0.0 for i, x in enumerate(symbols)]
+    assert toxicity.GRAMMAR.read(symbols, weights) == pytest.approx(meant(symbols, weights))
+
+
 def test_long_clauses_are_whole():
     lexicon = toxicity.Lexicon({"idiot": 3.0}, {})
     finder = lexicon.finder()

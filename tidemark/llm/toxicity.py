@@ -1,8 +1,8 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Tokens become symbols (insult, threat verb, target, negation, report, other). Small transducers for target, negation,
-reported speech and insult-or-threat are composed into one; its outputs say how each matched clause is meant: plain,
-aimed at somebody, negated, reported, or a threat. The insult lexicon (words and word beginnings) and the weights of
+Tokens become symbols (insult, threat verb, target, negation, report, other). Small transducers that tell whether a target,
+negation, report or threat verb is near are composed with those for insults and threats into one; its outputs say how what
+was said is meant: plain, aimed at somebody, negated, reported, or a threat, and how many tokens back. The insult lexicon (words and word beginnings) and the weights of
 the outputs are learned from labelled rows; nothing but the text is an input of a score.
 """
 
@@ -18,11 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import arrow, table
+from tidemark.llm.scratch import arrow, scope, table
+from tidemark.shipping import ship
 
 SAMPLE_ROWS = 20_000  # labelled rows that the lexicon and weights are learned from, by least hash of doc_id
-CANDIDATES = 20_000
-LEXICON = 2_000
 SUPPORT = 8  # different contexts in toxic texts that a lexicon entry needs
 PREFIXES = (4, 5, 6, 7)
 HELD_TERMS = 100_000  # counts that a task holds before it sends them
@@ -54,21 +53,80 @@ class Within:
         return state, state > 0
 
 
-def compose(*parts: Within):
-    """One transducer over the parts' joint states; memoised as a transition table while it runs."""
-    table: dict[tuple, tuple] = {}
+NEAR = (Within(TARGET, 4), Within(NEGATION, 3), Within(REPORT, 12), Within(THREAT, 3))
 
-    def step(state: tuple, symbol: str) -> tuple[tuple, tuple[bool, ...]]:
-        got = table.get((state, symbol))
-        if got is None:
-            moved = [p.step(s, symbol) for p, s in zip(parts, state)]
-            got = table[state, symbol] = tuple(m[0] for m in moved), tuple(m[1] for m in moved)
+
+class Insults:
+    """A transducer over (symbol, what is near) that outputs (meaning, tokens back) of insults. Its state is a bit for each of the
+    last AFTER tokens that was an insult a target may still follow, the latest lowest."""
+
+    def step(self, state: int, symbol: str, near: tuple[bool, ...]) -> tuple[int, list[tuple[int, int]]]:
+        aimed, negated, reported, _ = near
+        state, out = state << 1, []
+        if symbol == TARGET:
+            out, state = [(AIMED, back) for back in range(AFTER, 0, -1) if state >> back & 1], 0
+        elif state >> AFTER & 1:
+            out, state = [(PLAIN, AFTER)], state & ~(1 << AFTER)
+        if symbol == INSULT:
+            if negated or reported or aimed:
+                out = [*out, (NEGATED if negated else REPORTED if reported else AIMED, 0)]
+            else:
+                state |= 1
+        return state, out
+
+    def end(self, state: int) -> list[tuple[int, int]]:
+        return [(PLAIN, back) for back in range(AFTER - 1, -1, -1) if state >> back & 1]
+
+
+class Threats:
+    """A transducer over (symbol, what is near) that outputs the meaning of a target soon after a threat verb."""
+
+    def step(self, state: int, symbol: str, near: tuple[bool, ...]) -> tuple[int, list[tuple[int, int]]]:
+        _, negated, reported, menaced = near
+        return 0, [(REPORTED if reported else MENACE, THREATENED)] if symbol == TARGET and menaced and not negated else []
+
+    def end(self, state: int) -> list[tuple[int, int]]:
+        return []
+
+
+THREATENED = -1  # in place of tokens back: the output weighs one
+
+
+class Composed:
+    """The composition of transducers over symbols with transducers over (symbol, their outputs), as one transition table that is
+    filled while it runs. States are numbers."""
+
+    def __init__(self, near: tuple[Within, ...], then: tuple):
+        self.near, self.then = near, then
+        self.names = [((0,) * len(near), (0,) * len(then))]
+        self.numbers, self.moves = {self.names[0]: 0}, {}
+
+    def _move(self, state: int, symbol: str) -> tuple[int, list[tuple[int, int]]]:
+        near, then = self.names[state]
+        seen = [t.step(s, symbol) for t, s in zip(self.near, near)]
+        told = tuple(x[1] for x in seen)
+        made = [t.step(s, symbol, told) for t, s in zip(self.then, then)]
+        name = tuple(x[0] for x in seen), tuple(x[0] for x in made)
+        if name not in self.numbers:
+            self.numbers[name] = len(self.names)
+            self.names.append(name)
+        got = self.moves[state, symbol] = self.numbers[name], [out for x in made for out in x[1]]
         return got
 
-    return (0,) * len(parts), step
+    def read(self, symbols: list[str], weights: list[float]) -> list[float]:
+        """The outputs of a clause by meaning, each weighing what its token does."""
+        total, state = [0.0] * 5, 0
+        for i, symbol in enumerate(symbols):
+            state, out = self.moves.get((state, symbol)) or self._move(state, symbol)
+            for meaning, back in out:
+                total[meaning] += 1.0 if back == THREATENED else weights[i - back]
+        for t, s in zip(self.then, self.names[state][1]):
+            for meaning, back in t.end(s):
+                total[meaning] += weights[len(symbols) - 1 - back]
+        return total
 
 
-START, STEP = compose(Within(TARGET, 4), Within(NEGATION, 3), Within(REPORT, 12), Within(THREAT, 3))
+GRAMMAR = Composed(NEAR, (Insults(), Threats()))
 
 
 @dataclass(frozen=True)
@@ -111,33 +169,18 @@ def _clauses(text: str, finder) -> list[str]:
     return out
 
 
+def _symbol(word: str, weight: float) -> str:
+    return INSULT if weight else THREAT if word in THREATS else TARGET if word in TARGETS else NEGATION if word in NEGATIONS else REPORT if word in REPORTS else OTHER
+
+
 def features(text: str | None, lexicon: Lexicon, finder) -> list[float]:
     """log(1 + weight) of the text's matched clauses by meaning: plain, aimed, negated, reported, menace."""
     total = [0.0] * 5
     for clause in _clauses((text or "").lower(), finder):
-        state, pending = START, []  # insults that a target may still follow, oldest first
-        for found in WORD.finditer(clause):
-            word = found.group()
-            weight = lexicon.weight(word)
-            symbol = INSULT if weight else THREAT if word in THREATS else TARGET if word in TARGETS else NEGATION if word in NEGATIONS else REPORT if word in REPORTS else OTHER
-            state, (aimed, negated, reported, menaced) = STEP(state, symbol)
-            if symbol == TARGET:
-                total[AIMED] += sum(p[0] for p in pending)
-                pending = []
-                if menaced and not negated:
-                    total[REPORTED if reported else MENACE] += 1.0
-            for p in pending:
-                p[1] -= 1
-            if pending and not pending[0][1]:
-                total[PLAIN] += pending.pop(0)[0]
-            if weight:
-                if negated or reported:
-                    total[NEGATED if negated else REPORTED] += weight
-                elif aimed:
-                    total[AIMED] += weight
-                else:
-                    pending.append([weight, AFTER])
-        total[PLAIN] += sum(p[0] for p in pending)
+        words = WORD.findall(clause)
+        weights = [lexicon.weight(w) for w in words]
+        for k, x in enumerate(GRAMMAR.read([_symbol(w, x) for w, x in zip(words, weights)], weights)):
+            total[k] += x
     return [float(np.log1p(x)) for x in total]
 
 
@@ -179,26 +222,23 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         return Lexicon({}, {})
     counts = arrow(texts.select("text", F.col("toxic").cast("int")), count, "term string, kind string, clean long, toxic long").groupBy("term", "kind").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
-    likely = counts.where(F.col("toxic") >= min(SUPPORT, max(2, n_toxic // 10))).withColumn("odds", odds).where("odds > 2.5")
-    likely = likely.orderBy(F.desc("toxic"), "term", "kind").limit(CANDIDATES).collect()
-    held = sample.sparkSession.sparkContext.broadcast({(r.term, r.kind) for r in likely})  # CANDIDATES at most
+    support = min(SUPPORT, max(2, n_toxic // 10))
+    likely = table(counts.where(F.col("toxic") >= support).withColumn("odds", odds).where("odds > 2.5").select("term", "kind", "odds"), "toxic-terms")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text in batch.column(0):
                 words = ["", *_letters(text.as_py()), ""]
-                seen = {(t, k, f"{words[i]} {words[i + 2]}") for t, k, i in _terms(words[1:-1]) if (t, k) in held.value}
-                if seen:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*seen)], ["term", "kind", "near"])
-
-    toxic = texts.where("toxic = 1").select("text")
-    wide = {
-        (r.term, r.kind)
-        for r in arrow(toxic, contexts, "term string, kind string, near string").distinct().groupBy("term", "kind").count().where(F.col("count") >= min(SUPPORT, max(2, n_toxic // 10))).collect()
-    }
+                seen = sorted({(t, k, f"{words[i]} {words[i + 2]}") for t, k, i in _terms(words[1:-1])})
+                for at in range(0, len(seen), HELD_TERMS):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*seen[at : at + HELD_TERMS])], ["term", "kind", "near"])
+
+    near = arrow(texts.where("toxic = 1").select("text"), contexts, "term string, kind string, near string").join(likely.select("term", "kind"), ["term", "kind"]).distinct()
+    wide = near.groupBy("term", "kind").count().where(F.col("count") >= support).select("term", "kind")
+    entries = likely.join(wide, ["term", "kind"]).collect()  # each from SUPPORT of the sample's toxic texts, so bounded by the sample
     words, prefixes = {}, {}
-    for r in sorted(likely, key=lambda r: (len(r.term), r.term, r.kind == "w")):
-        if (r.term, r.kind) not in wide or len(words) + len(prefixes) >= LEXICON or any(r.term[:k] in prefixes for k in PREFIXES):
+    for r in sorted(entries, key=lambda r: (len(r.term), r.term, r.kind == "w")):
+        if any(r.term[:k] in prefixes for k in PREFIXES):
             continue
         (words if r.kind == "w" else prefixes)[r.term] = round(min(r.odds, 6.0), 3)
     return Lexicon(words, prefixes)
@@ -267,20 +307,24 @@ def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted): every document scored by a grammar learned from the labels that are not held out."""
-    scored = score(docs, train(docs, labels))
+    with scope(docs.sparkSession):
+        grammar = train(docs, labels)
+    scored = score(docs, grammar)
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rows scored 0.5 or more; all columns stay as they are."""
-    grammar = train(docs, labels)
-    w = grammar.weights
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = grammar.lexicon.finder()
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            x = np.array([features(t.as_py(), grammar.lexicon, finder) for t in texts]).reshape(-1, 5)
-            yield batch.filter(pa.array(x @ w[1:] + w[0] < 0))
-
-    return arrow(docs, scan, docs.schema)
+    """docs without the rows scored 0.5 or more; all columns stay as they are. Only texts go through Python. Null and empty texts
+    and repeated rows are judged like others, each by its text; an empty table gives no rows."""
+    with scope(docs.sparkSession):
+        grammar = train(docs, labels)
+    w, lexicon, finders = grammar.weights, grammar.lexicon, []
+
+    @F.arrow_udf("boolean")
+    def toxic(texts: pa.Array) -> pa.Array:
+        finders[:] = finders or [lexicon.finder()]
+        x = np.array([features(t.as_py(), lexicon, finders[0]) for t in texts]).reshape(-1, 5)
+        return pa.array(np.round(1 / (1 + np.exp(-(x @ w[1:] + w[0]))), 9) >= 0.5)
+
+    ship(docs.sparkSession)
+    return docs.where(~toxic(F.col("text").cast("string")))
