@@ -39,11 +39,11 @@ def cut(df: DataFrame) -> DataFrame:
     return table(df, "cut")
 
 
-def table(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
-    """df written as a Parquet table in the shared folder and read again. Inside scope() it is deleted at its end, with
+def table(df: DataFrame, name: str, outer: bool = False, partition: str | None = None) -> DataFrame:
+    """df written as a Parquet table in the shared folder, in folders by `partition` if given, and read again. Inside scope() it is deleted at its end, with
     `outer` at the end of the scope around it."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(partition) if partition else df.write).parquet(path)
     scopes = _SCOPES[:-1] if outer else _SCOPES
     if scopes:
         scopes[-1].append(path)
