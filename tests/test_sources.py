@@ -1,6 +1,6 @@
 import json
 
-from tidemark.sources.generator import generate
+from traffic import generate
 from tidemark.sources.transactions import parse_rules, parse_transactions
 
 

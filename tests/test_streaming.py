@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Config
 from tidemark.operators import patterns as P
 from tidemark.operators import storage
-from tidemark.sources.generator import generate
+from traffic import generate
 from tidemark.sources.transactions import parse_transactions, read_json
 from tidemark.streaming import job
 

@@ -11,8 +11,9 @@ from tidemark.functions.scalars import haversine_km, round_half_up
 FEATURES = ["tx_count_1h", "tx_count_24h", "avg_amount_24h", "amount_deviation", "time_since_last_ms", "distance_km"]
 
 
-def rolling_features(tx: DataFrame, masked: Column | None = None) -> DataFrame:
-    """tx with FEATURES, none of which counts the row itself.
+def rolling_features(tx: DataFrame, masked: Column | None = None, now: Column | None = None) -> DataFrame:
+    """tx with FEATURES, none of which counts the row itself. Rows without a time (0 or less) stand at `now`, in epoch
+    milliseconds: the time of the query if not given.
 
     Windows are inclusive at exactly 1 h and 24 h, and rows of the same millisecond count where their transaction id is
     smaller. Rows for which `masked` holds get zeros and are no history to others. One unmasked row is one observation;
@@ -20,9 +21,10 @@ def rolling_features(tx: DataFrame, masked: Column | None = None) -> DataFrame:
     """
     counted = ~F.coalesce(masked, F.lit(False)) if masked is not None else F.lit(True)
     seen = F.when(counted, F.col("amount"))
-    by_time = Window.partitionBy("account_id").orderBy("ts_ms")
-    before = Window.partitionBy("account_id").orderBy("ts_ms", "transaction_id").rowsBetween(Window.unboundedPreceding, -1)
-    peers = Window.partitionBy("account_id", "ts_ms").orderBy("transaction_id").rowsBetween(Window.unboundedPreceding, -1)
+    tx = tx.withColumn("_ms", F.when(F.col("ts_ms") > 0, F.col("ts_ms")).otherwise(F.unix_millis(F.current_timestamp()) if now is None else now))
+    by_time = Window.partitionBy("account_id").orderBy("_ms")
+    before = Window.partitionBy("account_id").orderBy("_ms", "transaction_id").rowsBetween(Window.unboundedPreceding, -1)
+    peers = Window.partitionBy("account_id", "_ms").orderBy("transaction_id").rowsBetween(Window.unboundedPreceding, -1)
 
     def rolled(of, window_ms: int) -> Column:
         """`of` over the rows of the last window_ms, and over the earlier ones of the same millisecond."""
@@ -33,7 +35,7 @@ def rolling_features(tx: DataFrame, masked: Column | None = None) -> DataFrame:
     last = F.last(F.when(located, F.struct("latitude", "longitude")), ignorenulls=True).over(before)
     rows = tx.select(
         "*", counted.alias("_in"), rolled(F.count(seen), HOUR).alias("_n1"), n_24.alias("_n24"), F.round(total, 6).alias("_sum"), F.round(squares, 6).alias("_sq"),
-        F.max(F.when(counted, F.col("ts_ms"))).over(before).alias("_last_ms"), last.alias("_last"),
+        F.max(F.when(counted, F.col("_ms"))).over(before).alias("_last_ms"), last.alias("_last"),
     )
     mean = F.when(F.col("_n24") > 0, F.col("_sum") / F.col("_n24")).otherwise(0.0)
     rows = rows.withColumn("_mean", mean).withColumn("_std", F.when(F.col("_n24") > 1, F.sqrt(F.greatest(F.lit(0.0), F.col("_sq") / F.col("_n24") - F.col("_mean") * F.col("_mean")))).otherwise(0.0))
@@ -41,8 +43,8 @@ def rolling_features(tx: DataFrame, masked: Column | None = None) -> DataFrame:
     made = {
         "tx_count_1h": F.col("_n1").cast("long"), "tx_count_24h": F.col("_n24").cast("long"), "avg_amount_24h": round_half_up(F.col("_mean"), 2),
         "amount_deviation": F.when(F.col("_std") > 0, round_half_up((F.col("amount") - F.col("_mean")) / F.col("_std"), 4)).otherwise(0.0),
-        "time_since_last_ms": F.coalesce(F.greatest(F.lit(0), F.col("ts_ms") - F.col("_last_ms")), F.lit(0)).cast("long"),
+        "time_since_last_ms": F.coalesce(F.greatest(F.lit(0), F.col("_ms") - F.col("_last_ms")), F.lit(0)).cast("long"),
         "distance_km": F.when(placed, round_half_up(haversine_km(F.col("_last.latitude"), F.col("_last.longitude"), F.col("latitude"), F.col("longitude")), 2)).otherwise(0.0),
     }
     zero = {n: F.when(F.col("_in"), c).otherwise(F.lit(0)) for n, c in made.items()}
-    return rows.withColumns({n: c.cast("long" if n.startswith(("tx_", "time_")) else "double") for n, c in zero.items()}).drop("_in", "_n1", "_n24", "_sum", "_sq", "_last_ms", "_last", "_mean", "_std")
+    return rows.withColumns({n: c.cast("long" if n.startswith(("tx_", "time_")) else "double") for n, c in zero.items()}).drop("_ms", "_in", "_n1", "_n24", "_sum", "_sq", "_last_ms", "_last", "_mean", "_std")

@@ -1,7 +1,8 @@
 """Four behavioural patterns over an account's events in time order.
 
 Runs of n qualifying events are window functions; patterns that consume events are folds over a time-ordered array.
-Ties in time go by transaction id. An alert row names the transaction it is raised on.
+Ties in time go by transaction id. An alert row names the transaction it is raised on. The words of details and
+matched_events are fixed values.
 """
 
 from __future__ import annotations
@@ -49,9 +50,13 @@ def velocity(tx: DataFrame, config: Config) -> DataFrame:
                        F.lit(f"TRANSFER/PAYMENT ${low:.0f}-${high:.0f} x{n} within {config.velocity_ms // 1000} seconds").alias("matched_events"))
 
 
-def _fold(tx: DataFrame, fields: list[str], opens: str, found: str, step) -> DataFrame:
-    """Rows (account_id, m) of the matches that `step` adds while folding an account's events in time order."""
-    rows = tx.groupBy("account_id").agg(F.array_sort(F.collect_list(F.struct("ts_ms", "transaction_id", *fields))).alias("e"))
+def _fold(tx: DataFrame, fields: list[str], window_ms: int, opens: str, found: str, step) -> DataFrame:
+    """Rows (account_id, m) of the matches that `step` adds while folding an account's events in time order. A gap of window_ms
+    ends all that is open, so the events between two gaps are folded apart, and no array holds a whole account."""
+    order = Window.partitionBy("account_id").orderBy("ts_ms", "transaction_id")
+    gap = F.col("ts_ms") - F.lag("ts_ms").over(order) >= window_ms
+    cut = tx.withColumn("_gap", F.coalesce(gap, F.lit(False)).cast("int")).withColumn("_session", F.sum("_gap").over(order))
+    rows = cut.groupBy("account_id", "_session").agg(F.array_sort(F.collect_list(F.struct("ts_ms", "transaction_id", *fields))).alias("e"))
     start = F.struct(F.array().cast(opens).alias("opens"), F.array().cast(found).alias("found"))
     return rows.select("account_id", F.explode(F.aggregate("e", start, step, lambda s: s["found"])).alias("m"))
 
@@ -74,7 +79,7 @@ def account_takeover(tx: DataFrame, config: Config) -> DataFrame:
         return F.struct(after.cast(opens).alias("opens"), F.when(hit, F.concat(s["found"], F.array(match))).otherwise(s["found"]).cast(found).alias("found"))
 
     kinds = tx.where(F.col("event_type").isin("LOGIN_FAILED", "LOGIN_SUCCESS", "TRANSFER"))
-    matches = _fold(kinds, ["event_type", "amount"], opens, found, step)
+    matches = _fold(kinds, ["event_type", "amount"], config.takeover_ms, opens, found, step)
     score = F.least(F.lit(0.99), 0.80 + F.col("m.n") * 0.03)
     details = F.format_string("Brute force: %d failed logins followed by transfer of $%.2f (score=%.2f)", "m.n", "m.amount", score)
     return matches.select("m.transaction_id", "account_id", "m.ts_ms", F.lit("ACCOUNT_TAKEOVER").alias("alert_type"), F.when(F.col("m.n") >= 7, "CRITICAL").otherwise("HIGH").alias("severity"),
@@ -96,7 +101,7 @@ def impossible_travel(tx: DataFrame, config: Config) -> DataFrame:
         return F.struct(after.cast(opens).alias("opens"), F.when(hit, F.concat(s["found"], F.array(match))).otherwise(s["found"]).cast(found).alias("found"))
 
     located = tx.where(F.col("event_type").isin(*FINANCIAL) & valid_coordinates(F.col("latitude"), F.col("longitude")))
-    matches = _fold(located, ["latitude", "longitude"], opens, found, step)
+    matches = _fold(located, ["latitude", "longitude"], config.travel_ms, opens, found, step)
     km = F.col("m.km")
     score = F.least(F.lit(0.99), 0.80 + km / 10000.0)
     details = F.format_string("Location jump of %.0f km from [%.4f,%.4f] to [%.4f,%.4f] (score=%.2f)", km, "m.lat1", "m.lon1", "m.lat2", "m.lon2", score)
@@ -125,6 +130,8 @@ NO_ALERTS = "array<struct<alert_type:string,severity:string,score:double,details
 
 
 def attach(tx: DataFrame, alerts: DataFrame) -> DataFrame:
-    """tx with `cep_alerts`, the alerts of each transaction by type; every row stays."""
-    rows = alerts.groupBy("transaction_id").agg(F.sort_array(F.collect_list(F.struct("alert_type", "severity", "score", "details"))).alias("cep_alerts"))
-    return tx.join(rows, "transaction_id", "left").withColumn("cep_alerts", F.coalesce("cep_alerts", F.array().cast(NO_ALERTS)))
+    """tx with `cep_alerts`, the alerts of each transaction by type; every row stays. An alert belongs to the transaction of its
+    id, account and time, so a repeated id gets no alerts of the other."""
+    same = ["transaction_id", "account_id", "ts_ms"]
+    rows = alerts.groupBy(*same).agg(F.sort_array(F.collect_list(F.struct("alert_type", "severity", "score", "details"))).alias("cep_alerts"))
+    return tx.join(rows, same, "left").withColumn("cep_alerts", F.coalesce("cep_alerts", F.array().cast(NO_ALERTS)))

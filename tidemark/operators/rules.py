@@ -1,4 +1,4 @@
-"""Rules as data: latest versions, compiled to one array expression, with a join for rule sets too large to compile."""
+"""Rules as data: latest versions, compiled to one array expression, or looked up in an array of rules too many to compile."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import local_hour
+from tidemark.shipping import ship
 from tidemark.sources.transactions import RULE
 
 FIELDS = ("amount", "event_type", "channel", "merchant_id", "status", "card_id", "account_id")
@@ -84,9 +85,10 @@ def condition(rule: dict) -> Column:
 
 def violation(rule: dict) -> Column:
     """rule_id, rule_name, severity, score and details of a match."""
-    score = 0.8 if rule["severity"] == "CRITICAL" else 0.6
+    score = 0.8 if rule["severity"] == "CRITICAL" else 0.6  # fixed values, as the words of details
     shown = F.col(rule["field"]).cast("string") if rule["field"] in FIELDS else F.lit("")
-    head = F.lit(f"Rule {rule['rule_id']}: {rule['field']} {rule['operator']} {rule['threshold']} (actual: ")
+    told = " ".join("null" if rule[k] is None else rule[k] for k in ("field", "operator", "threshold"))
+    head = F.lit(f"Rule {rule['rule_id']}: {told} (actual: ")
     return F.struct(
         F.lit(rule["rule_id"]).alias("rule_id"), F.lit(rule["rule_name"]).alias("rule_name"), F.lit(rule["severity"]).alias("severity"), F.lit(score).alias("score"),
         F.concat(head, shown, F.lit(")")).alias("details"),
@@ -105,38 +107,55 @@ def compile_rules(rules: list[dict]) -> Column:
 
 
 def apply_rules(tx: DataFrame, rules: DataFrame) -> DataFrame:
-    """tx with `rule_alerts`; every row stays. Up to MOST_COMPILED rules are compiled, more are joined."""
+    """tx with `rule_alerts`; every row stays. Up to MOST_COMPILED rules are compiled, more are looked up, with the same results."""
     held = [r.asDict() for r in rules.limit(MOST_COMPILED + 1).collect()]
     if len(held) <= MOST_COMPILED:
         return tx.withColumn("rule_alerts", compile_rules(held))
-    return join_rules(tx, rules)
-
-
-def join_rules(tx: DataFrame, rules: DataFrame) -> DataFrame:
-    """As apply_rules, for rule sets of any size: rows meet the rules of their fields by a join on the field's name."""
-    active = rules.where(F.coalesce("active", F.lit(True))).select(
-        "rule_id", "rule_name", F.col("field").alias("_field"), "operator", "threshold", "severity", "start_hour", "end_hour",
-        F.coalesce(F.expr("try_cast(trim(both '\"' from threshold) as double)"), F.lit(0.0)).alias("number"),
-        F.coalesce(F.from_json("threshold", "array<string>"), F.array(F.trim(F.col("threshold"), F.lit('"')))).alias("items"),
-    )
-    values = F.explode(F.array(*(F.struct(F.lit(f).alias("_field"), F.col(f).cast("string").alias("v")) for f in FIELDS)))
-    seen = tx.select("transaction_id", "ts_ms", values.alias("f")).select("transaction_id", "ts_ms", "f.*").where("v is not null")
-    v, n, hour = F.col("v"), F.expr("try_cast(v as double)"), local_hour(F.col("ts_ms"))
-    amount = F.col("_field") == "amount"
-    listed = F.when(amount, F.exists("items", lambda x: F.abs(x.try_cast("double") - n) < 1e-6)).otherwise(F.array_contains("items", v))
-    listed = F.coalesce(listed, F.lit(False))
-    match = (
-        F.when(F.col("operator") == "GREATER_THAN", n > F.col("number")).when(F.col("operator") == "LESS_THAN", n < F.col("number"))
-        .when(F.col("operator") == "EQUALS", F.when(amount, F.abs(n - F.col("number")) < 1e-6).otherwise(v == F.get("items", 0)))
-        .when(F.col("operator") == "IN", listed).when(F.col("operator") == "NOT_IN", ~listed)
-    )
-    start, end = F.coalesce("start_hour", F.lit(0)), F.coalesce("end_hour", F.lit(24))
-    inside = F.when(start <= end, (hour >= start) & (hour < end)).otherwise((hour >= start) | (hour < end))
-    timed = (F.col("start_hour").isNull() & F.col("end_hour").isNull()) | (F.col("ts_ms") <= 0) | inside
-    details = F.concat(F.lit("Rule "), "rule_id", F.lit(": "), "_field", F.lit(" "), "operator", F.lit(" "), "threshold", F.lit(" (actual: "), v, F.lit(")"))
-    row = F.struct("rule_id", "rule_name", "severity", F.when(F.col("severity") == "CRITICAL", 0.8).otherwise(0.6).alias("score"), details.alias("details"))
-    hits = seen.join(active, "_field").where(match & timed).groupBy("transaction_id").agg(F.sort_array(F.collect_list(row)).alias("rule_alerts"))
-    return tx.join(hits, "transaction_id", "left").withColumn("rule_alerts", F.coalesce("rule_alerts", F.array().cast(NO_VIOLATIONS)).cast(NO_VIOLATIONS))
+    return look_up_rules(tx, rules)
+
+
+_PARSED = "struct<number:double,text:string,items:array<string>,numbers:array<double>>"
+
+
+def _parsed(text: str | None) -> tuple[float, str, list[str], list[float]]:
+    number, shown, items = _threshold(text)
+    numbers = []
+    for x in items:
+        try:
+            numbers.append(float(x))
+        except ValueError:
+            continue
+    return number, shown, items, numbers
+
+
+def look_up_rules(tx: DataFrame, rules: DataFrame) -> DataFrame:
+    """As apply_rules, for rule sets of any size: each row filters one array of all active rules, so that rows need no key and are
+    neither shuffled nor multiplied."""
+    ship(tx.sparkSession)
+    parsed = F.udf(_parsed, _PARSED)  # of the rules, not of the transactions
+    active = rules.where(F.coalesce("active", F.lit(True))).withColumn("t", parsed("threshold"))
+    one = active.agg(F.sort_array(F.collect_list(F.struct("rule_id", "rule_name", "field", "operator", "threshold", "severity", "start_hour", "end_hour", "t"))).alias("_rules"))
+    hour = local_hour(F.col("ts_ms"))
+
+    def hit(r: Column) -> Column:
+        v = F.coalesce(*(F.when(r["field"] == f, F.col(f).cast("string")) for f in FIELDS))
+        n, amount, t = F.when(r["field"] == "amount", F.col("amount")).otherwise(v.try_cast("double")), r["field"] == "amount", r["t"]
+        listed = F.when(amount, F.exists(t["numbers"], lambda x: F.abs(x - n) < 1e-6)).otherwise(F.array_contains(t["items"], v))
+        match = (
+            F.when(r["operator"] == "GREATER_THAN", n > t["number"]).when(r["operator"] == "LESS_THAN", n < t["number"])
+            .when(r["operator"] == "EQUALS", F.when(amount, F.abs(n - t["number"]) < 1e-6).otherwise(v == t["text"]))
+            .when(r["operator"] == "IN", listed).when(r["operator"] == "NOT_IN", ~listed)
+        )
+        start, end = F.coalesce(r["start_hour"], F.lit(0)), F.coalesce(r["end_hour"], F.lit(24))
+        inside = F.when(start <= end, (hour >= start) & (hour < end)).otherwise((hour >= start) | (hour < end))
+        timed = (r["start_hour"].isNull() & r["end_hour"].isNull()) | (F.col("ts_ms") <= 0) | inside
+        told = [F.coalesce(r[k], F.lit("null")) for k in ("field", "operator", "threshold")]
+        details = F.concat(F.lit("Rule "), r["rule_id"], F.lit(": "), F.concat_ws(" ", *told), F.lit(" (actual: "), v, F.lit(")"))
+        score = F.when(r["severity"] == "CRITICAL", 0.8).otherwise(0.6)
+        return F.when(F.coalesce(v.isNotNull() & match & timed, F.lit(False)), F.struct(r["rule_id"], r["rule_name"], r["severity"], score.alias("score"), details.alias("details")))
+
+    found = F.filter(F.transform("_rules", hit), lambda v: v.isNotNull()).cast(NO_VIOLATIONS)
+    return tx.crossJoin(F.broadcast(one)).withColumn("rule_alerts", found).drop("_rules")  # one row
 
 
 def rule_alerts(applied: DataFrame) -> DataFrame:

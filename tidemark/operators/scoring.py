@@ -1,4 +1,4 @@
-"""Scoring: the feature vector, a random forest trained on synthetic rows, and scorers that a pipeline can take."""
+"""Scoring: the feature vector, forests trained here or given as data, and scorers that a pipeline can take."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import is_foreign, local_hour, round_half_up
@@ -33,51 +33,56 @@ def inputs(rows: DataFrame) -> DataFrame:
     return rows.withColumn("inputs", F.struct(*(v.cast("float").alias(n) for v, n in zip(values, INPUTS))))
 
 
-def synthetic_training_rows(spark: SparkSession, rows: int = 50_000, seed: int = 42) -> DataFrame:
-    """INPUTS and label: 97 % ordinary and 3 % fraudulent rows, each input from a distribution of its own."""
-    u = lambda k: F.rand(seed + k)
-    normal = lambda k: F.randn(seed + k)
-    exponential = lambda k, mean: -F.log1p(-u(k)) * mean
-    clip = lambda x, low, high: F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), x))
-
-    def poisson(k: int, mean: float):
-        """Inverse of the distribution function, from its first terms."""
-        import math
-
-        total, steps, share = 0.0, [], math.exp(-mean)
-        for i in range(1, 40):
-            total += share
-            steps.append(total)
-            share *= mean / i
-        return F.size(F.filter(F.array(*map(F.lit, steps)), lambda s, x=F.col(f"u{k}"): s < x))
-
-    base = spark.range(rows).withColumns({"label": (F.col("id") % 100 >= 97).cast("int"), "u1": u(1), "u2": u(2)})
-    fraud = F.col("label") == 1
-    hours = F.get(F.array(*map(F.lit, (0, 1, 2, 3, 4, 5, 23))), F.floor(u(3) * 7).cast("int"))
-    return base.select(
-        F.when(fraud, clip(F.exp(8.5 + 1.5 * normal(4)), 500, 100000)).otherwise(clip(F.exp(5.5 + normal(5)), 1, 10000)).cast("float").alias("amount"),
-        F.when(fraud, hours).otherwise(F.floor(6 + u(6) * 17)).cast("float").alias("hour_of_day"),
-        F.when(fraud, u(7) < 0.7).otherwise(u(7) < 0.05).cast("int").cast("float").alias("is_foreign"),
-        F.when(fraud, poisson(1, 8.0)).otherwise(poisson(2, 2.0)).cast("float").alias("tx_frequency_1h"),
-        F.when(fraud, clip(exponential(8, 500.0), 50, 20000)).otherwise(clip(exponential(9, 10.0), 0, 100)).cast("float").alias("distance_km"), "label",
-    )
+def split_by_class(rows: DataFrame, share: float = 0.2, seed: int = 42) -> DataFrame:
+    """rows with `held`, true for `share` of each label's rows (to a ten-thousandth of the label's), equal rows not together."""
+    drawn = rows.withColumn("_u", F.rand(seed)).persist()  # drawn once: both parts come from the same numbers
+    edges = drawn.groupBy("label").agg(F.percentile_approx("_u", F.lit(share), F.lit(10_000)).alias("_edge"))
+    return drawn.join(F.broadcast(edges), "label").withColumn("held", F.col("_u") <= F.col("_edge")).drop("_u", "_edge")  # one row a label
 
 
 def train_forest(rows: DataFrame, trees: int = 100, depth: int = 10, seed: int = 42) -> tuple[PipelineModel, dict[str, float]]:
-    """A forest with class weights, fitted on four fifths of each class, and its metrics on the rest."""
+    """A forest with class weights, fitted on four fifths of each class of rows (INPUTS, label), and its metrics on the rest."""
     counts = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     total = sum(counts.values())
     weight = F.coalesce(*(F.when(F.col("label") == k, total / (len(counts) * n)) for k, n in counts.items()))
-    held = rows.withColumn("weight", weight).withColumn("part", F.xxhash64(*INPUTS) % 5)
+    split = split_by_class(rows.withColumn("weight", weight), seed=seed)
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed)
-    model = Pipeline(stages=[VectorAssembler(inputCols=INPUTS, outputCol="x"), forest]).fit(held.where("part <> 0"))
-    tested = model.transform(held.where("part = 0"))
+    model = Pipeline(stages=[VectorAssembler(inputCols=INPUTS, outputCol="x"), forest]).fit(split.where("not held"))
+    tested = model.transform(split.where("held")).persist()
     metrics = {m: BinaryClassificationEvaluator(labelCol="label", metricName=m).evaluate(tested) for m in ("areaUnderROC", "areaUnderPR")}
-    hits = tested.agg(F.count_if("prediction = 1 and label = 1").alias("tp"), F.count_if("prediction = 1").alias("p"), F.count_if("label = 1").alias("n")).first()
+    said, true = F.col("prediction") == 1, F.col("label") == 1
+    hits = tested.agg(F.count_if(said & true).alias("tp"), F.count_if(said).alias("p"), F.count_if(true).alias("n")).first()
     precision, recall = hits.tp / max(hits.p, 1), hits.tp / max(hits.n, 1)
     return model, metrics | {"precision": precision, "recall": recall, "f1": 2 * precision * recall / max(precision + recall, 1e-12)}
 
 
+# a tree is a probability, or (input, limit, tree up to the limit, tree above it)
+Tree = float | tuple
+#: a forest for data without a trained model; its limits fit the `events` table
+SMALL_FOREST: list[Tree] = [
+    ("amount", 100.0, ("hour_of_day", 5.0, 0.55, 0.1), ("is_foreign", 0.0, 0.4, 0.9)),
+    ("tx_frequency_1h", 0.0, ("distance_km", 2000.0, 0.05, 0.85), ("amount", 60.0, 0.5, 0.95)),
+    ("distance_km", 500.0, ("amount", 150.0, 0.1, 0.7), ("hour_of_day", 6.0, 0.92, 0.65)),
+]
+
+
+class TreeScorer:
+    """The mean of trees given as data, to six decimals, as one expression; 0 on rows with a critical alert."""
+
+    def __init__(self, forest: list[Tree] = SMALL_FOREST):
+        self.forest = forest
+
+    def _value(self, tree: Tree) -> Column:
+        if not isinstance(tree, tuple):
+            return F.lit(float(tree))
+        name, limit, low, high = tree
+        return F.when(F.col(f"inputs.{name}") <= limit, self._value(low)).otherwise(self._value(high))
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        mean = sum((self._value(t) for t in self.forest), F.lit(0.0)) / len(self.forest)
+        return inputs(rows).withColumn("ml_score", F.when(has_critical(), 0.0).otherwise(round_half_up(mean, 6))).drop("inputs")
+
+
 class ForestScorer:
     """Probability of fraud to six decimals; 0 on rows with a critical alert."""
 

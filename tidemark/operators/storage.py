@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, TimestampNTZType
+
+from tidemark.functions.scalars import start_of_minute
 
 
 def stored_decisions(decisions: DataFrame) -> DataFrame:
@@ -17,6 +20,28 @@ def stored_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("score", F.round("score", 4)).withColumn("event_date", F.to_date("event_time"))
 
 
+def _time_text(time: Column) -> Column:
+    """UTC with milliseconds; the present where there is no time."""
+    given = F.when(time > F.lit("1970-01-01").cast("timestamp_ntz"), time).otherwise(F.current_timestamp().cast("timestamp_ntz"))
+    return F.date_format(given, "yyyy-MM-dd HH:mm:ss.SSS")
+
+
+_DIGITS = {"amount": 2, "latitude": 6, "longitude": 6, "ml_score": 6, "combined_score": 6, "score": 4}
+
+
+def json_rows(df: DataFrame) -> DataFrame:
+    """Decisions or alerts as JSON texts in the column `value`: numbers with fixed decimals, times as text, nulls as blanks."""
+
+    def shown(f: StructField) -> Column:
+        if f.name in _DIGITS:
+            return F.coalesce(F.col(f.name), F.lit(0.0)).cast(f"decimal(38,{_DIGITS[f.name]})")
+        if isinstance(f.dataType, TimestampNTZType):
+            return _time_text(F.coalesce(F.col(f.name), F.lit("1970-01-01").cast("timestamp_ntz")))
+        return F.coalesce(F.col(f.name), F.lit("")) if isinstance(f.dataType, StringType) else F.col(f.name)
+
+    return df.select(F.to_json(F.struct(*(shown(f).alias(f.name) for f in df.schema))).alias("value"))
+
+
 def append(df: DataFrame, path: str) -> None:
     """Add rows under their day; readers take the latest version of each key."""
     df.write.mode("append").partitionBy("event_date").parquet(path)
@@ -46,7 +71,41 @@ SUMMARIES = {
 }
 
 
+TIMED = "produced_at > timestamp_ntz'1970-01-02' and decided_at > timestamp_ntz'1970-01-02'"
+
+
+def latency() -> Column:
+    return F.timestamp_diff("MILLISECOND", F.col("produced_at"), F.col("decided_at"))
+
+
+def partials(rows: DataFrame, summary: str) -> DataFrame:
+    """Partial rows of a summary from some decisions (from some alerts, for alerts_by_type)."""
+    n = F.count("*")
+    if summary == "tx_throughput":
+        found = F.sum(F.when(F.col("is_fraud") == 1, 1).otherwise(0))
+        return rows.groupBy(start_of_minute(F.col("event_time")).alias("window_start")).agg(n.alias("tx_count"), F.sum("amount").alias("total_amount"), found.alias("fraud_count"))
+    if summary == "alerts_by_type":
+        return rows.groupBy(F.to_date("alert_time").alias("alert_date"), "alert_type", "alert_source").agg(n.alias("alert_count"), F.sum("score").alias("score_sum"))
+    if summary == "fraud_by_geo":
+        bucket = lambda c: (F.bround(c, 0) + 0.0).alias(f"{c[:3]}_bucket")
+        return rows.where("is_fraud = 1").groupBy(F.to_date("event_time").alias("geo_date"), bucket("latitude"), bucket("longitude")).agg(n.alias("fraud_count"), F.sum("amount").alias("total_amount"))
+    if summary == "latency_stats":
+        timed = rows.where(TIMED).groupBy(start_of_minute(F.col("decided_at")).alias("window_start"))
+        return timed.agg(F.sum(latency()).alias("latency_sum"), F.max(latency()).cast("double").alias("max_latency_ms"), n.alias("tx_count"))
+    raise ValueError(f"no summary {summary}")
+
+
 def merge_partials(partials: DataFrame, summary: str) -> DataFrame:
     """Partial rows of a summary added up by its keys."""
     keys, states = SUMMARIES[summary]
     return partials.groupBy(*keys).agg(*(how(c).alias(c) for c, how in states.items()))
+
+
+def finished(partials: DataFrame, summary: str) -> DataFrame:
+    """A summary from its partial rows: merged, with averages in place of sums."""
+    merged = merge_partials(partials, summary)
+    if summary == "alerts_by_type":
+        return merged.withColumn("avg_score", F.col("score_sum") / F.col("alert_count")).drop("score_sum")
+    if summary == "latency_stats":
+        return merged.withColumn("avg_latency_ms", F.col("latency_sum") / F.col("tx_count")).drop("latency_sum")
+    return merged

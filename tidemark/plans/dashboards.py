@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import start_of_minute
+from tidemark.operators.storage import TIMED, finished, latency, partials
 
 def n() -> Column:
     return F.count("*")
@@ -19,12 +20,6 @@ def found() -> Column:
     return F.col("is_fraud") == 1
 
 
-def latency() -> Column:
-    return F.timestamp_diff("MILLISECOND", F.col("produced_at"), F.col("decided_at"))
-
-
-TIMED = "produced_at > timestamp_ntz'1970-01-02' and decided_at > timestamp_ntz'1970-01-02'"
-
 
 def percent(part: Column, whole: Column) -> Column:
     """100 * rows of part / rows of whole, half-even to 2 decimals, 0 / 0 being 0."""
@@ -130,20 +125,9 @@ def recent_alerts(a):
     )
 
 
-def tx_throughput(t):
-    return t.groupBy(start_of_minute(F.col("event_time")).alias("window_start")).agg(n().alias("tx_count"), F.sum("amount").alias("total_amount"), F.sum(F.when(found(), F.col("is_fraud")).otherwise(0)).cast("long").alias("fraud_count"))
-
-
-def alerts_by_type(a):
-    return a.groupBy(F.to_date("alert_time").alias("alert_date"), "alert_type", "alert_source").agg(n().alias("alert_count"), F.avg("score").alias("avg_score"))
-
-
-def fraud_by_geo(t):
-    return t.where(found()).groupBy(F.to_date("event_time").alias("geo_date"), (F.bround("latitude", 0) + 0.0).alias("lat_bucket"), (F.bround("longitude", 0) + 0.0).alias("lon_bucket")).agg(n().alias("fraud_count"), F.sum("amount").alias("total_amount"))
-
-
-def latency_stats(t):
-    return t.where(TIMED).groupBy(start_of_minute(F.col("decided_at")).alias("window_start")).agg(F.avg(latency()).alias("avg_latency_ms"), F.max(latency()).cast("double").alias("max_latency_ms"), n().alias("tx_count"))
+def summary(rows, name: str):
+    """A whole summary table; storage.partials() makes and merges the same from parts."""
+    return finished(partials(rows, name), name)
 
 
 def by_source(t):

@@ -14,10 +14,11 @@ from tidemark.operators import patterns as P
 from tidemark.operators import rules as R
 from tidemark.operators import storage
 from tidemark.operators.features import FEATURES, rolling_features
+from tidemark.operators.scoring import INPUTS, SMALL_FOREST, TreeScorer, inputs
 from tidemark.plans import dashboards as B
 from tidemark.plans import oracle as O
 from tidemark.plans import risk
-from tidemark.sources.transactions import COLUMNS
+from tidemark.sources.transactions import COLUMNS, parse_rules, parse_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,7 +57,7 @@ add(
     _tx(lambda tx: tx.groupBy(S.is_foreign(F.col("latitude"), F.col("longitude")).alias("is_foreign")).agg(F.count("*").alias("n"))),
     O.with_tx("SELECT CASE WHEN latitude BETWEEN 8.0 AND 23.5 AND longitude BETWEEN 102.0 AND 110.0 THEN 0 ELSE 1 END AS is_foreign, count(*) AS n FROM tx GROUP BY 1"),
 )
-add("c_final_alerts", _a(lambda a: a.withColumn("score", F.round("score", 6)).drop("details")), O.over_decisions("SELECT * EXCLUDE (details) REPLACE (round(score, 6) AS score) FROM a"))
+add("c_final_alerts", _a(lambda a: a.withColumn("score", F.round("score", 6))), O.over_decisions("SELECT * REPLACE (round(score, 6) AS score) FROM a"))
 add(
     "k_scalars",
     _tx(lambda tx: tx.select(
@@ -79,16 +80,17 @@ _rule("night_window", "amount", "GREATER_THAN", "50.0", f"amount > 50.0 AND ({O.
 _rule("bad_threshold", "amount", "GREATER_THAN", '"many"', "amount > 0.0")
 _rule("unknown_operator", "amount", "LIKE", "1", "false")
 
-_VIOLATIONS = "SELECT transaction_id, unnest([CASE WHEN {} THEN 'RULE_001' END, CASE WHEN {} THEN 'RULE_002' END, CASE WHEN {} THEN 'RULE_003' END]) AS rule_id FROM tx".format(O.R1, O.R2, O.R3)
+_VIOLATIONS = "SELECT transaction_id, unnest([CASE WHEN {} THEN 'RULE_001' END, CASE WHEN {} THEN 'RULE_002' END, CASE WHEN {} THEN 'RULE_003' END]) AS rule_id, amount, merchant_id FROM tx".format(O.R1, O.R2, O.R3)
 _VIOLATION_SQL = O.with_tx(f"""SELECT transaction_id, rule_id, CASE rule_id WHEN 'RULE_001' THEN 'HIGH' WHEN 'RULE_002' THEN 'CRITICAL' ELSE 'MEDIUM' END AS severity,
-    CASE rule_id WHEN 'RULE_002' THEN 0.8::DOUBLE ELSE 0.6::DOUBLE END AS score FROM ({_VIOLATIONS}) WHERE rule_id IS NOT NULL""")
-_shown = lambda applied: R.rule_alerts(applied).select("transaction_id", "rule_id", "severity", "score")
+    CASE rule_id WHEN 'RULE_002' THEN 0.8::DOUBLE ELSE 0.6::DOUBLE END AS score, 'Rule ' || rule_id || ': ' || CASE rule_id WHEN 'RULE_001' THEN 'amount GREATER_THAN 100.0' WHEN 'RULE_002' THEN 'merchant_id IN ["MERCH-0199","MERCH-0198","MERCH-0197"]' ELSE 'amount GREATER_THAN 50.0' END
+    || ' (actual: ' || CASE rule_id WHEN 'RULE_002' THEN merchant_id ELSE CAST(amount AS VARCHAR) END || ')' AS details FROM ({_VIOLATIONS}) WHERE rule_id IS NOT NULL""")
+_shown = lambda applied: R.rule_alerts(applied).select("transaction_id", "rule_id", "severity", "score", "details")
 add("d_violations", lambda s, d: _shown(R.apply_rules(risk.events(s, d), R.latest_rules(risk.demo_rules(s)))), _VIOLATION_SQL)
-add("d_violations_join", lambda s, d: _shown(R.join_rules(risk.events(s, d), R.latest_rules(risk.demo_rules(s)))), _VIOLATION_SQL)
+add("d_violations_join", lambda s, d: _shown(R.look_up_rules(risk.events(s, d), R.latest_rules(risk.demo_rules(s)))), _VIOLATION_SQL)
 
 # patterns
 DEFAULT = Config()
-_alerts = lambda df: df.select("transaction_id", "account_id", "ts_ms", "alert_type", "severity", F.round("score", 6).alias("score"))
+_alerts = lambda df: df.select("transaction_id", "account_id", "ts_ms", "alert_type", "severity", F.round("score", 6).alias("score"), "details", "matched_events")
 for _name, _find, _sql in (("micro", P.micro_transactions, O.micro), ("velocity", P.velocity, O.velocity), ("takeover", P.account_takeover, O.takeover), ("travel", P.impossible_travel, O.travel)):
     for _kind, _config in (("", SPARSE), ("_default", DEFAULT)):
         add(f"e_{_name}{_kind}", _tx(lambda tx, f=_find, c=_config: _alerts(f(tx, c))), O.with_tx(f"SELECT {O.ALERT_COLS} FROM {_name}", _sql(_config)))
@@ -106,7 +108,7 @@ add(
     O.with_tx("SELECT transaction_id, count(alert_type) AS n_alerts, coalesce(string_agg(alert_type, ',' ORDER BY alert_type), '') AS types FROM tx LEFT JOIN ("
               + " UNION ALL ".join(f"SELECT transaction_id, alert_type FROM {n}" for n in ("takeover", "micro", "velocity", "travel")) + ") USING (transaction_id) GROUP BY 1", O._cep(SPARSE)),
 )
-add("h_features", _tx(lambda tx: rolling_features(tx).select("transaction_id", *FEATURES)), O.features())
+add("h_features", _tx(lambda tx: rolling_features(tx).select("transaction_id", *FEATURES)), O.with_tx("SELECT * FROM featured", O.features()))
 
 # decisions, tables, monitoring
 add("m_decision", _t(lambda t: t.withColumn("combined_score", F.round("combined_score", 6))), O.over_decisions("SELECT * REPLACE (round(combined_score, 6) AS combined_score) FROM t"))
@@ -116,14 +118,18 @@ add(
     O.over_decisions("SELECT transaction_id, decision, decided_at FROM t"),
 )
 _agg = lambda select, rest="": O.over_decisions(f"SELECT {select} FROM t {rest}")
+_trees = TreeScorer()
+_ml = lambda spark, d: risk.assess(risk.events(spark, d), risk.demo_rules(spark), SPARSE, _trees)
+_m = lambda make: lambda spark, d: make(_ml(spark, d))
+_over_ml = lambda query: O.over_decisions(query, O.forest(SMALL_FOREST), *O.masked_features())
+_agg_ml = lambda select, rest="": _over_ml(f"SELECT {select} FROM t {rest}")
 _minutes = f"date_trunc('minute', event_time) AS time"
 add("p01_total", _t(B.total), _agg("count(*) AS total"))
 add("p02_fraud_detected", _t(B.fraud_detected), _agg("count(*) AS fraud", "WHERE is_fraud = 1"))
 add("p03_ground_truth_rate", _t(B.ground_truth_rate), _agg(f"round_even(count(*) FILTER ({O.GT}) * 100.0::DOUBLE / count(*), 2) AS fraud_rate"))
 add("p04_blocked", _t(B.blocked), _agg("count(*) AS blocked", "WHERE decision = 'BLOCK'"))
-# without a model every score is 0, so the two score panels take the combined score as the score
-_scored = lambda t: t.withColumn("ml_score", F.round("combined_score", 6))
-add("p05_average_score", _t(lambda t: B.average_score(_scored(t))), _agg("round_even(avg(round(combined_score, 6)), 4) AS avg_ml", "WHERE combined_score > 0"))
+# the two panels on scores
+add("p05_average_score", _m(B.average_score), _agg_ml("round_even(avg(ml_score), 4) AS avg_ml", "WHERE ml_score > 0"))
 add("p06_total_alerts", _a(B.total_alerts), O.over_decisions("SELECT count(DISTINCT alert_id) AS alerts FROM a"))
 add("p07_throughput", _t(B.throughput), _agg("round_even(count(*) / 60.0::DOUBLE, 1) AS events_per_sec", f"WHERE {O.since('decided_at', '1 MINUTE')}"))
 add("p08_detection_rate", _t(B.detection_rate), _agg(f"{O.percent(f'{O.GT} AND {O.FOUND}', O.GT)} AS fdr"))
@@ -137,14 +143,108 @@ add("p13_alerts_by_source", _a(lambda a: B.alerts_by(a, "alert_source", "cnt")),
 add("p14_alerts_by_type", _a(lambda a: B.alerts_by(a, "alert_type", "count", 10)), O.over_decisions("SELECT alert_type, count(*) AS count FROM (SELECT alert_id, arg_max(alert_type, alert_time) AS alert_type FROM a GROUP BY 1) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"))
 add("p15_decision_breakdown", _t(B.decision_breakdown), _agg("decision, count(*) AS cnt", "GROUP BY 1"))
 add("p16_fraud_by_hour", _t(B.fraud_by_hour), _agg("CAST(hour(event_time) AS VARCHAR) AS hour, count(*) AS fraud_count", f"WHERE {O.GT} GROUP BY 1"))
-add("p17_score_distribution", _t(lambda t: B.score_distribution(_scored(t))), _agg("round(combined_score, 6) AS ml_score, ground_truth_is_fraud AS is_fraud", "WHERE combined_score > 0 ORDER BY 1, transaction_id LIMIT 5000"))
+add("p17_score_distribution", _m(B.score_distribution), _agg_ml("ml_score, ground_truth_is_fraud AS is_fraud", "WHERE ml_score > 0 ORDER BY ml_score, transaction_id LIMIT 5000"))
 add("p18_top_accounts", _t(lambda t: B.top_accounts(t).withColumn("total_fraud_amount", F.round("total_fraud_amount", 4))), _agg("account_id, round(sum(amount), 4) AS total_fraud_amount, count(*) AS fraud_count", f"WHERE {O.GT} GROUP BY 1 ORDER BY sum(amount) DESC, 1 LIMIT 15"))
 add("p19_source_breakdown", _t(B.source_breakdown), _agg("decision_source, count(*) AS cnt", "WHERE decision_source NOT IN ('', 'NONE') GROUP BY 1"))
 add("p20_rates_over_time", _t(B.rates_over_time), _agg(f"{_minutes}, {O.percent(f'{O.GT} AND {O.FOUND}', O.GT)} AS fdr_pct, {O.percent(f'NOT {O.GT} AND {O.FOUND}', f'NOT {O.GT}')} AS fpr_pct", f"WHERE {O.since('event_time', '1 HOUR')} GROUP BY 1"))
-add("p21_recent_alerts", _a(lambda a: B.recent_alerts(a).drop("details")), O.over_decisions("SELECT alert_time, alert_type, alert_source, severity, account_id, transaction_id, round_even(score, 3) AS score FROM a ORDER BY alert_time DESC, alert_id LIMIT 50"))
-add("p22_tx_throughput", _t(lambda t: B.tx_throughput(t).withColumn("total_amount", F.round("total_amount", 4))), _agg("date_trunc('minute', event_time) AS window_start, count(*) AS tx_count, round(sum(amount), 4) AS total_amount, CAST(sum(is_fraud) AS BIGINT) AS fraud_count", "GROUP BY 1"))
-add("p23_alerts_by_type", _a(lambda a: B.alerts_by_type(a).withColumn("avg_score", F.round("avg_score", 6))), O.over_decisions("SELECT CAST(alert_time AS DATE) AS alert_date, alert_type, alert_source, count(*) AS alert_count, round(avg(score), 6) AS avg_score FROM a GROUP BY 1, 2, 3"))
-add("p24_fraud_by_geo", _t(lambda t: B.fraud_by_geo(t).withColumn("total_amount", F.round("total_amount", 4))), _agg("CAST(event_time AS DATE) AS geo_date, round_even(latitude, 0) + 0.0 AS lat_bucket, round_even(longitude, 0) + 0.0 AS lon_bucket, count(*) AS fraud_count, round(sum(amount), 4) AS total_amount", "WHERE is_fraud = 1 GROUP BY 1, 2, 3"))
-add("p25_latency_stats", _t(lambda t: B.latency_stats(t).withColumn("avg_latency_ms", F.round("avg_latency_ms", 6))), _agg(f"date_trunc('minute', decided_at) AS window_start, round(avg({O.LATENCY}), 6) AS avg_latency_ms, CAST(max({O.LATENCY}) AS DOUBLE) AS max_latency_ms, count(*) AS tx_count", f"WHERE {O.TIMED} GROUP BY 1"))
+add("p21_recent_alerts", _a(lambda a: B.recent_alerts(a)), O.over_decisions("SELECT alert_time, alert_type, alert_source, severity, account_id, transaction_id, round_even(score, 3) AS score, details FROM a ORDER BY alert_time DESC, alert_id LIMIT 50"))
+add("p22_tx_throughput", _t(lambda t: B.summary(t, "tx_throughput").withColumn("total_amount", F.round("total_amount", 4))), _agg("date_trunc('minute', event_time) AS window_start, count(*) AS tx_count, round(sum(amount), 4) AS total_amount, CAST(sum(is_fraud) AS BIGINT) AS fraud_count", "GROUP BY 1"))
+add("p23_alerts_by_type", _a(lambda a: B.summary(a, "alerts_by_type").withColumn("avg_score", F.round("avg_score", 6))), O.over_decisions("SELECT CAST(alert_time AS DATE) AS alert_date, alert_type, alert_source, count(*) AS alert_count, round(avg(score), 6) AS avg_score FROM a GROUP BY 1, 2, 3"))
+add("p24_fraud_by_geo", _t(lambda t: B.summary(t, "fraud_by_geo").withColumn("total_amount", F.round("total_amount", 4))), _agg("CAST(event_time AS DATE) AS geo_date, round_even(latitude, 0) + 0.0 AS lat_bucket, round_even(longitude, 0) + 0.0 AS lon_bucket, count(*) AS fraud_count, round(sum(amount), 4) AS total_amount", "WHERE is_fraud = 1 GROUP BY 1, 2, 3"))
+add("p25_latency_stats", _t(lambda t: B.summary(t, "latency_stats").withColumn("avg_latency_ms", F.round("avg_latency_ms", 6))), _agg(f"date_trunc('minute', decided_at) AS window_start, round(avg({O.LATENCY}), 6) AS avg_latency_ms, CAST(max({O.LATENCY}) AS DOUBLE) AS max_latency_ms, count(*) AS tx_count", f"WHERE {O.TIMED} GROUP BY 1"))
 add("p26_by_source", _t(B.by_source), _agg("decision_source, count(*) AS cnt", "GROUP BY 1"))
 add("p26_overall_latency", _t(lambda t: B.overall_latency(t).withColumn("avg_latency", F.round("avg_latency", 6))), _agg(f"round(avg({O.LATENCY}), 6) AS avg_latency", "WHERE produced_at > TIMESTAMP '1970-01-02'"))
+
+# scores of a forest given as data, features as the scorer sees them
+add("m_decision_ml", _m(lambda t: t.withColumn("combined_score", F.round("combined_score", 6))), _over_ml("SELECT * REPLACE (round(combined_score, 6) AS combined_score) FROM t"))
+add("n_forest_score", _m(lambda t: t.select("transaction_id", "ml_score")), _over_ml("SELECT transaction_id, ml_score FROM t"))
+add(
+    "n_forest_inputs",
+    lambda spark, d: inputs(_marked(spark, d)).select("transaction_id", *(F.col(f"inputs.{n}").cast("double").alias(n) for n in INPUTS)),
+    O.with_tx(f"""SELECT transaction_id, CAST(CAST(amount AS FLOAT) AS DOUBLE) AS amount, CAST({O.HOUR} AS DOUBLE) AS hour_of_day, CASE WHEN latitude BETWEEN 8.0 AND 23.5 AND longitude BETWEEN 102.0 AND 110.0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS is_foreign,
+        CAST(tx_count_1h AS DOUBLE) AS tx_frequency_1h, CAST(CAST(distance_km AS FLOAT) AS DOUBLE) AS distance_km FROM marked JOIN masked USING (transaction_id)""", O.marked(), *O.masked_features()),
+)
+add("h_features_masked", lambda spark, d: _marked(spark, d).select("transaction_id", *FEATURES), O.with_tx("SELECT * FROM masked", O.marked(), *O.masked_features()))
+_NOW = 1_900_000_000_000
+_untimed = F.pmod(F.substring("transaction_id", 4, 8).cast("long"), F.lit(10)) == 0
+add(
+    "h_features_untimed",
+    _tx(lambda tx: rolling_features(tx.withColumn("ts_ms", F.when(_untimed, 0).otherwise(F.col("ts_ms"))), now=F.lit(_NOW)).select("transaction_id", *FEATURES)),
+    O.with_tx("SELECT * FROM featured", f"placed AS (SELECT * REPLACE (CASE WHEN CAST(substr(transaction_id, 4) AS BIGINT) % 10 = 0 THEN {_NOW} ELSE ts_ms END AS ts_ms) FROM tx)", O.features("placed")),
+)
+add(
+    "c_critical",
+    lambda spark, d: risk.enrich(risk.events(spark, d), risk.demo_rules(spark), SPARSE).groupBy(D.has_critical().alias("critical")).agg(F.count("*").alias("n")),
+    O.with_tx("SELECT rule_crit OR cep_crit AS critical, count(*) AS n FROM marked GROUP BY 1", O.marked()),
+)
+
+
+def _marked(spark: SparkSession, d: str) -> DataFrame:
+    return rolling_features(risk.enrich(risk.events(spark, d), risk.demo_rules(spark), SPARSE), D.has_critical())
+
+
+# messages: some are no JSON, some lack an account, some have unreadable numbers or no place
+_number = F.pmod(F.substring("transaction_id", 4, 8).cast("long"), F.lit(50))
+
+
+def _messages(tx: DataFrame) -> DataFrame:
+    place = F.when(_number != 3, F.to_json(F.struct("latitude", "longitude")))
+    fields = F.struct(
+        "transaction_id", F.when(_number != 1, F.col("account_id")).alias("account_id"), "card_id", F.col("ts_ms").alias("timestamp"), F.col("produced_ms").alias("produced_at"),
+        F.when(_number == 2, F.lit("much")).otherwise(F.col("amount").cast("string")).alias("amount"), "event_type", "channel", place.alias("location"), "merchant_id", "status", F.col("label").alias("is_fraud"), F.lit(1).alias("unknown"),
+    )
+    return tx.select(F.when(_number == 0, F.concat(F.lit("{broken "), "transaction_id")).otherwise(F.to_json(fields)).alias("value"))
+
+
+_N = "CAST(substr(transaction_id, 4) AS BIGINT) % 50"
+add(
+    "a_parse_json",
+    _tx(lambda tx: parse_transactions(_messages(tx))[0].select(*COLUMNS)),
+    O.with_tx(f"""SELECT {", ".join(COLUMNS)} FROM (SELECT * REPLACE (CASE WHEN {_N} = 2 THEN 0.0 ELSE amount END AS amount, CASE WHEN {_N} = 3 THEN 0.0 ELSE latitude END AS latitude, CASE WHEN {_N} = 3 THEN 0.0 ELSE longitude END AS longitude)
+        FROM tx WHERE {_N} > 1)"""),
+)
+add("a_rejected", _tx(lambda tx: parse_transactions(_messages(tx))[1].agg(F.count("*").alias("n"), F.count_if(F.col("value").startswith("{broken")).alias("broken"))), O.with_tx(f"SELECT count(*) AS n, count(*) FILTER ({_N} = 0) AS broken FROM tx WHERE {_N} <= 1"))
+_LOG = [
+    '{"rule_id": "A", "rule_name": "a", "field": "amount", "operator": "GREATER_THAN", "threshold": 1, "severity": "HIGH", "version": 1}',
+    '{"rule_id": "A", "rule_name": "a", "field": "amount", "operator": "GREATER_THAN", "threshold": 100.5, "severity": "HIGH", "version": 3}',
+    '{"rule_id": "A", "rule_name": "a", "field": "amount", "operator": "LESS_THAN", "threshold": 0, "severity": "HIGH", "version": 2}',
+    '{"rule_id": "B", "rule_name": "b", "field": "channel", "operator": "IN", "threshold": ["ATM", "POS"], "severity": "CRITICAL", "time_window": {"start_hour": 22, "end_hour": 4}}',
+    '{"rule_id": "C", "rule_name": "c", "field": "amount", "operator": "GREATER_THAN", "threshold": 0, "severity": "LOW", "version": 1}',
+    '{"rule_id": "C", "rule_name": "c", "field": "amount", "operator": "GREATER_THAN", "threshold": 0, "severity": "LOW", "version": 2, "active": false}',
+    '{"rule_name": "no id"}',
+]
+_log = lambda spark: parse_rules(spark.createDataFrame([(x,) for x in _LOG], "value string"))
+add(
+    "a_rule_log",
+    lambda spark, d: R.latest_rules(_log(spark)).withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("start_hour", "end_hour")}),
+    """SELECT * FROM (VALUES ('A', 'a', 'amount', 'GREATER_THAN', '100.5', 'HIGH', 3, true, -1, -1), ('B', 'b', 'channel', 'IN', '["ATM","POS"]', 'CRITICAL', 0, true, 22, 4),
+        ('C', 'c', 'amount', 'GREATER_THAN', '0', 'LOW', 2, false, -1, -1)) AS r(rule_id, rule_name, field, operator, threshold, severity, version, active, start_hour, end_hour)""",
+)
+_versions = O.with_tx(f"""SELECT transaction_id, unnest(list_filter([CASE WHEN amount > 100.5 THEN 'A' END, CASE WHEN channel IN ('ATM', 'POS') AND ({O.HOUR} >= 22 OR {O.HOUR} < 4) THEN 'B' END], lambda x: x IS NOT NULL)) AS rule_id FROM tx""")
+for _how in (R.apply_rules, R.look_up_rules):
+    add(f"d_versions_{_how.__name__}", lambda spark, d, f=_how: R.rule_alerts(f(risk.events(spark, d), R.latest_rules(_log(spark)))).select("transaction_id", "rule_id"), _versions)
+
+# stored forms
+_when = lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S.%g')"
+add(
+    "b_json_rows",
+    _t(lambda t: storage.json_rows(t)),
+    O.over_decisions(f"""SELECT printf('{{"transaction_id":"%s","account_id":"%s","card_id":"%s","event_time":"%s","amount":%.2f,"event_type":"%s","channel":"%s","latitude":%.6f,"longitude":%.6f,"merchant_id":"%s","status":"%s","ml_score":%.6f,"rule_triggered":"%s","is_fraud":%d,"ground_truth_is_fraud":%d,"decision":"%s","decision_source":"%s","combined_score":%.6f,"produced_at":"%s","decided_at":"%s"}}',
+        transaction_id, account_id, card_id, {_when("event_time")}, amount, event_type, channel, latitude, longitude, merchant_id, status, ml_score, rule_triggered, is_fraud, ground_truth_is_fraud, decision, decision_source, combined_score, {_when("produced_at")}, {_when("decided_at")}) AS value FROM t"""),
+)
+add("b_stored_alerts", _a(lambda a: storage.stored_alerts(a).select("alert_id", "score", "event_date")), O.over_decisions("SELECT alert_id, round(score, 4) AS score, CAST(event_time AS DATE) AS event_date FROM a"))
+add("b_alert_messages", _a(lambda a: D.alert_messages(a).select(F.get_json_object("value", "$.alertId").alias("alert_id"), F.get_json_object("value", "$.eventTime").cast("long").alias("event_ms"), F.get_json_object("value", "$.details").alias("details"))),
+    O.over_decisions("SELECT alert_id, epoch_ms(event_time) AS event_ms, details FROM a"))
+add("b_unexpired", _t(lambda t: storage.unexpired(t, "event_time", 7, F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")).select("transaction_id")), _agg("transaction_id", "WHERE event_time >= TIMESTAMP '2024-06-01 00:00:00' - INTERVAL 7 DAY"))
+add("b_older_layout", _t(lambda t: storage.with_ground_truth(t.drop("ground_truth_is_fraud")).select("transaction_id", "ground_truth_is_fraud")), _agg("transaction_id, 0 AS ground_truth_is_fraud"))
+
+
+def _in_parts(summary: str, rows: DataFrame) -> DataFrame:
+    """A summary from partial rows of three parts of its table."""
+    part = lambda k: storage.partials(rows.where(F.pmod(F.crc32("transaction_id"), F.lit(3)) == k), summary)
+    return storage.finished(part(0).unionByName(part(1)).unionByName(part(2)), summary)
+
+
+for _panel, _summary, _column in (("p22", "tx_throughput", "total_amount"), ("p23", "alerts_by_type", "avg_score"), ("p24", "fraud_by_geo", "total_amount"), ("p25", "latency_stats", "avg_latency_ms")):
+    _shape = lambda df, s=_summary, c=_column: _in_parts(s, df).withColumn(c, F.round(c, 4 if c == "total_amount" else 6))
+    add(f"g_partials_{_summary}", (_a if _summary == "alerts_by_type" else _t)(_shape), ORACLE[f"{_panel}_{_summary}"])
