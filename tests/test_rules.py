@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.rules import apply_rules, condition, join_rules, latest_rules, seed_rules
+from tidemark.operators.rules import apply_rules, condition, look_up_rules, latest_rules, seed_rules
 from tidemark.sources.transactions import RULE
 
 TX = "transaction_id string, account_id string, card_id string, ts_ms long, amount double, event_type string, channel string, merchant_id string, status string"
@@ -39,6 +39,9 @@ def rule(field, operator, threshold, start=None, end=None, **more):
         (rule("amount", "LIKE", "1"), set()),
         (rule("nothing", "EQUALS", "1"), set()),
         (rule(None, "EQUALS", None), set()),
+        (rule("channel", "EQUALS", '["ATM","POS"]'), set()),
+        (rule("channel", "NOT_IN", None), {"t1", "t2"}),
+        (rule("amount", "NOT_IN", '["x"]'), {"t1", "t2", "t3"}),
         (rule("amount", "GREATER_THAN", "1", 0, 5), {"t2", "t3"}),  # t1 is at 05:13, t3 has no time
         (rule("amount", "GREATER_THAN", "1", 22, 4), {"t2", "t3"} if (1_699_995_000_000 // 3_600_000 + 7) % 24 < 4 else {"t3"}),
     ],
@@ -46,9 +49,8 @@ def rule(field, operator, threshold, start=None, end=None, **more):
 def test_operators(spark, tx, made, expected):
     assert {r.transaction_id for r in tx.where(condition(made)).collect()} == expected
     table = spark.createDataFrame([tuple(made[f.name] for f in RULE.fields)], RULE)
-    compiled = {r.transaction_id for r in apply_rules(tx, table).where("size(rule_alerts) > 0").collect()}
-    joined = {r.transaction_id for r in join_rules(tx, table).where("size(rule_alerts) > 0").collect()}
-    assert compiled == joined == expected
+    compiled, found = ({r.transaction_id: r.rule_alerts for r in f(tx, table).where("size(rule_alerts) > 0").collect()} for f in (apply_rules, look_up_rules))
+    assert compiled == found and set(found) == expected
 
 
 def test_versions_and_inactive(spark, tx):
@@ -70,3 +72,9 @@ def test_every_row_stays_and_details(spark, tx):
 
 def test_no_rules(spark, tx):
     assert apply_rules(tx, spark.createDataFrame([], RULE)).select(F.sum(F.size("rule_alerts"))).first()[0] == 0
+
+
+def test_repeated_ids(spark, tx):
+    twice = tx.where("transaction_id = 't3'").unionByName(tx.where("transaction_id = 't3'").withColumn("amount", F.lit(1.0)))
+    for f in (apply_rules, look_up_rules):
+        assert sorted(len(r.rule_alerts) for r in f(twice, seed_rules(spark)).collect()) == [0, 2]

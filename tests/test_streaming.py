@@ -1,4 +1,6 @@
 import json
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,15 +44,29 @@ def test_decisions_stream_equals_batch(spark, messages):
     assert spark.read.text(f"{out}/messages").count() == got.where("decision <> 'APPROVE'").count()
 
 
-@pytest.mark.parametrize("kind, batch", [(job.Takeover, P.account_takeover), (job.Travel, P.impossible_travel)])
-def test_stateful_equals_batch(spark, messages, kind, batch):
-    tx, _ = parse_transactions(read_json(spark, f"{messages}/in", True))
+@pytest.mark.parametrize("kind, batch", [(job.Takeover, P.account_takeover), (job.Travel, P.impossible_travel), (job.Micro, P.micro_transactions), (job.Velocity, P.velocity)])
+def test_stateful_equals_batch(spark, messages, tmp_path, kind, batch):
+    """Over several batches, with events up to five seconds out of order."""
+    lines = [r.value for r in read_json(spark, f"{messages}/in").collect()]
+    order = {v: json.loads(v)["timestamp"] + random.Random(i).randint(0, 4900) for i, v in enumerate(lines)}
+    lines.sort(key=lambda v: order[v])
+    last = max(json.loads(v)["timestamp"] for v in lines) + 10**9
+    end = [json.dumps({"transaction_id": f"END{k}", "account_id": "END", "timestamp": last + k * 10**8, "amount": 150, "event_type": "TRANSFER", "location": json.dumps({"latitude": 10, "longitude": 10})}) for k in (0, 1)]
+    step = len(lines) // 4 + 1
+    (tmp_path / "in").mkdir()
+    for k, part in enumerate([*(lines[i : i + step] for i in range(0, len(lines), step)), end[:1], end[1:]]):
+        file = tmp_path / "in" / f"{k}.txt"
+        file.write_text("\n".join(part))
+        os.utime(file, (1_700_000_000 + k, 1_700_000_000 + k))
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{tmp_path}/in")
+    tx, _ = parse_transactions(raw)
     name = kind.__name__.lower()
-    q = job.stateful_alerts(tx, kind, Config()).writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", f"{messages}/check-{name}").trigger(availableNow=True).start()
+    q = job.stateful_alerts(tx, kind, Config()).writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
     q.awaitTermination()
-    got = {(r.transaction_id, r.severity, round(r.score, 9)) for r in spark.table(name).collect()}
+    rows = spark.table(name).where("account_id <> 'END'").collect()
     still, _ = parse_transactions(read_json(spark, f"{messages}/in"))
-    assert got == {(r.transaction_id, r.severity, round(r.score, 9)) for r in batch(still, Config()).collect()} and got
+    want = sorted((r.transaction_id, r.ts_ms, r.severity, round(r.score, 9)) for r in batch(still, Config()).collect())
+    assert sorted((r.transaction_id, r.ts_ms, r.severity, round(r.score, 9)) for r in rows) == want and want
 
 
 def test_running_throughput(spark, messages):
@@ -61,15 +77,27 @@ def test_running_throughput(spark, messages):
     assert spark.table("throughput").agg(F.sum("tx_count")).first()[0] == still.count()
 
 
-def test_partials_and_latest(spark, tmp_path):
+def test_latest(spark):
     rows = spark.createDataFrame([("a", 1, 5.0, 1), ("a", 2, 7.0, 0), ("b", 1, 1.0, 0)], "transaction_id string, v int, amount double, is_fraud int")
     assert {(r.transaction_id, r.v) for r in storage.latest(rows, "transaction_id", "v").collect()} == {("a", 2), ("b", 1)}
-    timed = rows.withColumn("event_time", F.lit("2024-01-01 00:00:30").cast("timestamp_ntz"))
-    for k in range(2):
-        job.summarise_batch(timed, k, f"{tmp_path}/s")
-    job.summarise_batch(timed, 1, f"{tmp_path}/s")
-    got = storage.merge_partials(spark.read.parquet(f"{tmp_path}/s"), "tx_throughput").first()
-    assert (got.tx_count, got.total_amount, got.fraud_count) == (6, 26.0, 2)
+
+
+def test_summaries_of_batches(spark, data, tmp_path):
+    """Partial rows of three batches, one of them tried twice, make the summaries of the whole."""
+    from tidemark.operators.decisions import final_alerts
+    from tidemark.plans import dashboards, risk
+
+    t = risk.decisions(spark, data).cache()
+    a = final_alerts(t)
+    for k in (0, 1, 2, 1):
+        part = F.crc32("transaction_id") % 3 == k
+        job.summarise_batch(t.where(part), a.where(part), k, f"{tmp_path}/s")
+    for name in storage.SUMMARIES:
+        got = storage.finished(spark.read.parquet(f"{tmp_path}/s/{name}"), name)
+        want = dashboards.summary(a if name == "alerts_by_type" else t, name).select(got.columns)
+        shown = lambda rows: sorted(str([round(x, 6) if isinstance(x, float) else x for x in r]) for r in rows.collect())
+        assert shown(got) == shown(want) and want.count()
+    t.unpersist()
 
 
 def test_runs_cut_by_batch_edges(spark, messages, tmp_path):

@@ -19,8 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 import tidemark.config
-from tidemark.config import HOUR, Config
-from tidemark.functions.scalars import from_millis, start_of_minute
+from tidemark.config import DAY, HOUR, Config
+from tidemark.functions.scalars import from_millis
 from tidemark.operators import decisions as D
 from tidemark.operators import storage
 from tidemark.operators.patterns import attach, detect
@@ -47,57 +47,84 @@ def with_watermark(tx: DataFrame) -> DataFrame:
     return tx.withColumn("event_ts", F.timestamp_millis("ts_ms")).withWatermark("event_ts", LATE)
 
 
-class Takeover(StatefulProcessor):
-    """Open login attempts of an account, kept between batches until they expire."""
+_FOUND = "transaction_id string, account_id string, ts_ms long, alert_type string, severity string, score double"
+_EVENT = "ts_ms long, transaction_id string, event_type string, amount double, merchant_id string, latitude double, longitude double"
+
+
+class InOrder(StatefulProcessor):
+    """An account's events in event-time order, whatever batches bring them: events wait until the watermark has passed them, so that
+    disorder within the lateness bound shows nowhere. `open` holds what later events may complete, until it expires."""
+
+    opens: str  # the schema of an open attempt, whose first field is its time
 
     def __init__(self, config: Config):
         self.config = config
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.opens = handle, handle.getListState("opens", "at long, n int, done boolean")
+        self.handle = handle
+        self.waiting, self.open = handle.getListState("waiting", _EVENT), handle.getListState("open", self.opens)
+
+    def window_ms(self) -> int:
+        raise NotImplementedError
+
+    def step(self, held: list[list], e: dict) -> tuple[list[list], list[tuple]]:
+        """What is open after an event, and the (transaction_id, ts_ms, alert_type, severity, score) that it raises."""
+        raise NotImplementedError
+
+    def _advance(self, key, events: list[tuple], now: int) -> pd.DataFrame:
+        """Takes the events that the watermark has passed, in order."""
+        names = [f.split()[0] for f in _EVENT.split(", ")]
+        due, later, found = sorted(e for e in events if e[0] < now), [e for e in events if e[0] >= now], []
+        held = [list(o) for o in self.open.get()] if self.open.exists() else []
+        for e in due:
+            held = [o for o in held if e[0] - o[0] < self.window_ms()]
+            held, raised = self.step(held, dict(zip(names, e)))
+            found += [(r[0], key[0], *r[1:]) for r in raised]
+        held = [o for o in held if now - o[0] < self.window_ms()]
+        for state, rows in ((self.waiting, later), (self.open, held)):
+            state.put([tuple(r) for r in rows]) if rows else state.clear()
+        times = [max(e[0] for e in later) + 1] if later else [held[-1][0] + self.window_ms()] if held else []
+        for at in times:
+            self.handle.registerTimer(int(at))
+        return pd.DataFrame(found, columns=[f.split()[0] for f in _FOUND.split(", ")])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        c, found = self.config, []
-        opens = [list(o) for o in self.opens.get()] if self.opens.exists() else []
-        for e in pd.concat(list(rows)).sort_values(["ts_ms", "transaction_id"]).itertuples():
-            opens = [o for o in opens if e.ts_ms - o[0] < c.takeover_ms]
-            if e.event_type == "LOGIN_FAILED":
-                for o in opens:
-                    o[1] += not o[2] and o[1] < c.takeover_most
-                opens.append([e.ts_ms, 1, False])
-            elif e.event_type == "LOGIN_SUCCESS":
-                for o in opens:
-                    o[2] = o[2] or o[1] >= c.takeover_failures
-            elif e.event_type == "TRANSFER" and (ready := [o for o in opens if o[2]]):
-                n, opens = int(ready[0][1]), []
-                score = min(0.99, 0.80 + n * 0.03)
-                found.append((e.transaction_id, key[0], e.ts_ms, "ACCOUNT_TAKEOVER", "CRITICAL" if n >= 7 else "HIGH", score))
-        if opens:
-            self.opens.put([(int(a), int(n), bool(d)) for a, n, d in opens])
-            self.handle.registerTimer(int(opens[-1][0]) + c.takeover_ms)
-        else:
-            self.opens.clear()
-        yield pd.DataFrame(found, columns=["transaction_id", "account_id", "ts_ms", "alert_type", "severity", "score"])
+        new = pd.concat(list(rows))[[f.split()[0] for f in _EVENT.split(", ")]]
+        new = [(int(e[0]), e[1], e[2], float(e[3]), e[4], float(e[5]), float(e[6])) for e in new.itertuples(index=False)]
+        old = [tuple(e) for e in self.waiting.get()] if self.waiting.exists() else []
+        yield self._advance(key, old + new, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Forget what no later event can complete."""
-        now, c = expiredTimerInfo.getExpiryTimeInMs(), self.config
-        opens = [o for o in self.opens.get() if now - o[0] < c.takeover_ms] if self.opens.exists() else []
-        self.opens.put(opens) if opens else self.opens.clear()
-        yield pd.DataFrame([], columns=["transaction_id", "account_id", "ts_ms", "alert_type", "severity", "score"])
+        old = [tuple(e) for e in self.waiting.get()] if self.waiting.exists() else []
+        yield self._advance(key, old, timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
 
-class Travel(StatefulProcessor):
-    """Open places of an account, kept between batches until they expire."""
+class Takeover(InOrder):
+    opens = "at long, n int, done boolean"
 
-    def __init__(self, config: Config):
-        self.config = config
+    def window_ms(self) -> int:
+        return self.config.takeover_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.opens = handle, handle.getListState("opens", "at long, lat double, lon double")
+    def step(self, held: list[list], e: dict) -> tuple[list[list], list[tuple]]:
+        c, kind = self.config, e["event_type"]
+        if kind == "LOGIN_FAILED":
+            held = [[at, n + (not done and n < c.takeover_most), done] for at, n, done in held] + [[e["ts_ms"], 1, False]]
+        elif kind == "LOGIN_SUCCESS":
+            held = [[at, n, done or n >= c.takeover_failures] for at, n, done in held]
+        elif ready := [o for o in held if o[2]]:
+            n = int(ready[0][1])
+            return [], [(e["transaction_id"], e["ts_ms"], "ACCOUNT_TAKEOVER", "CRITICAL" if n >= 7 else "HIGH", min(0.99, 0.80 + n * 0.03))]
+        return held, []
+
+
+class Travel(InOrder):
+    opens = "at long, lat double, lon double"
+
+    def window_ms(self) -> int:
+        return self.config.travel_ms
 
     @staticmethod
     def _km(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
@@ -106,51 +133,75 @@ class Travel(StatefulProcessor):
         a = sin(radians(lat2 - lat1) / 2) ** 2 + cos(radians(lat1)) * cos(radians(lat2)) * sin(radians(lon2 - lon1) / 2) ** 2
         return 2 * 6371.0 * atan2(sqrt(a), sqrt(1 - a))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        c, found = self.config, []
-        opens = [tuple(o) for o in self.opens.get()] if self.opens.exists() else []
-        for e in pd.concat(list(rows)).sort_values(["ts_ms", "transaction_id"]).itertuples():
-            opens = [o for o in opens if e.ts_ms - o[0] < c.travel_ms]
-            far = [km for o in opens if (km := self._km(o[1], o[2], e.latitude, e.longitude)) >= c.travel_km]
-            if far:
-                opens = []
-                found.append((e.transaction_id, key[0], e.ts_ms, "IMPOSSIBLE_TRAVEL", "CRITICAL" if far[0] >= 2000.0 else "HIGH", min(0.99, 0.80 + far[0] / 10000.0)))
-            else:
-                opens.append((int(e.ts_ms), float(e.latitude), float(e.longitude)))
-        if opens:
-            self.opens.put(opens)
-            self.handle.registerTimer(opens[-1][0] + c.travel_ms)
-        else:
-            self.opens.clear()
-        yield pd.DataFrame(found, columns=["transaction_id", "account_id", "ts_ms", "alert_type", "severity", "score"])
+    def step(self, held: list[list], e: dict) -> tuple[list[list], list[tuple]]:
+        c = self.config
+        far = [km for o in held if (km := self._km(o[1], o[2], e["latitude"], e["longitude"])) >= c.travel_km]
+        if far:
+            return [], [(e["transaction_id"], e["ts_ms"], "IMPOSSIBLE_TRAVEL", "CRITICAL" if far[0] >= 2000.0 else "HIGH", min(0.99, 0.80 + far[0] / 10000.0))]
+        return [*held, [e["ts_ms"], e["latitude"], e["longitude"]]], []
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Forget what no later event can complete."""
-        now, c = expiredTimerInfo.getExpiryTimeInMs(), self.config
-        opens = [o for o in self.opens.get() if now - o[0] < c.travel_ms] if self.opens.exists() else []
-        self.opens.put(opens) if opens else self.opens.clear()
-        yield pd.DataFrame([], columns=["transaction_id", "account_id", "ts_ms", "alert_type", "severity", "score"])
 
-    def close(self) -> None:
-        pass
+class Runs(InOrder):
+    """Runs of n consecutive events within a window: an alert on each event of a run, by the earliest run that holds it."""
 
+    opens = "at long, transaction_id string, merchant_id string, told boolean"
+    n: int
 
-_FOUND = "transaction_id string, account_id string, ts_ms long, alert_type string, severity string, score double"
+    def alert(self, run: list[list]) -> tuple[str, str, float]:
+        """The type, severity and score of a run."""
+        raise NotImplementedError
+
+    def step(self, held: list[list], e: dict) -> tuple[list[list], list[tuple]]:
+        run = [*held, [e["ts_ms"], e["transaction_id"], e["merchant_id"], False]][-self.n :]
+        if len(run) < self.n:
+            return run, []
+        kind, severity, score = self.alert(run)
+        raised = [(o[1], o[0], kind, severity, score) for o in run if not o[3]]
+        return [[*o[:3], True] for o in run], raised
+
+
+class Micro(Runs):
+    def __init__(self, config: Config):
+        super().__init__(config)
+        self.n = config.micro_count
+
+    def window_ms(self) -> int:
+        return self.config.micro_ms
+
+    def alert(self, run: list[list]) -> tuple[str, str, float]:
+        merchants = len({o[2] for o in run if o[2] is not None})
+        severity = "CRITICAL" if self.n >= 10 or merchants >= 3 else "MEDIUM" if merchants <= 1 else "HIGH"
+        return "MICRO_TRANSACTIONS", severity, min(0.98, 0.75 + self.n * 0.03)
 
 
-def stateful_alerts(tx: DataFrame, kind: type[StatefulProcessor], config: Config) -> DataFrame:
-    """Alerts of Takeover or Travel over a stream of transactions. Needs the RocksDB state store."""
+class Velocity(Runs):
+    def __init__(self, config: Config):
+        super().__init__(config)
+        self.n = config.velocity_count
+
+    def window_ms(self) -> int:
+        return self.config.velocity_ms
+
+    def alert(self, run: list[list]) -> tuple[str, str, float]:
+        severity = "CRITICAL" if self.n >= 5 or run[-1][0] - run[0][0] <= 1000 else "HIGH"
+        return "VELOCITY_ATTACK", severity, min(0.95, 0.70 + self.n * 0.05)
+
+
+def stateful_alerts(tx: DataFrame, kind: type[InOrder], config: Config) -> DataFrame:
+    """Alerts of Takeover, Travel, Micro or Velocity over a stream of transactions. Needs the RocksDB state store."""
     from tidemark.functions.scalars import valid_coordinates
     from tidemark.operators.patterns import FINANCIAL
 
     # a stream's workers don't see files added to the context, so the processor travels with its module's code
     for module in (sys.modules[__name__], tidemark.config):
         cloudpickle.register_pickle_by_value(module)
-    if kind is Takeover:
-        rows = tx.where(F.col("event_type").isin("LOGIN_FAILED", "LOGIN_SUCCESS", "TRANSFER"))
-    else:
-        rows = tx.where(F.col("event_type").isin(*FINANCIAL) & valid_coordinates(F.col("latitude"), F.col("longitude")))
-    return with_watermark(rows).groupBy("account_id").transformWithStateInPandas(statefulProcessor=kind(config), outputStructType=_FOUND, outputMode="Append", timeMode="EventTime")
+    financial, amount = F.col("event_type").isin(*FINANCIAL), F.col("amount")
+    rows = {
+        Takeover: F.col("event_type").isin("LOGIN_FAILED", "LOGIN_SUCCESS", "TRANSFER"), Travel: financial & valid_coordinates(F.col("latitude"), F.col("longitude")),
+        Micro: financial & (amount < config.micro_amount), Velocity: F.col("event_type").isin("TRANSFER", "PAYMENT") & amount.between(config.velocity_low, config.velocity_high),
+    }
+    relevant = F.when(F.col("event_ts") > F.lit("0001-01-01").cast("timestamp"), rows[kind])  # reads the watermark's column, so that all events advance it
+    return with_watermark(tx).where(relevant).groupBy("account_id").transformWithStateInPandas(statefulProcessor=kind(config), outputStructType=_FOUND, outputMode="Append", timeMode="EventTime")
 
 
 def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str, checkpoint: str, config: Config, scorer: Scorer = no_model, trigger: dict | None = None) -> StreamingQuery:
@@ -160,7 +211,8 @@ def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str
     alerts of its own batch. A batch is judged together with the stored history of its accounts, so patterns and features
     reach back (history_ms). Stored transactions that its events turn out to concern, as those of a run that it completes,
     are written again with a new decided_at where their row changed; current_decisions() and current_alerts() read the
-    latest versions. Files of a batch replace those of the same batch after a retry.
+    latest versions. Files of a batch replace those of the same batch after a retry. History is filed by day, so that a batch
+    lists and reads the days it needs, and days that no batch can need are deleted.
     """
     window, keep = longest_window(config), history_ms(config)
     numbered = lambda df: T.StructType([*df.schema.fields, T.StructField("batch", T.IntegerType())])
@@ -170,12 +222,14 @@ def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str
         history, now = f"{out}/history", F.lit(int(time.time() * 1000)).cast("long")
         rules = latest_rules(parse_rules(spark.read.text(rules_path)))
         ruled = apply_rules(tx, rules)
-        ruled.write.mode("overwrite").parquet(f"{history}/batch={number}")
-        past = spark.read.schema(numbered(ruled)).parquet(history).where(F.col("batch") <= number)
+        days = numbered(ruled.withColumn("day", F.floor(F.col("ts_ms") / DAY).cast("int")))
+        filed = ruled.withColumns({"day": F.floor(F.col("ts_ms") / DAY).cast("int"), "batch": F.lit(number)})
+        filed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(history)
+        past = spark.read.schema(days).parquet(history).where(F.col("batch") <= number)
         mine = past.where(F.col("batch") == number).select("account_id", "transaction_id", "ts_ms").persist()
         edge = mine.agg(F.min("ts_ms")).first()[0] or 0
         since = mine.groupBy("account_id").agg((F.min("ts_ms") - window).alias("_since"))
-        stored = past.where(F.col("ts_ms") >= edge - window - keep).join(since, "account_id").where(F.col("ts_ms") >= F.col("_since") - keep)
+        stored = past.where((F.col("day") >= (edge - window - keep) // DAY) & (F.col("ts_ms") >= edge - window - keep)).drop("day").join(since, "account_id").where(F.col("ts_ms") >= F.col("_since") - keep)
         stored = storage.latest(stored, "transaction_id", "batch").drop("batch").withColumn("decided_ms", now)
         concerned = stored.where(F.col("ts_ms") >= F.col("_since")).select("transaction_id")
         stored = stored.drop("_since")
@@ -197,10 +251,21 @@ def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str
         rejected.write.mode("overwrite").text(f"{out}/rejected/batch={number}")
         for held in (mine, made, changed):
             held.unpersist()
+        _forget(spark, history, (edge - 2 * (window + keep)) // DAY)
 
     return raw.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
+def _forget(spark: SparkSession, history: str, day: int) -> None:
+    """Deletes the folders of days before `day`, which no batch reads any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(history)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(root) if files.exists(root) else ():
+        name = status.getPath().getName()
+        if name.startswith("day=") and name[4:].lstrip("-").isdigit() and 0 < int(name[4:]) < day:
+            files.delete(status.getPath(), True)
+
+
 def current_decisions(spark: SparkSession, out: str) -> DataFrame:
     """The latest version of each decision that run_decisions() wrote."""
     return storage.latest(spark.read.parquet(f"{out}/decisions"), "transaction_id", "decided_at")
@@ -220,7 +285,9 @@ def running_throughput(tx: DataFrame) -> DataFrame:
     )
 
 
-def summarise_batch(batch: DataFrame, number: int, path: str) -> None:
-    """Partial summary rows of a batch of decisions, filed under its number; storage.merge_partials() adds them up."""
-    part = batch.groupBy(start_of_minute(F.col("event_time")).alias("window_start")).agg(F.count("*").alias("tx_count"), F.sum("amount").alias("total_amount"), F.sum("is_fraud").alias("fraud_count"))
-    part.write.mode("overwrite").parquet(f"{path}/batch={number}")
+def summarise_batch(decisions: DataFrame, alerts: DataFrame, number: int, path: str) -> None:
+    """Partial rows of all summaries from a batch's decisions and alerts, filed under its number; a retry replaces them, and
+    storage.finished() makes the summaries of all batches."""
+    for summary in storage.SUMMARIES:
+        part = storage.partials(alerts if summary == "alerts_by_type" else decisions, summary)
+        part.write.mode("overwrite").parquet(f"{path}/{summary}/batch={number}")
