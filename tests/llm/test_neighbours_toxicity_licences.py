@@ -128,7 +128,8 @@ def test_toxicity_without_rows(spark):
 def brute_licences(text):
     parts = [licenses.normalise(p) for p in re.split(licenses.SPLIT, (text or "").lower())]
     parts = [p for p in parts if p]
-    known = [(i, licenses.KNOWN[p]) for i, p in enumerate(parts) if p in licenses.KNOWN]
+    blank = lambda p: next((n for n, (a, b) in licenses.OPEN.items() if re.fullmatch(f"{a}( [^ ]+){{1,10}}" + (f" {b}" if b else ""), p)), None)
+    known = [(i, licenses.KNOWN.get(p) or blank(p)) for i, p in enumerate(parts) if p in licenses.KNOWN or blank(p)]
     found = []
     for k in range(len(known)):
         for name, rule in licenses.RULES:
@@ -205,6 +206,17 @@ This program is distributed in the hope that it will be useful,
 but WITHOUT ANY WARRANTY; without even the implied warranty of
 MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
 GNU General Public License for more details.""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:""",
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any
 purpose with or without fee is hereby granted, provided that the above
 copyright notice and this permission notice appear in all copies.""",
@@ -214,7 +226,7 @@ file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
 }
 RULE = {
     "MIT": ["mit-title", "mit-grant", "mit-notice", "mit-warranty"], "Apache-2.0": ["apache2-header", "apache2-copy", "apache2-as-is"], "BSD-3-Clause": ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"],
-    "GPL-3.0-or-later": ["gpl-free", "gpl-hope"], "ISC": ["isc-grant"], "MPL-2.0": ["mpl2-subject"],
+    "GPL-3.0-or-later": ["gpl-free", "gpl-hope"], "LGPL-2.1-or-later": ["lgpl2-free"], "Zlib": ["zlib-as-is", "zlib-liable", "zlib-grant"], "ISC": ["isc-grant"], "MPL-2.0": ["mpl2-subject"],
 }
 
 
@@ -231,6 +243,17 @@ def test_wrapped_licences(spark):
     assert got[list(WRAPPED).index("BSD-3-Clause") * 5].matches[0].licence == "BSD-3-Clause"
 
 
+def test_blanks_and_tags(spark):
+    holder = WRAPPED["BSD-3-Clause"].replace("the copyright holder", "the Acme Tools\n   Corporation of Ohio")
+    texts = [
+        "// SPDX-License-Identifier: MIT\nint x;", "# SPDX-License-Identifier: GPL-2.0-or-later", "Licensed under the MIT license, see LICENSE file.", "Licensed under the MIT license, see " + "word " * 11 + ".",
+        holder, "\n".join(" * " + x for x in holder.split("\n")), holder.replace("Acme", "Acme " * 11), "Neither the name of nor the names of its contributors",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [list(r.licences) for r in licenses.scan_licences(frame).orderBy("doc_id").collect()]
+    assert got == [["MIT"], ["GPL-2.0-or-later"], ["MIT"], [], ["BSD-3-Clause"], ["BSD-3-Clause"], ["BSD-2-Clause"], []]
+
+
 def test_wrapped_sentences_end(spark):
     texts = ["Released under. The MIT License", "Released\n. \nunder the\nMIT\nLicense", "Released\n\nunder the MIT\nLicense", "Released under\nthe MIT License or not", "MIT.\nLicense", "The\nMIT License\nMIT License"]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

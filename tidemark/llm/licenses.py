@@ -41,7 +41,28 @@ SENTENCES: dict[str, str] = {
     "cc-by4-work": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc0-waive": "To the extent possible under law, the author has waived all copyright and related rights to this work",
     "unlicense": "This is free and unencumbered software released into the public domain",
+    "lgpl2-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+    "lgpl3-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version",
+    "agpl3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "boost-distributed": "Distributed under the Boost Software License, Version 1.0",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-liable": "In no event will the authors be held liable for any damages arising from the use of this software",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
 }
+# licences that SPDX tags name
+TAGGED = [
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "GPL-2.0-only",
+    "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+]
+SENTENCES |= {f"spdx-{name}": f"SPDX-License-Identifier: {name}" for name in TAGGED}
+# known sentences with a blank for one to MOST_BLANK words, as holders' names or files: what stands before and after it
+BLANKS: dict[str, tuple[str, str]] = {
+    "bsd-endorse": ("Neither the name of", "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    "bsd-endorse-one": ("The name of", "may not be used to endorse or promote products derived from this software without specific prior written permission"),
+    "mit-see": ("Licensed under the MIT License see", ""),
+    "apache2-see": ("Licensed under the Apache License, Version 2.0 see", ""),
+}
+MOST_BLANK = 10
 
 # rules in order: the first that matches at a sentence counts; sentences of a rule stand close together
 RULES: list[tuple[str, tuple[str, ...]]] = [
@@ -51,7 +72,15 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("GPL-3.0-or-later", ("gpl-free", "gpl-hope")),
     ("GPL-2.0-or-later", ("gpl2-free", "gpl-hope")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse-one")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
+    ("LGPL-2.1-or-later", ("lgpl2-free",)),
+    ("LGPL-3.0-or-later", ("lgpl3-free",)),
+    ("AGPL-3.0-or-later", ("agpl3-free",)),
+    ("BSL-1.0", ("boost-distributed",)),
+    ("Zlib", ("zlib-as-is", "zlib-liable", "zlib-grant")),
+    ("MIT", ("mit-see",)),
+    ("Apache-2.0", ("apache2-see",)),
     ("MIT", ("mit-title",)),
     ("MIT", ("mit-title-the",)),
     ("MIT", ("mit-released",)),
@@ -75,6 +104,7 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("CC0-1.0", ("cc0-waive",)),
     ("Unlicense", ("unlicense",)),
 ]
+RULES += [(name, (f"spdx-{name}",)) for name in TAGGED]
 GAP = 3  # sentences from one of a rule to the next, at most, on average
 SPLIT = r"[.!?][ \t\r\f]+|[.!?]?\n+"
 NOISE = r"[^\p{L}\p{N}]+"
@@ -97,8 +127,28 @@ def _known() -> dict[str, str]:
 
 
 KNOWN = _known()
-LINES = max(len(k.split()) for k in KNOWN)  # lines of a known sentence, at most
-BEGINNINGS = sorted({" ".join(k.split()[:n]) for k in KNOWN for n in range(1, len(k.split()))})
+OPEN = {name: (normalise(before), normalise(after)) for name, (before, after) in BLANKS.items()}
+LINES = max(*(len(k.split()) for k in KNOWN), *(len(f"{a} {b}".split()) + MOST_BLANK for a, b in OPEN.values()))  # lines of a known sentence, at most
+BEGINNINGS = sorted({" ".join(k.split()[:n]) for k in [*KNOWN, *(f"{a} x" for a, _ in OPEN.values())] for n in range(1, len(k.split()))})
+
+
+def _named(text: Column, table: Column) -> Column:
+    """The known sentence that a normalised text is, or null."""
+    longest = max(map(len, KNOWN))
+    found = F.when(F.length(text) <= longest, F.try_element_at(table, text))
+    for name, (before, after) in OPEN.items():
+        middle = F.regexp_count(text, F.lit(" ")) - (f"{before} {after}".strip().count(" ") + bool(after))
+        fits = text.startswith(f"{before} ") & (text.endswith(f" {after}") if after else F.lit(True)) & middle.between(1, MOST_BLANK)
+        found = F.coalesce(found, F.when(fits, F.lit(name)))
+    return found
+
+
+def _begun(text: Column) -> Column:
+    """Whether more lines may make a known sentence of a normalised text."""
+    out = text.isin(BEGINNINGS)
+    for before, after in OPEN.values():
+        out = out | (text.startswith(f"{before} ") & (F.regexp_count(text, F.lit(" ")) < f"{before} {after}".count(" ") + MOST_BLANK + 1))
+    return out
 
 
 def _matched(known: Column, i: Column) -> Column:
@@ -118,9 +168,9 @@ def _longest(lines: Column, table: Column) -> Column:
 
     def more(a: Column, x: Column) -> Column:
         text = F.concat(a["text"], F.when(a["n"] > 0, F.lit(" ")).otherwise(F.lit("")), x["s"])
-        found = F.try_element_at(table, text)
+        found = _named(text, table)
         longer = F.struct(
-            text.alias("text"), (a["n"] + 1).alias("n"), (~x["stops"] & text.isin(BEGINNINGS)).alias("open"), F.when(found.isNotNull(), a["n"] + 1).otherwise(a["lines"]).alias("lines"), F.coalesce(found, a["id"]).alias("id")
+            text.alias("text"), (a["n"] + 1).alias("n"), (~x["stops"] & _begun(text)).alias("open"), F.when(found.isNotNull(), a["n"] + 1).otherwise(a["lines"]).alias("lines"), F.coalesce(found, a["id"]).alias("id")
         )
         return F.when(a["open"], longer).otherwise(a)
 
@@ -132,8 +182,8 @@ def scan_licences(docs: DataFrame) -> DataFrame:
 
     A text is cut into pieces at . ! ? before white space and at line ends; empty ones don't count, n_sentences are the
     others. A known sentence is a piece, or a run of pieces with only line ends and blank lines between them (a wrapped
-    sentence, with or without comment signs before its lines), that equals it once normalised; one within a longer one doesn't
-    count. known are their (at, lines, id): first piece, from 0, number of pieces, identifier; matches the (at, licence) of
+    sentence, with or without comment signs before its lines), that equals it once normalised; blanks stand for one to
+    MOST_BLANK words; one within a longer one doesn't count. known are their (at, lines, id): first piece, from 0, number of pieces, identifier; matches the (at, licence) of
     rules; licences the distinct licences, sorted. Null and empty texts have no sentences; null ids and repeated rows stay;
     an empty table gives no rows.
     """
@@ -144,11 +194,10 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.filter(pieces, lambda s: s != "").alias("p"))
     stops = F.transform("p", lambda s, i: F.struct(s.alias("s"), F.coalesce(F.get("p", i + 1) == STOP, F.lit(True)).alias("stops")))
     cut = cut.select("doc_id", F.filter(stops, lambda x: x["s"] != STOP).alias("s"))
-    longest = max(map(len, KNOWN))
 
     def known_at(x: Column, i: Column) -> Column:
-        alone = F.struct(F.lit(1).alias("lines"), F.when(F.length(x["s"]) <= longest, F.try_element_at(table, x["s"])).alias("id"))
-        found = F.when(~x["stops"] & x["s"].isin(BEGINNINGS), _longest(F.slice("s", i + 1, LINES), table)).otherwise(alone)
+        alone = F.struct(F.lit(1).alias("lines"), _named(x["s"], table).alias("id"))
+        found = F.when(~x["stops"] & _begun(x["s"]), _longest(F.slice("s", i + 1, LINES), table)).otherwise(alone)
         return F.struct(i.alias("at"), found.alias("of"))
 
     found = F.transform(F.filter(F.transform("s", known_at), lambda x: x["of"]["id"].isNotNull()), lambda x: F.struct(x["at"].alias("at"), x["of"]["lines"].alias("lines"), x["of"]["id"].alias("id")))
@@ -168,6 +217,9 @@ def oracle() -> str:
     """The same digest in DuckDB SQL, built from the tables above."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in KNOWN.items())
+    blanks = " UNION ALL ".join(
+        f"SELECT *, {quote(name)} AS id FROM each WHERE regexp_full_match(sentence, {quote(f'{before}( [^ ]+){{1,{MOST_BLANK}}}' + (f' {after}' if after else ''))})" for name, (before, after) in OPEN.items()
+    )
     cases = " ".join(
         f"WHEN list_slice(ids, i, i + {len(r) - 1}) = [{', '.join(map(quote, r))}] AND pos[i + {len(r) - 1}] - pos[i] <= {GAP * (len(r) - 1)} THEN {quote(n)}" for n, r in RULES
     )
@@ -179,7 +231,8 @@ def oracle() -> str:
             FROM documents
         ), known(sentence, id) AS (VALUES {known}),
         each AS (SELECT row, unnest(s) AS sentence, generate_subscripts(s, 1) AS spot FROM cut),
-        seen AS (SELECT row, list(id ORDER BY spot) AS ids, list(spot ORDER BY spot) AS pos FROM each JOIN known USING (sentence) GROUP BY row),
+        seen AS (SELECT row, list(id ORDER BY spot) AS ids, list(spot ORDER BY spot) AS pos FROM
+                 (SELECT row, spot, first(id) AS id FROM (SELECT each.*, id FROM each JOIN known USING (sentence) UNION ALL {blanks}) GROUP BY row, spot) GROUP BY row),
         found AS (SELECT row, ids, pos, unnest(range(1, len(ids) + 1)) AS i FROM seen),
         named AS (SELECT row, CASE {cases} END AS licence FROM found),
         held AS (SELECT row, count(licence) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM named GROUP BY row)
