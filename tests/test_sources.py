@@ -1,7 +1,10 @@
 import json
+import os
 
+from pyspark.sql import functions as F
 from traffic import generate
-from tidemark.sources.transactions import parse_rules, parse_transactions
+from tidemark.operators.rules import latest_rules
+from tidemark.sources.transactions import parse_rules, parse_transactions, read_messages, read_rule_log
 
 
 def parsed(spark, *values):
@@ -39,3 +42,27 @@ def test_generator_is_deterministic(spark):
     assert bad.count() == 0 and tx.count() == len(first)
     kinds = {r.kind: r["count"] for r in rows.groupBy("kind").count().collect()}
     assert set(kinds) == {"ordinary", "takeover", "rapid", "micro", "travel", "amount"}
+
+
+def test_first_of_equal_versions_by_arrival(spark, tmp_path):
+    line = lambda i, t, v=1: json.dumps({"rule_id": i, "field": "amount", "operator": "GREATER_THAN", "threshold": t, "version": v})
+    for k, (name, lines) in enumerate([("z.json", [line("A", 7), line("A", 3), line("B", 1)]), ("a.json", [line("A", 1), line("B", 5, 2), line("B", 4, 2)])]):
+        (tmp_path / name).write_text("\n".join(lines))
+        os.utime(tmp_path / name, (1_700_000_000 + k, 1_700_000_000 + k))
+    got = {r.rule_id: r.threshold for r in latest_rules(read_rule_log(spark, str(tmp_path)), "arrival").collect()}
+    assert got == {"A": "7", "B": "5"}
+    assert read_messages(spark, "text", path=str(tmp_path)).count() == 6
+
+
+def test_stored_days(spark, data, tmp_path):
+    """Rows appended under their day twice; the later version counts."""
+    from tidemark.operators import storage
+    from tidemark.plans import risk
+
+    t = storage.stored_decisions(risk.decisions(spark, data)).limit(50).cache()
+    later = t.withColumns({"decision": F.lit("LATER"), "decided_at": F.col("decided_at") + F.expr("interval 1 second")})
+    for df in (t, later.limit(20)):
+        storage.append(df, f"{tmp_path}/t")
+    got = storage.latest(spark.read.parquet(f"{tmp_path}/t"), "transaction_id", "decided_at")
+    assert got.count() == 50 and got.where("decision = 'LATER'").count() == 20
+    t.unpersist()

@@ -132,7 +132,7 @@ def look_up_rules(tx: DataFrame, rules: DataFrame) -> DataFrame:
     """As apply_rules, for rule sets of any size: each row filters one array of all active rules, so that rows need no key and are
     neither shuffled nor multiplied."""
     ship(tx.sparkSession)
-    parsed = F.udf(_parsed, _PARSED)  # of the rules, not of the transactions
+    parsed = F.udf(lambda text: _parsed(text), _PARSED)  # of the rules, not of the transactions
     active = rules.where(F.coalesce("active", F.lit(True))).withColumn("t", parsed("threshold"))
     one = active.agg(F.sort_array(F.collect_list(F.struct("rule_id", "rule_name", "field", "operator", "threshold", "severity", "start_hour", "end_hour", "t"))).alias("_rules"))
     hour = local_hour(F.col("ts_ms"))

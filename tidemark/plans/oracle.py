@@ -61,7 +61,7 @@ def velocity(c: Config) -> str:
     return _runs("vel", where, c.velocity_count, c.velocity_ms) + f""", velocity AS (
     SELECT transaction_id, account_id, ts_ms, 'VELOCITY_ATTACK' AS alert_type, CASE WHEN {c.velocity_count} >= 5 OR span <= 1000 THEN 'CRITICAL' ELSE 'HIGH' END AS severity,
            least(0.95::DOUBLE, 0.70 + {c.velocity_count} * 0.05::DOUBLE) AS score,
-           printf('{c.velocity_count} rapid medium-value transactions in %.2fs, total: $%.2f (amount range ${c.velocity_low:.0f}-${c.velocity_high:.0f}, score=%.2f)', span / 1000.0::DOUBLE, total, score) AS details,
+           printf('{c.velocity_count} rapid medium-value transactions in %d.%02ds, total: $%.2f (amount range ${c.velocity_low:.0f}-${c.velocity_high:.0f}, score=%.2f)', (span + 5) // 1000, (span + 5) // 10 % 100, total, score) AS details,
            'TRANSFER/PAYMENT ${c.velocity_low:.0f}-${c.velocity_high:.0f} x{c.velocity_count} within {c.velocity_ms // 1000} seconds' AS matched_events FROM vel_run
 )"""
 

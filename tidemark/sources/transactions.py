@@ -59,7 +59,8 @@ def parse_transactions(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def parse_rules(raw: DataFrame) -> DataFrame:
-    """Rules from a column `value` of JSON; `threshold` stays JSON text, as it may be a number, a string or a list."""
+    """Rules from a column `value` of JSON; `threshold` stays JSON text, as it may be a number, a string or a list. A column
+    `arrival` stays, which orders the messages."""
     v = F.col("value").cast("string")
     get = lambda path: F.get_json_object(v, f"$.{path}")
     hour = lambda name: F.expr(f"try_cast(get_json_object(cast(value as string), '$.time_window.{name}') as int)")
@@ -68,7 +69,7 @@ def parse_rules(raw: DataFrame) -> DataFrame:
         get("rule_id").alias("rule_id"), get("rule_name").alias("rule_name"), get("field").alias("field"), get("operator").alias("operator"), get("threshold").alias("threshold"), get("severity").alias("severity"),
         F.coalesce(F.expr("try_cast(get_json_object(cast(value as string), '$.version') as int)"), F.lit(0)).alias("version"),
         F.coalesce(F.expr("try_cast(get_json_object(cast(value as string), '$.active') as boolean)"), F.lit(True)).alias("active"),
-        F.when(windowed, F.coalesce(hour("start_hour"), F.lit(0))).alias("start_hour"), F.when(windowed, F.coalesce(hour("end_hour"), F.lit(24))).alias("end_hour"),
+        F.when(windowed, F.coalesce(hour("start_hour"), F.lit(0))).alias("start_hour"), F.when(windowed, F.coalesce(hour("end_hour"), F.lit(24))).alias("end_hour"), *(["arrival"] if "arrival" in raw.columns else []),
     ).where("rule_id is not null")
 
 
@@ -89,6 +90,20 @@ def from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def read_messages(spark: SparkSession, kind: str = "text", streaming: bool = False, **options: str) -> DataFrame:
+    """Messages of any source Spark reads, as the column `value`: lines of text files, or what a connector on the class path
+    delivers, with its own options (kafka: subscribe, startingOffsets, ...)."""
+    found = (spark.readStream if streaming else spark.read).format(kind).options(**options).load()
+    return found.select(F.col("value").cast("string").alias("value"))
+
+
 def read_json(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     """Lines of text files as the column `value`."""
-    return (spark.readStream if streaming else spark.read).format("text").load(path)
+    return read_messages(spark, "text", streaming, path=path)
+
+
+def read_rule_log(spark: SparkSession, path: str) -> DataFrame:
+    """Rules from lines of text files, with `arrival`: files by time and name, lines in order."""
+    lines = spark.read.format("text").load(path)
+    arrival = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_name"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("line"))
+    return parse_rules(lines.select("value", arrival.alias("arrival")))

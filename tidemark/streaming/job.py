@@ -27,7 +27,7 @@ from tidemark.operators.patterns import attach, detect
 from tidemark.operators.rules import apply_rules, latest_rules
 from tidemark.operators.scoring import Scorer, no_model
 from tidemark.plans.risk import resolve
-from tidemark.sources.transactions import parse_rules, parse_transactions
+from tidemark.sources.transactions import parse_transactions, read_rule_log
 
 LATE = "5 seconds"
 
@@ -220,7 +220,7 @@ def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str
     def judge(batch: DataFrame, number: int) -> None:
         tx, rejected = parse_transactions(batch)
         history, now = f"{out}/history", F.lit(int(time.time() * 1000)).cast("long")
-        rules = latest_rules(parse_rules(spark.read.text(rules_path)))
+        rules = latest_rules(read_rule_log(spark, rules_path), "arrival").drop("arrival")
         ruled = apply_rules(tx, rules)
         days = numbered(ruled.withColumn("day", F.floor(F.col("ts_ms") / DAY).cast("int")))
         filed = ruled.withColumns({"day": F.floor(F.col("ts_ms") / DAY).cast("int"), "batch": F.lit(number)})
