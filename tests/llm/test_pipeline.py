@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import test_decontaminate as leaks  # noqa: E402
@@ -40,6 +41,24 @@ def test_pipeline(spark, data):
     assert max(sizes.values()) - min(sizes.values()) <= 1 and [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "mixing", "sharding"]
 
 
+def test_stages_on_odd_rows(spark, docs, rows, none, tmp_path):
+    """Nulls, repeated ids and rows, extra columns with the operators' own names, a very long text, and empty tables."""
+    spark.createDataFrame([(r[0], 1, int(k % 9 == 0)) for k, r in enumerate(rows)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "one two"), (2, None), (None, "three")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    more = docs.where("doc_id = -6").withColumn("text", F.lit("quite another text under the same id, which stays in its own right")).unionByName(docs.where("doc_id is null"))
+    for frame in (docs.unionByName(more), none):
+        for name, stage in corpus_pipeline.STAGES:
+            made = stage(spark, frame, str(tmp_path))
+            path = f"{tmp_path}/{name}-{frame is none or not frame.head(1)}-{len(made.columns)}"
+            made.write.mode("overwrite").parquet(path)
+            before, frame = frame, spark.read.schema(made.schema).parquet(path)
+            assert name == "sharding" or frame.columns == docs.columns
+            if name == "decontamination":
+                assert frame.where("lower(text) rlike '(^|[^a-z0-9])one[^a-z0-9]+two([^a-z0-9]|$)'").count() == 0
+        counts = [r["count"] for r in frame.groupBy("shard").count().collect()]
+        assert not counts or max(counts) - min(counts) <= 1
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, data, name):
     db = duckdb.connect()
