@@ -100,6 +100,7 @@ def test_against_loops(spark, events):
 
 def test_features_against_loop(spark):
     events = [(0, "TRANSFER", 10, 0, ""), (0, "TRANSFER", 30, 1, ""), (3_600_000, "PAYMENT", 20, None, ""), (3_600_001, "PAYMENT", 70, 4, ""), (90_000_000, "PAYMENT", 5, 4, "")]
+    events = [(10**12 + ms, *rest) for ms, *rest in events]  # rows at 0 or before have no time
     got = {r.transaction_id: r for r in rolling_features(frame(spark, events)).collect()}
     assert [got[f"T{i:03d}"].tx_count_1h for i in range(5)] == [0, 1, 2, 1, 0]
     assert [got[f"T{i:03d}"].tx_count_24h for i in range(5)] == [0, 1, 2, 3, 2]
@@ -113,6 +114,14 @@ def test_features_against_loop(spark):
 def test_features_masked(spark):
     from pyspark.sql import functions as F
 
-    tx = frame(spark, [(0, "TRANSFER", 10, 0, ""), (1000, "TRANSFER", 99, 0, ""), (2000, "TRANSFER", 20, 0, "")])
+    tx = frame(spark, [(1, "TRANSFER", 10, 0, ""), (1001, "TRANSFER", 99, 0, ""), (2001, "TRANSFER", 20, 0, "")])
     got = {r.transaction_id: r for r in rolling_features(tx, F.col("amount") == 99).collect()}
     assert (got["T001"].tx_count_1h, got["T001"].avg_amount_24h, got["T002"].tx_count_1h, got["T002"].time_since_last_ms) == (0, 0.0, 1, 2000)
+
+
+def test_features_without_time(spark):
+    from pyspark.sql import functions as F
+
+    tx = frame(spark, [(5000, "TRANSFER", 10, 0, ""), (0, "TRANSFER", 20, 0, ""), (-7, "TRANSFER", 30, 0, ""), (9000, "TRANSFER", 40, 0, "")])
+    got = {r.transaction_id: (r.tx_count_1h, r.time_since_last_ms) for r in rolling_features(tx, now=F.lit(8000)).collect()}
+    assert got == {"T000": (0, 0), "T001": (1, 3000), "T002": (2, 0), "T003": (3, 1000)}
