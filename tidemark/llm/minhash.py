@@ -20,7 +20,7 @@ from tidemark.llm.sizes import small
 _U = np.uint64
 ROWS = 4  # minima in a band
 BLOCK_SHINGLES = 60_000  # in a block of representatives; one longer text is a block of its own
-WIDE_ROWS = 250_000  # rows of an id, an MD5 and two numbers in a broadcast: 20 MB at most
+WIDE_ROWS = 100_000  # rows of an id, an MD5 and two numbers in a broadcast: 20 MB at most
 
 
 @dataclass(frozen=True)
