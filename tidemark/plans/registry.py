@@ -166,10 +166,10 @@ add(
 )
 add("h_features_masked", lambda spark, d: _marked(spark, d).select("transaction_id", *FEATURES), O.with_tx("SELECT * FROM masked", O.marked(), *O.masked_features()))
 _NOW = 1_900_000_000_000
-_untimed = F.pmod(F.substring("transaction_id", 4, 8).cast("long"), F.lit(10)) == 0
+_remainder = lambda k: F.pmod(F.substring("transaction_id", 4, 8).cast("long"), F.lit(k))
 add(
     "h_features_untimed",
-    _tx(lambda tx: rolling_features(tx.withColumn("ts_ms", F.when(_untimed, 0).otherwise(F.col("ts_ms"))), now=F.lit(_NOW)).select("transaction_id", *FEATURES)),
+    _tx(lambda tx: rolling_features(tx.withColumn("ts_ms", F.when(_remainder(10) == 0, 0).otherwise(F.col("ts_ms"))), now=F.lit(_NOW)).select("transaction_id", *FEATURES)),
     O.with_tx("SELECT * FROM featured", f"placed AS (SELECT * REPLACE (CASE WHEN CAST(substr(transaction_id, 4) AS BIGINT) % 10 = 0 THEN {_NOW} ELSE ts_ms END AS ts_ms) FROM tx)", O.features("placed")),
 )
 add(
@@ -184,16 +184,16 @@ def _marked(spark: SparkSession, d: str) -> DataFrame:
 
 
 # messages: some are no JSON, some lack an account, some have unreadable numbers or no place
-_number = F.pmod(F.substring("transaction_id", 4, 8).cast("long"), F.lit(50))
 
 
 def _messages(tx: DataFrame) -> DataFrame:
-    place = F.when(_number != 3, F.to_json(F.struct("latitude", "longitude")))
+    number = _remainder(50)
+    place = F.when(number != 3, F.to_json(F.struct("latitude", "longitude")))
     fields = F.struct(
-        "transaction_id", F.when(_number != 1, F.col("account_id")).alias("account_id"), "card_id", F.col("ts_ms").alias("timestamp"), F.col("produced_ms").alias("produced_at"),
-        F.when(_number == 2, F.lit("much")).otherwise(F.col("amount").cast("string")).alias("amount"), "event_type", "channel", place.alias("location"), "merchant_id", "status", F.col("label").alias("is_fraud"), F.lit(1).alias("unknown"),
+        "transaction_id", F.when(number != 1, F.col("account_id")).alias("account_id"), "card_id", F.col("ts_ms").alias("timestamp"), F.col("produced_ms").alias("produced_at"),
+        F.when(number == 2, F.lit("much")).otherwise(F.col("amount").cast("string")).alias("amount"), "event_type", "channel", place.alias("location"), "merchant_id", "status", F.col("label").alias("is_fraud"), F.lit(1).alias("unknown"),
     )
-    return tx.select(F.when(_number == 0, F.concat(F.lit("{broken "), "transaction_id")).otherwise(F.to_json(fields)).alias("value"))
+    return tx.select(F.when(number == 0, F.concat(F.lit("{broken "), "transaction_id")).otherwise(F.to_json(fields)).alias("value"))
 
 
 _N = "CAST(substr(transaction_id, 4) AS BIGINT) % 50"
