@@ -83,9 +83,8 @@ class InOrder(StatefulProcessor):
         held = [o for o in held if now - o[0] < self.window_ms()]
         for state, rows in ((self.waiting, later), (self.open, held)):
             state.put([tuple(r) for r in rows]) if rows else state.clear()
-        times = [max(e[0] for e in later) + 1] if later else [held[-1][0] + self.window_ms()] if held else []
-        for at in times:
-            self.handle.registerTimer(int(at))
+        if later or held:  # the next event to be taken, or the last attempt's end
+            self.handle.registerTimer(int(min(e[0] for e in later) + 1 if later else held[-1][0] + self.window_ms()))
         return pd.DataFrame(found, columns=[f.split()[0] for f in _FOUND.split(", ")])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
