@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import prefix
+from tidemark.llm import prefix, sizes
 from tidemark.llm.mixing import mix, mixed
 from tidemark.llm.sharding import cut_edges, shard
 
@@ -128,3 +128,11 @@ def test_few_rows(spark, none):
     got = shard(spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "doc_id long, text string"), 40).collect()
     assert sorted((r.shard, r.slot) for r in got) == [(0, 0), (1, 0), (2, 0)]
     assert shard(none).count() == 0 and mix(none).count() == 0 and mixed(none).count() == 0
+
+
+def test_broadcasts_are_bounded(spark, monkeypatch):
+    plan = lambda df: df._jdf.queryExecution().logical().toString()
+    frame = spark.createDataFrame([(1, "four"), (2, None)], "id long, text string")
+    assert "hint" in plan(sizes.small(frame)).lower() and "hint" not in plan(sizes.small(frame, 1)).lower()
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", 3)
+    assert "hint" not in plan(sizes.small(frame)).lower()
