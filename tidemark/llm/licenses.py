@@ -134,8 +134,7 @@ BEGINNINGS = sorted({" ".join(k.split()[:n]) for k in [*KNOWN, *(f"{a} x" for a,
 
 def _named(text: Column, table: Column) -> Column:
     """The known sentence that a normalised text is, or null."""
-    longest = max(map(len, KNOWN))
-    found = F.when(F.length(text) <= longest, F.try_element_at(table, text))
+    found = F.when(text.isin(list(KNOWN)), F.try_element_at(table, text))  # a set of many texts is hashed, a map is searched
     for name, (before, after) in OPEN.items():
         middle = F.regexp_count(text, F.lit(" ")) - (f"{before} {after}".strip().count(" ") + bool(after))
         fits = text.startswith(f"{before} ") & (text.endswith(f" {after}") if after else F.lit(True)) & middle.between(1, MOST_BLANK)
