@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chat import conversation_digests, format_conversations
 from tidemark.llm.decontaminate import contamination
-from tidemark.llm import licenses
+from tidemark.llm import bpe, licenses, oracle
+from tidemark.llm.divergence import source_divergence
+from tidemark.llm.importance import resample
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix
 from tidemark.llm.neighbours import search
@@ -73,6 +75,18 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(stored.unionByName(probe)))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_digests(bpe.encode_texts(_read(spark, sf_dir, "documents")))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -84,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_mixing": op9_mixing,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
@@ -104,4 +121,6 @@ ORACLE: dict[str, str] = {
                sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
         FROM whole
     """,
+    "op11_importance_resampling": oracle.IMPORTANCE,
+    "op13_source_divergence": oracle.DIVERGENCE,
 }
