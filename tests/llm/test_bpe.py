@@ -24,7 +24,7 @@ def theirs(pairs):
 
 
 def ids(pairs, text):
-    return np.frombuffer(pairs.encode(text), "<u4").tolist()
+    return [i for got, _ in pairs.encode([text]) for i in got.tolist()]
 
 
 TEXTS = [
@@ -75,23 +75,34 @@ def test_ranks_that_fall_while_merging():
     own, ref = bpe.BytePairs(ranks, r"\S+|\s+"), tiktoken.Encoding("t", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(2)
     for _ in range(300):
-        text = "".join(rng.choice("abc") for _ in range(rng.randint(1, 40)))
-        assert ids(own, text) == ref.encode_ordinary(text)
+        texts = ["".join(rng.choice("abc") for _ in range(rng.choice([1, 3, 40, 90]))) for _ in range(4)]
+        (got, size), want = next(own.encode(texts)), [ref.encode_ordinary(t) for t in texts]
+        assert size.tolist() == list(map(len, want)) and got.tolist() == [i for w in want for i in w]
+        assert [own.merge(t.encode()) for t in texts] == want
     assert not own.queue
 
 
-def test_queue_gives_the_lowest_rank_and_then_the_leftmost():
-    rng, queue, held = random.Random(3), bpe.RankQueue(70_000), []
+def test_queue_gives_the_lowest_rank():
+    rng, queue, held = random.Random(3), bpe.RankQueue(70_000), {}
     for _ in range(3000):
         if held and rng.random() < 0.45:
-            assert queue.pop() == held.pop(held.index(min(held)))
+            assert queue.lowest() == min(held)
+            assert queue.take(min(held)) == held.pop(min(held))
         else:
-            entry = (rng.choice([0, 63, 64, 4095, 4096, 69_999, rng.randrange(70_000)]), rng.randrange(100))
-            queue.push(*entry)
-            held.append(entry)
-    while held:
-        assert queue.pop() == held.pop(held.index(min(held)))
-    assert not queue
+            rank, place = rng.choice([0, 63, 64, 4095, 4096, 69_999, rng.randrange(70_000)]), rng.randrange(100)
+            queue.bucket(rank).append(place)
+            held.setdefault(rank, []).append(place)
+        assert bool(queue) == bool(held)
+
+
+def test_what_is_kept_starts_anew(pairs, theirs, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 50)
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 300)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(["wordlike", " of", " x1y2", "\n", "abra" * 30, " kadabra"]) for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    got = [(ids.tolist(), size.tolist()) for ids, size in pairs.encode([*texts, None])]
+    assert len(got) > 20 and [i for ids, _ in got for i in ids] == [i for t in texts for i in theirs.encode_ordinary(t)]
+    assert [n for _, size in got for n in size] == [*(len(theirs.encode_ordinary(t)) for t in texts), 0]
 
 
 def test_query_equals_the_library(spark, docs, rows, theirs, none):
