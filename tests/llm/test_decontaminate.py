@@ -69,3 +69,32 @@ def test_empty(spark, docs, none, items):
     bench = spark.createDataFrame(items, SCHEMA)
     assert contamination(none, bench).count() == 0
     assert contamination(docs, bench.where("false")).where("n_hit > 0").count() == 0
+
+
+def test_items_that_repeat(spark, monkeypatch):
+    """Rows that repeat an item count once when groups are sized; a window of very many items is held once."""
+    from tidemark.llm import decontaminate
+
+    made, shared = [], "one two three four five six seven eight nine ten eleven"
+    kept = decontaminate.Index.__init__
+    monkeypatch.setattr(decontaminate.Index, "__init__", lambda self, *given: made.append(self) or kept(self, *given))
+    items = spark.createDataFrame([(1, shared)] * 5000 + [(i, shared) for i in range(2, 400)], SCHEMA)
+    docs = spark.createDataFrame([(1, "x " + shared + " y"), (2, "nothing of it here")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in contamination(docs, items).collect()}
+    assert got == {1: (11, list(range(1, 400))), 2: (0, [])}
+    assert len(made) == 1 and len(made[0].windows[10].hashes) == 2 and len(made[0].windows[10].item) == 2 * 399
+
+
+def test_windows_whose_hashes_collide(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.llm import decontaminate
+    from tidemark.llm import textscan as ts
+
+    monkeypatch.setattr(ts, "sequence_hash", lambda code, begin, length, family=0: np.full(len(begin), 7, np.uint64))
+    texts = [" ".join(f"{x}{i}" for i in range(11)) for x in "abc"]
+    index = decontaminate.Index([1, 2, 3, 4], [*texts, texts[0]], 10)
+    chunk = next(ts.chunks(pa.array([texts[0], "q " + texts[1], "nothing"]), ts.ALNUM_WORDS_LOWER))
+    hit, items = index.hits(chunk)
+    assert {i: x.tolist() for i, x in items.items()} == {0: [1, 4], 1: [2]} and hit.tolist() == [True] * 11 + [False] + [True] * 11 + [False]

@@ -1,5 +1,8 @@
+import random
 import re
 
+import pytest
+
 from tidemark.llm.components import components
 from tidemark.llm.minhash import NearDup, near_duplicates, without_near_duplicates
 
@@ -100,3 +103,32 @@ def test_leftover_blocks_compare_words(spark, alike_words):
     rows = [(i, " ".join([*base[k * 8 : k * 8 + 100], alike_words[i % 2]])) for i, k in enumerate(range(24))]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute(rows)
+
+
+def test_bands_of_other_limits():
+    assert (NearDup().rows, NearDup().minima // NearDup().rows, NearDup().loose) == (4, 32, 0.52)
+    for percent, rows in ((50, 2), (30, 1), (90, 7), (100, 8)):
+        spec = NearDup(percent=percent)
+        assert spec.rows == rows and (1 - (percent / 100) ** rows) ** (spec.minima // rows) <= 1e-5 and 0 <= spec.loose <= percent / 100
+    for bad in (NearDup, lambda **k: NearDup(minima=16, **k)):
+        with pytest.raises(ValueError):
+            bad(percent=5)
+
+
+@pytest.mark.parametrize("percent", [50, 90])
+def test_many_pairs_at_the_limit(spark, percent):
+    """Pairs just at the limit and just below it: all of the first are linked and none of the others."""
+    rng, rows, want = random.Random(percent), [], {}
+    for k in range(300):
+        size = rng.randint(60, 90)  # words of the common part, each a set element
+        extra = 0
+        while 100 * size >= percent * (size + extra + 1):
+            extra += 1
+        linked = k % 2 == 0
+        extra += not linked
+        common = [f"c{k}x{i}" for i in range(size)]
+        left = rng.randint(0, extra)
+        rows += [(2 * k, " ".join(common + [f"l{k}x{i}" for i in range(left)])), (2 * k + 1, " ".join(common + [f"r{k}x{i}" for i in range(extra - left)]))]
+        want |= {2 * k: 2 * k, 2 * k + 1: 2 * k + (not linked)}
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), NearDup(words=1, percent=percent))
+    assert {r.doc_id: r.component_id for r in found.collect()} == want

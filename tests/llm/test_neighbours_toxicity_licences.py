@@ -262,3 +262,27 @@ def test_wrapped_sentences_end(spark):
         [(1, 1, "mit-title-the")], [(2, 2, "mit-title")], [(0, 3, "mit-released")], [], [], [(0, 2, "mit-title-the"), (2, 1, "mit-title")],
     ]
     assert [r.n_sentences for r in got] == [2, 4, 3, 2, 2, 3]
+
+
+def test_toxicity_sample_is_bounded(spark):
+    """One id with very many texts is one document of the sample."""
+    texts = [(3, f"text number {i}") for i in range(3000)] + [(k, f"you are a wretched fool {k}" if k % 2 else f"a calm day {k}") for k in range(4, 300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(3, 300)], "doc_id long, toxic int")
+    seen = []
+    kept, toxicity.fit_weights = toxicity.fit_weights, lambda x, y: seen.append(len(x)) or kept(x, y)
+    try:
+        toxicity.train(docs, labels, sample=100)
+    finally:
+        toxicity.fit_weights = kept
+    assert seen == [100]
+
+
+def test_query_groups_are_released(spark, monkeypatch):
+    from tidemark.llm import neighbours
+
+    rows = [(i, [float((i * k) % 97 - 48) for k in range(1, 9)]) for i in range(1, 1200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = search(frame, every=10).collect()
+    monkeypatch.setattr(neighbours, "QUERY_BYTES", 8 * 8 * 30)
+    assert sorted(search(frame, every=10).collect()) == sorted(whole) and len(whole) == 1190

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textscan as ts
 from tidemark.llm.scratch import arrow, table
+from tidemark.llm.sizes import small
 
 WORDS = 10
+LEAK_ROWS = 100_000  # rows of an id and an MD5, or runs of words, in a broadcast
 BROADCAST_BYTES = 8 << 20  # benchmark text behind one broadcast index of at most INDEX_BYTES; beyond it there are several scans
 WINDOW_BYTES = 28  # of the index for a window: hash, place in the words, item
 INDEX_BYTES = BROADCAST_BYTES * (1 + WINDOW_BYTES // 2)  # a window for every two bytes, at worst; about 5 times the text in prose
@@ -22,11 +24,13 @@ INDEX_BYTES = BROADCAST_BYTES * (1 + WINDOW_BYTES // 2)  # a window for every tw
 
 @dataclass
 class Windows:
-    """All windows of one length, sorted by hash: places in the words' bytes, and items; a filter of leading hash bits."""
+    """The different windows of one length, sorted by hash: places in the words' bytes; window k is held by the items
+    item[at[k] : at[k + 1]]; a filter of leading hash bits."""
 
     hashes: np.ndarray
     begin: np.ndarray
     end: np.ndarray
+    at: np.ndarray
     item: np.ndarray
     bits: int
     seen: np.ndarray
@@ -55,14 +59,31 @@ class Index:
         for length, parts in found.items():
             hashes, begin, end, item = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(hashes, kind="stable")
-            bits = min(24, max(10, int(len(hashes) * 8).bit_length()))
+            hashes, begin, end, item = hashes[order], begin[order], end[order], item[order]
+            new = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+            if not new.all():
+                own, new = self._told_apart(np.cumsum(new) - 1, begin, end)
+                hashes, begin, end, item = hashes[own], begin[own], end[own], item[own]
+            first = np.flatnonzero(new)
+            bits = min(24, max(10, int(len(first) * 8).bit_length()))
             seen = np.zeros(1 << bits, bool)
-            seen[(hashes >> np.uint64(64 - bits)).astype(np.int64)] = True
-            self.windows[length] = Windows(hashes[order], begin[order].astype(np.uint32), end[order].astype(np.uint32), item[order], bits, np.packbits(seen, bitorder="little"))
-
-    def hits(self, chunk: ts.Chunk) -> tuple[np.ndarray, dict[int, set[int]]]:
+            seen[(hashes[first] >> np.uint64(64 - bits)).astype(np.int64)] = True
+            self.windows[length] = Windows(hashes[first], begin[first].astype(np.uint32), end[first].astype(np.uint32), np.append(first, len(hashes)), item, bits, np.packbits(seen, bitorder="little"))
+
+    def _told_apart(self, run: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(order of windows, which are the first of their words), for windows sorted by hash in runs of equal ones."""
+        number, known = np.zeros(len(run), np.int64), {}
+        many = np.flatnonzero(np.bincount(run)[run] > 1)
+        for k, r, a, b in zip(many.tolist(), run[many].tolist(), begin[many].tolist(), end[many].tolist()):
+            own = known.setdefault(r, {})  # nearly always of one entry
+            number[k] = own.setdefault(self.words[a:b], len(own))
+        order = np.lexsort((number, run))
+        run, number = run[order], number[order]
+        return order, np.concatenate(([True], (run[1:] != run[:-1]) | (number[1:] != number[:-1])))
+
+    def hits(self, chunk: ts.Chunk) -> tuple[np.ndarray, dict[int, np.ndarray]]:
         """Marks of the chunk's words inside any occurrence, and the items met by each text; a hit has the words of its window."""
-        edge, items = np.zeros(len(chunk.code) + 1, np.int64), {}
+        edge, met = np.zeros(len(chunk.code) + 1, np.int64), {}
         for length, known in self.windows.items():
             begin, text = ts.window_starts(chunk.at, length)
             if not len(begin):
@@ -73,11 +94,15 @@ class Index:
             low, high = (np.searchsorted(known.hashes, hashes[maybe], side) for side in ("left", "right"))
             for k, a, b in zip(maybe[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist()):
                 own = b" ".join(chunk.words(int(begin[k]), int(begin[k]) + length))
-                met = [int(known.item[j]) for j in range(a, b) if self.words[known.begin[j] : known.end[j]] == own]
-                if met:
-                    edge[begin[k]] += 1
-                    edge[begin[k] + length] -= 1
-                    items.setdefault(int(text[k]), set()).update(met)
+                for j in range(a, b):  # one, but where hashes collide
+                    if self.words[known.begin[j] : known.end[j]] == own:
+                        edge[begin[k]] += 1
+                        edge[begin[k] + length] -= 1
+                        met.setdefault(int(text[k]), set()).add((length, j))
+        items = {}
+        for i, found in met.items():
+            parts = [self.windows[length].item[self.windows[length].at[j] : self.windows[length].at[j + 1]] for length, j in found]
+            items[i] = np.unique(np.concatenate(parts))
         return np.cumsum(edge[:-1]) > 0, items
 
 
@@ -112,7 +137,7 @@ def _scan(docs: DataFrame, index) -> DataFrame:
                         begin.append([]), end.append([]), met.append([])
                         continue
                     run = np.flatnonzero(np.diff(np.concatenate(([0], hit[lo:hi].astype(np.int8), [0]))))
-                    begin.append(run[::2].tolist()), end.append(run[1::2].tolist()), met.append(sorted(items[i]))
+                    begin.append(run[::2].tolist()), end.append(run[1::2].tolist()), met.append(items[i].tolist())
                 part = batch.slice(chunk.first, chunk.n)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(np.diff(chunk.at)), *(pa.array(x, pa.list_(pa.int32())) for x in (begin, end)), pa.array(met, pa.list_(pa.int64()))],
@@ -135,7 +160,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, mos
     item; repeated rows of docs stay; empty tables give no rows or no hits; other columns are ignored.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, math.ceil(total / most_bytes))
     scans = []
@@ -174,7 +199,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, mos
 def clean_documents(docs: DataFrame, benchmark: DataFrame, words: int = WORDS) -> DataFrame:
     """docs without the rows that contain a benchmark window; all columns stay as they are. See contamination()."""
     bad = table(contamination(docs, benchmark, words).where("n_hit > 0").select(F.col("doc_id").alias("_i"), F.col("text_md5").alias("_t")).distinct(), "leaks")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.md5(F.col("text").cast("string").cast("binary")) == F.col("_t")), "left_anti")
+    return docs.join(small(bad, LEAK_ROWS), F.col("doc_id").eqNullSafe(F.col("_i")) & (F.md5(F.col("text").cast("string").cast("binary")) == F.col("_t")), "left_anti")
 
 
 def clean_spans(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -182,6 +207,8 @@ def clean_spans(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, most_
     found = contamination(docs, benchmark, words, most_bytes).where("n_hit > 0").select(F.col("doc_id").alias("_i"), F.col("text_md5").alias("_t"), "begin", "end")
     runs = table(found.dropDuplicates(["_i", "_t"]), "leak-spans")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    wide = runs.agg(F.coalesce(F.sum(F.size("begin")), F.lit(0))).first()[0]
+    runs = small(runs, LEAK_ROWS) if wide <= LEAK_ROWS else runs
     both = texts.join(runs, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.md5(F.col("text").cast("binary")) == F.col("_t")), "left").select("doc_id", "text", "begin", "end")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

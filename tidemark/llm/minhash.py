@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,24 +19,41 @@ from tidemark.llm.scratch import arrow, cut, scope, table
 from tidemark.llm.sizes import small
 
 _U = np.uint64
-ROWS = 4  # minima in a band
+MISSED = 1e-5  # the greatest probability that a pair at the limit shares no band
+MOST_ROWS = 8
 BLOCK_SHINGLES = 60_000  # in a block of representatives; one longer text is a block of its own
 WIDE_ROWS = 100_000  # rows of an id, an MD5 and two numbers in a broadcast: 20 MB at most
 
 
 @dataclass(frozen=True)
 class NearDup:
-    """words: shingle length; a link needs 100 * |A & B| >= percent * |A | B|; minima: hash functions, in bands of four.
+    """words: shingle length; a link needs 100 * |A & B| >= percent * |A | B|; minima: hash functions, in bands.
 
-    With 128 minima a pair at 75 % shares no band with probability (1 - .75**4)**32 < 6e-6. Before sets are
-    compared, pairs whose share of equal minima is below `loose` are left out: for a pair at 75 % and 128 minima
-    .52 is six standard deviations away.
+    A band has as many minima as let a pair at the limit share no band with probability MISSED at most; with 128 minima
+    that is 4 in 32 bands at 75 %, 2 in 64 at 50 %, 7 in 18 at 90 %. A limit so low that bands of one cannot keep that bound is
+    refused. Before sets are compared, pairs whose share of equal minima is six standard deviations below the limit are left out.
     """
 
     words: int = 5
     percent: int = 75
     minima: int = 128
-    loose: float = 0.52
+
+    def __post_init__(self) -> None:
+        if not 0 < self.percent <= 100 or self._missed(1) > MISSED:
+            raise ValueError(f"{self.minima} minima cannot find pairs at {self.percent} %")
+
+    def _missed(self, rows: int) -> float:
+        return (1 - (self.percent / 100) ** rows) ** (self.minima // rows)
+
+    @property
+    def rows(self) -> int:
+        """Minima in a band."""
+        return max(r for r in range(1, self.minima + 1) if self._missed(r) <= MISSED and (r <= MOST_ROWS))
+
+    @property
+    def loose(self) -> float:
+        s = self.percent / 100
+        return max(0.0, math.floor(100 * (s - 6 * math.sqrt(s * (1 - s) / self.minima))) / 100)
 
 
 def _distinct(chunk: ts.Chunk, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -251,8 +269,8 @@ def _components_of(docs: DataFrame, spec: NearDup, id_col: str, text_col: str) -
     full = signed.where("n > 0 and doc_id is not null")
     classes = full.groupBy("key_a", "key_b", "n").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.min("sig").alias("sig"))
     classes = table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")  # numbers are fixed once written
-    bands = spec.minima // ROWS
-    band = F.posexplode(F.array(*(F.xxhash64(F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS), F.lit(k)) for k in range(bands))))
+    rows = spec.rows
+    band = F.posexplode(F.array(*(F.xxhash64(F.substring("sig", 4 * rows * k + 1, 4 * rows), F.lit(k)) for k in range(spec.minima // rows))))
     spread = classes.select("node", band).select(F.col("col").alias("band"), "node")
     shared = spread.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band", "low")
     met = table(spread.join(shared, "band"), "bands")

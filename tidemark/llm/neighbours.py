@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import arrow, cut, table
+from tidemark.llm.scratch import arrow, cut, place, scope, table
 
 SAMPLE_ROWS = 10_000  # vectors that the centres are fitted on
 BLOCK_ROWS = 2048
@@ -206,7 +206,13 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, bound: float = BOU
     if common is None:
         return spark.createDataFrame([], _OUT).select("query_id", F.lit(0).alias("rank"), "vec_id", "score")
     source, dim = source.where(F.size("vector") == common["dim"]), common["dim"]
-    codes = fit(source, dim, common["count"])
+    with scope(spark):
+        return _searched(source, dim, common["count"], every, k, bound)
+
+
+def _searched(source: DataFrame, dim: int, rows_in_all: int, every: int, k: int, bound: float) -> DataFrame:
+    spark = source.sparkSession
+    codes = fit(source, dim, rows_in_all)
     index = table(blocks(source, codes), "ann-index", partition="cell")
     single = source.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
@@ -220,7 +226,7 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, bound: float = BOU
     norms = arrow(index.select("cell", "norm"), lambda batches: (_farthest(b) for b in batches), "cell int, far double")
     far = {r.cell: r.far for r in norms.groupBy("cell").agg(F.max("far").alias("far")).collect()}
     cells, reach = np.array(sorted(far)), np.array([far[c] for c in sorted(far)])
-    found = None
+    out, groups = place(spark, "neighbours", outer=True), 0
     for group in _groups(asked, max(1, QUERY_BYTES // (8 * dim))):
         rows = asked.where(group).select("vec_id", "vector").collect()  # QUERY_BYTES at most, but for hash parts a little larger
         q = np.array([r.vector for r in rows])
@@ -235,9 +241,11 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, bound: float = BOU
         needed = cells[(least**2 <= limit[:, None]).any(axis=0)]
         held = spark.sparkContext.broadcast(Queries(ids, q, first.value.turned, limit))
         part = _measured(index.where(F.col("cell").isin(needed.tolist())), held, codes, k, bound)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], _OUT)
+        part.write.mode("overwrite").parquet(f"{out}/group={groups}")
+        first.destroy()  # what the driver and the executors hold does not grow with the groups
+        held.destroy()
+        groups += 1
+    found = spark.read.schema(_OUT).parquet(out) if groups else spark.createDataFrame([], _OUT)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -14,7 +16,28 @@ from tidemark.shipping import ship
 
 
 ARROW_BYTES = "4m"  # of a batch that goes to a Python worker
-_SCOPES: list[list[str]] = []
+_LOCAL = threading.local()  # each thread has scopes of its own
+_LEFT: list[tuple[SparkSession, str]] = []  # tables outside all scopes, which hold results; deleted when the program ends
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@atexit.register
+def _delete_left() -> None:
+    while _LEFT:
+        try:
+            _delete(*_LEFT.pop())
+        except Exception:  # the JVM may be gone before Python ends
+            return
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,25 +64,32 @@ def cut(df: DataFrame) -> DataFrame:
 
 def table(df: DataFrame, name: str, outer: bool = False, partition: str | None = None) -> DataFrame:
     """df written as a Parquet table in the shared folder, in folders by `partition` if given, and read again. Inside scope() it is deleted at its end, with
-    `outer` at the end of the scope around it."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    `outer` at the end of the scope around it, outside at the end of the program."""
+    path = place(df.sparkSession, name, outer)
     (df.write.partitionBy(partition) if partition else df.write).parquet(path)
-    scopes = _SCOPES[:-1] if outer else _SCOPES
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def place(spark: SparkSession, name: str, outer: bool = False) -> str:
+    """A new path in the shared folder, deleted at the end of the scope (of the one around it with `outer`), or of the program."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    scopes = _scopes()[:-1] if outer else _scopes()
     if scopes:
         scopes[-1].append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    else:
+        _LEFT.append((spark, path))
+    return path
 
 
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Deletes the tables made inside when it ends; what is still to be read must be written before, or be an outer table."""
-    _SCOPES.append([])
+    _scopes().append([])
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        for path in _scopes().pop():
+            _delete(spark, path)
 
 
 def arrow(df: DataFrame, scan, schema: str | StructType) -> DataFrame:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import json
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -21,7 +20,7 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from tidemark.llm import textscan as ts
-from tidemark.llm.scratch import arrow, shared_dir
+from tidemark.llm.scratch import arrow, place
 from tidemark.llm.sizes import small
 
 CACHE_WORDS = 600_000  # distinct words that a worker keeps, as numbers, 40 bytes each beside their ids; then it starts anew
@@ -58,8 +57,44 @@ def _splits_letters(spec: dict) -> bool:
     )
 
 
+#: pre-tokenizers that cut at white space and drop it
+CUTTING = {"Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
+
+
+def words_stand_alone(spec: str) -> bool:
+    """Whether the ids of a text are those of its white-space-separated words, one after the other, as far as the
+    specification tells for sure; tokenizers that keep white space in their tokens are encoded text by text."""
+    held = json.loads(spec)
+    for token in held.get("added_tokens") or []:
+        if token.get("lstrip") or token.get("rstrip") or any(c.isspace() for c in token["content"]):
+            return False
+    if held.get("truncation") or held.get("padding"):
+        return False
+    normalizer = (held.get("normalizer") or {}).get("type")
+    return _splits_letters(held) or ((held.get("pre_tokenizer") or {}).get("type") in CUTTING and normalizer in (None, "Lowercase", "NFC", "NFD"))
+
+
+class TextEncoder:
+    """Ids of whole texts, by the tokenizer alone; called as WordEncoder is."""
+
+    def __init__(self, spec: str):
+        self.tokenizer = Tokenizer.from_str(spec)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+
+    def __call__(self, texts: pa.Array, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        whole = [t or "" for t in texts.to_pylist()]
+        size, first = np.cumsum([len(t) for t in whole]), 0
+        while first < len(whole):
+            last = max(first + 1, int(np.searchsorted(size, (size[first - 1] if first else 0) + ts.CHUNK_BYTES, "right")))
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(whole[first:last], add_special_tokens=False)]
+            offsets = np.concatenate(([0], np.cumsum([len(ids) + 1 for ids in found])))
+            yield first, np.fromiter((i for ids in found for i in (*ids, end_id)), np.int32, int(offsets[-1])), offsets
+            first = last
+
+
 class WordEncoder:
-    """Ids of texts, word by word: the tokenizer drops white space, so the ids of a text are those of its
+    """Ids of texts, word by word: the tokenizer drops white space (words_stand_alone), so the ids of a text are those of its
     ASCII-space-separated words one after the other, and each distinct word is encoded once. A word is looked up by its code
     and then compared byte by byte; one that shares its code with another is encoded on its own."""
 
@@ -181,14 +216,14 @@ class WordEncoder:
             yield chunk.first, out, offsets
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, WordEncoder | TextEncoder] = {}
 
 
-def encoder_of(spec: str) -> WordEncoder:
+def encoder_of(spec: str) -> WordEncoder | TextEncoder:
     """The encoder that this worker process keeps from task to task."""
     if spec not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[spec] = WordEncoder(spec)
+        _ENCODERS[spec] = WordEncoder(spec) if words_stand_alone(spec) else TextEncoder(spec)
     return _ENCODERS[spec]
 
 
@@ -237,6 +272,25 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return files.join(small(shift), "part").withColumn("start", F.col("shift") + F.col("start_in_part")).drop("shift")
 
 
+def read_token_range(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """(start, tokens) of the documents that hold any of the ids first .. last - 1 of the whole order, cut to those: the places of
+    all documents are read, then only the row groups and pages of the tokens that the range touches."""
+    ends = spark.read.schema(SCHEMA).parquet(path).groupBy("part").agg(F.sum("n_tokens").alias("own")).orderBy("part").collect()  # one row a file
+    shift, wanted = 0, []
+    for row in ends:
+        if row.own and shift < last and shift + row.own > first:
+            wanted.append((F.col("part") == row.part) & (F.col("start_in_part") < last - shift) & (F.col("start_in_part") + F.col("n_tokens") > first - shift))
+            wanted[-1] = (wanted[-1], shift)
+        shift += row.own or 0
+    files, found = spark.read.schema(SCHEMA).parquet(path), None
+    for own, before in wanted:
+        start = F.col("start_in_part") + before
+        low, high = F.greatest(F.lit(first) - start, F.lit(0)), F.least(F.lit(last) - start, F.col("n_tokens"))
+        part = files.where(own).select((start + low).alias("start"), F.slice("tokens", (low + 1).cast("int"), (high - low).cast("int")).alias("tokens"))
+        found = part if found is None else found.unionByName(part)
+    return found if found is not None else files.where("false").select(F.col("start_in_part").alias("start"), "tokens")
+
+
 def token_digests(tokens: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of rows from read_tokens."""
 
@@ -253,6 +307,6 @@ def token_digests(tokens: DataFrame) -> DataFrame:
 
 def token_round_trip(docs: DataFrame) -> DataFrame:
     """Digests read back from files written to the shared folder."""
-    path = f"{shared_dir(docs.sparkSession).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    path = place(docs.sparkSession, "tokens")
     write_tokens(docs, path)
     return token_digests(read_tokens(docs.sparkSession, path))

@@ -283,11 +283,12 @@ def held_out(doc_id: str) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Grammar:
-    """A grammar from at most `sample` labelled rows that are not held out; without labels the prior weights and no lexicon."""
+    """A grammar from at most `sample` labelled documents that are not held out; without labels the prior weights and no lexicon.
+    Of rows that repeat an id one text is learned from, that of the least hash, so the sample is bounded whatever docs hold."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     known = known.where(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "toxic-sample")
+    rows = table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "toxic")).alias("own")).select("own.text", "own.toxic"), "toxic-sample")
     lexicon = learn_lexicon(rows)
     seen = _features(rows.select("toxic", "text"), lexicon).collect()  # five numbers a sampled row
     x, y = np.array([r.x for r in seen]).reshape(-1, 5), np.array([r.toxic for r in seen], float)
