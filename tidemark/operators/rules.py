@@ -1,4 +1,4 @@
-"""Rules as data: latest versions, compiled to one array expression, or looked up in an array of rules too many to compile."""
+"""Rules as data: latest versions, or those in force at a time, compiled to one array expression, or indexed if too many to compile."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import local_hour
-from tidemark.shipping import ship
+from tidemark.operators.rule_index import indexed_violations
 from tidemark.sources.transactions import RULE
 
 FIELDS = ("amount", "event_type", "channel", "merchant_id", "status", "card_id", "account_id")
@@ -107,16 +107,13 @@ def compile_rules(rules: list[dict]) -> Column:
 
 
 def apply_rules(tx: DataFrame, rules: DataFrame) -> DataFrame:
-    """tx with `rule_alerts`; every row stays. Up to MOST_COMPILED rules are compiled, more are looked up, with the same results."""
+    """tx with `rule_alerts`; every row stays. Up to MOST_COMPILED rules are compiled, more are looked up in an index, with the same results."""
     held = [r.asDict() for r in rules.limit(MOST_COMPILED + 1).collect()]
     if len(held) <= MOST_COMPILED:
         return tx.withColumn("rule_alerts", compile_rules(held))
     return look_up_rules(tx, rules)
 
 
-_PARSED = "struct<number:double,text:string,items:array<string>,numbers:array<double>>"
-
-
 def _parsed(text: str | None) -> tuple[float, str, list[str], list[float]]:
     number, shown, items = _threshold(text)
     numbers = []
@@ -129,33 +126,36 @@ def _parsed(text: str | None) -> tuple[float, str, list[str], list[float]]:
 
 
 def look_up_rules(tx: DataFrame, rules: DataFrame) -> DataFrame:
-    """As apply_rules, for rule sets of any size: each row filters one array of all active rules, so that rows need no key and are
-    neither shuffled nor multiplied."""
-    ship(tx.sparkSession)
-    parsed = F.udf(lambda text: _parsed(text), _PARSED)  # of the rules, not of the transactions
-    active = rules.where(F.coalesce("active", F.lit(True))).withColumn("t", parsed("threshold"))
-    one = active.agg(F.sort_array(F.collect_list(F.struct("rule_id", "rule_name", "field", "operator", "threshold", "severity", "start_hour", "end_hour", "t"))).alias("_rules"))
-    hour = local_hour(F.col("ts_ms"))
-
-    def hit(r: Column) -> Column:
-        v = F.coalesce(*(F.when(r["field"] == f, F.col(f).cast("string")) for f in FIELDS))
-        n, amount, t = F.when(r["field"] == "amount", F.col("amount")).otherwise(v.try_cast("double")), r["field"] == "amount", r["t"]
-        listed = F.when(amount, F.exists(t["numbers"], lambda x: F.abs(x - n) < 1e-6)).otherwise(F.array_contains(t["items"], v))
-        match = (
-            F.when(r["operator"] == "GREATER_THAN", n > t["number"]).when(r["operator"] == "LESS_THAN", n < t["number"])
-            .when(r["operator"] == "EQUALS", F.when(amount, F.abs(n - t["number"]) < 1e-6).otherwise(v == t["text"]))
-            .when(r["operator"] == "IN", listed).when(r["operator"] == "NOT_IN", ~listed)
-        )
-        start, end = F.coalesce(r["start_hour"], F.lit(0)), F.coalesce(r["end_hour"], F.lit(24))
-        inside = F.when(start <= end, (hour >= start) & (hour < end)).otherwise((hour >= start) | (hour < end))
-        timed = (r["start_hour"].isNull() & r["end_hour"].isNull()) | (F.col("ts_ms") <= 0) | inside
-        told = [F.coalesce(r[k], F.lit("null")) for k in ("field", "operator", "threshold")]
-        details = F.concat(F.lit("Rule "), r["rule_id"], F.lit(": "), F.concat_ws(" ", *told), F.lit(" (actual: "), v, F.lit(")"))
-        score = F.when(r["severity"] == "CRITICAL", 0.8).otherwise(0.6)
-        return F.when(F.coalesce(v.isNotNull() & match & timed, F.lit(False)), F.struct(r["rule_id"], r["rule_name"], r["severity"], score.alias("score"), details.alias("details")))
-
-    found = F.filter(F.transform("_rules", hit), lambda v: v.isNotNull()).cast(NO_VIOLATIONS)
-    return tx.crossJoin(F.broadcast(one)).withColumn("rule_alerts", found).drop("_rules")  # one row
+    """As apply_rules, for rule sets of any size, through an index of the rules by field, operator and value."""
+    return indexed_violations(tx, rules, FIELDS, _parsed, NO_VIOLATIONS)
+
+
+def in_force(log: DataFrame) -> DataFrame:
+    """Rows of a rule log (RULE, arrived_ms) with the time they hold for: from `since` to before `until` (null: still). A row takes
+    effect where its version is above all that arrived before it, or at the same time but first by its content."""
+    order = Window.partitionBy("rule_id").orderBy("arrived_ms", F.desc("version"), "threshold", "operator", "field", "severity")
+    before = F.max("version").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    effective = log.withColumn("_before", before).where(F.col("_before").isNull() | (F.col("version") > F.col("_before")))
+    return effective.withColumns({"since": F.col("arrived_ms"), "until": F.lead("arrived_ms").over(order)}).drop("_before")
+
+
+def apply_rules_as_of(tx: DataFrame, log: DataFrame, arrived: str = "produced_ms") -> DataFrame:
+    """tx with `rule_alerts` of the rules in force when each arrived, so a replay gives what the first run gave; every row stays, and
+    one that has no arrival meets no rule.
+
+    A version holds from its arrival until the next that takes effect, so the as-of join of transactions and versions is a
+    condition beside a rule's own: few versions are compiled with it, many are indexed with it, and rows are neither shuffled nor
+    multiplied.
+    """
+    forced = in_force(log)
+    rows = [r.asDict() for r in forced.limit(MOST_COMPILED + 1).collect()]
+    if len(rows) > MOST_COMPILED:
+        return indexed_violations(tx, forced, FIELDS, _parsed, NO_VIOLATIONS, arrived)
+    at = F.col(arrived)
+    now = lambda r: (at >= r["since"]) & (at < r["until"] if r["until"] is not None else F.lit(True))
+    held = sorted((r for r in rows if r.get("active") is not False), key=lambda r: (r["rule_id"], r["since"]))
+    found = F.filter(F.array(*(F.when(now(r) & condition(r), violation(r)) for r in held)), lambda v: v.isNotNull()) if held else F.array()
+    return tx.withColumn("rule_alerts", found.cast(NO_VIOLATIONS))
 
 
 def rule_alerts(applied: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from typing import Protocol
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import is_foreign, local_hour, round_half_up
 from tidemark.operators.decisions import has_critical
+from tidemark.operators.ranking import ranking_metrics
 
 INPUTS = ["amount", "hour_of_day", "is_foreign", "tx_frequency_1h", "distance_km"]
 
@@ -49,7 +49,8 @@ def train_forest(rows: DataFrame, trees: int = 100, depth: int = 10, seed: int =
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed)
     model = Pipeline(stages=[VectorAssembler(inputCols=INPUTS, outputCol="x"), forest]).fit(split.where("not held"))
     tested = model.transform(split.where("held")).persist()
-    metrics = {m: BinaryClassificationEvaluator(labelCol="label", metricName=m).evaluate(tested) for m in ("areaUnderROC", "areaUnderPR")}
+    ranked = ranking_metrics(tested.withColumn("p", F.get(vector_to_array("probability"), 1)), "p").first()
+    metrics = {"areaUnderROC": ranked.auc, "areaUnderPR": ranked.average_precision}
     said, true = F.col("prediction") == 1, F.col("label") == 1
     hits = tested.agg(F.count_if(said & true).alias("tp"), F.count_if(said).alias("p"), F.count_if(true).alias("n")).first()
     precision, recall = hits.tp / max(hits.p, 1), hits.tp / max(hits.n, 1)

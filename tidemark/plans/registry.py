@@ -7,18 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import SPARSE, Config
+from tidemark.config import DAY, SPARSE, Config
 from tidemark.functions import scalars as S
 from tidemark.operators import decisions as D
 from tidemark.operators import patterns as P
 from tidemark.operators import rules as R
 from tidemark.operators import storage
 from tidemark.operators.features import FEATURES, rolling_features
+from tidemark.operators.ranking import ranking_metrics
 from tidemark.operators.scoring import INPUTS, SMALL_FOREST, TreeScorer, inputs
 from tidemark.plans import dashboards as B
 from tidemark.plans import oracle as O
 from tidemark.plans import risk
-from tidemark.sources.transactions import COLUMNS, parse_rules, parse_transactions
+from tidemark.sources.transactions import COLUMNS, from_events, parse_rules, parse_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -204,25 +205,46 @@ add(
         FROM tx WHERE {_N} > 1)"""),
 )
 add("a_rejected", _tx(lambda tx: parse_transactions(_messages(tx))[1].agg(F.count("*").alias("n"), F.count_if(F.col("value").startswith("{broken")).alias("broken"))), O.with_tx(f"SELECT count(*) AS n, count(*) FILTER ({_N} = 0) AS broken FROM tx WHERE {_N} <= 1"))
-_LOG = [
-    '{"rule_id": "A", "rule_name": "a", "field": "amount", "operator": "GREATER_THAN", "threshold": 1, "severity": "HIGH", "version": 1}',
-    '{"rule_id": "A", "rule_name": "a", "field": "amount", "operator": "GREATER_THAN", "threshold": 100.5, "severity": "HIGH", "version": 3}',
-    '{"rule_id": "A", "rule_name": "a", "field": "amount", "operator": "LESS_THAN", "threshold": 0, "severity": "HIGH", "version": 2}',
-    '{"rule_id": "B", "rule_name": "b", "field": "channel", "operator": "IN", "threshold": ["ATM", "POS"], "severity": "CRITICAL", "time_window": {"start_hour": 22, "end_hour": 4}}',
-    '{"rule_id": "C", "rule_name": "c", "field": "amount", "operator": "GREATER_THAN", "threshold": 0, "severity": "LOW", "version": 1}',
-    '{"rule_id": "C", "rule_name": "c", "field": "amount", "operator": "GREATER_THAN", "threshold": 0, "severity": "LOW", "version": 2, "active": false}',
-    '{"rule_name": "no id"}',
-]
-_log = lambda spark: parse_rules(spark.createDataFrame([(x,) for x in _LOG], "value string"))
+
+
+def _limits(events: DataFrame) -> DataFrame:
+    """A log of rule messages that the events make: at the end of each day its limits are set anew, under the day's number; `arrival` is that time."""
+    tx = from_events(events).withColumn("day", F.floor(F.col("ts_ms") / DAY))
+    by_merchant = tx.groupBy("day", "merchant_id").agg(F.count("*").alias("n"))
+    busiest = by_merchant.groupBy("day").agg(F.max_by("merchant_id", F.struct("n", "merchant_id")).alias("busiest"))
+    days = tx.groupBy("day").agg(F.max("amount").alias("most")).join(busiest, "day")
+    made = lambda rule, field, operator, threshold, **more: F.to_json(F.struct(F.lit(rule).alias("rule_id"), F.lit(rule.lower()).alias("rule_name"), F.lit(field).alias("field"), F.lit(operator).alias("operator"), threshold.alias("threshold"), F.lit("HIGH").alias("severity"), F.col("day").alias("version"), *(v.alias(k) for k, v in more.items())))
+    night = F.struct(F.lit(22).alias("start_hour"), F.lit(4).alias("end_hour"))
+    rules = F.array(
+        made("AMOUNT", "amount", "GREATER_THAN", F.floor(F.col("most") / 2)), made("BUSY", "merchant_id", "IN", F.array("busiest")), made("NIGHT", "amount", "GREATER_THAN", F.floor(F.col("most") / 4), time_window=night),
+        made("SOME", "channel", "EQUALS", F.lit("ATM"), active=F.pmod("day", F.lit(3)) != 0), F.lit('{"rule_name": "no id"}'),
+    )
+    return parse_rules(days.select(F.explode(rules).alias("value"), ((F.col("day") + 1) * DAY).alias("arrival")))
+
+
+_DAYS = f"""days AS (SELECT ts_ms // {DAY} AS day, max(amount) AS most FROM tx GROUP BY 1),
+    visits AS (SELECT ts_ms // {DAY} AS day, merchant_id, count(*) AS n FROM tx GROUP BY ALL),
+    busy AS (SELECT day, merchant_id AS busiest FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY n DESC, merchant_id DESC) AS r FROM visits) WHERE r = 1),
+    limits AS (SELECT day, CAST(floor(most / 2) AS BIGINT) AS high, CAST(floor(most / 4) AS BIGINT) AS night, busiest, day % 3 <> 0 AS live, (day + 1) * {DAY} AS arrival FROM days JOIN busy USING (day))"""
+_last = O.with_tx(
+    """SELECT rule_id, lower(rule_id) AS rule_name, CASE rule_id WHEN 'BUSY' THEN 'merchant_id' WHEN 'SOME' THEN 'channel' ELSE 'amount' END AS field, CASE rule_id WHEN 'BUSY' THEN 'IN' WHEN 'SOME' THEN 'EQUALS' ELSE 'GREATER_THAN' END AS operator,
+        CASE rule_id WHEN 'BUSY' THEN '["' || busiest || '"]' WHEN 'SOME' THEN 'ATM' WHEN 'AMOUNT' THEN CAST(high AS VARCHAR) ELSE CAST(night AS VARCHAR) END AS threshold, 'HIGH' AS severity, CAST(day AS INT) AS version,
+        rule_id <> 'SOME' OR live AS active, CASE WHEN rule_id = 'NIGHT' THEN 22 ELSE -1 END AS start_hour, CASE WHEN rule_id = 'NIGHT' THEN 4 ELSE -1 END AS end_hour
+        FROM limits, (VALUES ('AMOUNT'), ('BUSY'), ('NIGHT'), ('SOME')) AS r(rule_id) WHERE day = (SELECT max(day) FROM limits)""", _DAYS)
+_log = lambda spark, d: _limits(spark.read.parquet(f"{d}/events.parquet"))
+_judged = "[CASE WHEN amount > high THEN 'AMOUNT' END, CASE WHEN merchant_id = busiest THEN 'BUSY' END, CASE WHEN amount > night AND (hour >= 22 OR hour < 4) THEN 'NIGHT' END, CASE WHEN channel = 'ATM' AND live THEN 'SOME' END]"
+_by_limits = lambda join: O.with_tx(f"SELECT transaction_id, unnest(list_filter({_judged}, lambda x: x IS NOT NULL)) AS rule_id FROM (SELECT *, {O.HOUR} AS hour FROM tx) t {join}", _DAYS)
+add("a_rule_log", lambda spark, d: R.latest_rules(_log(spark, d), "arrival").drop("arrival").withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("start_hour", "end_hour")}), _last)
+for _how in (R.apply_rules, R.look_up_rules):
+    add(
+        f"d_versions_{_how.__name__}", lambda spark, d, f=_how: R.rule_alerts(f(risk.events(spark, d), R.latest_rules(_log(spark, d), "arrival"))).select("transaction_id", "rule_id"),
+        _by_limits("JOIN limits ON day = (SELECT max(day) FROM limits)"),
+    )
 add(
-    "a_rule_log",
-    lambda spark, d: R.latest_rules(_log(spark)).withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("start_hour", "end_hour")}),
-    """SELECT * FROM (VALUES ('A', 'a', 'amount', 'GREATER_THAN', '100.5', 'HIGH', 3, true, -1, -1), ('B', 'b', 'channel', 'IN', '["ATM","POS"]', 'CRITICAL', 0, true, 22, 4),
-        ('C', 'c', 'amount', 'GREATER_THAN', '0', 'LOW', 2, false, -1, -1)) AS r(rule_id, rule_name, field, operator, threshold, severity, version, active, start_hour, end_hour)""",
+    "d_rules_as_of",
+    lambda spark, d: R.rule_alerts(R.apply_rules_as_of(risk.events(spark, d), _log(spark, d).withColumnRenamed("arrival", "arrived_ms"))).select("transaction_id", "rule_id"),
+    _by_limits("ASOF JOIN limits ON t.produced_ms >= limits.arrival"),
 )
-_versions = O.with_tx(f"""SELECT transaction_id, unnest(list_filter([CASE WHEN amount > 100.5 THEN 'A' END, CASE WHEN channel IN ('ATM', 'POS') AND ({O.HOUR} >= 22 OR {O.HOUR} < 4) THEN 'B' END], lambda x: x IS NOT NULL)) AS rule_id FROM tx""")
-for _how in (R.apply_rules, R.look_up_rules):
-    add(f"d_versions_{_how.__name__}", lambda spark, d, f=_how: R.rule_alerts(f(risk.events(spark, d), R.latest_rules(_log(spark)))).select("transaction_id", "rule_id"), _versions)
 
 # stored forms
 _when = lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S.%g')"
@@ -248,3 +270,30 @@ def _in_parts(summary: str, rows: DataFrame) -> DataFrame:
 for _panel, _summary, _column in (("p22", "tx_throughput", "total_amount"), ("p23", "alerts_by_type", "avg_score"), ("p24", "fraud_by_geo", "total_amount"), ("p25", "latency_stats", "avg_latency_ms")):
     _shape = lambda df, s=_summary, c=_column: _in_parts(s, df).withColumn(c, F.round(c, 4 if c == "total_amount" else 6))
     add(f"g_partials_{_summary}", (_a if _summary == "alerts_by_type" else _t)(_shape), ORACLE[f"{_panel}_{_summary}"])
+
+
+def _sketched(t: DataFrame) -> DataFrame:
+    """Quantiles of merged sketches by hour, and whether they keep the bound against the exact ones."""
+    timed = t.where(storage.TIMED).withColumn("window_start", F.date_trunc("HOUR", "decided_at").cast("timestamp_ntz"))
+    part = lambda k: timed.where(F.pmod(F.crc32("transaction_id"), F.lit(3)) == k).groupBy("window_start", storage.latency_bucket(storage.latency()).alias("bucket")).agg(F.count("*").alias("n"))
+    made = storage.finished(part(0).unionByName(part(1)).unionByName(part(2)), "latency_sketch")
+    exact = timed.groupBy("window_start").agg(*(F.expr(f"percentile_disc({q}) within group (order by {_MS})").alias(f"e{q * 100:.0f}") for q in (0.95, 0.99)))
+    near = lambda p: F.abs(F.col(f"p{p}_latency_ms") - F.col(f"e{p}")) <= storage.SKETCH_ERROR * F.col(f"e{p}") * (1 + 1e-9)
+    return made.join(exact, "window_start").select("window_start", "tx_count", *(F.round(f"p{p}_latency_ms", 6).alias(f"p{p}_latency_ms") for p in (95, 99)), (near(95) & near(99)).alias("within"))
+
+
+_MS = "timestampdiff(MILLISECOND, produced_at, decided_at)"
+_reached = lambda p: f"round(min(CASE WHEN seen >= ceil(total * 0.{p}) THEN CASE WHEN bucket < 0 THEN 0.0::DOUBLE ELSE 2 * pow({storage.GROWTH}::DOUBLE, bucket) / {storage.GROWTH + 1}::DOUBLE END END), 6) AS p{p}_latency_ms"
+add("g_quantile_sketch", _t(_sketched), O.over_decisions(f"""SELECT window_start, CAST(max(total) AS BIGINT) AS tx_count, {_reached(95)}, {_reached(99)}, true AS within FROM (
+    SELECT *, sum(n) OVER (PARTITION BY window_start) AS total, sum(n) OVER (PARTITION BY window_start ORDER BY bucket) AS seen FROM (
+        SELECT date_trunc('hour', decided_at) AS window_start, CASE WHEN {O.LATENCY} > 0 THEN ceil(ln(CAST({O.LATENCY} AS DOUBLE)) / ln({storage.GROWTH}::DOUBLE)) ELSE -1 END AS bucket, count(*) AS n FROM t WHERE {O.TIMED} GROUP BY ALL)) GROUP BY 1"""))
+
+add(
+    "n_ranking_metrics",
+    _m(lambda t: ranking_metrics(t, "ml_score", "ground_truth_is_fraud").select(F.round("auc", 9).alias("auc"), F.round("average_precision", 9).alias("average_precision"), "positives", "negatives")),
+    _over_ml("""SELECT round(sum(pos * (2 * neg_low + neg)) / (2.0::DOUBLE * max(p) * max(n)), 9) AS auc, round(sum(pos * ((p - pos_low) / CAST(p - pos_low + n - neg_low AS DOUBLE))) / max(p), 9) AS average_precision,
+        CAST(max(p) AS BIGINT) AS positives, CAST(max(n) AS BIGINT) AS negatives FROM (
+        SELECT *, coalesce(sum(pos) OVER below, 0) AS pos_low, coalesce(sum(neg) OVER below, 0) AS neg_low, sum(pos) OVER () AS p, sum(neg) OVER () AS n FROM (
+            SELECT ml_score, count(*) FILTER (ground_truth_is_fraud = 1) AS pos, count(*) FILTER (ground_truth_is_fraud = 0) AS neg FROM t GROUP BY 1)
+        WINDOW below AS (ORDER BY ml_score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""),
+)
