@@ -142,3 +142,63 @@ def test_runs_cut_by_batch_edges(spark, messages, tmp_path):
 def test_history_covers_the_windows():
     assert job.history_ms(Config()) == 25 * 3_600_000
     assert job.history_ms(Config(takeover_ms=7 * 86_400_000)) == 7 * 86_400_000
+
+
+def test_summaries_and_days_of_the_stream(spark, messages, tmp_path):
+    """Over several batches that revise each other: summaries are those of the latest decisions, and reads by day touch no other."""
+    lines = sorted((r.value for r in read_json(spark, f"{messages}/in").collect()), key=lambda v: (json.loads(v)["timestamp"], v))
+    lines.append(json.dumps({"transaction_id": "UNTIMED", "account_id": "U", "amount": 20000}))
+    (tmp_path / "in").mkdir()
+    step = len(lines) // 4 + 1
+    for k in (2, 0, 3, 1):
+        (tmp_path / "in" / f"{k}.txt").write_text("\n".join(lines[k * step : (k + 1) * step]))
+        os.utime(tmp_path / "in" / f"{k}.txt", (1_700_000_000 + (k * 3) % 7, 1_700_000_000 + (k * 3) % 7))
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{tmp_path}/in")
+    out = f"{tmp_path}/out"
+    job.run_decisions(spark, raw, f"{messages}/rules", out, f"{tmp_path}/check", Config(), trigger={"availableNow": True}).awaitTermination()
+    now, alerts = job.current_decisions(spark, out).cache(), job.current_alerts(spark, out)
+    assert now.count() == len(lines) == now.select("transaction_id").distinct().count() and now.where("transaction_id = 'UNTIMED'").count() == 1
+    assert spark.read.parquet(f"{out}/decisions").count() > len(lines)  # some were revised
+    for name in storage.SUMMARIES:
+        got = job.current_summary(spark, out, name)
+        from tidemark.operators.decisions import final_alerts
+
+        rows = final_alerts(now.drop("event_date")) if name == "alerts_by_type" else now
+        want = storage.finished(storage.partials(rows, name), name).select(got.columns)
+        shown = lambda rows: sorted(str([round(x, 4) + 0.0 if isinstance(x, float) else x for x in r]) for r in rows.collect())
+        assert shown(got) == shown(want) and (want.count() or name.startswith("latency"))
+    assert alerts.count() == now.where("decision <> 'APPROVE'").count()
+    day = now.where("event_date > '1971-01-01'").agg(F.min("event_date")).first()[0]
+    now.unpersist()
+    files = job.current_decisions(spark, out, day, day).inputFiles()
+    assert files and all(f"day={day}" in f or "HIVE_DEFAULT" in f for f in files)
+
+
+def test_merged_stream_equals_batch(spark, messages, tmp_path):
+    """Transactions with their alerts from one operator, over batches with events up to five seconds out of order: the last row of each
+    transaction has the alerts that a batch attaches, and what came after the first row is marked late."""
+    lines = [r.value for r in read_json(spark, f"{messages}/in").collect()]
+    first = min(json.loads(v)["timestamp"] for v in lines)
+    lines += [json.dumps({"transaction_id": f"SLOW{k}", "account_id": "SLOW", "timestamp": first + 40_000 + k * 25_000, "amount": 5, "event_type": "PAYMENT", "merchant_id": "M"}) for k in range(6)]  # runs over several batches
+    order = {v: json.loads(v)["timestamp"] + random.Random(i).randint(0, 4900) for i, v in enumerate(lines)}
+    lines.sort(key=lambda v: order[v])
+    last = max(json.loads(v)["timestamp"] for v in lines) + 10**9
+    end = [json.dumps({"transaction_id": f"END{k}", "account_id": "END", "timestamp": last + k * 10**8, "amount": 150, "event_type": "LOGIN"}) for k in (0, 1)]
+    step = len(lines) // 9 + 1
+    (tmp_path / "in").mkdir()
+    for k, part in enumerate([*(lines[i : i + step] for i in range(0, len(lines), step)), end[:1], end[1:]]):
+        file = tmp_path / "in" / f"{k}.txt"
+        file.write_text("\n".join(part))
+        os.utime(file, (1_700_000_000 + k, 1_700_000_000 + k))
+    tx, _ = parse_transactions(spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{tmp_path}/in"))
+    q = job.merged_alerts(tx, Config()).writeStream.format("memory").queryName("merged").outputMode("append").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = spark.table("merged").where("account_id <> 'END'").collect()
+    still = parse_transactions(read_json(spark, f"{tmp_path}/in"))[0].where("account_id <> 'END'")
+    told = lambda alerts: sorted((a.alert_type, a.severity, round(a.score, 9)) for a in alerts)
+    want = {r.transaction_id: (told(r.cep_alerts), r.amount, r.merchant_id) for r in P.attach(still, P.detect(still, Config())).collect()}
+    assert {r.transaction_id for r in rows if r.revision == 0} == set(want) and len([r for r in rows if r.revision == 0]) == len(want)
+    final = {r.transaction_id: r for r in sorted(rows, key=lambda r: r.revision)}
+    assert {i: (told(r.cep_alerts), r.amount, r.merchant_id) for i, r in final.items()} == want
+    assert all(r.late_alert == (r.revision > 0) for r in rows)
+    assert {r.transaction_id for r in rows if r.late_alert} >= {f"SLOW{k}" for k in range(4)}

@@ -198,7 +198,8 @@ def detect(tx: DataFrame, config: Config, kinds: tuple[str, ...] = PATTERNS) ->
     }
     pick = lambda of: F.coalesce(*(F.when(F.col("pattern") == k, of[k]) for k in kinds))
     made = {"severity": severity, "score": score, "details": details, "matched_events": matched}
-    return found.select("transaction_id", "account_id", "ts_ms", F.col("pattern").alias("alert_type"), *(pick(of).alias(name) for name, of in made.items()))
+    alert_id = F.concat_ws("|", "pattern", "transaction_id").alias("alert_id")
+    return found.select("transaction_id", "account_id", "ts_ms", F.col("pattern").alias("alert_type"), *(pick(of).alias(name) for name, of in made.items()), alert_id)
 
 
 def account_takeover(tx: DataFrame, config: Config) -> DataFrame:

@@ -162,5 +162,5 @@ def rule_alerts(applied: DataFrame) -> DataFrame:
     """One row a violation, as an alert."""
     return applied.select("transaction_id", "account_id", "ts_ms", F.explode("rule_alerts").alias("r")).select(
         "transaction_id", "account_id", "ts_ms", F.coalesce("r.rule_name", F.lit("RULE_VIOLATION")).alias("alert_type"), F.lit("RULES_ENGINE").alias("alert_source"),
-        F.col("r.rule_id").alias("rule_id"), "r.severity", "r.score", "r.details",
+        F.col("r.rule_id").alias("rule_id"), "r.severity", "r.score", "r.details", F.concat_ws("|", "r.rule_id", "transaction_id").alias("alert_id"),
     )

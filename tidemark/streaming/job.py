@@ -6,9 +6,11 @@ Sources and sinks are given as DataFrames and paths; with a Kafka connector on t
 
 from __future__ import annotations
 
+import json
 import sys
 import time
 from collections.abc import Iterator
+from datetime import date, timedelta
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -26,6 +28,7 @@ from tidemark.operators import storage
 from tidemark.operators.patterns import attach, detect
 from tidemark.operators.rules import apply_rules, latest_rules
 from tidemark.operators.scoring import Scorer, no_model
+from tidemark.operators.versions import VersionedTable
 from tidemark.plans.risk import resolve
 from tidemark.sources.transactions import parse_transactions, read_rule_log
 
@@ -47,6 +50,7 @@ def with_watermark(tx: DataFrame) -> DataFrame:
     return tx.withColumn("event_ts", F.timestamp_millis("ts_ms")).withWatermark("event_ts", LATE)
 
 
+_FINANCIAL = ("TRANSFER", "PAYMENT", "WITHDRAWAL")
 _FOUND = "transaction_id string, account_id string, ts_ms long, alert_type string, severity string, score double"
 _EVENT = "ts_ms long, transaction_id string, event_type string, amount double, merchant_id string, latitude double, longitude double"
 
@@ -203,77 +207,178 @@ def stateful_alerts(tx: DataFrame, kind: type[InOrder], config: Config) -> DataF
     return with_watermark(tx).where(relevant).groupBy("account_id").transformWithStateInPandas(statefulProcessor=kind(config), outputStructType=_FOUND, outputMode="Append", timeMode="EventTime")
 
 
+_RECENT = "ts_ms long, transaction_id string, revision int, alerts string, payload string"
+_MERGED = "transaction_id string, account_id string, ts_ms long, cep_alerts array<struct<alert_type:string,severity:string,score:double>>, revision int, late_alert boolean, payload string"
+
+
+class Merging(InOrder):
+    """Transactions with the alerts that their account's events raise on them. An event is given out, with what is known, when the
+    watermark has passed it; alerts that later events raise on it, as those that complete a run, give it out again under the
+    next revision, marked late. A transaction waits for such alerts as long as the longest run lasts and is then forgotten, as
+    is an alert whose transaction is."""
+
+    opens = "pattern int, at long, a string"
+
+    def __init__(self, config: Config):
+        super().__init__(config)
+        self.patterns = [Takeover(config), Travel(config), Micro(config), Velocity(config)]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting, self.open, self.recent = handle.getListState("waiting", _EVENT + ", payload string"), handle.getListState("open", self.opens), handle.getListState("recent", _RECENT)
+
+    def window_ms(self) -> int:
+        return max(p.window_ms() for p in self.patterns)
+
+    def _concerned(self, e: dict) -> list[bool]:
+        c, financial, amount = self.config, e["event_type"] in _FINANCIAL, e["amount"]
+        located = -90 <= e["latitude"] <= 90 and -180 <= e["longitude"] <= 180 and not (e["latitude"] == 0 and e["longitude"] == 0)
+        return [e["event_type"] in ("LOGIN_FAILED", "LOGIN_SUCCESS", "TRANSFER"), financial and located, financial and amount < c.micro_amount,
+                e["event_type"] in ("TRANSFER", "PAYMENT") and c.velocity_low <= amount <= c.velocity_high]
+
+    def _advance(self, key, events: list[tuple], now: int) -> pd.DataFrame:
+        names = [f.split()[0] for f in _EVENT.split(", ")]
+        due, later = sorted((e for e in events if e[0] < now), key=lambda e: e[:2]), [e for e in events if e[0] >= now]
+        held: list[list[list]] = [[] for _ in self.patterns]
+        for pattern, _, rest in self.open.get() if self.open.exists() else ():
+            held[pattern].append(json.loads(rest))
+        recent = {(r[0], r[1]): [int(r[2]), json.loads(r[3]), r[4]] for r in (self.recent.get() if self.recent.exists() else ())}
+        changed: dict[tuple, None] = {}
+        for e in due:
+            row = dict(zip(names, e))
+            recent[e[0], e[1]] = [-1, [], e[-1]]
+            changed[e[0], e[1]] = None
+            for k, (pattern, mine) in enumerate(zip(self.patterns, self._concerned(row))):
+                if mine:
+                    alive = [o for o in held[k] if e[0] - o[0] < pattern.window_ms()]
+                    held[k], raised = pattern.step(alive, row)
+                    for transaction, at, *alert in raised:
+                        if (at, transaction) in recent:
+                            recent[at, transaction][1].append(alert)
+                            changed[at, transaction] = None
+        out = []
+        for at, transaction in changed:
+            kept = recent[at, transaction]
+            kept[0] += 1
+            out.append((transaction, key[0], at, [dict(zip(("alert_type", "severity", "score"), a)) for a in kept[1]], kept[0], kept[0] > 0, kept[2]))
+        open_rows = [(k, int(o[0]), json.dumps([x if isinstance(x, (str, bool, float)) or x is None else int(x) for x in o])) for k, p in enumerate(self.patterns) for o in held[k] if now - o[0] < p.window_ms()]
+        lasting = max(self.patterns[2].window_ms(), self.patterns[3].window_ms())
+        recent_rows = [(at, i, r[0], json.dumps(r[1]), r[2]) for (at, i), r in recent.items() if now - at < lasting]
+        for state, rows in ((self.waiting, later), (self.open, open_rows), (self.recent, recent_rows)):
+            state.put(rows) if rows else state.clear()
+        ends = [min(e[0] for e in later) + 1] if later else [max([at + self.window_ms() for _, at, _ in open_rows] + [r[0] + lasting for r in recent_rows])] if open_rows or recent_rows else []
+        for end in ends:  # the next event to be taken, or when all that is kept has expired
+            self.handle.registerTimer(int(end))
+        return pd.DataFrame(out, columns=[f.split()[0] for f in _MERGED.replace("<struct<alert_type:string,severity:string,score:double>>", "").split(", ")])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows))[[*(f.split()[0] for f in _EVENT.split(", ")), "payload"]]
+        new = [(int(e[0]), e[1], e[2], float(e[3]), e[4], float(e[5]), float(e[6]), e[7]) for e in new.itertuples(index=False)]
+        old = [tuple(e) for e in self.waiting.get()] if self.waiting.exists() else []
+        yield self._advance(key, old + new, timerValues.getCurrentWatermarkInMs())
+
+
+def merged_alerts(tx: DataFrame, config: Config) -> DataFrame:
+    """The stream tx with cep_alerts, revision and late_alert, without a scan of history: one stateful operator holds what an
+    account's later events may concern. Readers keep the greatest revision of each transaction. Needs the RocksDB state store; columns of
+    other types than parse_transactions() gives are not carried."""
+    for module in (sys.modules[__name__], tidemark.config):
+        cloudpickle.register_pickle_by_value(module)
+    marked = with_watermark(tx.withColumn("payload", F.to_json(F.struct(*tx.columns))))
+    passed = marked.where(F.col("event_ts") > F.lit("0001-01-01").cast("timestamp"))  # reads the watermark's column, so that all events advance it
+    out = passed.groupBy("account_id").transformWithStateInPandas(statefulProcessor=Merging(config), outputStructType=_MERGED, outputMode="Append", timeMode="EventTime")
+    return out.select(F.from_json("payload", tx.schema).alias("t"), "cep_alerts", "revision", "late_alert").select("t.*", "cep_alerts", "revision", "late_alert")
+
+
+DECISION_DAYS, ALERT_DAYS = 90, 180  # that decisions and alerts are kept, from the newest on
+
+
+def decisions_table(spark: SparkSession, out: str) -> VersionedTable:
+    return VersionedTable(spark, f"{out}/decisions", "event_date", lambda df: storage.latest(df, "transaction_id", "decided_at"), DECISION_DAYS)
+
+
+def alerts_table(spark: SparkSession, out: str) -> VersionedTable:
+    return VersionedTable(spark, f"{out}/alerts", "event_date", lambda df: storage.latest(df, "alert_id", "alert_time"), ALERT_DAYS)
+
+
+def summary_table(spark: SparkSession, out: str, summary: str) -> VersionedTable:
+    return VersionedTable(spark, f"{out}/summaries/{summary}", "day", lambda df: storage.merge_partials(df, summary).withColumn("day", F.to_date(storage.SUMMARIES[summary][0][0])), DECISION_DAYS)
+
+
+def _day(ms: int) -> date:
+    return date(1970, 1, 1) + timedelta(days=ms // DAY)
+
+
 def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str, checkpoint: str, config: Config, scorer: Scorer = no_model, trigger: dict | None = None) -> StreamingQuery:
-    """Decide every transaction of the stream `raw` (column value) and write decisions, final alerts and rejected messages.
+    """Decide every transaction of the stream `raw` (column value) and write decisions, final alerts, summaries and rejected messages.
 
     Rules are read anew for each micro-batch, so an update holds from the next batch on; each transaction keeps the rule
     alerts of its own batch. A batch is judged together with the stored history of its accounts, so patterns and features
     reach back (history_ms). Stored transactions that its events turn out to concern, as those of a run that it completes,
     are written again with a new decided_at where their row changed; current_decisions() and current_alerts() read the
-    latest versions. Files of a batch replace those of the same batch after a retry. History is filed by day, so that a batch
-    lists and reads the days it needs, and days that no batch can need are deleted.
+    latest versions, and summaries take the old versions out. All of these are tables of versions by day (VersionedTable): a batch
+    reads the days it needs, days are merged as batches pile up and expire. Decisions are added last, so a batch whose decisions
+    are there is done, and one tried again before replaces what it had written.
     """
     window, keep = longest_window(config), history_ms(config)
-    numbered = lambda df: T.StructType([*df.schema.fields, T.StructField("batch", T.IntegerType())])
+    filed = VersionedTable(spark, f"{out}/history", "event_date", lambda df: storage.latest(df, "transaction_id", "batch"), -(-2 * (window + keep) // DAY) + 1)
+    decisions, alerts = decisions_table(spark, out), alerts_table(spark, out)
 
     def judge(batch: DataFrame, number: int) -> None:
+        if number <= decisions.last_batch():
+            return
+        batch = batch.persist()
         tx, rejected = parse_transactions(batch)
-        history, now = f"{out}/history", F.lit(int(time.time() * 1000)).cast("long")
+        now = F.lit(int(time.time() * 1000)).cast("long")
         rules = latest_rules(read_rule_log(spark, rules_path), "arrival").drop("arrival")
         ruled = apply_rules(tx, rules)
-        days = numbered(ruled.withColumn("day", F.floor(F.col("ts_ms") / DAY).cast("int")))
-        filed = ruled.withColumns({"day": F.floor(F.col("ts_ms") / DAY).cast("int"), "batch": F.lit(number)})
-        filed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(history)
-        past = spark.read.schema(days).parquet(history).where(F.col("batch") <= number)
-        mine = past.where(F.col("batch") == number).select("account_id", "transaction_id", "ts_ms").persist()
+        filed.append(ruled.withColumns({"event_date": F.to_date(from_millis(F.col("ts_ms"))), "batch": F.lit(number)}), number)
+        mine = tx.select("account_id", "transaction_id", "ts_ms").persist()
         edge = mine.agg(F.min("ts_ms")).first()[0] or 0
         since = mine.groupBy("account_id").agg((F.min("ts_ms") - window).alias("_since"))
-        stored = past.where((F.col("day") >= (edge - window - keep) // DAY) & (F.col("ts_ms") >= edge - window - keep)).drop("day").join(since, "account_id").where(F.col("ts_ms") >= F.col("_since") - keep)
-        stored = storage.latest(stored, "transaction_id", "batch").drop("batch").withColumn("decided_ms", now)
+        past = filed.read(first=_day(edge - window - keep)).where(F.col("ts_ms") >= edge - window - keep).drop("event_date", "batch")
+        stored = past.join(since, "account_id").where(F.col("ts_ms") >= F.col("_since") - keep).withColumn("decided_ms", now)
         concerned = stored.where(F.col("ts_ms") >= F.col("_since")).select("transaction_id")
         stored = stored.drop("_since")
-        made = resolve(attach(stored, detect(stored, config)), config, scorer).join(concerned, "transaction_id", "left_semi").persist()
+        made = storage.stored_decisions(resolve(attach(stored, detect(stored, config)), config, scorer).join(concerned, "transaction_id", "left_semi")).persist()
         own = mine.select("transaction_id").distinct()
-        fresh = made.join(own, "transaction_id", "left_semi")
-        files = storage.stored_decisions(fresh)
-        files.write.mode("overwrite").parquet(f"{out}/decisions/batch={number}")
-        before = spark.read.schema(numbered(files)).parquet(f"{out}/decisions").where((F.col("batch") < number) & (F.col("event_time") >= from_millis(F.lit(edge - window).cast("long"))))
-        others = made.join(own, "transaction_id", "left_anti")
-        before = storage.latest(before.join(others.select("transaction_id"), "transaction_id", "left_semi"), "transaction_id", "decided_at")
-        told = [c for c in files.columns if c != "decided_at"]
-        same = before.select("transaction_id", F.struct(*told).alias("_told"))
-        changed = storage.stored_decisions(others).withColumn("_now", F.struct(*told)).join(same, "transaction_id", "left").where(~F.col("_now").eqNullSafe(F.col("_told"))).select(files.columns).persist()
-        changed.write.mode("append").parquet(f"{out}/decisions/batch={number}")
-        alerts = D.final_alerts(fresh.unionByName(others.join(changed, "transaction_id", "left_semi")))
-        storage.stored_alerts(alerts).write.mode("overwrite").parquet(f"{out}/alerts/batch={number}")
-        D.alert_messages(alerts).write.mode("overwrite").text(f"{out}/messages/batch={number}")
+        told = [c for c in made.columns if c != "decided_at"]
+        before = decisions.read(first=_day(edge - window)) if decisions.last_batch() >= 0 else made.where("false")
+        old = before.join(made.select("transaction_id"), "transaction_id", "left_semi").persist()
+        known = old.select("transaction_id", F.struct(*told).alias("_told"), F.lit(True).alias("_known"))
+        # a stored transaction that nothing was decided on is one of a batch whose decisions have expired: it is left as it is
+        judged = made.withColumn("_now", F.struct(*told)).join(known, "transaction_id", "left").join(own.withColumn("_own", F.lit(True)), "transaction_id", "left")
+        new = judged.where(F.col("_own") | (F.col("_known") & ~F.col("_now").eqNullSafe(F.col("_told")))).select(made.columns).persist()
+        gone = old.join(new.select("transaction_id"), "transaction_id", "left_semi")
+        final = D.final_alerts(new.drop("event_date"))
+        alerts.append(storage.stored_alerts(final), number)
+        D.alert_messages(final).write.mode("overwrite").text(f"{out}/messages/batch={number}")
         rejected.write.mode("overwrite").text(f"{out}/rejected/batch={number}")
-        for held in (mine, made, changed):
+        final_old = D.final_alerts(gone.drop("event_date"))
+        for summary in storage.SUMMARIES:
+            rows = (final, final_old) if summary == "alerts_by_type" else (new, gone)
+            summary_table(spark, out, summary).append(storage.revised(*rows, summary).withColumn("day", F.to_date(storage.SUMMARIES[summary][0][0])), number)
+        decisions.append(new, number)
+        for held in (mine, made, old, new, batch):
             held.unpersist()
-        _forget(spark, history, (edge - 2 * (window + keep)) // DAY)
 
     return raw.writeStream.foreachBatch(judge).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
-def _forget(spark: SparkSession, history: str, day: int) -> None:
-    """Deletes the folders of days before `day`, which no batch reads any more."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(history)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.listStatus(root) if files.exists(root) else ():
-        name = status.getPath().getName()
-        if name.startswith("day=") and name[4:].lstrip("-").isdigit() and 0 < int(name[4:]) < day:
-            files.delete(status.getPath(), True)
+def current_decisions(spark: SparkSession, out: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """The latest version of each decision that run_decisions() wrote, of the days from first to last; no other days are read."""
+    return decisions_table(spark, out).read(first, last)
 
 
-def current_decisions(spark: SparkSession, out: str) -> DataFrame:
-    """The latest version of each decision that run_decisions() wrote."""
-    return storage.latest(spark.read.parquet(f"{out}/decisions"), "transaction_id", "decided_at")
+def current_alerts(spark: SparkSession, out: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """The alerts of the latest decisions; those of earlier versions are left out."""
+    now = current_decisions(spark, out, first, last).select("transaction_id", F.col("decided_at").alias("alert_time"))
+    return alerts_table(spark, out).read(first, last).join(now, ["transaction_id", "alert_time"], "left_semi")
 
 
-def current_alerts(spark: SparkSession, out: str) -> DataFrame:
-    """The alerts of the latest decisions; those of earlier versions are left out."""
-    now = current_decisions(spark, out).select("transaction_id", F.col("decided_at").alias("alert_time"))
-    return spark.read.parquet(f"{out}/alerts").join(now, ["transaction_id", "alert_time"], "left_semi")
+def current_summary(spark: SparkSession, out: str, summary: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """A summary of the latest decisions (of their alerts, for alerts_by_type), kept up to date by run_decisions()."""
+    return storage.finished(summary_table(spark, out, summary).read(first, last), summary)
 
 
 def running_throughput(tx: DataFrame) -> DataFrame:
