@@ -202,3 +202,27 @@ def test_merged_stream_equals_batch(spark, messages, tmp_path):
     assert {i: (told(r.cep_alerts), r.amount, r.merchant_id) for i, r in final.items()} == want
     assert all(r.late_alert == (r.revision > 0) for r in rows)
     assert {r.transaction_id for r in rows if r.late_alert} >= {f"SLOW{k}" for k in range(4)}
+
+
+def test_late_rows_have_no_features_and_no_score(spark, messages, tmp_path):
+    """An event behind the watermark of the batches before is decided without a score, and counts for nobody's features."""
+    from tidemark.operators.scoring import TreeScorer
+
+    at = 1_700_000_000_000
+    say = lambda i, ms, amount=50: json.dumps({"transaction_id": i, "account_id": "A", "timestamp": at + ms, "produced_at": at + ms, "amount": amount, "event_type": "PAYMENT", "location": json.dumps({"latitude": 10, "longitude": 106})})
+    (tmp_path / "in").mkdir()
+    batches = [[say("first", 0), say("second", 60_000)], [say("late", 1_000), say("near", 58_000), say("merchant", 1_500, 20_000)], [say("last", 120_000)]]
+    for k, part in enumerate(batches):
+        file = tmp_path / "in" / f"{k}.txt"
+        file.write_text("\n".join(part))
+        os.utime(file, (1_700_000_000 + k, 1_700_000_000 + k))
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{tmp_path}/in")
+    # a score of .9 for the third and later transactions of an hour, else .6
+    scorer = TreeScorer([("tx_frequency_1h", 1.0, 0.6, 0.9)])
+    job.run_decisions(spark, raw, f"{messages}/rules", f"{tmp_path}/out", f"{tmp_path}/check", Config(), scorer, trigger={"availableNow": True}).awaitTermination()
+    history = {r.transaction_id: r.late for r in spark.read.parquet(f"{tmp_path}/out/history").collect()}
+    assert history == {"first": False, "second": False, "late": True, "near": False, "merchant": True, "last": False}
+    got = {r.transaction_id: (r.ml_score, r.decision, r.decision_source) for r in job.current_decisions(spark, f"{tmp_path}/out").collect()}
+    assert got["late"] == (0.0, "APPROVE", "NONE") and got["merchant"] == (0.0, "ALERT", "RULES_ENGINE")
+    # before `near` stands first alone, before `second` first and near, before `last` all three: the late ones are not counted
+    assert (got["first"][0], got["near"][0], got["second"][0], got["last"][0]) == (0.6, 0.6, 0.9, 0.9)

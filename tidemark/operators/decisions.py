@@ -15,6 +15,11 @@ def has_critical() -> Column:
     return F.exists("rule_alerts", critical) | F.exists("cep_alerts", critical)
 
 
+def set_aside(columns: list[str]) -> Column:
+    """Rows that get no features and no score and are no history to others: those with a critical alert, and those marked `late`."""
+    return has_critical() | F.coalesce(F.col("late"), F.lit(False)) if "late" in columns else has_critical()
+
+
 def decide(scored: DataFrame, config: Config) -> DataFrame:
     """One decision a row from rule_alerts, cep_alerts and ml_score. Priority: critical rule, critical pattern, any pattern,
     high score, raised score, any rule, else approve. The strict score limits and the label never mix."""

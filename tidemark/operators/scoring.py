@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import is_foreign, local_hour, round_half_up
-from tidemark.operators.decisions import has_critical
+from tidemark.operators.decisions import set_aside
 from tidemark.operators.ranking import ranking_metrics
 
 INPUTS = ["amount", "hour_of_day", "is_foreign", "tx_frequency_1h", "distance_km"]
@@ -68,7 +68,7 @@ SMALL_FOREST: list[Tree] = [
 
 
 class TreeScorer:
-    """The mean of trees given as data, to six decimals, as one expression; 0 on rows with a critical alert."""
+    """The mean of trees given as data, to six decimals, as one expression; 0 on rows that are set aside."""
 
     def __init__(self, forest: list[Tree] = SMALL_FOREST):
         self.forest = forest
@@ -81,11 +81,11 @@ class TreeScorer:
 
     def __call__(self, rows: DataFrame) -> DataFrame:
         mean = sum((self._value(t) for t in self.forest), F.lit(0.0)) / len(self.forest)
-        return inputs(rows).withColumn("ml_score", F.when(has_critical(), 0.0).otherwise(round_half_up(mean, 6))).drop("inputs")
+        return inputs(rows).withColumn("ml_score", F.when(set_aside(rows.columns), 0.0).otherwise(round_half_up(mean, 6))).drop("inputs")
 
 
 class ForestScorer:
-    """Probability of fraud to six decimals; 0 on rows with a critical alert."""
+    """Probability of fraud to six decimals; 0 on rows that are set aside."""
 
     def __init__(self, model: PipelineModel):
         self.model = model
@@ -101,4 +101,4 @@ class ForestScorer:
         kept = rows.columns
         spread = inputs(rows).select(F.struct(*kept).alias("row"), "inputs.*")
         made = self.model.transform(spread).withColumn("p", round_half_up(F.get(vector_to_array("probability"), 1), 6))
-        return made.select("row.*", "p").withColumn("ml_score", F.when(has_critical(), 0.0).otherwise(F.col("p"))).drop("p")
+        return made.select("row.*", "p").withColumn("ml_score", F.when(set_aside(kept), 0.0).otherwise(F.col("p"))).drop("p")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import SPARSE, Config
-from tidemark.operators.decisions import decide, has_critical
+from tidemark.operators.decisions import decide, set_aside
 from tidemark.operators.features import rolling_features
 from tidemark.operators.patterns import attach, detect
 from tidemark.operators.rules import apply_rules, latest_rules, seed_rules
@@ -27,7 +27,7 @@ def assess(tx: DataFrame, rules: DataFrame, config: Config, scorer: Scorer = no_
 
 def resolve(marked: DataFrame, config: Config, scorer: Scorer = no_model) -> DataFrame:
     """A decision for every transaction with its rule_alerts and cep_alerts."""
-    rows = marked if scorer is no_model else rolling_features(marked, has_critical())
+    rows = marked if scorer is no_model else rolling_features(marked, set_aside(marked.columns))
     return decide(scorer(rows), config)
 
 

@@ -32,7 +32,7 @@ from tidemark.operators.versions import VersionedTable
 from tidemark.plans.risk import resolve
 from tidemark.sources.transactions import parse_transactions, read_rule_log
 
-LATE = "5 seconds"
+LATE, LATE_MS = "5 seconds", 5000
 
 
 def longest_window(config: Config) -> int:
@@ -314,7 +314,8 @@ def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str
 
     Rules are read anew for each micro-batch, so an update holds from the next batch on; each transaction keeps the rule
     alerts of its own batch. A batch is judged together with the stored history of its accounts, so patterns and features
-    reach back (history_ms). Stored transactions that its events turn out to concern, as those of a run that it completes,
+    reach back (history_ms). A transaction behind the watermark, the latest time of earlier batches less LATE, is marked `late` in
+    the history: rules and patterns judge it, but it has no features and no score and is no history to the features of others. Stored transactions that its events turn out to concern, as those of a run that it completes,
     are written again with a new decided_at where their row changed; current_decisions() and current_alerts() read the
     latest versions, and summaries take the old versions out. All of these are tables of versions by day (VersionedTable): a batch
     reads the days it needs, days are merged as batches pile up and expire. Decisions are added last, so a batch whose decisions
@@ -332,9 +333,11 @@ def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str
         now = F.lit(int(time.time() * 1000)).cast("long")
         rules = latest_rules(read_rule_log(spark, rules_path), "arrival").drop("arrival")
         ruled = apply_rules(tx, rules)
-        filed.append(ruled.withColumns({"event_date": F.to_date(from_millis(F.col("ts_ms"))), "batch": F.lit(number)}), number)
         mine = tx.select("account_id", "transaction_id", "ts_ms").persist()
-        edge = mine.agg(F.min("ts_ms")).first()[0] or 0
+        edge, newest = mine.agg(F.coalesce(F.min("ts_ms"), F.lit(0)), F.coalesce(F.max("ts_ms"), F.lit(0))).first()
+        high = filed.note().get("high", 0)  # the latest event time of the batches before
+        late = (F.col("ts_ms") > 0) & (F.col("ts_ms") < high - LATE_MS)
+        filed.append(ruled.withColumns({"late": late, "event_date": F.to_date(from_millis(F.col("ts_ms"))), "batch": F.lit(number)}), number, {"high": max(high, newest)})
         since = mine.groupBy("account_id").agg((F.min("ts_ms") - window).alias("_since"))
         past = filed.read(first=_day(edge - window - keep)).where(F.col("ts_ms") >= edge - window - keep).drop("event_date", "batch")
         stored = past.join(since, "account_id").where(F.col("ts_ms") >= F.col("_since") - keep).withColumn("decided_ms", now)
