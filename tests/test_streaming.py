@@ -13,8 +13,8 @@ from tidemark.sources.transactions import parse_transactions, read_json
 from tidemark.streaming import job
 
 RULES = [
-    {"rule_id": "RULE_001", "rule_name": "High", "field": "amount", "operator": "GREATER_THAN", "threshold": 10000.0, "severity": "HIGH", "version": 1},
-    {"rule_id": "RULE_002", "rule_name": "Merchant", "field": "merchant_id", "operator": "IN", "threshold": ["MERCH-0199"], "severity": "CRITICAL", "version": 1},
+    {"rule_id": "BIG", "rule_name": "Big", "field": "amount", "operator": "GREATER_THAN", "threshold": 7500.5, "severity": "HIGH", "version": 1},
+    {"rule_id": "SHOP", "rule_name": "Shop", "field": "merchant_id", "operator": "IN", "threshold": ["MERCH-0150", "MERCH-0042"], "severity": "CRITICAL", "version": 1},
 ]
 
 
@@ -120,7 +120,7 @@ def test_runs_cut_by_batch_edges(spark, messages, tmp_path):
 
     run([0, 2])
     # every transaction of the second run breaks a new rule; those of the first keep what their own rules said
-    more = {"rule_id": "RULE_003", "rule_name": "Any", "field": "amount", "operator": "GREATER_THAN", "threshold": -1.0, "severity": "HIGH", "version": 1}
+    more = {"rule_id": "ZZZ", "rule_name": "Any", "field": "amount", "operator": "GREATER_THAN", "threshold": -1.0, "severity": "HIGH", "version": 1}
     (tmp_path / "rules" / "b.json").write_text(json.dumps(more))
     run([1])
     tx, _ = parse_transactions(read_json(spark, f"{tmp_path}/in"))
@@ -226,3 +226,18 @@ def test_late_rows_have_no_features_and_no_score(spark, messages, tmp_path):
     assert got["late"] == (0.0, "APPROVE", "NONE") and got["merchant"] == (0.0, "ALERT", "RULES_ENGINE")
     # before `near` stands first alone, before `second` first and near, before `last` all three: the late ones are not counted
     assert (got["first"][0], got["near"][0], got["second"][0], got["last"][0]) == (0.6, 0.6, 0.9, 0.9)
+
+
+def test_sql_over_what_the_stream_wrote(spark, messages):
+    """Views over stored decisions, alerts and summaries; the time of a panel is a parameter."""
+    from tidemark.plans import views
+
+    out = f"{messages}/out"  # of the first test
+    if not os.path.exists(out):
+        pytest.skip("needs test_decisions_stream_equals_batch")
+    views.register_stored(spark, out)
+    last = spark.sql("SELECT max(event_time) FROM transactions").first()[0]
+    n = views.ask(spark, "SELECT count(*) FROM transactions WHERE event_time > :as_of - INTERVAL 1 MINUTE AND amount > :low", last, low=10).first()[0]
+    assert n == job.current_decisions(spark, out).where((F.col("event_time") > F.lit(last).cast("timestamp_ntz") - F.expr("interval 1 minute")) & (F.col("amount") > 10)).count() > 0
+    assert spark.sql("SELECT sum(tx_count) FROM mv_tx_throughput").first()[0] == spark.table("transactions").count()
+    assert views.panel(spark, "per_minute", last).agg(F.sum("detected_fraud")).first()[0] == spark.table("fraud_alerts").count() > 0

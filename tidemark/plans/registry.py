@@ -18,7 +18,7 @@ from tidemark.operators.ranking import ranking_metrics
 from tidemark.operators.scoring import INPUTS, SMALL_FOREST, TreeScorer, inputs
 from tidemark.plans import dashboards as B
 from tidemark.plans import oracle as O
-from tidemark.plans import risk
+from tidemark.plans import risk, views
 from tidemark.sources.transactions import COLUMNS, from_events, parse_rules, parse_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,3 +297,24 @@ add(
             SELECT ml_score, count(*) FILTER (ground_truth_is_fraud = 1) AS pos, count(*) FILTER (ground_truth_is_fraud = 0) AS neg FROM t GROUP BY 1)
         WINDOW below AS (ORDER BY ml_score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""),
 )
+
+
+def _asked(query: str, time: str):
+    """A panel in SQL, as of the latest `time` of the decisions."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        t = risk.decisions(spark, d)
+        views.register(t)
+        return views.ask(spark, query, t.agg(F.max(time)).first()[0])
+
+    return run
+
+
+for _name, _panel, _time in (("throughput", "p07_throughput", "decided_at"), ("average_latency", "p10_average_latency", "decided_at"), ("per_minute", "p11_per_minute", "event_time"), ("rates_over_time", "p20_rates_over_time", "event_time")):
+    add(f"q_{_name}", _asked(views.PANELS[_name], _time), ORACLE[_panel])
+add("q_alerts_by_source", _asked("SELECT alert_source, count(DISTINCT alert_id) AS cnt FROM fraud_alerts WHERE alert_time <= :as_of GROUP BY 1", "decided_at"), ORACLE["p13_alerts_by_source"])
+add(
+    "q_summary_by_day",
+    _asked("SELECT to_date(window_start) AS day, sum(tx_count) AS n, sum(fraud_count) AS found FROM mv_tx_throughput GROUP BY 1", "event_time"),
+    _agg("CAST(event_time AS DATE) AS day, count(*) AS n, CAST(sum(is_fraud) AS BIGINT) AS found", "GROUP BY 1"),
+)
