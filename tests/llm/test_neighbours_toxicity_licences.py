@@ -286,3 +286,29 @@ def test_query_groups_are_released(spark, monkeypatch):
     whole = search(frame, every=10).collect()
     monkeypatch.setattr(neighbours, "QUERY_BYTES", 8 * 8 * 30)
     assert sorted(search(frame, every=10).collect()) == sorted(whole) and len(whole) == 1190
+
+
+# heads of texts as they are distributed, with what a reader would say of each; written apart from the tables
+HEADS = [
+    ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS", "Apache-2.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n", "GPL-3.0-only"),
+    ("                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n", "LGPL-2.1-only"),
+    ("Eclipse Public License - v 2.0\n\n    THE ACCOMPANYING PROGRAM IS PROVIDED", "EPL-2.0"),
+    ("Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n", "MPL-2.0"),
+    ("BSD 3-Clause License\n\nCopyright (c) 2020, Some Body\nAll rights reserved.\n", "BSD-3-Clause"),
+    ("// SPDX-License-Identifier: MIT OR Apache-2.0\nfn main() {}", "MIT OR Apache-2.0"),
+    ("/* SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note */\n#ifndef X", "GPL-2.0-only WITH Linux-syscall-note"),
+    ("GNU GENERAL PUBLIC LICENSES are many.\nVersion 3, 29 June 2007 was a Friday", ""),
+]
+
+
+def test_heads_of_whole_licences(spark):
+    frame = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(HEADS)], "doc_id long, text string")
+    got = {r.doc_id: ",".join(r.licences) for r in licenses.scan_licences(frame).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(HEADS)}
+
+
+def test_the_warranty_of_bsd_is_known(spark):
+    text = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS\n\"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT\nLIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR\nA PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT"
+    row = licenses.scan_licences(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert len(row.known) == 1 and not row.licences

@@ -49,10 +49,36 @@ SENTENCES: dict[str, str] = {
     "zlib-liable": "In no event will the authors be held liable for any damages arising from the use of this software",
     "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
 }
-# licences that SPDX tags name
+# fixed values: titles of whole licence texts, with the licence that each heads
+TITLES: dict[str, tuple[str, str]] = {
+    "agpl3-title": ("AGPL-3.0-only", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    "apache2-title": ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    "boost-title": ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    "bsd2-title": ("BSD-2-Clause", "BSD 2-Clause License"),
+    "bsd3-title": ("BSD-3-Clause", "BSD 3-Clause License"),
+    "cc0-title": ("CC0-1.0", "CC0 1.0 Universal"),
+    "epl2-title": ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    "gpl2-title": ("GPL-2.0-only", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    "gpl3-title": ("GPL-3.0-only", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    "isc-title": ("ISC", "ISC License"),
+    "lgpl21-title": ("LGPL-2.1-only", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    "lgpl3-title": ("LGPL-3.0-only", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    "mpl2-title": ("MPL-2.0", "Mozilla Public License Version 2.0"),
+}
+SENTENCES |= {name: title for name, (_, title) in TITLES.items()}
+# fixed values: sentences of whole licence texts that prove no licence alone
+SENTENCES |= {
+    "bsd-warranty": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
+    "mit-liable": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
+    "gpl-copies": "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed",
+}
+# licences and common expressions that SPDX tags name
 TAGGED = [
     "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "GPL-2.0-only",
     "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+    "Apache-2.0 AND MIT", "Apache-2.0 OR BSL-1.0", "Apache-2.0 OR MIT", "Apache-2.0 WITH LLVM-exception", "BSD-3-Clause OR GPL-2.0-only", "EPL-2.0 OR Apache-2.0", "EPL-2.0 OR GPL-2.0-only WITH Classpath-exception-2.0",
+    "GPL-2.0-only OR BSD-2-Clause", "GPL-2.0-only OR MIT", "GPL-2.0-only WITH Classpath-exception-2.0", "GPL-2.0-only WITH Linux-syscall-note", "GPL-2.0-or-later WITH Linux-syscall-note", "MIT AND BSD-3-Clause", "MIT OR Apache-2.0",
+    "MIT OR GPL-2.0-only", "MIT OR Zlib", "Unlicense OR MIT", "Zlib OR Apache-2.0 OR MIT",
 ]
 SENTENCES |= {f"spdx-{name}": f"SPDX-License-Identifier: {name}" for name in TAGGED}
 # known sentences with a blank for one to MOST_BLANK words, as holders' names or files: what stands before and after it
@@ -104,6 +130,7 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("CC0-1.0", ("cc0-waive",)),
     ("Unlicense", ("unlicense",)),
 ]
+RULES += [(licence, (name,)) for name, (licence, _) in TITLES.items()]
 RULES += [(name, (f"spdx-{name}",)) for name in TAGGED]
 GAP = 3  # sentences from one of a rule to the next, at most, on average
 SPLIT = r"[.!?][ \t\r\f]+|[.!?]?\n+"
