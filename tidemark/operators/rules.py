@@ -14,6 +14,7 @@ from tidemark.sources.transactions import RULE
 FIELDS = ("amount", "event_type", "channel", "merchant_id", "status", "card_id", "account_id")
 OPERATORS = ("GREATER_THAN", "LESS_THAN", "EQUALS", "IN", "NOT_IN")
 MOST_COMPILED = 500  # rules in one expression
+MOST_TIMED = 30  # versions of rules in one expression, each with its time
 
 # fixed values: the rules that a new deployment starts with
 SEED_RULES = [
@@ -148,8 +149,9 @@ def apply_rules_as_of(tx: DataFrame, log: DataFrame, arrived: str = "produced_ms
     multiplied.
     """
     forced = in_force(log)
-    rows = [r.asDict() for r in forced.limit(MOST_COMPILED + 1).collect()]
-    if len(rows) > MOST_COMPILED:
+    most = min(MOST_COMPILED, MOST_TIMED)
+    rows = [r.asDict() for r in forced.limit(most + 1).collect()]
+    if len(rows) > most:
         return indexed_violations(tx, forced, FIELDS, _parsed, NO_VIOLATIONS, arrived)
     at = F.col(arrived)
     now = lambda r: (at >= r["since"]) & (at < r["until"] if r["until"] is not None else F.lit(True))
