@@ -19,7 +19,7 @@ from tidemark.operators.slices import dealt, over_slices
 
 FEATURES = ["tx_count_1h", "tx_count_24h", "avg_amount_24h", "amount_deviation", "time_since_last_ms", "distance_km"]
 SLICE_HALOS = 2  # halos in a slice: a third of what tasks read are copies, and a month of one account is 15 slices
-_MADE = [("_n1", "long"), ("_n24", "long"), ("_sum", "double"), ("_sq", "double"), ("_last_ms", "long"), ("_last_lat", "double"), ("_last_lon", "double")]
+MADE = [("_n1", "long"), ("_n24", "long"), ("_sum", "double"), ("_sq", "double"), ("_last_ms", "long"), ("_last_lat", "double"), ("_last_lon", "double")]
 _CARRY = ["_before_ms", "_before_lat", "_before_lon"]
 
 
@@ -81,7 +81,7 @@ def _summaries(table: pa.Table, number: np.ndarray) -> pa.RecordBatch:
 
 
 def _windows(table: pa.Table, number: np.ndarray, keep_ms: int | None, names: list[str]) -> pa.RecordBatch:
-    """Own rows with _MADE."""
+    """Own rows with MADE."""
     s = _Slice(table, number)
     n, here = len(s.at), np.arange(len(s.at))
     amount = s.get("amount").astype(float)
@@ -103,7 +103,11 @@ def _windows(table: pa.Table, number: np.ndarray, keep_ms: int | None, names: li
     own = pa.array(s.own)
     out = [s.table.column(c).combine_chunks().filter(own) for c in names]
     out += [(m if isinstance(m, pa.Array) else pa.array(m)).filter(own) for m in made]
-    return pa.RecordBatch.from_arrays(out, [*names, *(c for c, _ in _MADE)])
+    return pa.RecordBatch.from_arrays(out, [*names, *(c for c, _ in MADE)])
+
+
+def has_place() -> Column:
+    return F.coalesce((F.col("latitude") != 0) & (F.col("longitude") != 0), F.lit(False))
 
 
 def rolling_features(tx: DataFrame, masked: Column | None = None, now: Column | None = None, keep_ms: int | None = None) -> DataFrame:
@@ -116,13 +120,12 @@ def rolling_features(tx: DataFrame, masked: Column | None = None, now: Column |
     The last event and place are those of all time, or of the last keep_ms (a state that expires, 25 h say; a day or more).
     """
     counted = ~F.coalesce(masked, F.lit(False)) if masked is not None else F.lit(True)
-    placed = F.coalesce((F.col("latitude") != 0) & (F.col("longitude") != 0), F.lit(False))
     names = tx.columns
     tx = tx.withColumns({
         "_ms": F.when(F.col("ts_ms") > 0, F.col("ts_ms")).otherwise(F.unix_millis(F.current_timestamp()) if now is None else now).cast("long"),
         "_account": F.coalesce("account_id", F.lit("\0")),  # a key that is never null
         "_counted": counted,
-    }).withColumn("_placed", F.col("_counted") & placed)
+    }).withColumn("_placed", F.col("_counted") & has_place())
     halo = max(DAY, keep_ms or 0) + 1
     cut = dealt(tx, "_ms", halo, SLICE_HALOS * halo, "_account")
     order = ["_account", "slice", "_ms", "transaction_id"]
@@ -132,9 +135,15 @@ def rolling_features(tx: DataFrame, masked: Column | None = None, now: Column |
         before = Window.partitionBy("_account").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # a row a slice
         carried = told.select("_account", "slice", *(F.last(c, ignorenulls=True).over(before).alias(c) for c in _CARRY))
         cut = cut.join(carried, ["_account", "slice"], "left")
-    schema = T.StructType([*(tx.schema[c] for c in [*names, "_ms", "_counted"]), *(T.StructField(c, T.LongType() if k == "long" else T.DoubleType()) for c, k in _MADE)])
+    schema = T.StructType([*(tx.schema[c] for c in [*names, "_ms", "_counted"]), *(T.StructField(c, T.LongType() if k == "long" else T.DoubleType()) for c, k in MADE)])
     passed = [*names, "_ms", "_counted"]
     rows = over_slices(cut.sortWithinPartitions(*order), lambda table, number: _windows(table, number, keep_ms, passed), schema, ("_account", "slice"))
+    return finished(rows, names)
+
+
+def finished(rows: DataFrame, names: list[str]) -> DataFrame:
+    """names and FEATURES of rows with MADE, the time they stand at (_ms) and whether they count (_counted); a batch's or a stream's."""
+    placed = has_place()
     rows = rows.withColumns({c: F.round(c, 6) for c in ("_sum", "_sq")})
     mean = F.when(F.col("_n24") > 0, F.col("_sum") / F.col("_n24")).otherwise(0.0)
     rows = rows.withColumn("_mean", mean).withColumn("_std", F.when(F.col("_n24") > 1, F.sqrt(F.greatest(F.lit(0.0), F.col("_sq") / F.col("_n24") - F.col("_mean") * F.col("_mean")))).otherwise(0.0))

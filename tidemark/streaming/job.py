@@ -236,6 +236,19 @@ class Merging(InOrder):
         return [e["event_type"] in ("LOGIN_FAILED", "LOGIN_SUCCESS", "TRANSFER"), financial and located, financial and amount < c.micro_amount,
                 e["event_type"] in ("TRANSFER", "PAYMENT") and c.velocity_low <= amount <= c.velocity_high]
 
+    def _match(self, e: dict, held: list[list[list]]) -> list[tuple]:
+        """The (transaction_id, ts_ms, alert) that an event raises by any pattern; `held`, what is open by pattern, goes on."""
+        out = []
+        for k, (pattern, mine) in enumerate(zip(self.patterns, self._concerned(e))):
+            if mine:
+                held[k], raised = pattern.step([o for o in held[k] if e["ts_ms"] - o[0] < pattern.window_ms()], e)
+                out += [(transaction, at, alert) for transaction, at, *alert in raised]
+        return out
+
+    def _opened(self, held: list[list[list]], now: int) -> list[tuple]:
+        """Rows of what is still open."""
+        return [(k, int(o[0]), json.dumps([x if isinstance(x, (str, bool, float)) or x is None else int(x) for x in o])) for k, p in enumerate(self.patterns) for o in held[k] if now - o[0] < p.window_ms()]
+
     def _advance(self, key, events: list[tuple], now: int) -> pd.DataFrame:
         names = [f.split()[0] for f in _EVENT.split(", ")]
         due, later = sorted((e for e in events if e[0] < now), key=lambda e: e[:2]), [e for e in events if e[0] >= now]
@@ -248,20 +261,16 @@ class Merging(InOrder):
             row = dict(zip(names, e))
             recent[e[0], e[1]] = [-1, [], e[-1]]
             changed[e[0], e[1]] = None
-            for k, (pattern, mine) in enumerate(zip(self.patterns, self._concerned(row))):
-                if mine:
-                    alive = [o for o in held[k] if e[0] - o[0] < pattern.window_ms()]
-                    held[k], raised = pattern.step(alive, row)
-                    for transaction, at, *alert in raised:
-                        if (at, transaction) in recent:
-                            recent[at, transaction][1].append(alert)
-                            changed[at, transaction] = None
+            for transaction, at, alert in self._match(row, held):
+                if (at, transaction) in recent:
+                    recent[at, transaction][1].append(alert)
+                    changed[at, transaction] = None
         out = []
         for at, transaction in changed:
             kept = recent[at, transaction]
             kept[0] += 1
             out.append((transaction, key[0], at, [dict(zip(("alert_type", "severity", "score"), a)) for a in kept[1]], kept[0], kept[0] > 0, kept[2]))
-        open_rows = [(k, int(o[0]), json.dumps([x if isinstance(x, (str, bool, float)) or x is None else int(x) for x in o])) for k, p in enumerate(self.patterns) for o in held[k] if now - o[0] < p.window_ms()]
+        open_rows = self._opened(held, now)
         lasting = max(self.patterns[2].window_ms(), self.patterns[3].window_ms())
         recent_rows = [(at, i, r[0], json.dumps(r[1]), r[2]) for (at, i), r in recent.items() if now - at < lasting]
         for state, rows in ((self.waiting, later), (self.open, open_rows), (self.recent, recent_rows)):
