@@ -418,9 +418,9 @@ def remove_repeated_spans(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return _without_repeats(source.where("doc_id is not null"), words).unionByName(_whole(source.where("doc_id is null")))
 
 
-def remove_reference_spans(docs: DataFrame, reference: DataFrame, words: int = WORDS) -> DataFrame:
+def remove_routed_spans(docs: DataFrame, reference: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): docs without the maximal spans of at least `words` words that a text of the reference
-    (column text) holds. The reference goes to the same shards, as a document before all others, which don't count for each other.
+    (column text) holds, of any size. The reference goes to the same shards, as a document before all others, which don't count for each other.
 
     A sequence over two reference texts is no match. Null and empty texts have no words; an empty reference removes nothing;
     rows stay apart whatever their ids; an empty table gives no rows.
