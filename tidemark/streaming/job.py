@@ -318,6 +318,18 @@ def _day(ms: int) -> date:
     return date(1970, 1, 1) + timedelta(days=ms // DAY)
 
 
+def file_decisions(spark: SparkSession, out: str, new: DataFrame, gone: DataFrame, number: int) -> None:
+    """Adds a batch's decisions, their alerts and messages, and the summaries that take in `new` and take out `gone`. Decisions are added last,
+    so a batch whose decisions are there is done."""
+    final, final_old = (D.final_alerts(x.drop("event_date")) for x in (new, gone))
+    alerts_table(spark, out).append(storage.stored_alerts(final), number)
+    D.alert_messages(final).write.mode("overwrite").text(f"{out}/messages/batch={number}")
+    for summary in storage.SUMMARIES:
+        rows = (final, final_old) if summary == "alerts_by_type" else (new, gone)
+        summary_table(spark, out, summary).append(storage.revised(*rows, summary).withColumn("day", F.to_date(storage.SUMMARIES[summary][0][0])), number)
+    decisions_table(spark, out).append(new, number)
+
+
 def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str, checkpoint: str, config: Config, scorer: Scorer = no_model, trigger: dict | None = None) -> StreamingQuery:
     """Decide every transaction of the stream `raw` (column value) and write decisions, final alerts, summaries and rejected messages.
 
@@ -332,7 +344,7 @@ def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str
     """
     window, keep = longest_window(config), history_ms(config)
     filed = VersionedTable(spark, f"{out}/history", "event_date", lambda df: storage.latest(df, "transaction_id", "batch"), -(-2 * (window + keep) // DAY) + 1)
-    decisions, alerts = decisions_table(spark, out), alerts_table(spark, out)
+    decisions = decisions_table(spark, out)
 
     def judge(batch: DataFrame, number: int) -> None:
         if number <= decisions.last_batch():
@@ -362,15 +374,8 @@ def run_decisions(spark: SparkSession, raw: DataFrame, rules_path: str, out: str
         judged = made.withColumn("_now", F.struct(*told)).join(known, "transaction_id", "left").join(own.withColumn("_own", F.lit(True)), "transaction_id", "left")
         new = judged.where(F.col("_own") | (F.col("_known") & ~F.col("_now").eqNullSafe(F.col("_told")))).select(made.columns).persist()
         gone = old.join(new.select("transaction_id"), "transaction_id", "left_semi")
-        final = D.final_alerts(new.drop("event_date"))
-        alerts.append(storage.stored_alerts(final), number)
-        D.alert_messages(final).write.mode("overwrite").text(f"{out}/messages/batch={number}")
         rejected.write.mode("overwrite").text(f"{out}/rejected/batch={number}")
-        final_old = D.final_alerts(gone.drop("event_date"))
-        for summary in storage.SUMMARIES:
-            rows = (final, final_old) if summary == "alerts_by_type" else (new, gone)
-            summary_table(spark, out, summary).append(storage.revised(*rows, summary).withColumn("day", F.to_date(storage.SUMMARIES[summary][0][0])), number)
-        decisions.append(new, number)
+        file_decisions(spark, out, new, gone, number)
         for held in (mine, made, old, new, batch):
             held.unpersist()
 

@@ -15,8 +15,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
 import tidemark.config
@@ -25,6 +26,7 @@ from tidemark.operators.decisions import decide
 from tidemark.operators.features import MADE, finished, has_place
 from tidemark.operators.rules import apply_rules
 from tidemark.operators.scoring import Scorer, no_model
+from tidemark.operators.storage import stored_decisions
 from tidemark.streaming import job
 
 EXACT = 1074  # any finite double is a whole number of 2 ** -EXACT
@@ -279,5 +281,24 @@ def judged_stream(tx: DataFrame, config: Config, keep_ms: int | None = 25 * HOUR
 def decided_stream(tx: DataFrame, rules: DataFrame, config: Config, scorer: Scorer = no_model, keep_ms: int | None = 25 * HOUR) -> DataFrame:
     """A decision for every transaction of the stream tx, as assess() gives to a batch, once and without reading history. `rules` are those in
     force (latest_rules()) when the stream starts; run_decisions() reads rules anew for each batch."""
-    ruled = apply_rules(tx, rules).withColumn("decided_ms", F.unix_millis(F.current_timestamp()))
-    return decide(scorer(judged_stream(ruled, config, keep_ms)), config)
+    judged = judged_stream(apply_rules(tx, rules), config, keep_ms)
+    return decide(scorer(judged.withColumn("decided_ms", F.unix_millis(F.current_timestamp()))), config)
+
+
+def run_judged(
+    spark: SparkSession, tx: DataFrame, rules: DataFrame, out: str, checkpoint: str, config: Config, scorer: Scorer = no_model, keep_ms: int | None = 25 * HOUR, trigger: dict | None = None
+) -> StreamingQuery:
+    """Writes decided_stream() to the tables that run_decisions() writes, with their readers (job.current_decisions() and the like). A batch
+    costs what its own transactions cost, however much is stored: no history is kept or read, and no decision is revised; the price is
+    the wait for the longest run's window. Messages that parse_transactions() rejects are a stream of their own."""
+    decisions = job.decisions_table(spark, out)
+
+    def file(batch: DataFrame, number: int) -> None:
+        if number <= decisions.last_batch():
+            return
+        new = stored_decisions(batch).persist()
+        job.file_decisions(spark, out, new, new.where("false"), number)
+        new.unpersist()
+
+    made = decided_stream(tx, rules, config, scorer, keep_ms)
+    return made.writeStream.foreachBatch(file).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
