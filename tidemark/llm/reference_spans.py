@@ -22,7 +22,7 @@ from tidemark.llm import textscan as ts
 from tidemark.llm.scratch import arrow, table
 from tidemark.shipping import ship
 
-SHARD_BYTES = 1 << 20  # text of a shard, whose automaton takes some 12 bytes for each of it
+SHARD_BYTES = 1 << 20  # text of a shard, whose automaton takes some 4 bytes for each of it
 MOST_SHARDS = 8  # that every document is held against; a larger reference is routed
 PIECE_WORDS = 5_000  # longer reference texts are cut, with overlaps
 LANE = 64  # windows of a lane
