@@ -242,3 +242,55 @@ def test_a_third_of_the_rows_in_one_account(spark):
     assert made.where("transaction_id = 'T0599999'").first().avg_amount_24h == math.floor(mean * 100 + 0.5) / 100
     made.unpersist()
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def alone(kind, c, seed):
+    """For one slice with a halo, for each last match before it: (what the slice says and its last match, what a walk says)."""
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(8, 40))
+    at, halo = np.sort(rng.integers(0, 100_000, n)), int(rng.integers(1, n // 2))
+    events = M.Events(np.zeros(n, np.int64), np.arange(n) >= halo, at)
+    if kind == P.TAKEOVER:
+        kinds = rng.choice([1, 1, 2, 3], n)
+        found, counts = M.takeover(events, kinds, c.takeover_failures, c.takeover_most, c.takeover_ms)
+    else:
+        spot = rng.integers(0, len(PLACES) - 1, n)
+        lat, lon = (np.array([PLACES[p][k] for p in spot]) for k in (0, 1))
+        found = M.travel(events, lat, lon, c.travel_km, c.travel_ms)
+        counts = found.start
+
+    def walk(x):
+        """Matches of own events, if the last one before them is event x."""
+        opens, out = [], []
+        for i in range(x + 1, n):
+            if kind == P.TAKEOVER:
+                opens = [o for o in opens if at[i] - o[0] < c.takeover_ms]
+                if kinds[i] == 1:
+                    opens = [[a, m + (not d and m < c.takeover_most), d] for a, m, d in opens] + [[at[i], 1, False]]
+                elif kinds[i] == 2:
+                    opens = [[a, m, d or m >= c.takeover_failures] for a, m, d in opens]
+                hit = [o[1] for o in opens if o[2]] if kinds[i] == 3 else []
+            else:
+                opens = [o for o in opens if at[i] - at[o] < c.travel_ms]
+                hit = [o for o in opens if km(PLACES[spot[o]], PLACES[spot[i]]) >= c.travel_km]
+                opens = opens if hit and i >= halo else [*opens, i]
+            if hit and i >= halo:
+                out.append((i, hit[0]))
+                opens = []
+        return out
+
+    for back in range(1, halo + 1):
+        inside = (found.lo < back) & (back <= found.hi)
+        told = sorted(zip(found.event[inside].tolist(), counts[inside].tolist()))
+        last = next((o for _, bounds, outs in found.steps for b, o in zip(bounds, outs) if b < back), None)
+        want = walk(halo - back)
+        yield (told, last), (want, n - want[-1][0] if want else None)
+
+
+def test_takeover_chains_that_interleave():
+    """Chains of two last matches may share a match that a chain between them passes by; no alert is told twice. Before its slice nothing
+    matches but the last match: the walk begins there."""
+    c = Config(takeover_failures=1, takeover_ms=60_000)
+    for seed in range(400):
+        for told, want in alone(P.TAKEOVER, c, seed):
+            assert told == want
