@@ -8,11 +8,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.config import Config
+from tidemark.config import SPARSE, Config
 from tidemark.operators import matching as M
 from tidemark.operators import patterns as P
 from tidemark.operators.features import PrefixSums, rolling_features
 from tidemark.operators.slices import whole_slices
+from tidemark.sources.transactions import CITIES
 
 TX = "transaction_id string, account_id string, ts_ms long, amount double, event_type string, latitude double, longitude double, merchant_id string"
 CONFIG = Config(takeover_ms=40_000, micro_ms=9_000, micro_count=4, velocity_ms=7_000, travel_ms=30_000)
@@ -294,3 +295,14 @@ def test_takeover_chains_that_interleave():
     for seed in range(400):
         for told, want in alone(P.TAKEOVER, c, seed):
             assert told == want
+
+
+def test_travel_chains_that_interleave(spark):
+    """Journeys of one account around the edge of a slice, where the first match of the slice and the third share the next."""
+    for seed in range(100):
+        for told, want in alone(P.TRAVEL, Config(travel_ms=30_000), seed):
+            assert told == want
+    journey = [(69613781, 4), (114982586, 2), (119125772, 1), (154696606, 0), (180865580, 3), (181302560, 1), (194165794, 5), (278234283, 0), (321327473, 2), (432986809, 1), (452587204, 2), (560890734, 1)]
+    rows = [(f"T{i:02d}", "A", 1_704_000_000_000 + ms, 50.0, "PAYMENT", *CITIES[city][1:], "M") for i, (ms, city) in enumerate(journey)]
+    want = [w for w in loops(rows, SPARSE) if w[0] == P.TRAVEL]
+    assert counted(shown(P._matches(spark.createDataFrame(rows, TX), SPARSE, (P.TRAVEL,)))) == counted(want)
