@@ -1,5 +1,6 @@
 """Patterns and features over accounts cut into slices, against loops over whole accounts."""
 
+import gc
 import math
 import random
 
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.config import SPARSE, Config
+from tidemark.operators import features as E
 from tidemark.operators import matching as M
 from tidemark.operators import patterns as P
 from tidemark.operators.features import PrefixSums, rolling_features
@@ -306,3 +308,27 @@ def test_travel_chains_that_interleave(spark):
     rows = [(f"T{i:02d}", "A", 1_704_000_000_000 + ms, 50.0, "PAYMENT", *CITIES[city][1:], "M") for i, (ms, city) in enumerate(journey)]
     want = [w for w in loops(rows, SPARSE) if w[0] == P.TRAVEL]
     assert counted(shown(P._matches(spark.createDataFrame(rows, TX), SPARSE, (P.TRAVEL,)))) == counted(want)
+
+
+def sorted_slices(**columns):
+    n = 300
+    table = {"slice": [i // 50 for i in range(n)], "own": [i % 50 > 9 for i in range(n)], "transaction_id": [f"T{i:03d}" for i in range(n)], "amount": [5.0] * n, "latitude": [10.8 + i % 2 * 30 for i in range(n)], "longitude": [106.6] * n}
+    return pa.table(table | {k: v if isinstance(v, list) else [v] * n for k, v in columns.items()}), np.arange(n) // 50
+
+
+def left_over(kind, work):
+    """How many objects of a kind are left when work is done, before the collector of cycles runs."""
+    gc.collect()
+    gc.disable()
+    try:
+        work()
+        return sum(type(o) is kind for o in gc.get_objects())
+    finally:
+        gc.enable()
+
+
+def test_features_leave_no_table_behind():
+    """A batch is freed when its rows are told, so a task's memory does not grow with its batches."""
+    table, number = sorted_slices(_account="A", _ms=[i * 1000 for i in range(300)], _counted=True, _placed=True)
+    assert left_over(E._Slice, lambda: E._summaries(table, number)) == 0
+    assert left_over(E._Slice, lambda: E._windows(table, number, 90_000_000, ["transaction_id"])) == 0
