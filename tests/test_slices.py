@@ -332,3 +332,10 @@ def test_features_leave_no_table_behind():
     table, number = sorted_slices(_account="A", _ms=[i * 1000 for i in range(300)], _counted=True, _placed=True)
     assert left_over(E._Slice, lambda: E._summaries(table, number)) == 0
     assert left_over(E._Slice, lambda: E._windows(table, number, 90_000_000, ["transaction_id"])) == 0
+
+
+def test_patterns_leave_no_table_behind():
+    kinds = [("PAYMENT", "LOGIN_FAILED", "LOGIN_SUCCESS")[i % 3] for i in range(300)]
+    table, number = sorted_slices(account_id="A", ts_ms=[i * 1000 for i in range(300)], login=[3 - i % 3 for i in range(300)], located=[k == "PAYMENT" for k in kinds], micro=[k == "PAYMENT" for k in kinds], fast=False, merchant_id="M")
+    assert left_over(P._Slices, lambda: P._Slices(table, number, Config()).table_of(P.PATTERNS)) == 0
+    assert left_over(P._Slices, lambda: P._Slices(table, number, Config()).steps_of(P.PATTERNS)) == 0
