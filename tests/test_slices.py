@@ -339,3 +339,33 @@ def test_patterns_leave_no_table_behind():
     table, number = sorted_slices(account_id="A", ts_ms=[i * 1000 for i in range(300)], login=[3 - i % 3 for i in range(300)], located=[k == "PAYMENT" for k in kinds], micro=[k == "PAYMENT" for k in kinds], fast=False, merchant_id="M")
     assert left_over(P._Slices, lambda: P._Slices(table, number, Config()).table_of(P.PATTERNS)) == 0
     assert left_over(P._Slices, lambda: P._Slices(table, number, Config()).steps_of(P.PATTERNS)) == 0
+
+
+def most_held(work, table, key, batches):
+    """The most bytes of Arrow beyond those at the start, while a task works on so many batches and no collector of cycles runs."""
+    gc.collect()
+    gc.disable()
+    try:
+        places = tuple(table.column_names.index(k) for k in key)
+        read = (table.take(pa.array(range(table.num_rows))).combine_chunks().to_batches()[0] for _ in range(batches))
+        floor, most = pa.total_allocated_bytes(), 0
+        for part, number in whole_slices(read, places):
+            work(part, number)
+            most = max(most, pa.total_allocated_bytes() - floor)
+        return most
+    finally:
+        gc.enable()
+
+
+def test_task_memory_does_not_grow_with_batches():
+    """What a task holds at a time is the same for 10 and for 80 batches, for the features and for the patterns."""
+    at, kinds = [i * 1000 for i in range(300)], [i % 3 == 0 for i in range(300)]
+    features, _ = sorted_slices(_account="A", _ms=at, _counted=True, _placed=True)
+    patterns, _ = sorted_slices(account_id="A", ts_ms=at, login=[3 - i % 3 for i in range(300)], located=kinds, micro=kinds, fast=False, merchant_id="M")
+    for table, key, works in (
+        (features, ("_account", "slice"), (E._summaries, lambda t, n: E._windows(t, n, 90_000_000, ["transaction_id"]))),
+        (patterns, ("account_id", "slice"), (lambda t, n: P._Slices(t, n, Config()).table_of(P.PATTERNS), lambda t, n: P._Slices(t, n, Config()).steps_of(P.PATTERNS))),
+    ):
+        for work in works:
+            most_held(work, table, key, 2)
+            assert most_held(work, table, key, 80) < 1.5 * most_held(work, table, key, 10)
