@@ -3,8 +3,10 @@ import math
 import re
 import zlib
 from collections import Counter
+from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -96,6 +98,23 @@ def test_csr_blocks_hold_the_counts(spark, docs, rows):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_row_groups_hold_few_csr_blocks(spark, monkeypatch):
+    """A reader decodes all lists of a row group at once, so its blocks must not grow with those of a task."""
+    text, groups, sums = "one two three four five six seven " * 31_000, [], importance.column_sums  # over half a chunk, so a block of its own
+
+    def spy(matrix, *rest):
+        held = [pq.ParquetFile(urlparse(f).path).metadata for f in matrix.inputFiles()]
+        groups.append([m.row_group(i).num_rows for m in held for i in range(m.num_row_groups)])
+        return sums(matrix, *rest)
+
+    monkeypatch.setattr(importance, "column_sums", spy)
+    docs = spark.range(0, 9, 1, 1).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    items = spark.createDataFrame([(0, "two three")], "item_id long, text string")
+    got = importance.resample(docs, items, percent=50).collect()
+    assert sum(groups[0]) == 9 and max(groups[0]) <= 4
+    same(got, brute_resample([(i, text) for i in range(9)], ["two three"], 50))
+
+
 def brute_divergence(rows, least=10, top=10):
     groups, counts, docs = set(), Counter(), Counter()
     for text, lang, source in rows:

@@ -23,6 +23,7 @@ from tidemark.llm.sizes import small
 
 BUCKETS = 10_000
 MOST_BUCKETS = 1_000_000  # of a broadcast of eight bytes each
+BLOCKS = 4  # CSR blocks of a Parquet row group, which a task holds whole
 GROUP = 256  # scores, or groups of scores, that one window adds up
 CSR = "doc_ids array<bigint>, n_words array<bigint>, indptr array<bigint>, indices array<int>, counts array<bigint>"
 
@@ -165,8 +166,8 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 10, min_words: i
     Scores are whole numbers, so ranks are counts of rows with a higher score, and only rows of one score are sorted together.
     """
     with scope(docs.sparkSession):
-        matrix = table(count_matrix(docs, buckets, longest), "csr-documents")
-        wanted = table(count_matrix(target.select(F.lit(0).alias("doc_id"), "text"), buckets, longest), "csr-target")
+        matrix = table(count_matrix(docs, buckets, longest), "csr-documents", group=BLOCKS)
+        wanted = table(count_matrix(target.select(F.lit(0).alias("doc_id"), "text"), buckets, longest), "csr-target", group=BLOCKS)
         gain = gains(column_sums(matrix, buckets), column_sums(wanted, buckets), buckets)
         scored = weights(matrix, gain).withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))
         scored = table(scored, "scores")

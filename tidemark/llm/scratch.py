@@ -62,11 +62,13 @@ def cut(df: DataFrame) -> DataFrame:
     return table(df, "cut")
 
 
-def table(df: DataFrame, name: str, outer: bool = False, partition: str | None = None) -> DataFrame:
+def table(df: DataFrame, name: str, outer: bool = False, partition: str | None = None, group: int | None = None) -> DataFrame:
     """df written as a Parquet table in the shared folder, in folders by `partition` if given, and read again. Inside scope() it is deleted at its end, with
-    `outer` at the end of the scope around it, outside at the end of the program."""
+    `outer` at the end of the scope around it, outside at the end of the program. `group`: rows of a row group at most, for rows of megabytes, as a
+    writer fills pages of 100 rows at least and a reader decodes all lists of a row group (or of 4,096 rows) at once."""
     path = place(df.sparkSession, name, outer)
-    (df.write.partitionBy(partition) if partition else df.write).parquet(path)
+    writer = df.write.option("parquet.block.row.count.limit", group) if group else df.write
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
